@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -18,32 +19,54 @@ OPEN_BINS = 8192
 PIECES_PER_BUCKET = 16384
 
 
+#: A run of letters, then a run of ASCII punctuation without apostrophes: the tokenizer cuts such a chunk exactly there.
+LETTERS_THEN_MARKS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class CachedTokenizer:
     """Token ids of a text as bytes (unsigned 32-bit, little endian), chunk by chunk.
 
     The tokenizer's pre-tokenizer never joins what ASCII white space separates,
-    so the ids of a text are those of its chunks in order; frequent chunks are
-    remembered up to a bound.
+    so the ids of a text are those of its chunks in order. Frequent chunks are
+    remembered up to a bound, and so are the words in them without case and
+    punctuation; words met for the first time are encoded together.
     """
 
-    LIMIT = 1_000_000
+    CHUNKS, WORDS = 500_000, 700_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.words = Tokenizer.from_file(path), {}, {"": b""}
+
+    def _learn_words(self, fresh: list[str]) -> None:
+        for i in range(0, len(fresh), 8192):
+            part = fresh[i : i + 8192]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            at, ids = np.asarray(e.word_ids), np.asarray(e.ids, "<u4")
+            ends = np.searchsorted(at, np.arange(len(part)), "right")
+            if len(at) and at[-1] + 1 == len(part):
+                raw, begin = ids.tobytes(), 0
+                for w, end in zip(part, (4 * ends).tolist(), strict=True):
+                    self.words[w], begin = raw[begin:end], end
+            else:
+                self.words |= {w: self._whole(w) for w in part}
+
+    def _whole(self, chunk: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.known) > self.LIMIT:
+        if len(self.known) > self.CHUNKS:
             self.known.clear()
-        known = self.known
-        fresh = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(fresh), 4096):
-            part = fresh[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        if len(self.words) > self.WORDS:
+            self.words = {"": b""}
+        known, words = self.known, self.words
+        parts = {c: LETTERS_THEN_MARKS.fullmatch(c.lower()) for c in {c for chunks in split for c in chunks if c not in known}}
+        self._learn_words(list({w for m in parts.values() if m for w in m.groups() if w not in words}))
+        for c, m in parts.items():
+            known[c] = words[m[1]] + words[m[2]] if m else self._whole(c)
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 0, max_tokens: int = MAX_TOKENS) -> DataFrame:
