@@ -8,6 +8,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -48,6 +49,12 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 5 == 0, F.lit(False))
 
 
+def plus(schema: T.StructType, **types: str) -> T.StructType:
+    """``schema`` with more columns of the named types."""
+    made = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "binary": T.BinaryType()}
+    return T.StructType([*schema.fields, *(T.StructField(k, made[v]) for k, v in types.items())])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: spreads every input bit over the output."""
     x = (x ^ (x >> np.uint64(30))) * _MIX_1

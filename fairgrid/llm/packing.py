@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, plus
 
 MAX_TOKENS = 2048
 OPEN_BINS = 8192
@@ -136,7 +136,7 @@ def pack(pieces: DataFrame, capacity: int = MAX_TOKENS, open_bins: int = OPEN_BI
     """
     pieces = cut(pieces.withColumn("__at", F.monotonically_increasing_id()))
     n_buckets = max(1, -(-pieces.count() // per_bucket))
-    schema = pieces.drop("__at").schema.add("sequence_id", "long").add("offset", "long")
+    schema = plus(pieces.drop("__at").schema, sequence_id="long", offset="long")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "__at"], ascending=[False, True])

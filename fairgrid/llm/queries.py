@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import held_out, table
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,29 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op7_sharding, op8_decontamination, op9_line_dedup)}
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit_quality, score_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit_language, predict_language
+
+    docs = table(spark, sf_dir, "documents")
+    out = predict_language(docs.select("doc_id", "text"), fit_language(docs))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .outliers import judge
+
+    return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup)}
 
 ORACLE_SQL = {
     "op8_decontamination": r"""
