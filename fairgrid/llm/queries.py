@@ -60,7 +60,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup)}
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .setsketch import near_duplicate_groups
+
+    return near_duplicate_groups(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup)}
 
 ORACLE_SQL = {
     "op8_decontamination": r"""
