@@ -66,9 +66,29 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_captures, write_archive
+
+    archive, keys = write_archive(table(spark, sf_dir, "pages"))
+    return read_captures(spark, archive, keys).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_main_text
+
+    out = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op5_html_extraction, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup, op10_warc)}
 
 ORACLE_SQL = {
+    "op10_warc": """
+with p as (select page_id, strlen(coalesce(html, '')) payload_bytes, sha1(coalesce(html, '')) payload_digest from pages),
+r as (select payload_digest, payload_bytes, max(page_id) response from p where payload_bytes >= 1000 group by all)
+select page_id, payload_bytes, payload_digest, case when page_id < response then 'revisit' else 'response' end record_type,
+       case when page_id < response then response end refers_to
+from p left join r using (payload_digest, payload_bytes)""",
     "op8_decontamination": r"""
 with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
 b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark),
