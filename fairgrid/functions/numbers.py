@@ -64,3 +64,9 @@ def clip_low(x: Column, low: float = 0.0) -> Column:
 
 def safe_json_number(x: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+
+
+def half_up(x: Column | str, digits: int) -> Column:
+    """Rounded half up after the noise beyond nine digits is gone, so that sums in any order give the same value."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.round(x.cast("decimal(38,9)"), digits).cast("double")
