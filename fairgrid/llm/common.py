@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +95,26 @@ def utf8(text: str | None) -> bytes:
     return text.encode("utf-8", "replace") if text else b""
 
 
+def key_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """Runs of rows that agree in the first ``n_keys`` integer columns, of batches sorted by them, one table each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)])
+        starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(starts, starts[1:], strict=False):
+            key = tuple(keys[a].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component_id): the smallest id that each node of ``edges`` (a, b) can reach.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chain, connected_components, cut, mix, utf8
+from .common import WordHashes, chain, connected_components, cut, key_groups, mix, utf8
 
 #: A pair at the threshold shares at least one band but for about 1 in 10^8.
 BANDS, ROWS = 60, 6
@@ -22,6 +22,8 @@ LOG_BASE = math.log(BASE)
 THRESHOLD_PERCENT = 80
 #: Pairs whose estimate is lower than the threshold by this much (six standard deviations) are not verified.
 SLACK = 0.13
+#: Members of a bucket that one task compares at once; larger buckets are cut into pairs of such blocks.
+BLOCK = 2048
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,18 +65,34 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return (1 - np.floor(np.log(least) / LOG_BASE)).astype(np.int32)
 
 
-def estimate(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The Jaccard similarity that makes the registers' order (less, equal, greater) likeliest, sizes being known."""
-    order = (a.astype(np.int16) - b.astype(np.int16) + 128) % 256 - 128
-    up, down = (order > 0).sum(1)[:, None], (order < 0).sum(1)[:, None]
-    u, v = (n_a / (n_a + n_b))[:, None], (n_b / (n_a + n_b))[:, None]
-    j = np.linspace(0, 1, 201)[None, :] * np.minimum(u / v, v / u)
+def _log_likelihood(j: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.ndarray:
+    """Of similarity ``j``, given both sizes and how many registers are greater or less in a than in b."""
+    u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
     p = lambda x: -np.log1p(-np.clip(x, 1e-12, 1) * (BASE - 1) / BASE) / LOG_BASE
     more, less = p(u - v * j), p(v - u * j)
-    fit = up * np.log(more) + down * np.log(less) + (REGISTERS - up - down) * np.log(np.maximum(1 - more - less, 1e-12))
+    return up * np.log(more) + down * np.log(less) + (REGISTERS - up - down) * np.log(np.maximum(1 - more - less, 1e-12))
+
+
+def _order(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    diff = (a - b).view(np.int8)
+    return (diff > 0).sum(-1), (diff < 0).sum(-1)
+
+
+def estimate(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The Jaccard similarity that makes the registers' order likeliest, sizes being known; ``a`` and ``b`` are rows of register bytes."""
+    up, down = _order(a, b)
+    j = np.linspace(0, 1, 201)[None, :] * (np.minimum(n_a, n_b) / np.maximum(n_a, n_b))[:, None]
+    fit = _log_likelihood(j, n_a[:, None], n_b[:, None], up[:, None], down[:, None])
     return np.take_along_axis(j, fit.argmax(1)[:, None], 1)[:, 0]
 
 
+def not_ruled_out(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the estimate reaches the threshold less SLACK: the likelihood is concave, so its slope there tells."""
+    up, down = _order(a, b)
+    at = THRESHOLD_PERCENT / 100 - SLACK
+    return _log_likelihood(at + 0.001, n_a, n_b, up, down) >= _log_likelihood(at - 0.001, n_a, n_b, up, down)
+
+
 def sketch(docs: DataFrame, shingle_words: int) -> DataFrame:
     """(doc_id, n, same, sketch) of every row: set size, digest of the set (null if empty) and registers, a byte each."""
 
@@ -106,37 +124,123 @@ def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
                 part = batch.slice(at, 2048)
                 n_a, n_b = (part.column(i).to_numpy() for i in (2, 3))
                 s_a, s_b = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, REGISTERS) for i in (4, 5))
-                keep = pa.array(estimate(n_a, n_b, s_a, s_b) >= THRESHOLD_PERCENT / 100 - SLACK)
+                keep = pa.array(not_ruled_out(n_a, n_b, s_a, s_b))
                 yield part.select(["a", "b"]).filter(keep)
 
     return met.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, shingle_words: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose full shingle sets reach the threshold. Only texts of paired documents become sets."""
-    ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
+def _sets(ids: DataFrame, docs: DataFrame, shingle_words: int) -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids`` (doc_id, distinct) only."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t.as_py(), shingle_words, hashes).tobytes() for t in part.column(1)], pa.binary())], ["doc_id", "shingles"])
 
+    return cut(docs.select("doc_id", "text").join(cut(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary"))
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= THRESHOLD_PERCENT * (len(x) + len(y) - both)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, shingle_words: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose full shingle sets reach the threshold."""
+
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= THRESHOLD_PERCENT * (len(x) + len(y) - both))
+            keep = [_linked(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    full = cut(docs.select("doc_id", "text").join(cut(ids), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"))
+    full = _sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), docs, shingle_words)
     one, two = (full.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     return pairs.join(two, "b").join(one, "a").select("a", "b", "set_a", "set_b").mapInArrow(confirm, "a long, b long")
 
 
+def _likely_within(rows: pa.Table) -> list[tuple[int, int, int]]:
+    """(i, j, equal registers) of the row pairs of one block whose parts differ and whose sketches do not rule the threshold out.
+
+    ``rows``: bucket, low, high, block, doc_id, part, n, sketch. A pair that shares several
+    bands counts in the first of them only, so it is met once in all buckets.
+    """
+    part, n, block = (rows.column(c).to_numpy() for c in ("part", "n", "block"))
+    apart = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+    band = rows.column("bucket")[0].as_py() & 63
+    s = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(part), REGISTERS)
+    bands = np.zeros((len(part), BANDS, 8), np.uint8)
+    bands[:, :, :ROWS] = s.reshape(len(part), BANDS, ROWS)
+    bands = bands.view(np.uint64)[:, :, 0]
+    out = []
+    for i in range(len(part) - 1):
+        near = (part[i + 1 :] != part[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= THRESHOLD_PERCENT * np.maximum(n[i + 1 :], n[i]))
+        if apart:
+            near &= block[i + 1 :] != block[i]
+        j = np.flatnonzero(near) + i + 1
+        if len(j):
+            j = j[(bands[j] == bands[i]).argmax(1) == band]
+        if len(j):
+            j = j[not_ruled_out(n[i], n[j], s[i], s[j])]
+            out += zip([i] * len(j), j.tolist(), (s[i] == s[j]).sum(1).tolist(), strict=True)
+    return out
+
+
+_KEYS = ["bucket", "low", "high"]
+
+
+def _links_across(member: DataFrame, reps: DataFrame, docs: DataFrame, shingle_words: int) -> DataFrame:
+    """Verified (a, b) between members of one bucket that ``member`` (bucket, doc_id, part) has in different parts.
+
+    Buckets with one part only are left out. A large bucket is cut into blocks of
+    about BLOCK members by id hash, and each pair of blocks is compared apart, so no
+    task holds more than two blocks. First sketches tell which members have a likely
+    partner; only those are met with their full sets, in the same blocks, and only links
+    that join parts come out. No pair leaves its block unverified.
+    """
+    spread = member.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")).where("low <> high")
+    spread = cut(spread.select("bucket", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks")))
+    sketches = reps.select("doc_id", "n", "sketch")
+    dealt = member.join(spread, "bucket").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    dealt = dealt.select(*_KEYS, "block", "doc_id", "part")
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = lambda df: df.repartition(n_parts, *_KEYS).sortWithinPartitions(*_KEYS)
+
+    def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in key_groups(batches, 3):
+            found = sorted({k for i, j, _ in _likely_within(rows) for k in (i, j)})
+            if found:
+                yield from rows.select([*_KEYS, "block", "doc_id", "part"]).take(found).combine_chunks().to_batches()
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in key_groups(batches, 3):
+            ids, joined, out = rows.column("doc_id").to_pylist(), {}, []
+            sets = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("shingles")]
+
+            def root(p: int, joined: dict = joined) -> int:
+                while p in joined:
+                    p = joined[p]
+                return p
+
+            parts = rows.column("part").to_pylist()
+            for i, j, _ in sorted(_likely_within(rows), key=lambda x: -x[2]):
+                a, b = root(parts[i]), root(parts[j])
+                if a != b and _linked(sets[i], sets[j]):
+                    joined[a] = b
+                    out.append((ids[i], ids[j]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
+
+    plain = "bucket long, low long, high long, block long, doc_id long, part long"
+    rows = cut(together(dealt.join(sketches, "doc_id").select(*_KEYS, "block", "doc_id", "part", "n", "sketch")).mapInArrow(involved, plain))
+    full = _sets(rows.select("doc_id").distinct(), docs, shingle_words)
+    met = rows.join(full.join(sketches, "doc_id"), "doc_id").select(*_KEYS, "block", "doc_id", "part", "n", "sketch", "shingles")
+    return together(met).mapInArrow(linked, "a long, b long")
+
+
 def near_duplicate_groups(docs: DataFrame, shingle_words: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text): groups linked by a Jaccard similarity of 0.8 or more.
 
@@ -145,10 +249,9 @@ def near_duplicate_groups(docs: DataFrame, shingle_words: int = 2) -> DataFrame:
     cut into bands; documents that share a band's values are candidates. First
     every bucket pairs its members with its smallest id only; those pairs are
     filtered by the joint estimate, verified on full sets, and joined into
-    components. Then only buckets that still hold several components pair
-    members across components, and these pairs go the same way. So a large
-    group costs a row for each member and band, not the square of its size. All
-    buckets are worked on whole, without caps.
+    components. Then buckets that still hold several components compare members across
+    components, in blocks (see ``_links_across``). So a large group costs rows for each member and
+    band, not the square of its size. All buckets are worked on whole, without caps.
 
     Null, empty and wordless texts have no shingles and stay alone. Rows with a
     null doc_id get a null component. Repeated rows of one id count as one set if their texts
@@ -161,7 +264,8 @@ def near_duplicate_groups(docs: DataFrame, shingle_words: int = 2) -> DataFrame:
     reps = cut(known.join(least, "same").where("doc_id = rep").dropDuplicates(["doc_id"]).select("doc_id", "n", "sketch"))
 
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    buckets = reps.select("doc_id", "sketch", band).select(F.xxhash64("band", F.expr(f"substring(sketch, band * {ROWS} + 1, {ROWS})")).alias("bucket"), "doc_id")
+    values = F.xxhash64("band", F.expr(f"substring(sketch, band * {ROWS} + 1, {ROWS})"))
+    buckets = reps.select("doc_id", "sketch", band).select(F.shiftleft(values, 6).bitwiseOR(F.col("band").cast("long")).alias("bucket"), "doc_id")
     leaders = cut(buckets.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z").select("bucket", "a"))
     shared = cut(buckets.join(leaders, "bucket").select("bucket", "a", F.col("doc_id").alias("b")))
     stars = cut(_likely(shared.where("a <> b").select("a", "b").distinct(), reps))
@@ -169,14 +273,9 @@ def near_duplicate_groups(docs: DataFrame, shingle_words: int = 2) -> DataFrame:
 
     first = connected_components(links)
     member = cut(shared.join(first, F.col("b") == F.col("id"), "left").select("bucket", F.col("b").alias("doc_id"), F.coalesce("component_id", "b").alias("part")))
-    split = cut(member.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket"))
-    open_ = cut(member.join(split, "bucket", "left_semi").join(reps.select("doc_id", "n"), "doc_id"))
-    other = open_.select("bucket", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"))
-    across = open_.withColumnRenamed("doc_id", "a").join(other, "bucket").where(f"a < b and part <> part_b and 100 * least(n, n_b) >= {THRESHOLD_PERCENT} * greatest(n, n_b)").select("a", "b")
-    tried = shared.where("a <> b").select("a", "b").distinct()
-    more = cut(_likely(cut(across.distinct()).join(tried, ["a", "b"], "left_anti"), reps))
+    more = cut(_links_across(member, reps, docs, shingle_words))
     if more.limit(1).count():
-        links = links.union(_verified(more, docs, shingle_words))
+        links = links.union(more)
         first = connected_components(links)
 
     same = known.join(least, "same").select(F.col("doc_id"), F.col("rep"))
