@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,54 +21,62 @@ OPEN_BINS = 8192
 PIECES_PER_BUCKET = 16384
 
 
-#: A run of letters, then a run of ASCII punctuation without apostrophes: the tokenizer cuts such a chunk exactly there.
-LETTERS_THEN_MARKS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: ASCII punctuation without the apostrophe, which may belong to a contraction.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+LATIN_LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+#: The usual byte-to-character alphabet of byte-level BPE: printable bytes stand for themselves, the others follow from 256.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_ALPHABET = {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 
-class CachedTokenizer:
+class CachedTokenizer(dict):
     """Token ids of a text as bytes (unsigned 32-bit, little endian), chunk by chunk.
 
     The tokenizer's pre-tokenizer never joins what ASCII white space separates,
-    so the ids of a text are those of its chunks in order. Frequent chunks are
-    remembered up to a bound, and so are the words in them without case and
-    punctuation; words met for the first time are encoded together.
+    so the ids of a text are those of its chunks in order. A chunk of Latin
+    letters and then punctuation is cut exactly there, and its two words go to the tokenizer's
+    model alone; any other chunk goes through the whole tokenizer. This is a dictionary of the ids of
+    chunks met so far, beside one of words; both are bounded.
     """
 
-    CHUNKS, WORDS = 500_000, 700_000
+    CHUNKS, WORDS = 1_000_000, 1_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.words = Tokenizer.from_file(path), {}, {"": b""}
-
-    def _learn_words(self, fresh: list[str]) -> None:
-        for i in range(0, len(fresh), 8192):
-            part = fresh[i : i + 8192]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            at, ids = np.asarray(e.word_ids), np.asarray(e.ids, "<u4")
-            ends = np.searchsorted(at, np.arange(len(part)), "right")
-            if len(at) and at[-1] + 1 == len(part):
-                raw, begin = ids.tobytes(), 0
-                for w, end in zip(part, (4 * ends).tolist(), strict=True):
-                    self.words[w], begin = raw[begin:end], end
-            else:
-                self.words |= {w: self._whole(w) for w in part}
-
-    def _whole(self, chunk: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.known) > self.CHUNKS:
-            self.known.clear()
-        if len(self.words) > self.WORDS:
-            self.words = {"": b""}
-        known, words = self.known, self.words
-        parts = {c: LETTERS_THEN_MARKS.fullmatch(c.lower()) for c in {c for chunks in split for c in chunks if c not in known}}
-        self._learn_words(list({w for m in parts.values() if m for w in m.groups() if w not in words}))
-        for c, m in parts.items():
-            known[c] = words[m[1]] + words[m[2]] if m else self._whole(c)
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.words = self.tokenizer.model, {"": b""}
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= self.WORDS:
+                self.words = {"": b""}
+            coded = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_ALPHABET)
+            found = self.words[word] = array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
+        return found
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= self.CHUNKS:
+            self.clear()
+        low = chunk.lower()
+        word = low.rstrip(MARKS)
+        if word.isalpha() and word.isascii() or not word and low or LATIN_LETTERS.fullmatch(word):
+            ids = self._word(word) + self._word(low[len(word) :])
+        else:
+            ids = np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        self[chunk] = ids
+        return ids
+
+    def ids(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+
+
+@lru_cache(maxsize=2)
+def tokenizer_of(path: str) -> CachedTokenizer:
+    """One tokenizer for each worker process, so that what it has learnt serves later tasks."""
+    return CachedTokenizer(path)
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 0, max_tokens: int = MAX_TOKENS) -> DataFrame:
@@ -77,12 +87,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 0, max_toke
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, step, end = CachedTokenizer(tokenizer_path), 4 * max_tokens, np.asarray([end_id], "<u4").tobytes()
+        tokens, step, end = tokenizer_of(tokenizer_path), 4 * max_tokens, np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
-                for doc_id, ids in zip(part.column(0).to_pylist(), tokens([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    ids += end
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = tokens.ids(text or "") + end
                     out += [(doc_id, i // step, i // 4, len(ids[i : i + step]) // 4, zlib.crc32(ids[i : i + step])) for i in range(0, len(ids), step)]
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
