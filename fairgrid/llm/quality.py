@@ -37,15 +37,17 @@ class QualityModel:
 
 class Sizes:
     """Of a text: the normalised difference of its compressed sizes under the two dictionaries (above 0: closer to the good one),
-    and the logarithm of the smaller size by the raw size, which is very low for text that repeats itself."""
+    and the logarithm of its size compressed alone by its raw size, which is very low for text that repeats itself."""
 
     def __init__(self, good: bytes, bad: bytes):
         self.pair = [zstandard.ZstdCompressor(level=LEVEL, dict_data=_loaded(d), write_content_size=False, write_dict_id=False) for d in (good, bad)]
+        self.alone = zstandard.ZstdCompressor(level=1, write_content_size=False)
 
     def __call__(self, text: str | None) -> tuple[float, float]:
         raw = utf8(text)
-        good, bad = (sum(len(c.compress(raw[i : i + PIECE_BYTES])) for i in range(0, max(1, len(raw)), PIECE_BYTES)) for c in self.pair)
-        return (bad - good) / (bad + good), math.log(min(good, bad) / len(raw)) if raw else 0.0
+        pieces = [raw[i : i + PIECE_BYTES] for i in range(0, max(1, len(raw)), PIECE_BYTES)]
+        good, bad, alone = (sum(len(c.compress(p)) for p in pieces) for c in (*self.pair, self.alone))
+        return (bad - good) / (bad + good), math.log(alone / len(raw)) if raw else 0.0
 
 
 def _terms(sizes: np.ndarray) -> np.ndarray:
