@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, lower_ascii
+from .common import BLANKS, cut, lower_ascii
 
 MIN_CHARS = 10
 MIN_DOCS = 2
@@ -41,8 +41,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     A line's key is the line without white space at both ends, A-Z lower-cased.
     Keys of at least ``min_chars`` code points in at least ``min_docs``
     documents stay only in the smallest doc_id that holds them. The texts move
-    once, in the last join; before it only hashes do. Joins on a hash or id are
-    sort-merge joins that AQE can split where a line is very frequent.
+    once, in the last join; before it only hashes do. The repeated keys are
+    written first, so that their join is a plain sort-merge join that AQE can
+    split where a line is very frequent.
 
     Null or empty text is one empty line. Rows with a null doc_id keep all
     lines and are not counted. Repeated rows of one doc_id count as one
@@ -51,7 +52,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """
     docs = docs.drop("n_lines", "n_dropped")
     ids = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    repeated = repeated_lines(ids, min_chars, min_docs).select("h1", "h2", "keeper")
+    repeated = cut(repeated_lines(ids, min_chars, min_docs).select("h1", "h2", "keeper"))
     keys = F.filter(F.transform(F.split("text", "\n", -1), _key), lambda k: F.char_length(k) >= min_chars)
     held = ids.where("doc_id is not null").select("doc_id", F.explode(F.array_distinct(F.transform(keys, _hash))).alias("h"))
     lost = (
