@@ -34,4 +34,4 @@ def query(sql: str | None = None, name: str | None = None) -> Callable:
     return add
 
 
-from . import aggregates, joins, models, relational, scalars, windows  # noqa: E402, F401
+from . import aggregates, joins, models, relational, scalars, storage, windows  # noqa: E402, F401

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +11,7 @@ from fairgrid.functions import dates, numbers, text
 from fairgrid.operators.frames import last_per_key, rename
 
 #: Encodings of the source files, in the order in which they are tried.
-ENCODINGS = ("UTF-8", "MS949", "EUC-KR")
+ENCODINGS = ("UTF-8", "cp949", "euc-kr")
 
 # Source headers (without blanks) and their canonical names; dates come first.
 DATASETS = {
@@ -23,10 +24,27 @@ DATASETS = {
 }
 
 
+def recode(source: str, target: str):
+    """A vectorised function from one reading of a text's bytes to another; bytes that do not fit are replaced."""
+
+    @F.pandas_udf("string")
+    def other(values: pd.Series) -> pd.Series:
+        return values.map(lambda s: None if s is None else s.encode(source, "replace").decode(target, "replace"))
+
+    return other
+
+
 def read_csv(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
-    """SRC-01: a CSV of strings with a header; a byte-order mark on the first header goes."""
-    df = spark.read.option("header", True).option("encoding", encoding).csv(path)
-    return df.toDF(*[c.removeprefix("﻿").strip() for c in df.columns])
+    """SRC-01: a CSV of strings with a header; a byte-order mark on the first header goes.
+
+    Code pages that Spark does not read are read byte for byte and decoded in vectorised batches.
+    """
+    plain = encoding.upper() == "UTF-8"
+    df = spark.read.option("header", True).option("encoding", "UTF-8" if plain else "ISO-8859-1").csv(path)
+    if not plain:
+        heads = [c.encode("latin-1", "replace").decode(encoding, "replace") for c in df.columns]
+        df = df.select(*[recode("latin-1", encoding)(F.col(f"`{c}`")).alias(h) for c, h in zip(df.columns, heads, strict=True)])
+    return df.toDF(*[c.removeprefix("\ufeff").strip() for c in df.columns])
 
 
 def read_csv_any(spark: SparkSession, path: str, expected: list[str], id_column: str | None = None, least: int | None = None) -> DataFrame:

@@ -75,3 +75,12 @@ def cached(spark: SparkSession, folder: str, conditions: dict, inputs: list[str]
     except AnalysisException:
         write_parquet(build(), target)
         return spark.read.parquet(target)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the storage that the cluster shares (``spark.checkpoint.dir``); a temporary one only where that is unset."""
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="fairgrid-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
