@@ -46,7 +46,7 @@ def keep_last_state(stream: DataFrame, path: str, checkpoint: str, days: int = 4
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        old = _table(spark, path, schema)
+        old = _table(spark, path, schema).drop("day")
         newest = old.agg(F.max("date").alias("top"))
         fresh = batch.crossJoin(F.broadcast(newest)).where(F.col("top").isNull() | (F.col("date") > F.date_sub("top", backfill_days))).drop("top")
         touched = fresh.select("date").distinct()
