@@ -44,6 +44,15 @@ def agg_01_cell_day(spark, sf):
     return observations(spark, sf).groupBy("d", "cell_x", "cell_y", "fuel").agg(F.count("*").alias("n"), half_up(F.sum("price"), 3).alias("total"), F.count(part("A")).alias("n_self"), half_up(F.sum(part("A")), 3).alias("total_self"), F.count(part("N")).alias("n_full"), half_up(F.sum("price") / F.count("price"), 3).alias("mean"))
 
 
+@query(f"with {OBS_SQL} select d, cell_x, cell_y, round(avg(price), 3) mean, round(avg(price) filter (where l_returnflag = 'A'), 3) mean_self from obs group by all")
+def agg_02_merged_means(spark, sf):
+    """AGG-02: partial sums by station, merged by cell; a mean is null where nothing was counted."""
+    part = lambda c, k: F.when(F.col("l_returnflag") == k, c)
+    s = observations(spark, sf).groupBy("d", "station_id", "cell_x", "cell_y").agg(F.sum("price").alias("s"), F.count("price").alias("n"), F.sum(part(F.col("price"), "A")).alias("s_a"), F.count(part(F.col("price"), "A")).alias("n_a"))
+    mean = lambda a, b: half_up(F.sum(a) / F.nullif(F.sum(b), F.lit(0)), 3)
+    return s.groupBy("d", "cell_x", "cell_y").agg(mean("s", "n").alias("mean"), mean("s_a", "n_a").alias("mean_self"))
+
+
 @query(f"with {GRID_SQL} select d, fuel, round(sum(price * n) / sum(n), 3) anchor from grid where price > 0 group by all")
 def agg_03_national_anchor(spark, sf):
     return grid_day(spark, sf).groupBy("d", "fuel").agg(half_up(agg.anchor("price", "n"), 3).alias("anchor"))

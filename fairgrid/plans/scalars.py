@@ -210,3 +210,25 @@ def jsn_01_nested_documents(spark, sf):
 @query("select event_id, try_cast(json_extract_string(props, '$.k') as int) k from events")
 def jsn_02_nested_read(spark, sf):
     return read(spark, sf, "events").select("event_id", F.from_json("props", "k int").getField("k").alias("k"))
+
+
+@query(f"with {STATION_SQL} select station_id from station where 118 + station_id * 0.2 between 120 and 135")
+def flt_03_valid_coordinates(spark, sf):
+    return stations(spark, sf).where(geo.valid_coordinates(118 + F.col("station_id") * 0.2, F.lit(37.0))).select("station_id")
+
+
+@query("select event_type, round(sqrt(avg((value - m) * (value - m))), 4) rmse, round(avg(abs(value - m)), 4) mae from (select event_type, value, avg(value) over (partition by event_type) m from events) group by 1")
+def udf_02_custom_aggregates(spark, sf):
+    """UDF-02: RMSE and MAE as composed columns, without Python."""
+    from fairgrid.operators.aggregates import error_metrics
+
+    e = read(spark, sf, "events")
+    t = e.join(e.groupBy("event_type").agg(F.avg("value").alias("m")), "event_type").groupBy("event_type").agg(*error_metrics("value", "m"))
+    return t.select("event_type", half_up("rmse", 4).alias("rmse"), half_up("mae", 4).alias("mae"))
+
+
+@query(f"with {POLICY_SQL}, r as (select o_custkey, min(cast(o_orderdate as date)) a from orders group by 1) select o_custkey, cast(unnest(generate_series(cast(a as timestamp), a + interval 6 day, interval 1 day)) as date) d from r")
+def udf_03_row_generation(spark, sf):
+    """UDF-03: a row for each of seven days, by sequence and explode."""
+    r = read(spark, sf, "orders").groupBy("o_custkey").agg(F.min(F.to_date("o_orderdate")).alias("a"))
+    return r.select("o_custkey", F.explode(F.sequence("a", F.date_add("a", 6))).alias("d"))

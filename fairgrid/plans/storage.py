@@ -102,6 +102,100 @@ def snk_09_cached_result(spark, sf):
     return sinks.cached(spark, folder, {"by": "year"}, [stored], lambda: 1 / 0)
 
 
+def _as_code_page(t):
+    """Headers and values as the bytes of the Korean code page, to be written byte for byte."""
+    return t.select(*[readers.recode("cp949", "latin-1")(F.col(c).cast("string")).alias(c.encode("cp949").decode("latin-1")) for c in t.columns])
+
+
+@query("select 'A' || s_suppkey station_id, s_name from supplier")
+def src_02_best_decoding(spark, sf):
+    """SRC-02: of several decodings that with the expected headers and ids."""
+    out = sinks.work_folder(spark, "stations")
+    t = read(spark, sf, "supplier").select(F.concat(F.lit("A"), F.col("s_suppkey").cast("string")).alias("번호"), F.col("s_name").alias("상호"))
+    _as_code_page(t).write.option("header", True).option("encoding", "ISO-8859-1").csv(out)
+    return readers.read_csv_any(spark, out, ["번호", "상호"], id_column="번호").toDF("station_id", "s_name")
+
+
+@query("select count(*) n, round(sum(o_totalprice), 2) total from orders")
+def src_03_newest_file(spark, sf):
+    return spark.read.parquet(readers.newest_file(spark, sf, "orders.parquet")).agg(F.count("*").alias("n"), half_up(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query(f"with {DOM_SQL} select d as date, cast(null as double) customs, round(x, 2) transport, cast(n as double) education, 1.0::double driving, 0.5::double import_levy from dom where day(d) = 1")
+def src_04_html_tax_table(spark, sf):
+    """SRC-04: tax changes as an HTML page with a header row and a total column."""
+    out = sinks.work_folder(spark, "tax")
+    cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), cell(F.date_format("d", "yyyy'년'MM'월'dd'일'")), cell(F.lit("-")), cell(F.format_number(half_up("x", 2), 2)), cell(F.col("n").cast("string")), cell(F.lit("<b>1</b>")), cell(F.lit("0.5")), cell(F.lit("total")), F.lit("</tr>"))
+    page = domestic(spark, sf).where("day(d) = 1").select(F.year("d").alias("y"), row.alias("r")).groupBy("y").agg(F.concat(F.lit("<table><tr><th>변동일자</th></tr>"), F.array_join(F.collect_list("r"), ""), F.lit("</table>")).alias("value"))
+    page.repartition("y").write.partitionBy("y").text(out)
+    return readers.read_tax(spark, out)
+
+
+@query(f"with {STATION_SQL} select district as name, count(*) polygons, 4 * count(*) corners from station group by 1")
+def src_07_polygons(spark, sf):
+    """SRC-07: a square for each station as GeoJSON of its region, read into rings."""
+    out = sinks.work_folder(spark, "geo")
+    x, y = F.col("cell_x").cast("double"), F.col("cell_y").cast("double")
+    ring = F.array(F.array(x, y), F.array(x + 500, y), F.array(x + 500, y + 500), F.array(x, y + 500))
+    feature = F.struct(F.struct(F.col("district").alias("name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    pages = stations(spark, sf).groupBy("region").agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))).alias("value"))
+    pages.repartition("region").write.partitionBy("region").text(out)
+    p = readers.read_polygons(spark, out)
+    return p.groupBy("name").agg(F.count("*").alias("polygons"), F.sum(F.size(F.col("rings")[0])).alias("corners"))
+
+
+@query("select l_suppkey, count(*) n, round(sum(l_quantity), 3) q from (select l_suppkey, l_quantity from lineitem) group by 1")
+def src_08_parquet_columns(spark, sf):
+    """SRC-08: all columns but some; the scan still reads two."""
+    t = readers.read_parquet_without(spark, f"{sf}/lineitem.parquet", "l_tax", "l_discount")
+    return t.groupBy("l_suppkey").agg(F.count("*").alias("n"), half_up(F.sum("l_quantity"), 3).alias("q"))
+
+
+@query(f"with {DOM_SQL}, m as (select date_trunc('month', d) m, max(x) x from dom group by 1) select cast(case w when 5 then last_day(m) else m + (7 * w - 1) * interval 1 day end as date) week_end, round(x, 2) gasoline, round(x + w, 2) diesel from m, (values (1), (5)) v(w)")
+def src_10_refinery_weeks(spark, sf):
+    """SRC-10: weekly prices under week labels, each week twice; the later row wins."""
+    out = sinks.work_folder(spark, "refinery")
+    m = domestic(spark, sf).groupBy(F.trunc("d", "MM").alias("m")).agg(F.max("x").alias("x")).select("*", F.explode(F.array(F.lit(1), F.lit(5))).alias("w"), F.explode(F.array(F.lit(0), F.lit(1))).alias("late"))
+    label = F.concat(F.date_format("m", "yy'년'MM'월'"), F.col("w").cast("string"), F.lit("주"))
+    shown = lambda c: F.when(F.col("late") == 1, F.format_number(half_up(c, 2), 2)).otherwise("-")
+    m.orderBy("m", "w", "late").coalesce(1).select(label.alias("구분"), shown(F.col("x")).alias("보통휘발유"), shown(F.col("x") + F.col("w")).alias("자동차용경유")).write.option("header", True).csv(out)
+    return readers.read_refinery_weeks(spark, out)
+
+
+@query("select p_name || p_partkey as name, date '2008-01-01' + cast(p_partkey as int) as start, p_brand fuel, cast(p_size as double) price, round(p_size / 100.0, 4) rate from part where p_partkey % 2 = 0")
+def src_11_policy_table(spark, sf):
+    out = sinks.work_folder(spark, "policy")
+    start = F.date_format(F.date_add(F.lit("2008-01-01").cast("date"), F.col("p_partkey").cast("int")), "yyyy-MM-dd")
+    t = read(spark, sf, "part").select(F.concat("p_name", F.col("p_partkey").cast("string")).alias("정책명"), F.when(F.col("p_partkey") % 2 == 0, start).alias("시작일"), F.lit(None).cast("string").alias("종료일"), F.col("p_brand").alias("유종"), F.concat(F.lit("-"), F.col("p_size").cast("string")).alias("가격"), F.lit("0").alias("카테고리"))
+    t.write.option("header", True).csv(out)
+    return readers.read_policies(spark, out).select("name", "start", "fuel", (-F.col("price")).alias("price"), half_up("rate", 4).alias("rate"))
+
+
+@query(f"with {STATION_SQL} select s_name as name, district address, 126.0 + station_id / 100.0 lon, 35.0::double lat from station")
+def src_12_facilities(spark, sf):
+    """SRC-12: facility headers in another spelling, ids by file order."""
+    out = sinks.work_folder(spark, "facilities")
+    t = stations(spark, sf).select(F.lit("항만").alias("구분"), F.col("s_name").alias("Name"), F.col("district").alias("주소"), (126.0 + F.col("station_id") / 100).cast("string").alias("LON"), F.lit("35.0").alias("위도"))
+    t.write.option("header", True).csv(out)
+    f = readers.read_facilities(spark, out)
+    return f.where(F.col("facility_id").rlike("^F[0-9]{6,}$")).select("name", "address", "lon", "lat")
+
+
+@query(f"with {DOM_SQL} select d, round(x, 3) x from dom")
+def snk_01_parquet(spark, sf):
+    out = sinks.work_folder(spark, "parquet")
+    sinks.write_parquet(rounded(domestic(spark, sf).select("d", "x")), out)
+    return spark.read.parquet(out)
+
+
+@query(f"with {DOM_SQL} select d, round(x, 3) x from dom")
+def snk_03_csv(spark, sf):
+    out = sinks.work_folder(spark, "csv")
+    sinks.write_csv(rounded(domestic(spark, sf).select("d", "x")), out)
+    return spark.read.schema("d date, x double").option("header", True).csv(out)
+
+
 def _events(spark, sf):
     """The events file as a stream, a price row for each event."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
@@ -145,6 +239,16 @@ def stm_02_rolling_state(spark, sf):
     return rounded(_state(spark, sf).drop("seq"))
 
 
+@query(f"with {_LAST_SQL} select date, count(*) n from l group by 1")
+def stm_01_incremental_ingest(spark, sf):
+    """STM-01, STM-03: the same file delivered again adds no date and no key, so its batch changes nothing."""
+    s = _events(spark, sf).select(F.to_date("ts").alias("date"), "grid_id", "price", "seq")
+    out = sinks.work_folder(spark, "state")
+    for delivery in ("first", "second"):
+        jobs.keep_last_state(s, out, sinks.work_folder(spark, f"{delivery}-offsets")).awaitTermination()
+    return spark.read.parquet(out).groupBy("date").agg(F.count("*").alias("n"))
+
+
 @query(f"""with {_LAST_SQL}, s as (select * from l where date > (select max(date) from l) - 14), c as (select date, count(*) n from s group by 1), m as (select quantile_cont(n, 0.5) med from (select n from c order by date desc limit 14)), d as (select max(date) as top from c, m where n >= 0.8 * med)
 select date + 1 as date, grid_id, round(price, 3) prediction from s, d where date = top""")
 def stm_05_next_day(spark, sf):
