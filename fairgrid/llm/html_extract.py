@@ -15,6 +15,8 @@ from .common import cut, plus
 
 #: A branch of a site's style tree is noise if so many pages have it and its importance stays below this share of the most possible.
 MIN_PAGES, MIN_IMPORTANCE = 5, 0.2
+#: Noise paths of all sites, in characters, up to which they are broadcast; beyond that pages meet them in a join that AQE can split.
+BROADCAST_CHARS = 16_000_000
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -29,7 +31,7 @@ DROPPED = set("head script style noscript template nav footer aside form iframe
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 DROPPED_NAMES = set(
     "ad ads adbox adslot adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside footer masthead topbar"
-    " cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup login popup modal overlay comment comments disqus discussion replies reply respond related recommended share sharing social"
+    " cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup login popup modal overlay comment comments commentlist commentbox announcement sidenav topnav subnav disqus discussion replies reply respond related recommended share sharing social"
     " pagination pager toolbar widget widgets copyright legal skip search form toc outbrain taboola".split()
 )
 CONTRARY = {"has", "with", "no", "without"}
@@ -238,6 +240,9 @@ def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_importan
     pages = pages.drop("text")
     weak = style_tree(pages, min_pages).where((F.col("importance") < min_importance) & ~F.regexp_extract("path", r"/(html|body|main|article)(\.[^/]*)?$", 1).isin("html", "body", "main", "article"))
     noise = cut(weak.groupBy(F.col("host").alias("__host")).agg(F.collect_list("path").alias("__noise")))
+    size = noise.agg(F.sum(F.char_length("__host") + F.char_length(F.array_join("__noise", "")))).first()[0] or 0
+    if size <= BROADCAST_CHARS:
+        noise = F.broadcast(noise)
     schema, n = plus(pages.schema, text="string"), len(pages.columns)
     at = pages.columns.index("html")
 

@@ -99,7 +99,9 @@ def test_extract_one_page():
     assert html_extract.extract('<p title="a>b">q</p><script>x</script') == "q"
 
 
-def test_style_tree_drops_what_a_site_repeats(spark):
+@pytest.mark.parametrize("bound", [10**6, -1])
+def test_style_tree_drops_what_a_site_repeats(spark, monkeypatch, bound):
+    monkeypatch.setattr(html_extract, "BROADCAST_CHARS", bound)
     page = "<html><body><div class=strip>Read our other sites</div><div class=story><p>{}</p></div></body></html>"
     rows = [(i, f"http://Host.example/{i}", page.format(words(20, i))) for i in range(12)]
     rows += [(50, None, None), (51, "bad url", ""), (52, "http://[x", "<p>y</p>"), (53, "http://other.example/", page.format("once only"))]
