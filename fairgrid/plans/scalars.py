@@ -103,10 +103,10 @@ def str_03_self_service(spark, sf):
     return observations(spark, sf).select("fuel", text.self_class(flag).alias("service")).groupBy("fuel", "service").agg(F.count("*").alias("n"))
 
 
-@query("select p_partkey, case when p_size % 2 = 0 then [p_name || ' (old) - 변경 1', p_name || ' - 변경 1', p_name] else [p_name] end variants from part")
+@query("select p_partkey, case when p_size % 2 = 0 then p_name || ' (old) - 변경 1|' || p_name || ' - 변경 1|' || p_name else p_name end variants from part")
 def str_04_address_variants(spark, sf):
     raw = F.when(F.col("p_size") % 2 == 0, F.concat("p_name", F.lit(" (old) - 변경 1"))).otherwise(F.col("p_name"))
-    return read(spark, sf, "part").select("p_partkey", text.address_variants(raw).alias("variants"))
+    return read(spark, sf, "part").select("p_partkey", F.array_join(text.address_variants(raw), "|").alias("variants"))
 
 
 @query("select n_nationkey, case n_nationkey % 3 when 0 then '강원' when 1 then '전북' else n_name end region from nation")
@@ -194,10 +194,10 @@ def geo_01_metre_grid(spark, sf):
 
 
 @query("""with t as (select o_custkey, list_sort(list_distinct(list(cast(o_orderdate as date)))) as days, list_sort(list_distinct(list(o_orderpriority))) priorities from orders group by 1)
-select o_custkey, len(days) n_days, days[1] first_day, priorities from t""")
+select o_custkey, len(days) n_days, days[1] first_day, array_to_string(priorities, '|') priorities from t""")
 def arr_01_sorted_sets(spark, sf):
     t = read(spark, sf, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_set(F.to_date("o_orderdate"))).alias("days"), F.array_sort(F.collect_set("o_orderpriority")).alias("priorities"))
-    return t.select("o_custkey", F.size("days").cast("long").alias("n_days"), F.element_at("days", 1).alias("first_day"), "priorities")
+    return t.select("o_custkey", F.size("days").cast("long").alias("n_days"), F.element_at("days", 1).alias("first_day"), F.array_join("priorities", "|").alias("priorities"))
 
 
 @query("""select r_name region, '{"region":"' || r_name || '","districts":' || count(*) || ',"names":[' || string_agg('"' || n_name || '"', ',' order by n_name) || ']}' doc from nation join region on n_regionkey = r_regionkey group by r_name""")
