@@ -232,3 +232,10 @@ def udf_03_row_generation(spark, sf):
     """UDF-03: a row for each of seven days, by sequence and explode."""
     r = read(spark, sf, "orders").groupBy("o_custkey").agg(F.min(F.to_date("o_orderdate")).alias("a"))
     return r.select("o_custkey", F.explode(F.sequence("a", F.date_add("a", 6))).alias("d"))
+
+
+@query("select p_partkey, case p_size % 2 when 0 then 'NH-OIL' else 'SK에너지' end brand, case p_size % 3 when 0 then 'self' when 1 then 'full' else 'unknown' end service, date '2026-06-01' + (p_size % 28)::int as day from part")
+def udf_01_mapped_values(spark, sf):
+    """UDF-01: brand, service and date of each value by column functions, without Python."""
+    t = read(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 2 == 0, " nh ").otherwise("에스케이").alias("b"), F.when(F.col("p_size") % 3 == 0, "셀프").when(F.col("p_size") % 3 == 1, "N").alias("s"), F.format_string("26년06월%02d일", F.col("p_size") % 28 + 1).alias("d"))
+    return t.select("p_partkey", text.brand_class(F.col("b")).alias("brand"), text.self_class(F.col("s")).alias("service"), dates.parse_date(F.col("d")).alias("day"))

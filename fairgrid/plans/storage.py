@@ -107,6 +107,15 @@ def _as_code_page(t):
     return t.select(*[readers.recode("cp949", "latin-1")(F.col(c).cast("string")).alias(c.encode("cp949").decode("latin-1")) for c in t.columns])
 
 
+@query(f"with {DOM_SQL} select d as date, round(x, 2) gasoline, case when n > 6 then null else round(x / 2, 2) end diesel from dom")
+def src_09_dataset_reader(spark, sf):
+    """SRC-09: the retail averages by their header map; a dash is missing, a row without a date goes."""
+    out = sinks.work_folder(spark, "retail")
+    t = domestic(spark, sf).select(F.date_format("d", "yyyy'년'MM'월'dd'일'").alias("구분"), F.format_number(half_up("x", 2), 2).alias("보통휘발유"), F.when(F.col("n") > 6, "-").otherwise(F.format_number(half_up(F.col("x") / 2, 2), 2)).alias("자동차용경유"))
+    t.union(t.limit(1).withColumn("구분", F.lit("합계"))).write.option("header", True).csv(out)
+    return rounded(readers.read_dataset(spark, out, "retail_avg"), 2)
+
+
 @query("select 'A' || s_suppkey station_id, s_name from supplier")
 def src_02_best_decoding(spark, sf):
     """SRC-02: of several decodings that with the expected headers and ids."""
@@ -249,6 +258,16 @@ def stm_01_incremental_ingest(spark, sf):
     return spark.read.parquet(out).groupBy("date").agg(F.count("*").alias("n"))
 
 
+@query(f"with {_LAST_SQL} select date, grid_id, round(price, 3) price from l")
+def stm_03_skip_without_gain(spark, sf):
+    """STM-03: a later delivery that only changes values of known keys is skipped where gain is asked for."""
+    s = _events(spark, sf).select(F.to_date("ts").alias("date"), "grid_id", "price", "seq")
+    out = sinks.work_folder(spark, "state")
+    jobs.keep_last_state(s, out, sinks.work_folder(spark, "first-offsets")).awaitTermination()
+    jobs.keep_last_state(s.withColumn("price", F.col("price") + 1).withColumn("seq", F.col("seq") + 1_000_000_000), out, sinks.work_folder(spark, "second-offsets")).awaitTermination()
+    return rounded(spark.read.parquet(out).select("date", "grid_id", "price"))
+
+
 @query(f"""with {_LAST_SQL}, s as (select * from l where date > (select max(date) from l) - 14), c as (select date, count(*) n from s group by 1), m as (select quantile_cont(n, 0.5) med from (select n from c order by date desc limit 14)), d as (select max(date) as top from c, m where n >= 0.8 * med)
 select date + 1 as date, grid_id, round(price, 3) prediction from s, d where date = top""")
 def stm_05_next_day(spark, sf):
