@@ -39,7 +39,7 @@ class CachedTokenizer(dict):
     chunks met so far, beside one of words; both are bounded.
     """
 
-    CHUNKS, WORDS = 1_000_000, 1_000_000
+    CHUNKS, WORDS = 600_000, 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
