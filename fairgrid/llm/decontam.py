@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import WordHashes, chain, cut, utf8
 
 WINDOW = 10
-#: A block of benchmark text that is broadcast at once, in characters.
-BLOCK_CHARS = 32_000_000
+#: A block of benchmark text that is broadcast at once, in characters: some 100 MB of windows.
+BLOCK_CHARS = 2_000_000
 
 #: Bytes that are no part of a word become spaces, A-Z become a-z; digits, letters and all beyond ASCII stay.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -56,6 +57,16 @@ class WindowIndex:
         return hit, found
 
 
+def _blocks(benchmark: DataFrame, window: int, block_chars: int) -> Iterator[WindowIndex]:
+    """The benchmark's windows in blocks of about ``block_chars`` characters; its size is summed first."""
+    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+    total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    n_blocks = max(1, -(-total // block_chars))
+    for block in range(n_blocks):
+        part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
+        yield WindowIndex([tuple(r) for r in part.toLocalIterator()], window)
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, n_words, hit_spans, item_ids) of each row of ``docs``: where windows of ``benchmark`` occur.
 
@@ -69,9 +80,6 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     words are no windows. Repeated rows stay rows of their own (a row number of the
     scan keeps them apart when blocks are merged). Empty tables are fine.
     """
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
-    total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-total // block_chars))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "row long, doc_id long, n_words long, hit_spans array<struct<first:long,end:long>>, item_ids array<string>"
     spans_type = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
@@ -92,13 +100,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
         return run
 
-    found = None
-    for block in range(n_blocks):
-        part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        index = WindowIndex([tuple(r) for r in part.toLocalIterator()], window)
-        out = rows.mapInArrow(scanner(docs.sparkSession.sparkContext.broadcast(index)), schema)
-        found = out if found is None else found.unionByName(out)
-    if n_blocks > 1:
+    parts = [rows.mapInArrow(scanner(docs.sparkSession.sparkContext.broadcast(index)), schema) for index in _blocks(benchmark, window, block_chars)]
+    found = parts[0]
+    if len(parts) > 1:
+        found = reduce(DataFrame.unionByName, parts)
         merged = cut(found).groupBy("row", "doc_id", "n_words").agg(F.array_sort(F.flatten(F.collect_list("hit_spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
         joined = F.expr(
             "aggregate(s, cast(array() as array<struct<first:bigint,end:bigint>>), (a, x) -> if(size(a) > 0 and x.first <= a[size(a) - 1].end,"
@@ -112,13 +117,26 @@ def sha256_of_ids(ids):
     return F.sha2(F.array_join(ids, ","), 256)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents in which a benchmark window occurs; the others and all columns stay as they are.
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` without the rows in which a benchmark window occurs; the others and all columns stay as they are.
 
-    Rows of one doc_id go together; rows with a null doc_id are judged by their text like others.
+    Rows are judged where they lie, by one block of the benchmark after the other, so nothing is
+    shuffled. Null and empty texts, null ids and repeated rows are judged by their text like others.
     """
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
-    hits = benchmark_hits(keyed.select(F.col("__key").alias("doc_id"), "text"), benchmark, window)
-    bad = hits.where("size(hit_spans) > 0").select(F.col("doc_id").alias("__key")).distinct()
-    return keyed.join(bad, "__key", "left_anti").drop("__key")
+    at = docs.columns.index("text")
+
+    def clean(index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            windows, hashes = index.value, WordHashes()
+            for batch in batches:
+                keep = []
+                for text in batch.column(at):
+                    words = words_of(text.as_py())
+                    keep.append(not windows.scan(words, hashes.of(words))[1])
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        return run
 
+    for index in _blocks(benchmark, window, block_chars):
+        docs = docs.mapInArrow(clean(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
+    return docs

@@ -210,7 +210,8 @@ def test_hits_equal_brute_force(spark, block_chars):
 def test_drop_contaminated(spark):
     bench = spark.createDataFrame([(1, words(25, 5))], "item_id long, text string")
     docs = docs_of(spark, [words(50, 9), words(25, 5), None, ""])
-    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()) == [0, 2, 3]
+    for chars in (10**9, 10):
+        assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, bench.union(bench.selectExpr("2", "'no such words'")), block_chars=chars).collect()) == [0, 2, 3]
     assert decontam.drop_contaminated(docs.limit(0), bench.limit(0)).count() == 0
 
 
