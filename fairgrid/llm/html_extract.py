@@ -15,6 +15,8 @@ from .common import cut, plus
 
 #: A branch of a site's style tree is noise if so many pages have it and its importance stays below this share of the most possible.
 MIN_PAGES, MIN_IMPORTANCE = 5, 0.2
+#: Number of pages at which the most possible importance of a branch inside an article or main stops growing: a heading of a few wordings does not become noise as its site grows.
+INNER_PAGES = 100
 #: Noise paths of all sites, in characters, up to which they are broadcast; beyond that pages meet them in a join that AQE can split.
 BROADCAST_CHARS = 16_000_000
 
@@ -50,13 +52,15 @@ class Page:
 
     def __init__(self, html: str, noise: frozenset | set = frozenset(), by_name: bool = True, tree: bool = False):
         self.noise, self.by_name, self.tree = noise, by_name, tree
-        #: tag, path, dropped, number of the outermost article, inside main, inside a link
-        self.stack: list[tuple] = [("", "", False, 0, False, False)]
+        #: tag, path, dropped, number of the outermost article, inside main, inside a link, path of that article or else main
+        self.stack: list[tuple] = [("", "", False, 0, False, False, "")]
         self.blocks: list[tuple[str, int, bool, int]] = []
         self.parts: list[str] = []
         self.linked = self.articles = 0
         self.shapes: dict[str, list[str]] = {}
         self.texts: dict[str, xxhash.xxh64] = {}
+        #: style path -> path of the article or main around it
+        self.inner: dict[str, str] = {}
         self._read(html)
 
     def _flush(self) -> None:
@@ -105,7 +109,7 @@ class Page:
                 self._pop(hit)
         if tag in BLOCK:
             self._flush()
-        _, path, dropped, article, main, link = self.stack[-1]
+        _, path, dropped, article, main, link, root = self.stack[-1]
         names = role = ""
         hidden = False
         if attributes and ("=" in attributes or "hidden" in attributes):
@@ -122,6 +126,8 @@ class Page:
             self.shapes.setdefault(self.stack[-1][1], []).append(style)
             if path not in self.texts:
                 self.texts[path] = xxhash.xxh64()
+            if root:
+                self.inner[path] = root
         if tag in VOID:
             return
         dropped = dropped or tag in DROPPED or hidden or role in DROPPED_ROLES or path in self.noise
@@ -131,8 +137,10 @@ class Page:
             dropped = True
         if tag == "article" and not article and not dropped:
             self.articles += 1
-            article = self.articles
-        self.stack.append((tag, path, dropped, article, main or tag == "main" or role == "main", link or tag == "a"))
+            article, root = self.articles, path
+        if not root and (tag == "main" or role == "main"):
+            root = path
+        self.stack.append((tag, path, dropped, article, main or tag == "main" or role == "main", link or tag == "a", root))
 
     def _close(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
@@ -195,35 +203,56 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url.cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+def _units(html: str) -> Iterator[tuple[bytes, bool, list, list, list]]:
+    """Digest, whether inside an article or main, and style paths with the hashes of their shapes and texts: the
+    page without its articles and main by all its html, each of these by its own branches."""
+    page, groups = Page(html, tree=True), {}
+    for path, text in page.texts.items():
+        shape = xxhash.xxh64_intdigest("|".join(page.shapes.get(path, ())).encode("utf-8", "replace"))
+        groups.setdefault(page.inner.get(path, ""), []).append((path, shape - (1 << 63), text.intdigest() - (1 << 63)))
+    for root, nodes in groups.items():
+        data = repr((root, nodes)) if root else html
+        yield xxhash.xxh3_128_digest(data.encode("utf-8", "replace")), bool(root), *map(list, zip(*nodes, strict=True))
+
+
 def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, path, pages, importance) of every branch of each site's style tree that ``min_pages`` pages have.
+    """(host, path, pages, importance) of every branch of each site's style tree that ``min_pages`` distinct pages have.
 
     Pages of a host are merged by style path (tags with their first class or id). Presentation
     is the sequence of child styles, content the text below the node. A node's
     importance is the larger of the two entropies over the pages that have it,
-    by the logarithm of their number: 0 if all agree, 1 if all differ. Counts
-    are combined before each shuffle, so a host with a third of all pages is no hot key.
+    by the logarithm of their number: 0 if all agree, 1 if all differ. Copies count once:
+    a page by its html, the branches inside an article or main by that element's own branches, so that
+    copies under changing menus are copies as well. There the logarithm stops at INNER_PAGES. A task
+    hands on a copy once, and counts are combined before each shuffle, so neither a copied page nor a host with a third of all pages is a hot key.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[tuple[str, bytes]] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part, out = batch.slice(at, 256), {}
+                part, rows = batch.slice(at, 256), []
                 for host, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    page = Page(html or "", tree=True)
-                    for path, text in page.texts.items():
-                        shape = xxhash.xxh64_intdigest("|".join(page.shapes.get(path, ())).encode("utf-8", "replace"))
-                        for kind, h in ((0, shape), (1, text.intdigest())):
-                            key = (host, path, kind, h - (1 << 63))
-                            out[key] = out.get(key, 0) + 1
-                cols = list(zip(*out, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)), pa.array(out.values(), pa.int64())], ["host", "path", "kind", "hash", "n"])
-
-    seen = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(run, "host string, path string, kind int, hash long, n long")
-    counts = seen.groupBy("host", "path", "kind", "hash").agg(F.sum("n").alias("n"))
-    kinds = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s")).where(F.col("pages") >= min_pages)
-    entropy = (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")
-    return kinds.groupBy("host", "path").agg(F.max("pages").alias("pages"), F.max(entropy).alias("importance"))
+                    copy = (host, xxhash.xxh3_128_digest((html or "").encode("utf-8", "replace")))
+                    if copy in known:
+                        continue
+                    known.add(copy)
+                    for unit, inner, *nodes in _units(html or ""):
+                        if not inner or (host, unit) not in known:
+                            known.add((host, unit))
+                            rows.append((host, unit, inner, *nodes))
+                cols = list(zip(*rows, strict=True)) or [()] * 6
+                types = (pa.string(), pa.binary(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["host", "unit", "inner", "paths", "shapes", "texts"])
+
+    seen = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(run, "host string, unit binary, inner boolean, paths array<string>, shapes array<long>, texts array<long>")
+    units = seen.groupBy("host", "unit", "inner").agg(F.first(F.struct("paths", "shapes", "texts")).alias("u"))
+    nodes = units.select("host", "inner", F.explode(F.arrays_zip("u.paths", "u.shapes", "u.texts")).alias("v"))
+    counts = nodes.select("host", "inner", F.col("v.paths").alias("path"), F.posexplode(F.array("v.shapes", "v.texts")).alias("kind", "hash")).groupBy("host", "path", "kind", "hash").agg(F.count("*").alias("n"), F.max("inner").alias("inner"))
+    kinds = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), F.max("inner").alias("inner")).where(F.col("pages") >= min_pages)
+    most = F.when(F.col("inner"), F.least("pages", F.lit(INNER_PAGES))).otherwise(F.col("pages"))
+    importance = F.least((F.log("pages") - F.col("s") / F.col("pages")) / F.log(most), F.lit(1.0))
+    return kinds.groupBy("host", "path").agg(F.max("pages").alias("pages"), F.max(importance).alias("importance"))
 
 
 def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
@@ -235,7 +264,7 @@ def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_importan
     are decoded, white space inside a block becomes one space.
 
     Null or empty html gives empty text; null and bad urls are one site without
-    name. Repeated rows are pages like others. An incoming ``text`` is replaced. Empty in, empty out.
+    name. Copies of a page count once in the tree and each get their text. An incoming ``text`` is replaced. Empty in, empty out.
     """
     pages = pages.drop("text")
     weak = style_tree(pages, min_pages).where((F.col("importance") < min_importance) & ~F.regexp_extract("path", r"/(html|body|main|article)(\.[^/]*)?$", 1).isin("html", "body", "main", "article"))

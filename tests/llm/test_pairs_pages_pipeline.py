@@ -114,6 +114,25 @@ def test_style_tree_drops_what_a_site_repeats(spark, monkeypatch, bound):
     assert html_extract.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_do_not_erase_its_text(spark):
+    page = "<html><body><div class=strip>{}</div><article><h1>{}</h1><h2>{}</h2><p>{}</p><div class=plug>Written for you</div></article></body></html>"
+    equal = [("equal", page.format("same", "Title", "Part", "One text"))] * 8
+    mixed = [("mixed", page.format("same", "Copied", "Part", "One text"))] * 85 + [("mixed", page.format("same", f"T{i}", f"H{i}", words(20, i))) for i in range(15)]
+    menus = [("menus", page.format(f"menu {i}", "Copied", "Part", "One text")) for i in range(40)] + [("menus", page.format("menu", f"T{i}", f"H{i}", words(20, i))) for i in range(4)]
+    large = [("large", page.format("same", f"T{i}", f"H{i % 3}", words(20, i))) for i in range(300)]
+    rows = [(i, f"http://{host}.example/{i}", html) for i, (host, html) in enumerate([*equal, *mixed, *menus, *large])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    out = [r.text for r in html_extract.extract_main_text(pages).orderBy("page_id").collect()]
+    assert set(out[:8]) == {"Title\nPart\nOne text\nWritten for you"}
+    assert set(out[8:93]) == {"Copied\nPart\nOne text"}
+    assert out[93:108] == [f"T{i}\nH{i}\n{words(20, i)}" for i in range(15)]
+    assert set(out[108:148]) == {"Copied\nPart\nOne text"}
+    assert out[148:152] == [f"T{i}\nH{i}\n{words(20, i)}" for i in range(4)]
+    assert out[152:] == [f"T{i}\nH{i % 3}\n{words(20, i)}" for i in range(300)]
+    counted = {(r.host, r.path): r.pages for r in html_extract.style_tree(pages, 2).collect()}
+    assert counted["mixed.example", "/html/body"] == 16 and counted["menus.example", "/html/body/article/p"] == 5 and ("equal.example", "/html/body") not in counted
+
+
 def test_warc_round_trip(spark):
     same, other = "<p>" + "s" * 2000 + "é</p>", "o" * 1500
     rows = [(1, "http://www.a.example/x?q=1", same), (2, "http://a.example/x?q=1", same), (9, "https://b.a.example:8080/", same), (3, None, None), (4, "", ""), (5, "http://[bad", "tiny"), (6, "http://c/", "tiny"), (7, "line\nfeed: x", other), (7, "line\nfeed: x", other), (None, "http://n/", same)]
