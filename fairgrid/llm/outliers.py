@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,15 +47,20 @@ def text_counts(text: str | None, hashes: WordHashes) -> tuple[int, ...]:
 
 
 def count_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and COUNTS of each row of ``docs``."""
+    """doc_id, lang, source, COUNTS and a digest of the text of each row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            counts = np.array([text_counts(t.as_py(), hashes) for t in batch.column(3)], np.int64).reshape(-1, 6)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(counts[:, i]) for i in range(6))], ["doc_id", "lang", "source", *COUNTS])
+            counts, digests = [], []
+            for t in batch.column(3):
+                text = t.as_py()
+                counts.append(text_counts(text, hashes))
+                digests.append(xxhash.xxh3_128_digest(utf8(text or "")))
+            counts = np.array(counts, np.int64).reshape(-1, 6)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(counts[:, i]) for i in range(6)), pa.array(digests, pa.binary())], ["doc_id", "lang", "source", *COUNTS, "digest"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS) + ", digest binary")
 
 
 def chi2_cdf(x: float, df: int) -> float:
@@ -145,12 +151,13 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -
     Five transformed statistics (log words, log characters a word, log symbol
     rate, shares of repeated lines and words) are held against the robust shape of the
     row's language and source; rows beyond the chi-square ``cutoff`` go. Groups
-    with fewer than ``min_group`` rows are pooled by language, then all
+    with fewer than ``min_group`` distinct texts are pooled by language, then all
     together; where even those are too few, only the base rules judge. Shapes are learnt from
-    rows that pass the base rules; all rows get counts.
+    the distinct texts of each group that pass the base rules, so that exact copies do not narrow
+    them (near copies are texts of their own); all rows get counts and are judged.
 
     Null text has no words and fails the base rules; null languages and sources
-    are groups of their own; repeated rows count as often as they occur. An empty table stays empty.
+    are groups of their own; repeated rows are each judged. An empty table stays empty.
     """
     rate = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     rows = count_texts(docs).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
@@ -160,14 +167,18 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -
     })
     name = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
     rows = cut(rows.withColumn("full", F.concat_ws("\x01", name(F.col("lang")), name(F.col("source")))).withColumn("wide", name(F.col("lang"))).drop("lang", "source"))
-    learn = rows.where("not base_failed")
-    sizes = learn.groupBy("full", "wide").count()
-    small = sizes.where(F.col("count") < min_group)
-    pooled = small.groupBy("wide").agg(F.sum("count").alias("n"))
+    xs = [f"x{i}" for i in range(DIM)]
+    once = lambda t, *keys: t.groupBy(*keys, "digest").agg(*(F.first(x).alias(x) for x in xs))
+    texts = cut(once(rows.where("not base_failed"), "full", "wide"))
+    sizes = texts.groupBy("full", "wide").count()
+    small = sizes.where(F.col("count") < min_group).select("full")
+    pooled = texts.join(small, "full", "left_semi").select("wide", "digest").distinct().groupBy("wide").agg(F.count("*").alias("n"))
     group = sizes.join(pooled, "wide", "left").select("full", F.when(F.col("count") >= min_group, F.concat(F.lit("s"), F.col("full"))).when(F.col("n") >= min_group, F.concat(F.lit("l"), F.col("wide"))).otherwise(F.lit("a")).alias("grp"))
-    grouped = cut(rows.join(cut(group), "full", "left").drop("full", "wide"))
-    enough = grouped.where("not base_failed and grp is not null").groupBy("grp").count().where(F.col("count") >= min_group).select("grp")
-    shapes = robust_shapes(grouped.where("not base_failed").join(cut(enough), "grp", "left_semi").select("grp", *(f"x{i}" for i in range(DIM))))
+    group = cut(group)
+    grouped = rows.join(group, "full", "left").drop("full", "wide", "digest")
+    learn = cut(once(texts.join(group, "full"), "grp").drop("digest"))
+    enough = learn.groupBy("grp").count().where(F.col("count") >= min_group).select("grp")
+    shapes = robust_shapes(learn.join(cut(enough), "grp", "left_semi").select("grp", *xs))
     bound = chi2_quantile(cutoff, DIM)
     judged = grouped.join(shapes, "grp", "left").withColumn("distance", F.when(F.col("c0").isNotNull(), F.sqrt(F.greatest(_distance(), F.lit(0.0)))))
     return judged.select("doc_id", *COUNTS, "base_failed", "distance", (~F.col("base_failed") & F.coalesce(F.col("distance") <= math.sqrt(bound), F.lit(True))).alias("kept"))

@@ -173,6 +173,18 @@ def test_outliers_reject_odd_rows_only(spark):
     assert outliers.judge(docs.limit(0)).count() == 0
 
 
+def test_copies_of_a_text_do_not_reject_others(spark):
+    clean = [words(round(60 * 30 ** (i / 59)), i) for i in range(60)]
+    odd = [" ".join(f"{w}#$%" for w in words(100, 900 + i).split()) for i in range(2)]
+    few = [words(80, 500 + i) for i in range(3)]
+    one, other = (spark.createDataFrame([(start + i, t, lang, "web") for i, t in enumerate(ts)], "doc_id long, text string, lang string, source string") for start, lang, ts in ((0, "en", [*clean, *odd, *[words(90, 7000)] * 248]), (1000, "de", [*[few[0]] * 60, *few])))
+    out = {r.doc_id: r for r in outliers.judge(one.unionByName(other)).collect()}
+    assert len(out) == 373
+    assert all(out[i].kept for i in [*range(60), *range(62, 310)]) and not any(out[i].kept for i in (60, 61))
+    assert all(out[1000 + i].kept for i in range(63))
+    assert out[1000].distance is None
+
+
 def test_chi_square():
     assert abs(outliers.chi2_cdf(11.070497693516351, 5) - 0.95) < 1e-9
     assert abs(outliers.chi2_quantile(0.95, 5) - 11.070497693516351) < 1e-6
