@@ -80,6 +80,29 @@ def test_islands_and_neighbours(spark):
     assert got == [(0, 1, True), (3, 4, False), (5, 5, True)]
 
 
+def test_mainland_query_covers_all_station_cells(spark, tmp_path):
+    from fairgrid.plans import registry
+
+    ids = [*range(1, 30), *range(60, 64), 95]
+    spark.createDataFrame([(i, str(i), 0, 1.0) for i in ids], "s_suppkey long, s_name string, s_nationkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(0, "n", 0)], "n_nationkey long, n_name string, n_regionkey long").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(0, "r")], "r_regionkey long, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    left, parts = {(i % 10, i // 10) for i in ids}, []
+    while left:
+        todo, part = [left.pop()], set()
+        while todo:
+            x, y = todo.pop()
+            part.add((x * 500, y * 500))
+            near = {(x + i, y + j) for i in (-1, 0, 1) for j in (-1, 0, 1)} & left
+            left -= near
+            todo += near
+        parts.append(frozenset(part))
+    rows = registry.QUERIES["geo_04_mainland_cells"](spark, str(tmp_path)).collect()
+    got = {c: frozenset((r.cell_x, r.cell_y) for r in rows if r.component == c) for c in {r.component for r in rows}}
+    assert set(got.values()) == set(parts) and len(rows) == len(ids)
+    assert {(r.cell_x, r.cell_y) for r in rows if r.mainland} == max(parts, key=len)
+
+
 def test_change_history(spark):
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate(["x", "x", None, None, "y", "x"])], "k string, d int, v string")
     assert [(r.d, r.v, r.valid_to) for r in frames.change_history(df, ["k"], "d", "v").orderBy("d").collect()] == [(0, "x", 2), (2, None, 4), (4, "y", 5), (5, "x", None)]
