@@ -103,6 +103,17 @@ def test_mainland_query_covers_all_station_cells(spark, tmp_path):
     assert {(r.cell_x, r.cell_y) for r in rows if r.mainland} == max(parts, key=len)
 
 
+def test_training_frame_keeps_all_rows_below_the_cap(spark, tmp_path, monkeypatch):
+    from fairgrid.plans import models as plans
+
+    row = ("date_add(date'1992-01-01', cast(id div 10 as int)) l_shipdate", "id % 10 l_suppkey", "100D + id % 7 l_extendedprice", "2D l_quantity", "'F' l_linestatus", "id l_partkey", "'N' l_returnflag", "id l_orderkey", "1 l_linenumber")
+    spark.range(21_000).selectExpr(*row).write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = plans.ml_14_training_frame(spark, str(tmp_path))
+    assert out.count() == out.select("station_id", "d").distinct().count() == 21_000 - 10 * 5
+    monkeypatch.setattr(plans, "_MAX_FINAL_ROWS", 700)
+    assert plans.ml_14_training_frame(spark, str(tmp_path)).count() == 700
+
+
 def test_change_history(spark):
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate(["x", "x", None, None, "y", "x"])], "k string, d int, v string")
     assert [(r.d, r.v, r.valid_to) for r in frames.change_history(df, ["k"], "d", "v").orderBy("d").collect()] == [(0, "x", 2), (2, None, 4), (4, "y", 5), (5, "x", None)]
