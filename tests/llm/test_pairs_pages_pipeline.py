@@ -65,12 +65,39 @@ def test_large_buckets_are_cut_into_blocks(spark, monkeypatch):
     assert [out[i] for i in range(len(texts))] == part
 
 
+def test_planted_links_pass_bands_and_estimate():
+    r = np.random.default_rng(8)
+    missed = met = 0
+    for size in (20, 90, 400):
+        for _ in range(150):
+            a = np.unique(r.integers(0, 2**63, size).astype(np.uint64))
+            cut = len(a) // 9  # shared 8 of 9, so the similarity is 8 / 10
+            b = np.concatenate([a[cut:], r.integers(0, 2**63, cut).astype(np.uint64)])
+            low = (setsketch.registers([a, b]) & 255).astype(np.uint8)
+            n = np.array([float(len(a))])
+            bands = low.reshape(2, setsketch.BANDS, setsketch.ROWS)
+            met += 1
+            missed += not (bands[0] == bands[1]).all(1).any() or not setsketch.not_ruled_out(n, n, low[:1], low[1:])[0]
+    assert met == 450 and missed == 0
+
+
+def test_ids_with_several_texts_have_the_links_of_each(spark):
+    one, two, other = words(60, 1), words(60, 2), words(60, 3)
+    rows = [(5, one), (5, two), (5, two), (1, one), (9, two), (9, two), (7, other), (8, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("part", F.lit("clash")).withColumn("leader", F.lit(0))
+    out = {(r.doc_id, r.component_id) for r in setsketch.near_duplicate_groups(docs).collect()}
+    assert out == {(5, 1), (1, 1), (9, 1), (7, 7), (8, 8)}
+
+
 def test_register_laws():
     r = np.random.default_rng(1)
     a = np.unique(r.integers(0, 2**63, 3000).astype(np.uint64))
     b = np.concatenate([a[:2000], r.integers(0, 2**63, 1000).astype(np.uint64)])
     ra, rb, both, one = setsketch.registers([a, b, np.unique(np.concatenate([a, b])), a[:1]])
     assert (np.maximum(ra, rb) == both).all() and (np.maximum(ra, one) == ra).all()
+    kept = setsketch.stored(np.array([ra, rb, both, one]))
+    assert (setsketch.loaded(kept) == np.array([ra, rb, both, one])).all()
+    assert setsketch.merged(kept[:2]) == kept[2] and setsketch.merged([kept[3], kept[0]]) == kept[0]
     as_bytes = lambda x: (x & 255).astype(np.uint8)[None, :]
     true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     n = np.array([3000.0])
