@@ -11,28 +11,35 @@ MIN_CHARS = 10
 MIN_DOCS = 2
 
 
-def _key(line):
-    return lower_ascii(F.btrim(line, F.lit(BLANKS)))
+def _trimmed(line):
+    return F.btrim(line, F.lit(BLANKS))
 
 
-def _hash(key):
-    """128 bits, so that different lines of a very large corpus stay apart."""
-    return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"))
+def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, t, pos, h1, h2): every line of at least ``min_chars`` code points, trimmed, by place and key.
+
+    ``t`` hashes the whole text, so that rows of one doc_id with other texts stay apart. A key has
+    128 bits, so that different lines of a very large corpus stay apart. Rows with a null doc_id are left out.
+    """
+    text = F.coalesce("text", F.lit(""))
+    hashed = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64(text).alias("t"))  # before the lines, so once for a text
+    lines = hashed.select("doc_id", "t", F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    key = lower_ascii(_trimmed(F.col("line")))
+    long_enough = F.char_length(_trimmed(F.col("line"))) >= min_chars
+    return lines.where(long_enough).select("doc_id", "t", "pos", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"))
 
 
-def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(h1, h2, keeper, n_docs): line keys of at least ``min_chars`` code points found in at least ``min_docs`` documents.
+def repeated_lines(keys: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(h1, h2, keeper): keys of ``keys`` found in at least ``min_docs`` documents, with the smallest doc_id that holds each.
 
     A document counts once for a key however often it holds it. Counts are
     combined before the shuffle, so a line that most documents share is no hot key.
     """
-    keys = F.filter(F.transform(F.split("text", "\n", -1), _key), lambda k: F.char_length(k) >= min_chars)
-    held = docs.where("doc_id is not null").select("doc_id", F.explode(F.array_distinct(F.transform(keys, _hash))).alias("h"))
-    return (
-        held.groupBy("h.h1", "h.h2")
-        .agg(F.min("doc_id").alias("keeper"), F.count_distinct("doc_id").alias("n_docs") if min_docs > 2 else F.max("doc_id").alias("most"))
-        .where(f"n_docs >= {min_docs}" if min_docs > 2 else "most <> keeper")
-    )
+    if min_docs <= 2:
+        found = keys.groupBy("h1", "h2").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("most"))
+        return found.where("most <> keeper").drop("most") if min_docs == 2 else found.drop("most")
+    once = keys.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one")).groupBy("h1", "h2")
+    return once.agg(F.min("doc_id").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs).drop("n")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -40,36 +47,28 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
 
     A line's key is the line without white space at both ends, A-Z lower-cased.
     Keys of at least ``min_chars`` code points in at least ``min_docs``
-    documents stay only in the smallest doc_id that holds them. The texts move
-    once, in the last join; before it only hashes do. The repeated keys are
-    written first, so that their join is a plain sort-merge join that AQE can
-    split where a line is very frequent.
-
-    Null or empty text is one empty line. Rows with a null doc_id keep all
-    lines and are not counted. Repeated rows of one doc_id count as one
-    document and are treated alike. Other columns pass through; an incoming
+    documents stay only in the smallest doc_id that holds them. Lines are exploded and hashed once and
+    written; counts and the join with the repeated keys (written too, so that the join is a plain sort-merge join
+    that AQE can split where a line is very frequent) read only hashes and places. A document's lost places are gathered,
+    and its other lines are put together in their order. Texts move once, in that last join.
+
+    Null or empty text is one empty line. Very long texts, and very many repeated lines in one text, cost time in
+    proportion. Rows with a null doc_id keep all lines and are not counted. Repeated rows of one doc_id count as one
+    document; each loses its own lines. Other columns pass through; an incoming
     ``n_lines`` or ``n_dropped`` is replaced. An empty table stays empty.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    ids = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    repeated = cut(repeated_lines(ids, min_chars, min_docs).select("h1", "h2", "keeper"))
-    keys = F.filter(F.transform(F.split("text", "\n", -1), _key), lambda k: F.char_length(k) >= min_chars)
-    held = ids.where("doc_id is not null").select("doc_id", F.explode(F.array_distinct(F.transform(keys, _hash))).alias("h"))
-    lost = (
-        held.select("doc_id", "h.h1", "h.h2")
-        .join(repeated, ["h1", "h2"])
-        .where("doc_id <> keeper")
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("__lost"))
-    )
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    dropped = lambda line: F.coalesce((F.char_length(_key(line)) >= min_chars) & F.array_contains("__lost", _hash(_key(line))), F.lit(False))
+    keys = cut(line_keys(docs.select("doc_id", "text"), min_chars))
+    repeated = cut(repeated_lines(keys, min_docs))
+    gone = keys.join(repeated, ["h1", "h2"]).where("doc_id <> keeper")
+    lost = gone.groupBy(F.col("doc_id").alias("__id"), F.col("t").alias("__t")).agg(F.collect_set("pos").alias("__lost"))
+    text = F.coalesce("text", F.lit(""))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__lost"))
     return (
-        docs.join(lost, F.col("doc_id") == F.col("__id"), "left")
-        .withColumn("__lines", lines)
-        .withColumn("__kept", F.when(F.col("__lost").isNull(), F.col("__lines")).otherwise(F.filter("__lines", lambda x: ~dropped(x))))
-        .withColumn("text", F.when(F.col("__lost").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join("__kept", "\n")))
+        docs.join(lost, (F.col("doc_id") == F.col("__id")) & (F.xxhash64(text) == F.col("__t")), "left")
+        .withColumn("__lines", F.split(text, "\n", -1))
         .withColumn("n_lines", F.size("__lines").cast("long"))
-        .withColumn("n_dropped", (F.size("__lines") - F.size("__kept")).cast("long"))
-        .drop("__id", "__lost", "__lines", "__kept")
+        .withColumn("n_dropped", F.coalesce(F.size("__lost"), F.lit(0)).cast("long"))
+        .withColumn("text", F.when(F.col("__lost").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n")))
+        .drop("__id", "__t", "__lost", "__lines")
     )
