@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 from .common import WordHashes, chain, cut, utf8
 
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 50, 50, 3
-#: Share of a group's rows that the covariance determinant is made small on, concentration steps, and rows below which a group is pooled.
-CORE_SHARE, STEPS, MIN_GROUP = 0.75, 3, 50
+#: Share of a group's rows that the covariance determinant is made small on, and rows below which a group is pooled.
+CORE_SHARE, MIN_GROUP = 0.75, 50
+#: Concentration steps end when no group's log determinant falls by more than TOLERANCE, at the latest after MAX_STEPS.
+TOLERANCE, MAX_STEPS = 1e-3, 25
+#: Groups up to which their shapes, 300 bytes each, are broadcast; beyond that rows meet them in a join that AQE can split.
+BROADCAST_GROUPS = 50_000
 #: Rows beyond this quantile of the chi-square law are rejected.
 CUTOFF = 1 - 1e-7
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -85,64 +89,71 @@ def chi2_quantile(p: float, df: int) -> float:
     return (low + high) / 2
 
 
-def _solver(share: float):
-    """Rows of sums become rows of centre and inverse scatter, corrected for taking only the innermost ``share``."""
+def solve(n: np.ndarray, sums: np.ndarray, products: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centres, inverse scatters and log determinants from counts, sums and sums of products, corrected for taking only the innermost ``share``."""
     factor = share / chi2_cdf(chi2_quantile(share, DIM), DIM + 2) if share < 1 else 1.0
+    centre = sums / n[:, None]
+    scatter = factor * (products / n[:, None, None] - centre[:, :, None] * centre[:, None, :])
+    spread = np.maximum(np.einsum("kii->ki", scatter), 1e-12)
+    scatter = scatter * (1 - 1e-3) + 1e-3 * np.einsum("ki,ij->kij", spread, np.eye(DIM))
+    scatter += np.einsum("ki,ij->kij", np.maximum(np.square(FLOOR) - spread, 0), np.eye(DIM))
+    return centre, np.linalg.inv(scatter), np.linalg.slogdet(scatter)[1]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = {"grp": f["grp"].tolist()}
-            sums = f[[f"s{i}" for i in range(DIM)]].to_numpy(float)
-            products = f[[f"p{i}{j}" for i in range(DIM) for j in range(DIM)]].to_numpy(float).reshape(-1, DIM, DIM)
-            n = f["n"].to_numpy(float)[:, None]
-            centre = sums / n
-            scatter = factor * (products / n[:, :, None] - centre[:, :, None] * centre[:, None, :])
-            spread = np.sqrt(np.maximum(np.einsum("kii->ki", scatter), 1e-12))
-            scatter = scatter * (1 - 1e-3) + 1e-3 * np.einsum("ki,ij->kij", spread**2, np.eye(DIM))
-            scatter += np.einsum("ki,ij->kij", np.maximum(np.square(FLOOR) - spread**2, 0), np.eye(DIM))
-            inverse = np.linalg.inv(scatter)
-            for i in range(DIM):
-                out[f"c{i}"] = centre[:, i]
-                for j in range(DIM):
-                    out[f"v{i}{j}"] = inverse[:, i, j]
-            yield pd.DataFrame(out)
-
-    return run
 
-
-_SHAPE = "grp string, " + ", ".join(f"c{i} double" for i in range(DIM)) + ", " + ", ".join(f"v{i}{j} double" for i in range(DIM) for j in range(DIM))
+_CENTRE, _INVERSE = [f"c{i}" for i in range(DIM)], [f"v{i}{j}" for i in range(DIM) for j in range(DIM)]
+_SHAPE = "grp string, start int, size double, old double, " + ", ".join(f"{c} double" for c in [*_CENTRE, *_INVERSE])
 
 
 def _sums(rows: DataFrame, share: float) -> DataFrame:
+    """A shape for each group and start of ``rows`` (grp, start, old, x0..x4): a partial aggregate, then a small solve for each row of sums."""
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIM)]
     products = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}{j}") for i in range(DIM) for j in range(DIM)]
-    return rows.groupBy("grp").agg(F.count("*").alias("n"), *sums, *products).mapInPandas(_solver(share), _SHAPE)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            take = lambda names: f[names].to_numpy(float)  # noqa: B023, E731
+            products = take([f"p{i}{j}" for i in range(DIM) for j in range(DIM)]).reshape(-1, DIM, DIM)
+            centre, inverse, size = solve(take("n"), take([f"s{i}" for i in range(DIM)]), products, share)
+            out = pd.DataFrame(np.column_stack([size, take("old"), centre, inverse.reshape(len(f), -1)]), columns=["size", "old", *_CENTRE, *_INVERSE])
+            yield out.assign(grp=f["grp"].tolist(), start=f["start"].tolist())[["grp", "start", *out.columns]]
+
+    return rows.groupBy("grp", "start").agg(F.count("*").cast("double").alias("n"), F.first("old").alias("old"), *sums, *products).mapInPandas(run, _SHAPE)
 
 
 def _distance():
+    """The squared distance of x0..x4 from a shape."""
     return sum(((F.col(f"x{i}") - F.col(f"c{i}")) * (F.col(f"x{j}") - F.col(f"c{j}")) * F.col(f"v{i}{j}") for i in range(DIM) for j in range(DIM)), F.lit(0.0))
 
 
-def robust_shapes(rows: DataFrame) -> DataFrame:
-    """Centre and inverse scatter of each ``grp`` of ``rows`` (grp, x0..x4) by a deterministic minimum-covariance-determinant search.
+def robust_shapes(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """(grp, start, size, c.., v..): centre and inverse scatter of each ``grp`` of ``rows`` (grp, x0..x4) by a minimum-covariance-determinant
+    search, and whether they are few enough to broadcast.
 
-    Starts from medians and median absolute deviations, then takes STEPS
-    concentration steps: keep the CORE_SHARE of rows with the least distance,
-    estimate anew. A last step re-estimates on all rows within the 97.5 %
-    ellipsoid. Every step is a grouped aggregate over all rows, so a group of
-    any size is spread over tasks; only a row of sums for each group moves on.
+    Two starts for each group: medians with median absolute deviations, and mean with
+    scatter of all rows. Both take concentration steps until no determinant falls any more: keep the CORE_SHARE of rows with the least distance,
+    estimate anew. The smaller determinant wins, and a last step re-estimates on all rows within its 97.5 %
+    ellipsoid. Every step is a scan of ``rows`` with a partial aggregate, both starts together, so a group of
+    any size is spread over tasks; only a row of sums for each group moves on. Quantiles are Spark's approximate ones, within 1/2000 of the rank.
     """
     median = F.percentile_approx
-    mid = rows.groupBy("grp").agg(*(median(f"x{i}", 0.5, 2000).alias(f"c{i}") for i in range(DIM)))
-    away = rows.join(mid, "grp").groupBy("grp", *(f"c{i}" for i in range(DIM))).agg(*(median(F.abs(F.col(f"x{i}") - F.col(f"c{i}")), 0.5, 2000).alias(f"m{i}") for i in range(DIM)))
-    inverse = [(1 / F.pow(F.greatest(1.4826 * F.col(f"m{i}"), F.lit(FLOOR[i])), 2) if i == j else F.lit(0.0)).alias(f"v{i}{j}") for i in range(DIM) for j in range(DIM)]
-    shapes = cut(away.select("grp", *(f"c{i}" for i in range(DIM)), *inverse))
-    for _ in range(STEPS):
-        near = rows.join(shapes, "grp").withColumn("d", _distance())
-        bound = near.groupBy("grp").agg(median("d", CORE_SHARE, 2000).alias("bound"))
-        shapes = cut(_sums(near.join(bound, "grp").where("d <= bound"), CORE_SHARE))
-    near = rows.join(shapes, "grp").where(_distance() <= chi2_quantile(0.975, DIM))
-    return cut(_sums(near, 0.975))
+    mid = cut(rows.groupBy("grp").agg(*(median(f"x{i}", 0.5, 2000).alias(f"c{i}") for i in range(DIM))))
+    few = mid.count() <= BROADCAST_GROUPS
+    small = F.broadcast if few else (lambda df: df)
+    away = rows.join(small(mid), "grp").groupBy("grp", *_CENTRE).agg(*(median(F.abs(F.col(f"x{i}") - F.col(f"c{i}")), 0.5, 2000).alias(f"m{i}") for i in range(DIM)))
+    least = [F.greatest(1.4826 * F.col(f"m{i}"), F.lit(FLOOR[i])) for i in range(DIM)]
+    inverse = [(1 / F.pow(least[i], 2) if i == j else F.lit(0.0)).alias(f"v{i}{j}") for i in range(DIM) for j in range(DIM)]
+    size = sum((2 * F.log(x) for x in least), F.lit(0.0))
+    first = away.select("grp", F.lit(0).alias("start"), size.alias("size"), F.lit(None).cast("double").alias("old"), *_CENTRE, *inverse)
+    shapes = cut(first.unionByName(_sums(rows.withColumns({"start": F.lit(1), "old": F.lit(None).cast("double")}), 1.0)))
+    for step in range(MAX_STEPS):
+        near = rows.join(small(shapes.drop("old").withColumnRenamed("size", "old")), "grp").withColumn("d", _distance())
+        bound = near.groupBy("grp", "start").agg(median("d", CORE_SHARE, 2000).alias("bound"))
+        shapes = cut(_sums(near.join(small(bound), ["grp", "start"]).where("d <= bound"), CORE_SHARE))
+        if step and shapes.where(F.col("size") < F.col("old") - TOLERANCE).isEmpty():
+            break
+    best = shapes.groupBy("grp").agg(F.min_by(F.struct("start", "size", *_CENTRE, *_INVERSE), F.struct("size", "start")).alias("b")).select("grp", "b.*")
+    near = rows.join(small(best.withColumnRenamed("size", "old")), "grp").where(_distance() <= chi2_quantile(0.975, DIM))
+    return cut(_sums(near, 0.975)), few
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
@@ -156,8 +167,8 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -
     the distinct texts of each group that pass the base rules, so that exact copies do not narrow
     them (near copies are texts of their own); all rows get counts and are judged.
 
-    Null text has no words and fails the base rules; null languages and sources
-    are groups of their own; repeated rows are each judged. An empty table stays empty.
+    Null text has no words and fails the base rules; very long texts are counted whole; null languages and sources
+    are groups of their own; repeated rows are each judged. Other columns are left out, whatever their names. An empty table stays empty.
     """
     rate = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     rows = count_texts(docs).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
@@ -175,10 +186,11 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -
     pooled = texts.join(small, "full", "left_semi").select("wide", "digest").distinct().groupBy("wide").agg(F.count("*").alias("n"))
     group = sizes.join(pooled, "wide", "left").select("full", F.when(F.col("count") >= min_group, F.concat(F.lit("s"), F.col("full"))).when(F.col("n") >= min_group, F.concat(F.lit("l"), F.col("wide"))).otherwise(F.lit("a")).alias("grp"))
     group = cut(group)
-    grouped = rows.join(group, "full", "left").drop("full", "wide", "digest")
-    learn = cut(once(texts.join(group, "full"), "grp").drop("digest"))
-    enough = learn.groupBy("grp").count().where(F.col("count") >= min_group).select("grp")
-    shapes = robust_shapes(learn.join(cut(enough), "grp", "left_semi").select("grp", *xs))
+    small = F.broadcast if group.count() <= BROADCAST_GROUPS else (lambda df: df)
+    grouped = rows.join(small(group), "full", "left").drop("full", "wide", "digest")
+    learn = cut(once(texts.join(small(group), "full"), "grp").drop("digest"))
+    enough = cut(learn.groupBy("grp").count().where(F.col("count") >= min_group).select("grp"))
+    shapes, few = robust_shapes(learn.join(small(enough), "grp", "left_semi").select("grp", *xs))
     bound = chi2_quantile(cutoff, DIM)
-    judged = grouped.join(shapes, "grp", "left").withColumn("distance", F.when(F.col("c0").isNotNull(), F.sqrt(F.greatest(_distance(), F.lit(0.0)))))
+    judged = grouped.join(F.broadcast(shapes) if few else shapes, "grp", "left").withColumn("distance", F.when(F.col("c0").isNotNull(), F.sqrt(F.greatest(_distance(), F.lit(0.0)))))
     return judged.select("doc_id", *COUNTS, "base_failed", "distance", (~F.col("base_failed") & F.coalesce(F.col("distance") <= math.sqrt(bound), F.lit(True))).alias("kept"))
