@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import base64
 import bisect
+import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -23,8 +27,19 @@ from .common import cut, shared_dir
 MIN_REVISIT_BYTES = 1000
 #: Captures in a compressed index block, and blocks a reader keeps open.
 BLOCK_LINES, BLOCKS_KEPT = 512, 16
-#: One date for all records: the input tables carry none.
-DATE = "1970-01-01T00:00:00Z"
+#: Compressed bytes after which a task begins its next file.
+FILE_BYTES = 1 << 30
+#: Digests of repeated payloads up to which they are broadcast, so that payloads stay where they are; beyond that rows meet them in a join.
+BROADCAST_DIGESTS = 200_000
+#: Record ids are UUIDs of this name space; a revisit can so name its response.
+NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:fairgrid:captures")
+#: Target of pages without URL; the page's own is then in X-Page-Url.
+NO_URL = "about:invalid"
+NOT_IN_URI = re.compile(r"[^!#$%&'()*+,/:;=?@\[\]A-Za-z0-9_.~-]")
+
+# Fixed values of WARC 1.1.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+HTTP_BLOCK, FIELDS_BLOCK = "application/http; msgtype=response", "application/warc-fields"
 
 
 def reversed_host_key(url: str | None) -> str:
@@ -37,20 +52,74 @@ def reversed_host_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
 
 
-def _record(kind: str, headers: dict[str, str], body: bytes) -> bytes:
-    head = "".join(f"{k}: {v}\r\n" for k, v in {"WARC-Type": kind, **headers, "Content-Length": str(len(body))}.items())
+def target_uri(url: str | None) -> str:
+    """``url`` as a header can hold it: bytes that no URI has are percent-coded."""
+    return NOT_IN_URI.sub(lambda m: "".join(f"%{b:02X}" for b in m[0].encode("utf-8", "replace")), url) if url else NO_URL
+
+
+def record_id(page_id: int | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(NAMES, f'{page_id} {digest}')}>"
+
+
+def _record(kind: str, headers: dict[str, str], block: bytes) -> bytes:
+    head = "".join(f"{k}: {v}\r\n" for k, v in {"WARC-Type": kind, **headers, "Content-Length": str(len(block))}.items())
     member = zlib.compressobj(6, zlib.DEFLATED, 31)
-    return member.compress(b"WARC/1.1\r\n" + head.encode() + b"\r\n" + body + b"\r\n\r\n") + member.flush()
+    return member.compress(b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n") + member.flush()
+
+
+def _file_record(name: str, date: str) -> bytes:
+    """The warcinfo record that begins a file."""
+    headers = {"WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": date, "WARC-Filename": name, "Content-Type": FIELDS_BLOCK}
+    return _record("warcinfo", headers, b"software: fairgrid\r\nformat: WARC File Format 1.1\r\n")
+
+
+def _capture_record(row: dict, date: str) -> bytes:
+    """The response or revisit record of one page; a revisit keeps the HTTP head, which tells the payload's length."""
+    payload, digest = row["payload"].encode(), row["payload_digest"]
+    uri, again = target_uri(row["url"]), row["refers_to"] is not None
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    headers = {
+        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>" if again else record_id(row["page_id"], digest),
+        "WARC-Date": date,
+        "WARC-Target-URI": uri,
+        "WARC-Payload-Digest": f"sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}",
+        "Content-Type": HTTP_BLOCK,
+        "X-Page-Id": json.dumps(row["page_id"]),
+    }
+    if uri != row["url"]:
+        headers["X-Page-Url"] = json.dumps(row["url"])
+    if again:
+        headers |= {
+            "WARC-Profile": REVISIT_PROFILE,
+            "WARC-Refers-To": record_id(row["refers_to"], digest),
+            "WARC-Refers-To-Target-URI": target_uri(row["refers_url"]),
+            "WARC-Refers-To-Date": date,
+            "X-Refers-To-Page-Id": str(row["refers_to"]),
+        }
+    return _record("revisit" if again else "response", headers, head if again else head + payload)
 
 
 def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """(headers, body) of one compressed record."""
+    """(headers, block) of one compressed record."""
     plain = zlib.decompress(raw, 31)
     head, _, rest = plain.partition(b"\r\n\r\n")
     headers = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
     return headers, rest[: int(headers["Content-Length"])]
 
 
+def parse_capture(raw: bytes) -> tuple:
+    """(page_id, url, record_type, payload_bytes, payload_digest, refers_to, html) of a response or revisit record."""
+    headers, block = parse_record(raw)
+    again, (http, _, body) = headers["WARC-Type"] == "revisit", block.partition(b"\r\n\r\n")
+    digest = base64.b32decode(headers["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+    n_bytes = int(re.search(rb"(?im)^content-length: *(\d+)", http)[1])
+    if not again and (hashlib.sha1(body).hexdigest() != digest or len(body) != n_bytes):
+        raise ValueError(f"{headers['WARC-Record-ID']}: the payload does not match its digest")
+    url = json.loads(headers["X-Page-Url"]) if "X-Page-Url" in headers else headers["WARC-Target-URI"]
+    refers = int(headers["X-Refers-To-Page-Id"]) if again else None
+    return json.loads(headers["X-Page-Id"]), url, headers["WARC-Type"], n_bytes, digest, refers, None if again else body.decode()
+
+
 @dataclass(frozen=True)
 class Archive:
     """Where an archive lies, and the index files with the first key of each, in key order."""
@@ -64,52 +133,63 @@ class Archive:
 
 
 def resolve_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(page_id, url, payload, payload_bytes, payload_digest, refers_to): of equal payloads the largest page_id is the response.
+    """(page_id, url, payload, payload_bytes, payload_digest, refers_to, refers_url): of equal payloads the largest page_id is the response.
 
-    Payloads are equal where SHA-1 and length agree. Only digests are grouped,
-    combined before the shuffle; the result is written so that its join can be
-    split where a payload is very frequent. A null page_id refers to the response, too, and is never one that others refer to.
+    Payloads are equal where SHA-1 and length agree. Only ids and digests are grouped,
+    combined before the shuffle, and those that repeat are written and counted: up to BROADCAST_DIGESTS they are broadcast, so that no payload moves;
+    beyond that rows meet them in a join that AQE can split where a payload is very frequent.
+    A null page_id refers to the response, too, and is never one that others refer to.
     """
-    payload = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"))
-    shared = rows.where(f"payload_bytes >= {min_bytes}").groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1 and response is not null")
-    shared = cut(shared.select("payload_digest", "payload_bytes", "response"))
-    return rows.join(shared, ["payload_digest", "payload_bytes"], "left").select("page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("response")), F.col("response")).alias("refers_to"))
-
-
-def write_archive(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> tuple[Archive, DataFrame]:
-    """Write a WARC record for each row of ``pages`` (page_id, url, html); returns the archive and its capture keys.
-
-    Each task writes one file of gzip members under a name of its own, so a task that
+    payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"),
+        F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"),
+    )
+    keys = ["payload_digest", "payload_bytes"]
+    shared = rows.where(F.col("payload_bytes") >= min_bytes).groupBy(*keys).agg(F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("r"), F.count("*").alias("n"))
+    shared = cut(shared.where("n > 1 and r is not null").select(*keys, F.col("r.page_id").alias("response"), F.col("r.url").alias("response_url")))
+    met = rows.join(F.broadcast(shared) if shared.count() <= BROADCAST_DIGESTS else shared, keys, "left")
+    again = F.col("page_id").isNull() | (F.col("page_id") < F.col("response"))
+    return met.select("page_id", "url", "payload", *keys, F.when(again, F.col("response")).alias("refers_to"), F.when(again, F.col("response_url")).alias("refers_url"))
+
+
+def write_archive(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES, date: datetime | None = None) -> tuple[Archive, DataFrame]:
+    """Write a WARC 1.1 record for each row of ``pages`` (page_id, url, html); returns the archive and its capture keys.
+
+    Each task writes files of gzip members, a warcinfo record first, beginning a new one after ``file_bytes``, under names of its own, so a task that
     runs again leaves no half-written file in use: the captures (key, file, offset,
     length) of the tasks that ended are checkpointed, sorted by reversed-host key over range partitions
     and stored as index files: compressed blocks of lines, then a sparse directory of
     the blocks' first keys. A key ends with the capture's number in the scan, so
     equal URLs, even a third of all rows, stay apart and in order.
 
-    Null html is an empty payload, null url an empty key part; null and repeated
-    page_ids are records like others. An empty table gives an archive without records.
+    Responses hold an HTTP head and the payload, revisits the head alone and the response's id, URI and date. All records have one ``date`` (default: now),
+    since pages carry none. Null html is an empty payload; null urls, and what no URI can hold, are kept in an extension field; very long pages are
+    one record each. Null and repeated page_ids are records like others; rows that repeat page_id and payload have one record id. Other columns are left out.
+    An empty table gives an archive without records.
     """
     spark = pages.sparkSession
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     fs, path = pafs.FileSystem.from_uri(folder)
     fs.create_dir(path, recursive=True)
-    place = Archive(folder, [])
+    place, stamp = Archive(folder, []), (date or datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, at, name = None, 0, f"part-{uuid.uuid4().hex}.warc.gz"
+        out, at, name, task, n_files = None, 0, "", uuid.uuid4().hex, 0
         for batch in batches:
             made = []
             for row in batch.to_pylist():
+                if out is not None and at >= file_bytes:
+                    out.close()
+                    out = None
                 if out is None:
+                    name, n_files = f"part-{task}-{n_files:05d}.warc.gz", n_files + 1
                     own, target = place.file(name)
                     out = own.open_output_stream(target, compression=None)
-                body = row["payload"].encode()
-                again = row["refers_to"] is not None
-                headers = {"WARC-Record-ID": f"<urn:capture:{row['capture']}>", "WARC-Date": DATE, "WARC-Target-URI": json.dumps(row["url"]), "WARC-Payload-Digest": f"sha1:{row['payload_digest']}", "X-Page-Id": json.dumps(row["page_id"]), "X-Payload-Length": str(len(body))}
-                if again:
-                    headers |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "X-Refers-To-Page-Id": str(row["refers_to"])}
-                raw = _record("revisit" if again else "response", headers, b"" if again else body)
+                    first = _file_record(name, stamp)
+                    out.write(first)
+                    at = len(first)
+                raw = _capture_record(row, stamp)
                 out.write(raw)
                 made.append((f"{reversed_host_key(row['url'])} {row['capture']:020d}", name, at, len(raw)))
                 at += len(raw)
@@ -198,8 +278,6 @@ def read_captures(spark: SparkSession, archive: Archive, keys: DataFrame) -> Dat
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
         reader, streams = IndexReader(archive), OrderedDict()
         for batch in batches:
             out = []
@@ -213,11 +291,7 @@ def read_captures(spark: SparkSession, archive: Archive, keys: DataFrame) -> Dat
                     streams[name] = fs.open_input_file(path)
                     if len(streams) > 64:
                         streams.popitem(last=False)[1].close()
-                headers, body = parse_record(streams[name].read_at(length, at))
-                digest, again = headers["WARC-Payload-Digest"].removeprefix("sha1:"), headers["WARC-Type"] == "revisit"
-                if not again and (hashlib.sha1(body).hexdigest() != digest or len(body) != int(headers["X-Payload-Length"])):
-                    raise ValueError(f"{name} at {at}: the payload does not match its digest")
-                out.append((json.loads(headers["X-Page-Id"]), json.loads(headers["WARC-Target-URI"]), headers["WARC-Type"], int(headers["X-Payload-Length"]), digest, int(headers["X-Refers-To-Page-Id"]) if again else None, None if again else body.decode()))
+                out.append(parse_capture(streams[name].read_at(length, at)))
             cols = list(zip(*out, strict=True)) or [()] * 7
             types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "html"])
