@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -17,99 +18,219 @@ from .common import cut, plus
 MIN_PAGES, MIN_IMPORTANCE = 5, 0.2
 #: Number of pages at which the most possible importance of a branch inside an article or main stops growing: a heading of a few wordings does not become noise as its site grows.
 INNER_PAGES = 100
-#: Noise paths of all sites, in characters, up to which they are broadcast; beyond that pages meet them in a join that AQE can split.
-BROADCAST_CHARS = 16_000_000
+#: Noise branches of all sites up to which they are broadcast, 8 bytes each; beyond that pages meet them in a join that AQE can split.
+BROADCAST_BRANCHES = 2_000_000
+#: Sites whose noise a worker keeps at once, and copies it remembers.
+SITES_KEPT, COPIES_KEPT = 256, 100_000
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-
-# Element and attribute names of HTML by their role in a page.
+# Element names of HTML by their role in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe xmp".split())
-BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
+BLOCK = set(
+    "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header"
+    " hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
+)
 CLOSES_P = BLOCK - set("body html head td th tr tbody thead tfoot caption".split())
-SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-DROPPED = set("head script style noscript template nav footer aside form iframe svg math canvas object audio video select button input textarea menu dialog search".split())
+SIBLINGS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
+    "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
+}
+DROPPED = set(
+    "head script style noscript template nav footer aside form iframe svg math canvas object audio video select button input textarea menu dialog search".split()
+)
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-DROPPED_NAMES = set(
-    "ad ads adbox adslot adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside footer masthead topbar"
-    " cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup login popup modal overlay comment comments commentlist commentbox announcement sidenav topnav subnav disqus discussion replies reply respond related recommended share sharing social"
-    " pagination pager toolbar widget widgets copyright legal skip search form toc outbrain taboola".split()
+
+#: Class and id names (a choice of ours) that stand for what is never main text, wherever they are.
+STRONG_NAMES = set(
+    "ad ads adbox adslot adsense advert adverts advertisement advertising sponsor sponsored nav navbar navigation menubar breadcrumb breadcrumbs sidebar sidenav topnav subnav aside footer"
+    " masthead topbar cookie cookies consent gdpr newsletter subscribe subscription signup login popup modal overlay comment comments commentlist commentbox disqus"
+    " discussion replies respond related recommended sharing social pagination pager toolbar toc outbrain taboola".split()
+)
+#: Names that genuine content has, too: inside an article or main such a branch goes only if it is short or mostly links.
+WEAK_NAMES = set("announcement alert banner copyright form legal menu notice notices promo promotion reply search share skip widget widgets".split())
+WEAK_WORDS = 30
+#: Words that go with the above in one name.
+BESIDE = set(
+    "area articles bar block bottom box btn button buttons col column container content footer form group head header icons inner item items label left links list main more"
+    " outer page panel policy posts right row section site slot small stories tags text title top unit wrap wrapper zone".split()
 )
 CONTRARY = {"has", "with", "no", "without"}
+#: Elements that are never noise themselves; their children may be.
+PROTECTED = {"", "html", "body", "main", "article"}
+
+NAME_END = re.compile(r"[\s/>]")
+TAG_STOP = re.compile(r"=\s*+[\"']|>")
+ATTRIBUTE = re.compile(r"([^\s=/]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++)))?")
+RAW_ENDS = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in RAW}
 
 
-def _named_for_dropping(names: str, inside: bool) -> bool:
+def name_strength(names: str, inside: bool) -> int:
+    """2 if a class or id stands for what is no main text, 1 if it may, else 0.
+
+    A name counts if its last part does, or if all its parts do or go with such words (``share-buttons``, not ``share-price``).
+    """
+    strength = 0
     for name in names.lower().split():
         parts = [x for x in re.split(r"[^a-z0-9]+", name) if x]
-        if parts and parts[0] not in CONTRARY and (parts[0] in DROPPED_NAMES or parts[-1] in DROPPED_NAMES or not inside and parts[-1] == "header"):
-            return True
-    return False
+        if not parts or CONTRARY.intersection(parts):
+            continue
+        for least, known in ((2, STRONG_NAMES), (1, WEAK_NAMES)):
+            whole = known.intersection(parts) and all(x in known or x in BESIDE or x.isdigit() for x in parts)
+            if parts[-1] in known or whole:
+                strength = max(strength, least)
+        if not inside and parts[-1] == "header":
+            strength = max(strength, 1)
+    return strength
+
+
+def tokens(html: str) -> Iterator[tuple[str, str, str]]:
+    """("text", raw, ""), ("open", tag, attributes) and ("close", tag, "") in page order, in time linear in the page.
+
+    A quoted attribute value hides a ``>`` inside a tag. If one tag does not end that way, this and all later tags
+    end at their first ``>``, so no part of a broken page is searched twice. Comments, declarations and the inside of raw
+    elements (scripts, styles) are left out.
+    """
+    start = at = 0
+    n, quoted = len(html), True
+    while True:
+        lt = html.find("<", at)
+        if lt < 0 or lt + 1 == n:
+            break
+        first = html[lt + 1]
+        if first in "!?":
+            mark, skip = ("-->", 4) if html.startswith("<!--", lt) else ("]]>", 9) if html.startswith("<![CDATA[", lt) else (">", 2)
+            end = html.find(mark, lt + skip)
+            if lt > start:
+                yield "text", html[start:lt], ""
+            start = at = n if end < 0 else end + len(mark)
+            continue
+        closing = first == "/"
+        name_at = lt + 1 + closing
+        if not (name_at < n and html[name_at].isascii() and html[name_at].isalpha()):
+            at = lt + 1
+            continue
+        end = -1
+        if quoted:
+            stop = TAG_STOP.search(html, name_at)
+            while stop and stop[0] != ">":
+                close = html.find(stop[0][-1], stop.end())
+                stop = TAG_STOP.search(html, close + 1) if close >= 0 else None
+            end, quoted = (stop.start(), True) if stop else (-1, False)
+        if end < 0:
+            end = html.find(">", name_at)
+            if end < 0:
+                break
+        if lt > start:
+            yield "text", html[start:lt], ""
+        start = at = end + 1
+        name_end = NAME_END.search(html, name_at, end + 1).start()
+        tag = html[name_at:name_end].lower()
+        if closing:
+            yield "close", tag, ""
+            continue
+        attributes = html[name_end:end]
+        yield "open", tag, attributes
+        if tag in RAW and not attributes.endswith("/"):
+            close = RAW_ENDS[tag].search(html, at)
+            start = at = close.end() if close else n
+            yield "close", tag, ""
+    if start < n:
+        yield "text", html[start:], ""
+
+
+def branch_id(parent: int, style: str) -> int:
+    """The number of the branch of a style tree that ``style`` (a tag with its first class or id) is below the branch ``parent``; the root is 0."""
+    return xxhash.xxh64_intdigest(f"{parent} {style}".encode("utf-8", "replace")) - (1 << 63)
+
+
+class Element:
+    """An open element: what it is, what its ancestors decide for it, and in tree mode the digest of its texts."""
+
+    __slots__ = ("tag", "branch", "dropped", "article", "main", "link", "root", "weak_from", "content", "shape")
+
+    def __init__(self, tag: str, branch: int, dropped: bool, article: int, main: bool, link: bool, root: int):
+        self.tag, self.branch, self.dropped, self.article, self.main, self.link, self.root = tag, branch, dropped, article, main, link, root
+        self.weak_from, self.content, self.shape = -1, None, None
 
 
 class Page:
-    """One page, read once in order: its text blocks, and for every style path the shapes and texts below it."""
+    """One page, read once in order: its text blocks, or with ``tree`` the shape and text of every branch of its style tree."""
 
     def __init__(self, html: str, noise: frozenset | set = frozenset(), by_name: bool = True, tree: bool = False):
         self.noise, self.by_name, self.tree = noise, by_name, tree
-        #: tag, path, dropped, number of the outermost article, inside main, inside a link, path of that article or else main
-        self.stack: list[tuple] = [("", "", False, 0, False, False, "")]
+        self.stack = [Element("", 0, False, 0, False, False, 0)]
+        #: places in the stack of the open elements of each tag, and of all block elements
+        self.places: dict[str, list[int]] = {}
+        self.block_places = [0]
+        #: text, number of the article, whether in main, characters in links
         self.blocks: list[tuple[str, int, bool, int]] = []
         self.parts: list[str] = []
         self.linked = self.articles = 0
-        self.shapes: dict[str, list[str]] = {}
-        self.texts: dict[str, xxhash.xxh64] = {}
-        #: style path -> path of the article or main around it
-        self.inner: dict[str, str] = {}
-        self._read(html)
+        #: branch -> (digest of its child styles, digest of its texts) over all its elements, and branch -> branch of the article or main around it
+        self.branches: dict[int, tuple] = {}
+        self.inner: dict[int, int] = {}
+        for kind, what, attributes in tokens(html):
+            if kind == "text":
+                self._text(what)
+            elif kind == "open":
+                self._open(what, attributes)
+            else:
+                self._close(what)
+        self._pop(1)
+        self._flush()
 
     def _flush(self) -> None:
         if self.parts:
             if text := " ".join("".join(self.parts).split()):
-                top = self.stack[-1]
-                self.blocks.append((text, top[3], top[4], self.linked))
+                top, holder = self.stack[-1], self.stack[self.block_places[-1]]
+                if holder.branch not in self.noise or holder.tag in PROTECTED:
+                    self.blocks.append((text, top.article, top.main, self.linked))
             self.parts, self.linked = [], 0
 
     def _text(self, raw: str) -> None:
         top = self.stack[-1]
         if self.tree:
-            if text := " ".join(raw.split()):
-                data = text.encode("utf-8", "replace")
-                for node in self.stack[1:]:
-                    self.texts[node[1]].update(data)
-        elif not top[2]:
+            if (text := " ".join(raw.split())) and top.content is not None:
+                top.content.update(text.encode("utf-8", "replace"))
+        elif not top.dropped:
             text = unescape(raw) if "&" in raw else raw
             self.parts.append(text)
-            if top[5]:
+            if top.link:
                 self.linked += len(text.strip())
 
     def _pop(self, depth: int) -> None:
         while len(self.stack) > depth:
-            if self.stack[-1][0] in BLOCK:
+            top = self.stack[-1]
+            if top.tag in BLOCK:
                 self._flush()
+                self.block_places.pop()
+            self.places[top.tag].pop()
             self.stack.pop()
+            if self.tree:
+                shape, content = self.branches[top.branch]
+                data = top.content.digest()
+                shape.update(top.shape.digest())
+                content.update(data)
+                if self.stack[-1].content is not None:
+                    self.stack[-1].content.update(data)
+            elif top.weak_from >= 0:
+                branch = self.blocks[top.weak_from :]
+                size = sum(len(t) for t, *_ in branch)
+                if sum(len(t.split()) for t, *_ in branch) < WEAK_WORDS or 2 * sum(b[3] for b in branch) >= size:
+                    del self.blocks[top.weak_from :]
 
     def _open(self, tag: str, attributes: str) -> None:
-        if tag in CLOSES_P:
-            for i in range(len(self.stack) - 1, 0, -1):
-                if self.stack[i][0] == "p":
-                    self._pop(i)
-                    break
-                if self.stack[i][0] in BLOCK:
-                    break
+        if tag in CLOSES_P and self.stack[self.block_places[-1]].tag == "p":
+            self._pop(self.block_places[-1])
         if tag in SIBLINGS:
             same, within = SIBLINGS[tag]
-            hit = 0
-            for i in range(len(self.stack) - 1, 0, -1):
-                if self.stack[i][0] in within:
-                    break
-                if self.stack[i][0] in same:
-                    hit = i
-            if hit:
-                self._pop(hit)
+            bound = max((self.places[t][-1] for t in within if self.places.get(t)), default=0)
+            beyond = [own[i] for t in same if (own := self.places.get(t)) and (i := bisect.bisect_right(own, bound)) < len(own)]
+            if beyond:
+                self._pop(min(beyond))
         if tag in BLOCK:
             self._flush()
-        _, path, dropped, article, main, link, root = self.stack[-1]
+        up = self.stack[-1]
         names = role = ""
         hidden = False
         if attributes and ("=" in attributes or "hidden" in attributes):
@@ -117,78 +238,64 @@ class Page:
             names, role = f"{found.get('class', '')} {found.get('id', '')}".strip(), found.get("role", "").lower()
             hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
         if tag == "br":
-            if not self.tree and not dropped:
+            if not self.tree and not up.dropped:
                 self.parts.append(" ")
             return
         style = f"{tag}.{names.split()[0]}" if names else tag
-        path = f"{path}/{style}"
+        branch = branch_id(up.branch, style)
         if self.tree:
-            self.shapes.setdefault(self.stack[-1][1], []).append(style)
-            if path not in self.texts:
-                self.texts[path] = xxhash.xxh64()
-            if root:
-                self.inner[path] = root
+            if up.shape is not None:
+                up.shape.update(style.encode("utf-8", "replace") + b"|")
+            if branch not in self.branches:
+                self.branches[branch] = (xxhash.xxh64(), xxhash.xxh64())
+            if up.root:
+                self.inner[branch] = up.root
         if tag in VOID:
             return
-        dropped = dropped or tag in DROPPED or hidden or role in DROPPED_ROLES or path in self.noise
-        if not dropped and self.by_name and names and tag not in ("html", "body", "main"):
-            dropped = _named_for_dropping(names, bool(article or main))
-        if not dropped and tag == "header" and not article and not main and self.by_name:
-            dropped = True
+        inside = bool(up.article or up.main)
+        dropped = up.dropped or tag in DROPPED or hidden or role in DROPPED_ROLES
+        weak = False
+        if not dropped and self.by_name:
+            strength = name_strength(names, inside) if names and tag not in ("html", "body", "main") else 0
+            weak = strength == 1 and inside and tag in BLOCK
+            dropped = strength == 2 or strength == 1 and not inside or tag == "header" and not inside
+        article, root = up.article, up.root
         if tag == "article" and not article and not dropped:
             self.articles += 1
-            article, root = self.articles, path
-        if not root and (tag == "main" or role == "main"):
-            root = path
-        self.stack.append((tag, path, dropped, article, main or tag == "main" or role == "main", link or tag == "a", root))
+            article, root = self.articles, branch
+        main = tag == "main" or role == "main"
+        if not root and main:
+            root = branch
+        own = Element(tag, branch, dropped, article, up.main or main, up.link or tag == "a", root)
+        if weak:
+            own.weak_from = len(self.blocks)
+        if self.tree:
+            own.content, own.shape = xxhash.xxh64(), xxhash.xxh64()
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK:
+            self.block_places.append(len(self.stack))
+        self.stack.append(own)
 
     def _close(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                self._pop(i)
-                return
-            if tag not in BLOCK and self.stack[i][0] in BLOCK:
-                return
-
-    def _read(self, html: str) -> None:
-        at, n = 0, len(html)
-        while at < n:
-            m = TOKEN.search(html, at)
-            if m is None:
-                self._text(html[at:])
-                break
-            if m.start() > at:
-                self._text(html[at : m.start()])
-            at = m.end()
-            tag = (m[2] or m[5] or "").lower()
-            if not tag:
-                continue
-            if m[1] or m[4]:
-                self._close(tag)
-                continue
-            attributes = m[3] if m[2] else m[6]
-            self._open(tag, attributes or "")
-            if tag in RAW and not (attributes or "").endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                at = end.end() if end else n
-                self._pop(len(self.stack) - 1)
-        self._pop(1)
-        self._flush()
+        if own := self.places.get(tag):
+            if tag in BLOCK or own[-1] > self.block_places[-1]:
+                self._pop(own[-1])
 
     def main_text(self) -> str:
-        """The blocks of the longest article; without articles those of main; without either all that are not mere links."""
-        size: dict[int, int] = {}
-        for text, article, _, _ in self.blocks:
-            if article:
-                size[article] = size.get(article, 0) + len(text)
-        if size:
-            longest = max(size, key=lambda k: (size[k], -k))
-            kept = [t for t, article, _, _ in self.blocks if article == longest]
-        elif any(main for _, _, main, _ in self.blocks):
-            kept = [t for t, _, main, _ in self.blocks if main]
-        else:
-            kept = [t for t, _, _, linked in self.blocks if linked < 0.8 * len(t)]
-        return "\n".join(kept)
+        """All blocks of articles and main in page order; without either all blocks that are not mere links.
+
+        An article that is mostly links, a teaser, goes if there is another.
+        """
+        size, linked = {}, {}
+        for text, article, _, n in self.blocks:
+            size[article] = size.get(article, 0) + len(text)
+            linked[article] = linked.get(article, 0) + n
+        teasers = {k for k in size if k and 2 * linked[k] >= size[k]}
+        if teasers == set(size) - {0}:
+            teasers = set()
+        if any(article or main for _, article, main, _ in self.blocks):
+            return "\n".join(t for t, article, main, _ in self.blocks if (article or main) and article not in teasers)
+        return "\n".join(t for t, _, _, n in self.blocks if n < 0.8 * len(t))
 
 
 def extract(html: str | None, noise: frozenset | set = frozenset()) -> str:
@@ -204,22 +311,21 @@ def host_of(url):
 
 
 def _units(html: str) -> Iterator[tuple[bytes, bool, list, list, list]]:
-    """Digest, whether inside an article or main, and style paths with the hashes of their shapes and texts: the
+    """Digest, whether inside an article or main, and branches with the hashes of their shapes and texts: the
     page without its articles and main by all its html, each of these by its own branches."""
     page, groups = Page(html, tree=True), {}
-    for path, text in page.texts.items():
-        shape = xxhash.xxh64_intdigest("|".join(page.shapes.get(path, ())).encode("utf-8", "replace"))
-        groups.setdefault(page.inner.get(path, ""), []).append((path, shape - (1 << 63), text.intdigest() - (1 << 63)))
+    for branch, (shape, content) in page.branches.items():
+        groups.setdefault(page.inner.get(branch, 0), []).append((branch, shape.intdigest() - (1 << 63), content.intdigest() - (1 << 63)))
     for root, nodes in groups.items():
         data = repr((root, nodes)) if root else html
         yield xxhash.xxh3_128_digest(data.encode("utf-8", "replace")), bool(root), *map(list, zip(*nodes, strict=True))
 
 
 def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, path, pages, importance) of every branch of each site's style tree that ``min_pages`` distinct pages have.
+    """(host, branch, pages, importance) of every branch of each site's style tree that ``min_pages`` distinct pages have.
 
-    Pages of a host are merged by style path (tags with their first class or id). Presentation
-    is the sequence of child styles, content the text below the node. A node's
+    Pages of a host are merged by the styles (tag, first class or id) from the root down. Presentation
+    is the sequence of child styles below a branch, content the texts below it. A branch's
     importance is the larger of the two entropies over the pages that have it,
     by the logarithm of their number: 0 if all agree, 1 if all differ. Copies count once:
     a page by its html, the branches inside an article or main by that element's own branches, so that
@@ -232,6 +338,8 @@ def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
+                if len(known) > COPIES_KEPT:
+                    known.clear()
                 for host, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     copy = (host, xxhash.xxh3_128_digest((html or "").encode("utf-8", "replace")))
                     if copy in known:
@@ -242,35 +350,39 @@ def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                             known.add((host, unit))
                             rows.append((host, unit, inner, *nodes))
                 cols = list(zip(*rows, strict=True)) or [()] * 6
-                types = (pa.string(), pa.binary(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["host", "unit", "inner", "paths", "shapes", "texts"])
-
-    seen = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(run, "host string, unit binary, inner boolean, paths array<string>, shapes array<long>, texts array<long>")
-    units = seen.groupBy("host", "unit", "inner").agg(F.first(F.struct("paths", "shapes", "texts")).alias("u"))
-    nodes = units.select("host", "inner", F.explode(F.arrays_zip("u.paths", "u.shapes", "u.texts")).alias("v"))
-    counts = nodes.select("host", "inner", F.col("v.paths").alias("path"), F.posexplode(F.array("v.shapes", "v.texts")).alias("kind", "hash")).groupBy("host", "path", "kind", "hash").agg(F.count("*").alias("n"), F.max("inner").alias("inner"))
-    kinds = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), F.max("inner").alias("inner")).where(F.col("pages") >= min_pages)
+                longs = pa.list_(pa.int64())
+                types = (pa.string(), pa.binary(), pa.bool_(), longs, longs, longs)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["host", "unit", "inner", "branches", "shapes", "texts"])
+
+    schema = "host string, unit binary, inner boolean, branches array<long>, shapes array<long>, texts array<long>"
+    seen = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(run, schema)
+    units = seen.groupBy("host", "unit", "inner").agg(F.first(F.struct("branches", "shapes", "texts")).alias("u"))
+    nodes = units.select("host", "inner", F.explode(F.arrays_zip("u.branches", "u.shapes", "u.texts")).alias("v"))
+    kinds = nodes.select("host", "inner", F.col("v.branches").alias("branch"), F.posexplode(F.array("v.shapes", "v.texts")).alias("kind", "hash"))
+    counts = kinds.groupBy("host", "branch", "kind", "hash").agg(F.count("*").alias("n"), F.max("inner").alias("inner"))
+    sums = counts.groupBy("host", "branch", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), F.max("inner").alias("inner"))
+    sums = sums.where(F.col("pages") >= min_pages)
     most = F.when(F.col("inner"), F.least("pages", F.lit(INNER_PAGES))).otherwise(F.col("pages"))
     importance = F.least((F.log("pages") - F.col("s") / F.col("pages")) / F.log(most), F.lit(1.0))
-    return kinds.groupBy("host", "path").agg(F.max("pages").alias("pages"), F.max(importance).alias("importance"))
+    return sums.groupBy("host", "branch").agg(F.max("pages").alias("pages"), F.max(importance).alias("importance"))
 
 
 def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
     """``pages`` (page_id, url, html, more) with ``text``: the main text, blocks in page order joined by a line feed.
 
-    Branches of low importance in the site's style tree go first (never html, body, main or
-    article); then navigation, headers, footers, asides, forms, adverts, notices
-    and comments by element, role and name. What is left of the longest article is the text. Character references
+    A text block goes if the branch of the site's style tree that holds it has low importance (never html, body, main or
+    article themselves); so a branch goes whole where all below it is low, and what varies from page to page stays. Navigation, headers, footers, asides, forms, adverts, notices
+    and comments go by element, role and name. What is left of the articles and of main is the text. Character references
     are decoded, white space inside a block becomes one space.
 
-    Null or empty html gives empty text; null and bad urls are one site without
-    name. Copies of a page count once in the tree and each get their text. An incoming ``text`` is replaced. Empty in, empty out.
+    Null or empty html gives empty text; very long and broken pages take time in proportion; null and bad urls are one site without
+    name. Copies of a page count once in the tree and each get their text. An incoming ``text`` is replaced, other columns pass through. Empty in, empty out.
     """
     pages = pages.drop("text")
-    weak = style_tree(pages, min_pages).where((F.col("importance") < min_importance) & ~F.regexp_extract("path", r"/(html|body|main|article)(\.[^/]*)?$", 1).isin("html", "body", "main", "article"))
-    noise = cut(weak.groupBy(F.col("host").alias("__host")).agg(F.collect_list("path").alias("__noise")))
-    size = noise.agg(F.sum(F.char_length("__host") + F.char_length(F.array_join("__noise", "")))).first()[0] or 0
-    if size <= BROADCAST_CHARS:
+    weak = style_tree(pages, min_pages).where(F.col("importance") < min_importance)
+    noise = cut(weak.groupBy(F.col("host").alias("__host")).agg(F.collect_list("branch").alias("__noise")))
+    size = noise.agg(F.sum(F.size("__noise") + 8)).first()[0] or 0
+    if size <= BROADCAST_BRANCHES:
         noise = F.broadcast(noise)
     schema, n = plus(pages.schema, text="string"), len(pages.columns)
     at = pages.columns.index("html")
@@ -279,11 +391,12 @@ def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_importan
         sets: dict = {}
         for batch in batches:
             texts = []
-            for html, paths in zip(batch.column(at).to_pylist(), batch.column(n + 1).to_pylist(), strict=True):
-                key = tuple(paths or ())
-                if key not in sets:
-                    sets[key] = frozenset(key)
-                texts.append(extract(html, sets[key]))
+            for html, host, branches in zip(batch.column(at), batch.column(n).to_pylist(), batch.column(n + 1), strict=True):
+                if host not in sets:
+                    if len(sets) >= SITES_KEPT:
+                        sets.clear()
+                    sets[host] = frozenset(branches.as_py() or ())
+                texts.append(extract(html.as_py(), sets[host]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], [*batch.schema.names[:n], "text"])
 
     met = pages.withColumn("__host", host_of(F.col("url"))).join(noise, "__host", "left").select(*pages.columns, "__host", "__noise")
