@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out, plus, utf8
 
-#: Bound of the training sample in rows, and the model's size.
-MAX_ROWS = 4000
+#: Bound of the training sample in rows, shared evenly by the languages, but at least LEAST_ROWS for each; and the model's size.
+MAX_ROWS, LEAST_ROWS = 4000, 20
 BUCKETS, DIM, SIZES = 8192, 16, (2, 3, 4)
 EPOCHS, BATCH, RATE = 12, 64, 0.5
 #: Share of right answers that accepted texts must reach on the calibration rows.
@@ -22,7 +22,8 @@ PRECISION = 0.995
 
 #: A-Z become a-z, other ASCII that is no letter becomes a space, bytes of longer characters stay.
 LETTER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
-HAS_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is what Unicode calls one (category L); numerals and signs such as Ⅷ, ½ or ² are none.
+HAS_LETTER = regex.compile(r"\p{L}")
 
 
 def subword_counts(text: str | None) -> np.ndarray:
@@ -59,23 +60,49 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
+def _training_rows(docs: DataFrame, max_rows: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(lang, buckets, shares) of the sample in a fixed order. Tasks turn whole texts into counts, so a row is bounded by the model's size."""
+    known = docs.where("text is not null and lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
+    ids = known.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    n_langs = max(1, known.agg(F.count_distinct("lang")).first()[0])
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    taken = ids.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= max(LEAST_ROWS, max_rows // n_langs)).select("doc_id", "lang")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc_id, text, lang in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                if HAS_LETTER.search(text := text.as_py()):
+                    counts = subword_counts(text)
+                    at = np.flatnonzero(counts)
+                    out.append((doc_id, lang, at.astype("<u2").tobytes(), (counts[at] / counts.sum()).astype("<f4").tobytes()))
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            types = pa.int64(), pa.string(), pa.binary(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "lang", "at", "share"])
+
+    rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").join(F.broadcast(taken), ["doc_id", "lang"]).select("doc_id", "text", "lang")
+    counted = rows.mapInArrow(run, "doc_id long, lang string, at binary, share binary")
+    once = counted.groupBy("doc_id").agg(F.min(F.struct("lang", "at", "share")).alias("r"))
+    made = once.orderBy(F.xxhash64("doc_id"), "doc_id").select("r.*").collect()
+    return [(r.lang, np.frombuffer(r.at, "<u2"), np.frombuffer(r.share, "<f4")) for r in made]
+
+
 def fit_language(docs: DataFrame, max_rows: int = MAX_ROWS, seed: int = 11) -> LanguageModel:
     """Learn from text and non-null ``lang`` of ``docs``; never from held-out rows (see ``held_out``).
 
-    Takes at most ``max_rows`` rows by a hash of the id. Four fifths train
+    Takes at most ``max_rows`` rows in all, as many of each language, by a hash of the id. Four fifths train
     embeddings and softmax by stochastic gradient descent; the rest set the
     temperature and the rejection bound. Null texts and texts without letters are not
-    learnt from. Without any row the model knows no language.
+    learnt from; very long texts count whole; of repeated rows of one id the least language and one fixed text count. Without any row the model knows no language.
     """
-    rows = docs.where("text is not null and lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
-    ids = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = [r for r in rows.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").collect() if HAS_LETTER.search(r.text)]
-    langs = sorted({r.lang for r in rows})
+    rows = _training_rows(docs, max_rows)
+    langs = sorted({lang for lang, *_ in rows})
     if len(langs) < 2:
         return LanguageModel(langs, np.zeros((BUCKETS, len(langs))), np.zeros(len(langs)), 1.0, 0.0)
-    x = np.array([subword_counts(r.text) for r in rows], np.float32)
-    x /= x.sum(1, keepdims=True)
-    y = np.array([langs.index(r.lang) for r in rows])
+    x = np.zeros((len(rows), BUCKETS), np.float32)
+    for i, (_, at, share) in enumerate(rows):
+        x[i, at] = share
+    y = np.array([langs.index(lang) for lang, *_ in rows])
     own = np.arange(len(rows)) % 5 == 4
     train = np.flatnonzero(~own)
     rng = np.random.default_rng(seed)
@@ -110,8 +137,8 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (calibrated, 0 to 1) and ``rejected``.
 
     Null texts and texts without a letter are ``und`` with score 0 and rejected; so
-    is every text if the model knows no language. Whole texts are read. Incoming columns of
-    these names are replaced, others pass through.
+    is every text if the model knows no language. Whole texts are read, however long; repeated rows are each judged alike. Incoming columns of
+    these names are replaced, others pass through. An empty table stays empty.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
     shared = docs.sparkSession.sparkContext.broadcast(model)
