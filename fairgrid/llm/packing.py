@@ -39,7 +39,9 @@ class CachedTokenizer(dict):
     chunks met so far, beside one of words; both are bounded.
     """
 
-    CHUNKS, WORDS = 600_000, 600_000
+    CHUNKS, WORDS = 400_000, 400_000
+    #: Longer chunks and words are never kept, so that the bounds in entries are bounds in bytes.
+    LONGEST = 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -54,7 +56,9 @@ class CachedTokenizer(dict):
             if len(self.words) >= self.WORDS:
                 self.words = {"": b""}
             coded = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_ALPHABET)
-            found = self.words[word] = array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
+            found = array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
+            if len(word) <= self.LONGEST:
+                self.words[word] = found
         return found
 
     def __missing__(self, chunk: str) -> bytes:
@@ -66,7 +70,8 @@ class CachedTokenizer(dict):
             ids = self._word(word) + self._word(low[len(word) :])
         else:
             ids = np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        self[chunk] = ids
+        if len(chunk) <= self.LONGEST:
+            self[chunk] = ids
         return ids
 
     def ids(self, text: str) -> bytes:
@@ -82,8 +87,8 @@ def tokenizer_of(path: str) -> CachedTokenizer:
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 0, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the ids of each text and ``end_id``, cut only where longer than ``max_tokens``.
 
-    Null text counts as empty: one piece with the end id alone. Null or repeated
-    doc_ids are rows like others. The file at ``tokenizer_path`` must be on every executor.
+    Null text counts as empty: one piece with the end id alone. Very long texts are encoded whole and cut. Null or repeated
+    doc_ids are rows like others; other columns are left out. An empty table gives none. The file at ``tokenizer_path`` must be on every executor.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,9 +146,11 @@ def pack(pieces: DataFrame, capacity: int = MAX_TOKENS, open_bins: int = OPEN_BI
 
     Pieces are dealt evenly over buckets of about ``per_bucket`` rows, whatever
     their ids; each bucket is packed on its own, its pieces arriving by falling
-    length, which leaves at most a few part-filled sequences a bucket. Lengths
-    must be 1 to ``capacity``. Full-length pieces fill a sequence each. Empty in, empty out.
+    length, which leaves at most a few part-filled sequences a bucket; the limit of ``open_bins`` then seldom closes one. Ties in length go by place in the scan.
+    Lengths must be 1 to ``capacity``. Full-length pieces fill a sequence each. Null and repeated ids are pieces like others. Other columns pass through; incoming
+    ``sequence_id`` and ``offset`` are replaced. Empty in, empty out.
     """
+    pieces = pieces.drop("sequence_id", "offset")
     pieces = cut(pieces.withColumn("__at", F.monotonically_increasing_id()))
     n_buckets = max(1, -(-pieces.count() // per_bucket))
     schema = plus(pieces.drop("__at").schema, sequence_id="long", offset="long")
@@ -161,7 +168,7 @@ def _keep_nulls(run: Callable) -> Callable:
 
     def wrapped(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = run(key, rows)
-        if out["doc_id"].dtype.kind == "f":
+        if "doc_id" in out and out["doc_id"].dtype.kind == "f":
             out["doc_id"] = out["doc_id"].astype("Int64")
         return out
 
