@@ -1,7 +1,13 @@
 """Near duplicates, HTML, WARC and the pipeline on small awkward tables."""
 
+import base64
 import hashlib
+import math
 import random
+import re
+import time
+import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -126,21 +132,79 @@ def test_extract_one_page():
     assert html_extract.extract('<p title="a>b">q</p><script>x</script') == "q"
 
 
+def test_clean_contract_cases():
+    e = html_extract.extract
+    assert e("<body><main><h1>Title</h1><article><p>Body text</p></article><p>After</p></main><footer>f</footer></body>") == "Title\nBody text\nAfter"
+    assert e("<article><p>One and more</p></article><article><p>Two</p></article>") == "One and more\nTwo"
+    assert e("<main><article><p>Text</p></article><article><a href=x>Another story</a></article></main>") == "Text"
+    assert e('<main><div class="share-price"><p>It rose</p></div><div class="share-buttons">Tweet</div><p>End</p></main>') == "It rose\nEnd"
+    long = " ".join(f"word{i}" for i in range(40))
+    assert e(f'<article><section id="legal"><p>{long}</p></section><div class="notice">We changed our terms</div><p>End</p></article>') == f"{long}\nEnd"
+    assert e('<article><p>Text</p><div class="post-comments"><article>Nice</article></div><div class="ad-slot-2">Buy</div></article>') == "Text"
+    assert e('<body class="layout-with-sidebar"><div id="content"><p>Plain page text</p></div><div class="widget">x</div></body>') == "Plain page text"
+    assert e("<p>&lt;b&gt; &#x41;&#66; &nbsp;&nbsp;c&copy</p>") == "<b> AB c©"
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<p <", "<a '", "<b>", "</i><b>", "<div>", "<div></section>", "<b></i>", '<a ">" ', "<!--", "<p><b>", "<script>", "<li>", "<", "<p ", "<i><div></i>", "<ul><li>", "a=' "])
+@pytest.mark.parametrize("tree", [False, True])
+def test_broken_pages_take_linear_time(piece, tree):
+    began = time.monotonic()
+    html_extract.Page(piece * (300_000 // len(piece)), tree=tree)
+    assert time.monotonic() - began < 20
+    if not tree:
+        html_extract.extract("<p " + "a=' " * 100_000 + ">")
+        assert time.monotonic() - began < 25
+
+
+def branch(path):
+    at = 0
+    for style in path.split("/")[1:]:
+        at = html_extract.branch_id(at, style)
+    return at
+
+
 @pytest.mark.parametrize("bound", [10**6, -1])
 def test_style_tree_drops_what_a_site_repeats(spark, monkeypatch, bound):
-    monkeypatch.setattr(html_extract, "BROADCAST_CHARS", bound)
+    monkeypatch.setattr(html_extract, "BROADCAST_BRANCHES", bound)
     page = "<html><body><div class=strip>Read our other sites</div><div class=story><p>{}</p></div></body></html>"
     rows = [(i, f"http://Host.example/{i}", page.format(words(20, i))) for i in range(12)]
     rows += [(50, None, None), (51, "bad url", ""), (52, "http://[x", "<p>y</p>"), (53, "http://other.example/", page.format("once only"))]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1)).withColumn("path", F.lit("clash"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1)).withColumn("branch", F.lit("clash"))
     out = {r.page_id: r.text for r in html_extract.extract_main_text(pages).collect()}
     assert all(out[i] == words(20, i) for i in range(12))
     assert (out[50], out[51], out[52], out[53]) == ("", "", "y", "Read our other sites\nonce only")
-    weak = {r.path for r in html_extract.style_tree(pages).where("importance < 0.2").collect()}
-    assert "/html/body/div.strip" in weak and "/html/body/div.story" not in weak
+    weak = {r.branch for r in html_extract.style_tree(pages).where("importance < 0.2").collect()}
+    assert branch("/html/body/div.strip") in weak and branch("/html/body/div.story") not in weak
     assert html_extract.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_importance_equals_plain_entropy(spark):
+    r = random.Random(3)
+    shown = [(r.choice(["a", "b"]), r.randrange(3), words(5, i // 2)) for i in range(30)]
+    html = [f"<html><body><div class=top>{x}</div><div class=list>{'<p>same</p>' * k}</div><div class=story><p>{t}</p></div></body></html>" for x, k, t in shown]
+    pages = spark.createDataFrame([(i, "http://h/", x) for i, x in enumerate(html)], "page_id long, url string, html string")
+    got = {x.branch: (x.pages, x.importance) for x in html_extract.style_tree(pages, 2).collect()}
+    distinct = sorted(set(html))
+    kept = [shown[html.index(x)] for x in distinct]
+
+    def importance(values):
+        n = len(values)
+        return sum(-values.count(v) / n * math.log(values.count(v) / n) for v in set(values)) / math.log(n)
+
+    expected = {"/html/body/div.top": [x for x, _, _ in kept], "/html/body/div.list": [k for _, k, _ in kept], "/html/body/div.story": [t for *_, t in kept], "/html/body": kept}
+    for path, values in expected.items():
+        assert got[branch(path)][0] == len(kept) and abs(got[branch(path)][1] - importance(values)) < 1e-9, path
+    with_p = [k for _, k, _ in kept if k]
+    assert got[branch("/html/body/div.list/p")][0] == len(with_p) and abs(got[branch("/html/body/div.list/p")][1] - importance(with_p)) < 1e-9
+
+
+def test_a_branch_that_few_pages_fill_stays_there(spark):
+    page = "<html><body><div class=box><p>Usual words here</p>{}</div><div class=story>{}</div></body></html>"
+    rows = [(i, f"http://h/{i}", page.format(f"<div class=extra>{words(9, 900 + i)}</div>" if i % 15 == 0 else "", words(20, i))) for i in range(90)]
+    out = [x.text for x in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert out == [(words(9, 900 + i) + "\n" if i % 15 == 0 else "") + words(20, i) for i in range(90)]
+
+
 def test_copies_of_a_page_do_not_erase_its_text(spark):
     page = "<html><body><div class=strip>{}</div><article><h1>{}</h1><h2>{}</h2><p>{}</p><div class=plug>Written for you</div></article></body></html>"
     equal = [("equal", page.format("same", "Title", "Part", "One text"))] * 8
@@ -156,15 +220,33 @@ def test_copies_of_a_page_do_not_erase_its_text(spark):
     assert set(out[108:148]) == {"Copied\nPart\nOne text"}
     assert out[148:152] == [f"T{i}\nH{i}\n{words(20, i)}" for i in range(4)]
     assert out[152:] == [f"T{i}\nH{i % 3}\n{words(20, i)}" for i in range(300)]
-    counted = {(r.host, r.path): r.pages for r in html_extract.style_tree(pages, 2).collect()}
-    assert counted["mixed.example", "/html/body"] == 16 and counted["menus.example", "/html/body/article/p"] == 5 and ("equal.example", "/html/body") not in counted
-
-
-def test_warc_round_trip(spark):
+    counted = {(r.host, r.branch): r.pages for r in html_extract.style_tree(pages, 2).collect()}
+    assert counted["mixed.example", branch("/html/body")] == 16 and counted["menus.example", branch("/html/body/article/p")] == 5 and ("equal.example", branch("/html/body")) not in counted
+
+
+def records_of(raw):
+    """(headers, block) of every record of a .warc.gz file, by the format's definition alone."""
+    out = []
+    while raw:
+        member = zlib.decompressobj(31)
+        plain, raw = member.decompress(raw), member.unused_data
+        version, rest = plain.split(b"\r\n", 1)
+        assert version == b"WARC/1.1"
+        head, rest = rest.split(b"\r\n\r\n", 1)
+        headers = dict(x.split(": ", 1) for x in head.decode().split("\r\n"))
+        n = int(headers["Content-Length"])
+        assert rest[n:] == b"\r\n\r\n"
+        out.append((headers, rest[:n]))
+    return out
+
+
+@pytest.mark.parametrize("bound", [10**6, 0])
+def test_warc_round_trip(spark, monkeypatch, bound):
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", bound)
     same, other = "<p>" + "s" * 2000 + "é</p>", "o" * 1500
-    rows = [(1, "http://www.a.example/x?q=1", same), (2, "http://a.example/x?q=1", same), (9, "https://b.a.example:8080/", same), (3, None, None), (4, "", ""), (5, "http://[bad", "tiny"), (6, "http://c/", "tiny"), (7, "line\nfeed: x", other), (7, "line\nfeed: x", other), (None, "http://n/", same)]
+    rows = [(1, "http://www.a.example/x?q=1", same), (2, "http://a.example/x?q=1", same), (9, "https://b.a.example:8080/", same), (3, None, None), (4, "", ""), (5, "http://[bad", "tiny"), (6, "http://c/", "tiny"), (7, "line\nfeed: x", other), (7, "line\nfeed: x", other), (None, "http://n/", same), (8, "http://long/ü", "long\r\n\r\n" * 50_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("key", F.lit(1)).withColumn("payload", F.lit("clash"))
-    archive, keys = warc.write_archive(pages)
+    archive, keys = warc.write_archive(pages, file_bytes=600)
     out = warc.read_captures(spark, archive, keys).collect()
     assert len(out) == len(rows)
     for r in out:
@@ -174,6 +256,22 @@ def test_warc_round_trip(spark):
         again = len(raw) >= 1000 and html == same and r.page_id != 9
         assert (r.record_type, r.refers_to) == (("revisit", 9) if again else ("response", None))
         assert r.html == (None if again else html)
+    files = [records_of(f.read_bytes()) for f in Path(archive.folder.removeprefix("file://")).glob("*.warc.gz")]
+    assert len(files) > 4 and all(f[0][0]["WARC-Type"] == "warcinfo" and len(f) > 1 for f in files)
+    every = [r for f in files for r in f[1:]]
+    assert len(every) == len(rows)
+    by_id = {h["WARC-Record-ID"]: (h, b) for h, b in every}
+    for headers, block in every:
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", headers["WARC-Record-ID"]) and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", headers["WARC-Date"])
+        assert headers["Content-Type"] == "application/http; msgtype=response" and not re.search(r"[\s<>\"]", headers["WARC-Target-URI"])
+        http, body = block.split(b"\r\n\r\n", 1)
+        assert http.startswith(b"HTTP/1.1 200 OK\r\n")
+        digest = lambda x: "sha1:" + base64.b32encode(hashlib.sha1(x).digest()).decode()
+        if headers["WARC-Type"] == "revisit":
+            theirs, block = by_id[headers["WARC-Refers-To"]]
+            assert body == b"" and theirs["WARC-Target-URI"] == headers["WARC-Refers-To-Target-URI"] and theirs["WARC-Date"] == headers["WARC-Refers-To-Date"]
+            body = block.split(b"\r\n\r\n", 1)[1]
+        assert headers["WARC-Payload-Digest"] == digest(body) and b"Content-Length: %d" % len(body) in http
     reader = warc.IndexReader(archive)
     assert reader.find("zzz") is None and reader.find("") is None
     missing = spark.createDataFrame([("none such",), (None,)], "key string")

@@ -63,13 +63,16 @@ def test_best_fit_bounds_and_order():
 def test_pack_awkward_documents(spark, tokenizer_path):
     texts = [*AWKWARD, words(3000, 1), words(3000, 1), words(10, 2)]
     docs = docs_of(spark, texts).unionByName(spark.createDataFrame([(None, "no id", "en", "s", 5)], SCHEMA)).withColumn("length", F.lit("clash"))
-    rows = packing.pack(packing.token_pieces(docs, tokenizer_path)).collect()
+    from tokenizers import Tokenizer
+
+    pieces = packing.token_pieces(docs, tokenizer_path).withColumn("offset", F.lit("clash")).withColumn("sequence_id", F.lit("clash"))
+    rows = packing.pack(pieces).collect()
     by_doc = {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
-    tokenizer = packing.tokenizer_of(tokenizer_path)
+    tokenizer = Tokenizer.from_file(tokenizer_path)
     for i, t in enumerate(texts):
-        ids = tokenizer.ids(t or "") + b"\0\0\0\0"
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
         pieces = sorted(by_doc[i], key=lambda r: r.piece)
         assert [p.start for p in pieces] == list(range(0, len(ids) // 4, 2048))
         assert sum(p.length for p in pieces) == len(ids) // 4
@@ -136,10 +139,40 @@ def test_language_accuracy_and_und(spark):
     assert np.mean([out[i].lang_pred == langs[i] for i in range(90)]) > 0.97
     assert [out[i].lang_pred for i in range(90, 94)] == ["und"] * 4 and out[94].lang_pred in vocab
     assert all(0 <= r.score <= 1 for r in out.values()) and out[90].rejected
+    for sign in ("½", "²", "①", "Ⅷ", "١٢", "́"):
+        assert not langid.HAS_LETTER.search(sign)
+    assert all(langid.HAS_LETTER.search(x) for x in ("ß", "あ", "ª", "12 x"))
     none = langid.fit_language(docs.limit(0))
     assert {r.lang_pred for r in langid.predict_language(docs, none).collect()} == {"und"}
 
 
+def test_a_rare_language_is_learnt_and_scores_equal_brute_force(spark):
+    vocab = {"aa": ("the", "and", "thing", "there"), "bb": ("ich", "und", "nicht", "schön")}
+    texts = [" ".join(random.Random(k).choices(vocab["bb" if k % 50 == 0 else "aa"], k=40)) for k in range(1000)]
+    langs = ["bb" if k % 50 == 0 else "aa" for k in range(1000)]
+    docs = docs_of(spark, texts, langs)
+    model = langid.fit_language(docs.union(docs.where("doc_id = 1")), max_rows=60)
+    out = {r.doc_id: r for r in langid.predict_language(docs, model).collect()}
+    assert all(out[i].lang_pred == langs[i] for i in range(1000))
+
+    def plain(text):
+        raw = b" " + b" ".join("".join(c if c.isalpha() else " " for c in text.lower()).encode().split()) + b" "
+        logits, total = [0.0] * len(model.langs), 0
+        for n in langid.SIZES:
+            for i in range(len(raw) - n + 1):
+                h = n
+                for byte in raw[i : i + n]:
+                    h = ((h ^ byte) * 0x01000193) % 2**32
+                    h ^= h >> 15
+                total += 1
+                logits = [z + float(w) for z, w in zip(logits, model.table[h % langid.BUCKETS], strict=True)]
+        z = [(v / total + float(b)) / model.temperature for v, b in zip(logits, model.bias, strict=True)]
+        return max(np.exp(v) for v in z) / sum(np.exp(v) for v in z)
+
+    for i in (0, 1, 50, 77):
+        assert abs(out[i].score - plain(texts[i])) < 1e-6
+
+
 # ---- outliers ----------------------------------------------------------------------------------------------------
 
 
@@ -202,28 +235,32 @@ def brute_hits(text, items, window=10):
             for j in range(len(ws) - n + 1):
                 if ws[j : j + n] == iw[i : i + n]:
                     hit |= set(range(j, j + n))
-                    found.add(str(item))
-    return len(ws), len(hit), sorted(found)
-
-
-@pytest.mark.parametrize("block_chars", [10**9, 60])
-def test_hits_equal_brute_force(spark, block_chars):
-    bench = [(1, words(25, 5)), (2, "Short item-here"), (3, None), (4, "..."), (None, "ghost words here"), (10, words(12, 6)), (2, "twice used id")]
-    texts = [*AWKWARD, "pre " + words(25, 5).upper() + " post", "a short ITEM, here", words(200, 7) + " " + " ".join(words(25, 5).split()[4:15]), words(12, 6) + "\n" + words(12, 6), "twice used id short item here"]
-    docs = docs_of(spark, [*texts, texts[-1]]).withColumn("n_words", F.lit("clash"))
-    out = decontam.benchmark_hits(docs, spark.createDataFrame(bench, "item_id long, text string"), block_chars=block_chars).collect()
-    known = [(i, t) for i, t in bench if i is not None and t is not None]
+                    found.add(item)
+    return len(ws), len(hit), sorted(str(i) for i in found if i is not None) + [None] * (None in found)
+
+
+@pytest.mark.parametrize("bound", [10**9, 60])
+def test_hits_equal_brute_force(spark, bound):
+    bench = [(1, words(25, 5)), (2, "Short item-here"), (3, None), (4, "..."), (None, "ghost words here"), (10, words(12, 6)), (2, "twice used id"), (11, words(25, 5))]
+    texts = [*AWKWARD, "pre " + words(25, 5).upper() + " post", "a short ITEM, here", words(200, 7) + " " + " ".join(words(25, 5).split()[4:15]), words(12, 6) + "\n" + words(12, 6), "twice used id short item here", "ghost words here and a short item here"]
+    docs = docs_of(spark, [*texts, texts[-1]]).withColumn("n_words", F.lit("clash")).withColumn("at", F.lit("clash"))
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    out = decontam.benchmark_hits(docs, bench, broadcast_chars=bound).collect()
+    known = [(r.item_id, r.text) for r in bench.where("text is not null").collect()]
     assert len(out) == len(texts) + 1
     for r in out:
         t = [*texts, texts[-1]][r.doc_id]
         assert (r.n_words, sum(s.end - s.first for s in r.hit_spans), list(r.item_ids)) == brute_hits(t, known), t
+    assert decontam.benchmark_hits(docs.limit(0), bench, broadcast_chars=bound).count() == 0
 
 
 def test_drop_contaminated(spark):
     bench = spark.createDataFrame([(1, words(25, 5))], "item_id long, text string")
-    docs = docs_of(spark, [words(50, 9), words(25, 5), None, ""])
+    docs = docs_of(spark, [words(50, 9), words(25, 5), None, "", words(25, 5) + " more"]).withColumn("h", F.lit("clash"))
+    docs = docs.union(docs.where("doc_id in (0, 1)"))
     for chars in (10**9, 10):
-        assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, bench.union(bench.selectExpr("2", "'no such words'")), block_chars=chars).collect()) == [0, 2, 3]
+        out = decontam.drop_contaminated(docs, bench.union(bench.selectExpr("2", "'no such words'")), broadcast_chars=chars)
+        assert sorted(r.doc_id for r in out.collect()) == [0, 0, 2, 3] and out.columns == docs.columns
     assert decontam.drop_contaminated(docs.limit(0), bench.limit(0)).count() == 0
 
 
@@ -245,6 +282,33 @@ def test_line_dedup_awkward_rows(spark):
     assert three[2] == 0
 
 
+def test_line_dedup_equals_brute_force(spark):
+    r = random.Random(9)
+    pool = ["shared line %d" % i for i in range(12)] + ["", "short", "\t Shared LINE 3 ", "größere zeile Ä", "GRÖSSERE zeile Ä", "größere ZEILE Ä"]
+    texts = [*AWKWARD, *("\n".join(r.choices(pool, k=r.randrange(1, 30))) for _ in range(60))]
+    texts += [texts[-1], texts[-1]]
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    split = [(t or "").split("\n") for t in texts]
+    held = {}
+    for d, lines in enumerate(split):
+        for x in lines:
+            held.setdefault(x.strip(" \t\n\x0b\x0c\r").translate(lower), set()).add(d)
+    for least in (2, 3):
+        gone = lambda d, x: len(k := x.strip(" \t\n\x0b\x0c\r").translate(lower)) >= 10 and len(held[k]) >= least and min(held[k]) < d  # noqa: B023, E731
+        out = {x.doc_id: (x.text, x.n_lines, x.n_dropped) for x in linededup.dedup_lines(docs_of(spark, texts), min_docs=least).collect()}
+        for d, lines in enumerate(split):
+            kept = [x for x in lines if not gone(d, x)]
+            assert out[d] == ("\n".join(kept), len(lines), len(lines) - len(kept)), d
+
+
+def test_line_dedup_of_very_many_lines(spark):
+    line = "one and the same line"
+    rows = [(1, line), (2, "\n".join([line] * 200_000)), (3, "\n".join(f"a line of its own {i}" for i in range(100_000))), (3, "tail\n" + line), (3, "tail\n" + line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").union(spark.createDataFrame([(4, rows[2][1])], "doc_id long, text string"))
+    out = sorted((x.doc_id, x.n_lines, x.n_dropped, len(x.text)) for x in linededup.dedup_lines(docs).collect())
+    assert out == [(1, 1, 0, len(line)), (2, 200_000, 200_000, 0), (3, 2, 1, 4), (3, 2, 1, 4), (3, 100_000, 0, len(rows[2][1])), (4, 100_000, 100_000, 0)]
+
+
 # ---- sharding ----------------------------------------------------------------------------------------------------
 
 
