@@ -9,50 +9,57 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, plus, utf8
+from .common import cut, held_out, plus, utf8
 
-#: Bounds of the training sample: labelled rows of each class, and bytes of each dictionary.
+#: Bounds of the training sample: labelled rows of each class, bytes of each dictionary, and the pieces of one text that train a dictionary.
 MAX_ROWS_PER_CLASS = 2000
-DICT_BYTES = 112_640
-#: Texts are compressed in pieces of this size, so that the dictionary counts everywhere in a long text.
-PIECE_BYTES = 4096
+DICT_BYTES = 400_000
+TRAIN_PIECE_BYTES, TRAIN_PIECES = 4096, 8
+#: Texts are scored in pieces of this size, so that the dictionaries count everywhere in a long text, more than what the text repeats itself.
+PIECE_BYTES = 512
+#: A text of so many bytes counts half: the difference of a short one says little, and its score stays near the share of good rows.
+HALF_BYTES = 100
 LEVEL = 3
 THRESHOLD = 0.3
 
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Two dictionaries, and the weights that calibrate what the compressed sizes say."""
+    """Two dictionaries, and the weights that calibrate a size difference: of a constant, of a text's evidence, and of the difference times it."""
 
     good: bytes
     bad: bytes
-    weights: tuple[float, ...]
+    weights: tuple[float, float, float]
 
-    def scores(self, sizes: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(_terms(sizes) @ np.array(self.weights), -40, 40)))
+    def scores(self, measured: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(_terms(measured) @ np.array(self.weights), -40, 40)))
 
 
-class Sizes:
-    """Of a text: the normalised difference of its compressed sizes under the two dictionaries (above 0: closer to the good one),
-    and the logarithm of its size compressed alone by its raw size, which is very low for text that repeats itself."""
+def _terms(measured: np.ndarray) -> np.ndarray:
+    """Of rows of (difference, bytes of the text)."""
+    d, n = measured.reshape(-1, 2).T
+    evidence = n / (n + HALF_BYTES)
+    return np.column_stack([np.ones(len(d)), evidence, d * evidence])
+
+
+class SizeDifference:
+    """Of a text: by how many bytes the good dictionary compresses it better than the bad one, for each of its bytes; and its bytes.
+
+    The difference is near 0 for what neither dictionary explains, such as a text that repeats itself; an empty text has 0.
+    """
 
     def __init__(self, good: bytes, bad: bytes):
         self.pair = [zstandard.ZstdCompressor(level=LEVEL, dict_data=_loaded(d), write_content_size=False, write_dict_id=False) for d in (good, bad)]
-        self.alone = zstandard.ZstdCompressor(level=1, write_content_size=False)
 
-    def __call__(self, text: str | None) -> tuple[float, float]:
+    def __call__(self, text: str | None) -> tuple[float, int]:
         raw = utf8(text)
-        pieces = [raw[i : i + PIECE_BYTES] for i in range(0, max(1, len(raw)), PIECE_BYTES)]
-        good, bad, alone = (sum(len(c.compress(p)) for p in pieces) for c in (*self.pair, self.alone))
-        return (bad - good) / (bad + good), math.log(alone / len(raw)) if raw else 0.0
-
-
-def _terms(sizes: np.ndarray) -> np.ndarray:
-    d, r = sizes.reshape(-1, 2).T
-    return np.column_stack([np.ones(len(d)), d, r, r * r])
+        if not raw:
+            return 0.0, 0
+        good, bad = (sum(len(c.compress(raw[i : i + PIECE_BYTES])) for i in range(0, len(raw), PIECE_BYTES)) for c in self.pair)
+        return (bad - good) / len(raw), len(raw)
 
 
 def _loaded(raw: bytes) -> zstandard.ZstdCompressionDict:
@@ -61,23 +68,22 @@ def _loaded(raw: bytes) -> zstandard.ZstdCompressionDict:
     return d
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    """A trained dictionary; the texts' own bytes where they are too few to train on."""
-    pieces = [t[i : i + PIECE_BYTES] for t in texts for i in range(0, len(t), PIECE_BYTES)]
+def _dictionary(pieces: list[bytes]) -> bytes:
+    """A trained dictionary; the pieces' own bytes where they are too few to train on."""
     try:
         return zstandard.train_dictionary(DICT_BYTES, pieces).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b"".join(t[: max(64, DICT_BYTES // max(1, len(texts)))] for t in texts)[:DICT_BYTES] or b" " * 64
+        return b"".join(t[: max(64, DICT_BYTES // max(1, len(pieces)))] for t in pieces)[:DICT_BYTES] or b" " * 64
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Weights by Newton steps on standardised columns (the first is constant), with a small ridge for separable samples."""
     mean, scale = x.mean(0), x.std(0)
     mean[0], scale[scale == 0] = 0, 1
-    z, w, ridge = (x - mean) / scale, np.zeros(x.shape[1]), np.full(x.shape[1], 1e-2)
+    z, w, ridge = (x - mean) / scale, np.zeros(x.shape[1]), 1e-2
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + np.diag(ridge), z.T @ (y - p) - ridge * w)
+        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + ridge * np.eye(len(w)), z.T @ (y - p) - ridge * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
@@ -86,36 +92,60 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return w
 
 
+def _pieces(text: str) -> list[bytes]:
+    """At most TRAIN_PIECES pieces, evenly over the whole text."""
+    raw = utf8(text)
+    n = max(1, -(-len(raw) // TRAIN_PIECE_BYTES))
+    taken = range(n) if n <= TRAIN_PIECES else (k * n // TRAIN_PIECES for k in range(TRAIN_PIECES))
+    return [raw[k * TRAIN_PIECE_BYTES : (k + 1) * TRAIN_PIECE_BYTES] for k in taken]
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER_CLASS) -> QualityModel:
     """Learn from ``labels`` (doc_id, quality 0/1) and the texts of ``docs``.
 
     Learns from at most ``max_rows`` rows of each class, taken by a hash of the id,
     never from held-out rows (see ``held_out``). Two thirds build the
-    dictionaries, one third calibrates. Null ids, labels and texts are not
-    learnt from. Without both classes the score is the share of good rows, or one half without labels.
+    dictionaries, from at most TRAIN_PIECES pieces of a text; one third, measured whole in tasks, calibrates. So what reaches the driver is bounded. Null ids, labels and texts are not
+    learnt from; of repeated rows of an id each distinct text counts once, and ids with both labels count in both classes. Without both classes the score is the share of good rows, or one half without labels.
     """
     usable = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", "quality").distinct()
-    sample = None
-    for q in (0, 1):
-        part = usable.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-        sample = part if sample is None else sample.union(part)
-    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("u", F.xxhash64(F.lit(3), "doc_id")).orderBy("u", "doc_id").collect()
-    texts = {q: [utf8(r.text) for r in rows if r.quality == q and r.u % 3] for q in (0, 1)}
-    if not all(texts.values()):
-        good, n = sum(r.quality for r in rows), len(rows)
-        return QualityModel(b" " * 64, b" " * 64, (math.log((good + 0.5) / (n - good + 0.5)), 0.0, 0.0, 0.0))
-    good, bad = _dictionary(texts[1]), _dictionary(texts[0])
-    held = [r for r in rows if not r.u % 3] or rows
-    measure = Sizes(good, bad)
-    weights = _logistic(_terms(np.array([measure(r.text) for r in held])), np.array([float(r.quality) for r in held]))
-    return QualityModel(good, bad, tuple(weights.tolist()))
+    first = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
+    sample = usable.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= max_rows).select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
+    rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    rows = cut(rows.withColumn("u", F.xxhash64(F.lit(3), "doc_id")).dropDuplicates(["doc_id", "quality", "text"]))
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [_pieces(t.as_py()) for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(parts, pa.list_(pa.binary()))], ["u", "doc_id", "quality", "parts"])
+
+    built = rows.where("u % 3 <> 0").select("u", "doc_id", "quality", "text").mapInArrow(pieces, "u long, doc_id long, quality int, parts array<binary>")
+    found = sorted((r.u, r.doc_id, r.quality, tuple(map(bytes, r.parts))) for r in built.collect())
+    parts = {q: [p for *_, quality, own in found if quality == q for p in own] for q in (0, 1)}
+    if not all(parts.values()):
+        good, n = rows.agg(F.coalesce(F.sum("quality"), F.lit(0)), F.count("*")).first()
+        return QualityModel(b" " * 64, b" " * 64, (math.log((good + 0.5) / (n - good + 0.5)), 0.0, 0.0))
+    good, bad = _dictionary(parts[1]), _dictionary(parts[0])
+    shared = docs.sparkSession.sparkContext.broadcast((good, bad))
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        measure = SizeDifference(*shared.value)
+        for batch in batches:
+            d, n = zip(*(measure(t.as_py()) for t in batch.column(1)), strict=True) if batch.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d, pa.float64()), pa.array(n, pa.int64())], ["quality", "d", "n"])
+
+    held = rows.where("u % 3 = 0")
+    held = rows if held.isEmpty() else held
+    measured = held.select("quality", "text").mapInArrow(differences, "quality int, d double, n long").orderBy("d", "n", "quality").toArrow()
+    x = np.column_stack([measured.column(c).to_numpy().astype(float) for c in ("d", "n")])
+    return QualityModel(good, bad, tuple(_logistic(_terms(x), measured.column("quality").to_numpy().astype(float)).tolist()))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher is better) and ``predicted`` (1 at ``threshold`` or above).
 
-    Whole texts are compressed, piece by piece; null counts as empty. An
-    incoming ``score`` or ``predicted`` is replaced, other columns pass through.
+    Whole texts are compressed, piece by piece, however long; null counts as empty; repeated rows are each scored alike. An
+    incoming ``score`` or ``predicted`` is replaced, other columns pass through. An empty table stays empty.
     """
     docs = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -123,7 +153,7 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = THRES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        measure = Sizes(m.good, m.bad)
+        measure = SizeDifference(m.good, m.bad)
         for batch in batches:
             score = m.scores(np.array([measure(t.as_py()) for t in batch.column(at)], float))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= threshold).astype("int32"))], [*batch.schema.names, "score", "predicted"])
