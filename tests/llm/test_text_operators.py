@@ -108,6 +108,25 @@ def test_quality_separates_and_handles_awkward_rows(spark):
     assert out[240].score == out[241].score  # null counts as empty
 
 
+def test_scores_equal_the_sizes_by_definition(spark):
+    import zstandard
+
+    docs = docs_of(spark, [*[words(80, i) for i in range(60)], *[words(80, i).upper() for i in range(60)], "", "x" * 5000])
+    model = quality.fit_quality(docs, spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, quality int"))
+    out = {r.doc_id: r for r in quality.score_quality(docs, model).collect()}
+    for i, text in enumerate([words(80, 0), words(80, 1)]):
+        raw, sizes = text.encode(), []
+        for d in (model.good, model.bad):
+            c = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False)
+            sizes.append(sum(len(c.compress(raw[k : k + 512])) for k in range(0, len(raw), 512)))
+        w, evidence = model.weights, len(raw) / (len(raw) + 100)
+        z = w[0] + w[1] * evidence + w[2] * evidence * (sizes[1] - sizes[0]) / len(raw)
+        assert abs(out[i].score - 1 / (1 + np.exp(-z))) < 0.02
+    assert abs(out[120].score - 1 / (1 + np.exp(-model.weights[0]))) < 1e-9
+    assert all(r.predicted == int(r.score >= 0.3) for r in out.values())
+    assert sum(map(len, quality._pieces("y" * 10**6))) <= 8 * 4096 and b"".join(quality._pieces("ab" * 9000)) == b"ab" * 9000
+
+
 def test_quality_without_labels(spark):
     docs = docs_of(spark, ["a b", None])
     model = quality.fit_quality(docs, spark.createDataFrame([], "doc_id long, quality int"))
