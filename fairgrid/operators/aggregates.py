@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairgrid.operators.stored import cut
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -47,18 +52,64 @@ def interval_score(actual: str | Column, low: str | Column, high: str | Column,
     return F.avg((b - a) + F.when(y < a, 2 / alpha * (a - y)).when(y > b, 2 / alpha * (y - b)).otherwise(0.0))
 
 
+def _in_order(df: DataFrame, k: Column, x: Column) -> DataFrame:
+    """(k, v, n, part): distinct values with their counts, in order over range partitions."""
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.select(k.alias("k"), x.alias("v")).where("v is not null").groupBy("k", "v").agg(F.count("*").alias("n"))
+    return cut(counts.repartitionByRange(n_parts, "k", "v").withColumn("part", F.spark_partition_id()))
+
+
+def values_at_ranks(df: DataFrame, keys: list[str], x: str | Column, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """The keys, ``total`` and for each name the value at a rank (from 0) of the group's values in order, nulls left out.
+
+    ``ranks`` gives a rank from the number of values. Values are counted first, then dealt over range partitions; the
+    partitions' totals give each its first rank, and a running sum inside a partition the rest. So a group of any size is spread
+    over tasks; only a row for each group and partition is gathered.
+    """
+    rows = _in_order(df, F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")), _c(x))
+    totals = rows.groupBy("k", "part").agg(F.sum("n").alias("m"))
+    earlier = Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("k", "part", F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("off"), F.sum("m").over(Window.partitionBy("k")).alias("total"))
+    inside = Window.partitionBy("part", "k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("run", F.sum("n").over(inside)).join(offsets, ["k", "part"])
+    hit = {name: rank(F.col("total")).between(F.col("off") + F.col("run") - F.col("n"), F.col("off") + F.col("run") - 1) for name, rank in ranks.items()}
+    some = reduce(lambda a, b: a | b, hit.values())
+    out = placed.where(some).groupBy("k").agg(F.first("total").alias("total"), *[F.max(F.when(h, F.col("v"))).alias(name) for name, h in hit.items()])
+    return out.select(*[F.col(f"k.{c}").alias(c) for c in keys], "total", *ranks)
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], x: str | Column, shares: dict[str, float]) -> DataFrame:
+    """The keys and exact quantiles by name, between two values by linear interpolation; groups without values give no row."""
+    place = lambda q: lambda total: (total - 1) * F.lit(q)
+    ranks = {f"{name}__{end}": (lambda total, q=q, cut_=cut_: cut_(place(q)(total))) for name, q in shares.items() for end, cut_ in (("lo", F.floor), ("hi", F.ceil))}
+    at = values_at_ranks(df, keys, x, ranks)
+    value = lambda name, q: F.col(f"{name}__lo") + (F.col(f"{name}__hi") - F.col(f"{name}__lo")) * (place(q)(F.col("total")) - F.floor(place(q)(F.col("total"))))
+    return at.select(*keys, *[value(name, q).alias(name) for name, q in shares.items()])
+
+
+def ordered_steps(df: DataFrame, x: str) -> DataFrame:
+    """(step): the differences between neighbours of the sorted distinct values; a partition's first value looks to the greatest before it."""
+    rows = _in_order(df, F.lit(0), F.col(x))
+    before = F.max("top").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    edges = rows.groupBy("part").agg(F.max("v").alias("top")).select("part", before.alias("edge"))
+    step = F.col("v") - F.coalesce(F.lag("v").over(Window.partitionBy("part").orderBy("v")), F.col("edge"))
+    return rows.join(edges, "part").select(step.alias("step")).where("step is not null")
+
+
 def profile(df: DataFrame, columns: list[str], percents=(0.10, 0.25, 0.50, 0.75, 0.90)) -> DataFrame:
     """AGG-21: count, mean, deviation, extremes and exact percentiles, a row for each column."""
-    stats = [F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"), F.percentile(c, F.array(*map(F.lit, percents))).alias("p")) for c in columns]
-    flat = df.agg(F.array(*stats).alias("s")).select(F.explode("s").alias("s")).select("s.*")
-    return flat.select("column", "n", "mean", "std", "min", "max", *[F.col("p")[i].alias(f"p{round(100 * q)}") for i, q in enumerate(percents)])
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("s")).select("s.*")
+    stats = long.groupBy("column").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    return stats.join(exact_quantiles(long, ["column"], "v", {f"p{round(100 * q)}": q for q in percents}), "column", "left")
 
 
 def mad_scale(df: DataFrame, keys: list[str], x: str) -> DataFrame:
     """NUM-10: 1.4826 times the median absolute deviation; the standard deviation where that is 0, and 1 where both are."""
-    mid = df.groupBy(*keys).agg(F.percentile(x, F.lit(0.5)).alias("median"), F.stddev_samp(x).alias("std"))
-    away = df.join(mid, keys).groupBy(*keys).agg(F.first("median").alias("median"), F.first("std").alias("std"), F.percentile(F.abs(F.col(x) - F.col("median")), F.lit(0.5)).alias("mad"))
-    return away.select(*keys, "median", F.when(F.col("mad") > 0, 1.4826 * F.col("mad")).when(F.col("std") > 0, F.col("std")).otherwise(1.0).alias("scale"))
+    spread = df.groupBy(*keys).agg(F.stddev_samp(x).alias("std"))
+    mid = spread.join(exact_quantiles(df, keys, x, {"median": 0.5}), keys, "left")
+    away = exact_quantiles(df.join(mid, keys), keys, F.abs(F.col(x) - F.col("median")), {"mad": 0.5})
+    scale = F.when(F.col("mad") > 0, 1.4826 * F.col("mad")).when(F.col("std") > 0, F.col("std")).otherwise(1.0)
+    return mid.join(away, keys, "left").select(*keys, "median", scale.alias("scale"))
 
 
 def completeness_gate(counts: DataFrame, date: str, ratio: float = 0.8, last: int = 14) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairgrid.operators.stored import cut
+
 
 def as_of_join(facts: DataFrame, events: DataFrame, keys: list[str], fact_date: str, event_date: str, values: list[str], keep_date: str | None = None) -> DataFrame:
     """JOIN-07: each fact with the latest event of its key on or before its date (an event of the same day counts).
@@ -87,11 +91,34 @@ def point_in_polygon(points: DataFrame, edges: DataFrame, stripe: float) -> Data
     return points.join(best, "id", "left")
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """JOIN-15: for each left (id, x, y, keys) the right (id2, x2, y2, keys) at the least squared distance; the smaller id2 of equals."""
-    d2 = F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2)
-    met = left.join(right, keys).withColumn("d2", d2)
-    return met.groupBy("id").agg(F.min_by("id2", F.struct("d2", "id2")).alias("id2"), F.min("d2").alias("d2"))
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], start: float, exclude_self: bool = False) -> DataFrame:
+    """JOIN-15: (id, id2, d2): for each left (id, x, y, keys) the right (id2, x2, y2, keys) at the least squared distance; the smaller id2 of equals.
+
+    Points look around themselves within ``start`` metres, and those without a hit within twice
+    as much, until all have one; each step is a distance join on buckets, so a region is never paired with itself. Of equal places only
+    the two smallest ids are kept. With ``exclude_self`` a point is not its own neighbour. Points whose keys have no other point give no row.
+    """
+    place = Window.partitionBy(*keys, "x2", "y2").orderBy("id2")
+    spots = cut(right.select("id2", "x2", "y2", *keys).withColumn("__n", F.row_number().over(place)).where("__n <= 2").drop("__n"))
+    partners = spots.groupBy(*keys).agg((F.min("id2") != F.max("id2")).alias("__several"), F.min("id2").alias("__only"))
+    lonely = ~F.col("__several") & (F.col("__only") == F.col("id")) if exclude_self else F.lit(False)
+    todo = cut(left.select("id", "x", "y", *keys).join(partners, keys).where(~lonely).drop("__several", "__only"))
+    box = left.select("x", "y").union(spots.select("x2", "y2")).agg((F.max("x") - F.min("x")).alias("w"), (F.max("y") - F.min("y")).alias("h")).first()
+    extent = (box["w"] or 0.0) + (box["h"] or 0.0)
+    found, reach = [], float(start)
+    while not todo.isEmpty():
+        pairs = distance_pairs(todo, spots, reach, keys)
+        if exclude_self:
+            pairs = pairs.where("id <> id2")
+        d2 = F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2)
+        best = cut(pairs.withColumn("d2", d2).groupBy("id").agg(F.min(F.struct("d2", "id2")).alias("b")).select("id", "b.id2", "b.d2"))
+        found.append(best)
+        if reach > extent:
+            break
+        todo, reach = cut(todo.join(best, "id", "left_anti")), 2 * reach
+    if not found:
+        return left.select("id").join(right.select("id2"), F.lit(False)).withColumn("d2", F.lit(0.0))
+    return reduce(DataFrame.unionByName, found)
 
 
 def snapshot_lookup(facts: DataFrame, snapshots: DataFrame, key: str, date: str, fill_before_first: bool = False) -> DataFrame:
@@ -104,32 +131,31 @@ def snapshot_lookup(facts: DataFrame, snapshots: DataFrame, key: str, date: str,
     return out
 
 
-def neighbour_components(cells: DataFrame, size: int, max_rounds: int = 40) -> DataFrame:
+def neighbour_components(cells: DataFrame, size: int, max_rounds: int = 60) -> DataFrame:
     """GEO-04: (cell_x, cell_y, component, mainland): cells joined through any of eight neighbours; the largest component is the mainland.
 
     Labels are numbers of cells. Every round takes the least label of a cell and its
     neighbours, then the label of that label, so rounds grow with the logarithm of the
-    land's extent; each round is checkpointed in the shared folder.
+    land's extent; each round is written to the shared folder. Labels that do not settle stop the job.
     """
-    spark = cells.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="fairgrid-"))
     ident = F.col("cell_x").cast("long") * 10_000_000_000 + F.col("cell_y")
-    nodes = cells.select("cell_x", "cell_y").distinct().withColumn("id", ident).checkpoint()
+    nodes = cells.select("cell_x", "cell_y").distinct().withColumn("id", ident)
+    nodes = cut(nodes)
     step = F.explode(F.array(*[F.struct(F.lit(i * size).alias("dx"), F.lit(j * size).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j])).alias("s")
     around = nodes.select(F.col("id").alias("a"), "cell_x", "cell_y", step).select("a", (F.col("cell_x") + F.col("s.dx")).alias("cell_x"), (F.col("cell_y") + F.col("s.dy")).alias("cell_y"))
-    edges = around.join(nodes.select("cell_x", "cell_y", F.col("id").alias("b")), ["cell_x", "cell_y"]).select("a", "b").checkpoint()
+    edges = cut(around.join(nodes.select("cell_x", "cell_y", F.col("id").alias("b")), ["cell_x", "cell_y"]).select("a", "b"))
     labels = nodes.select("id", F.col("id").alias("label"))
     for _ in range(max_rounds):
         near = edges.join(labels.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "label")
         least = labels.union(near).groupBy("id").agg(F.min("label").alias("label"))
-        jumped = least.join(labels.select(F.col("id").alias("label"), F.col("label").alias("far")), "label", "left").select("id", F.least("label", F.coalesce("far", "label")).alias("label")).checkpoint()
-        moved = jumped.join(labels.withColumnRenamed("label", "old"), "id").where("label <> old").limit(1).count()
+        far = labels.select(F.col("id").alias("label"), F.col("label").alias("far"))
+        jumped = cut(least.join(far, "label", "left").select("id", F.least("label", F.coalesce("far", "label")).alias("label")))
+        settled = jumped.join(labels.withColumnRenamed("label", "old"), "id").where("label <> old").isEmpty()
         labels = jumped
-        if not moved:
+        if settled:
             break
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     sizes = labels.groupBy("label").count()
     top = sizes.agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("top"))
     return nodes.join(labels, "id").crossJoin(F.broadcast(top)).select("cell_x", "cell_y", F.col("label").alias("component"), (F.col("label") == F.col("top")).alias("mainland"))

@@ -175,7 +175,10 @@ def agg_19_yearly_errors(spark, sf):
 
 @query("select p_brand, count(*) tried, count(*) filter (where p_size > 10) ok, min(p_retailprice) lo, round(quantile_cont(p_retailprice, 0.5), 3) mid, max(p_retailprice) hi from part group by 1")
 def agg_20_candidate_summary(spark, sf):
-    return read(spark, sf, "part").groupBy("p_brand").agg(F.count("*").alias("tried"), F.count_if(F.col("p_size") > 10).alias("ok"), F.min("p_retailprice").alias("lo"), half_up(F.percentile("p_retailprice", F.lit(0.5)), 3).alias("mid"), F.max("p_retailprice").alias("hi"))
+    t = read(spark, sf, "part")
+    mid = agg.exact_quantiles(t, ["p_brand"], "p_retailprice", {"mid": 0.5})
+    ends = t.groupBy("p_brand").agg(F.count("*").alias("tried"), F.count_if(F.col("p_size") > 10).alias("ok"), F.min("p_retailprice").alias("lo"), F.max("p_retailprice").alias("hi"))
+    return ends.join(mid, "p_brand", "left").withColumn("mid", half_up("mid", 3))
 
 
 _PROFILE = " union all ".join(f"select '{c}' \"column\", count({c}) n, round(avg({c}), 3) mean, round(stddev_samp({c}), 3) std, round(min({c}), 3) \"min\", round(max({c}), 3) \"max\", round(quantile_cont({c}, 0.1), 3) p10, round(quantile_cont({c}, 0.25), 3) p25, round(quantile_cont({c}, 0.5), 3) p50, round(quantile_cont({c}, 0.75), 3) p75, round(quantile_cont({c}, 0.9), 3) p90 from lineitem" for c in ("l_quantity", "l_extendedprice"))
@@ -250,19 +253,18 @@ def agg_31_dataset_catalogue(spark, sf):
 
 @query(f"with {_FAIR_SQL} select fuel, round(coalesce(quantile_cont(fair - low, 0.5), 10), 3) lower, round(coalesce(quantile_cont(high - fair, 0.5), 20), 3) upper from j group by 1")
 def agg_32_band_offset(spark, sf):
-    half = lambda c, other: half_up(F.coalesce(F.percentile(c, F.lit(0.5)), F.lit(other)), 3)
-    return _judged(spark, sf).groupBy("fuel").agg(half(F.col("fair") - F.col("low"), 10.0).alias("lower"), half(F.col("high") - F.col("fair"), 20.0).alias("upper"))
+    t = _judged(spark, sf).select("fuel", (F.col("fair") - F.col("low")).alias("below"), (F.col("high") - F.col("fair")).alias("above"))
+    fuels = t.select("fuel").distinct()
+    for name, c, other in (("lower", "below", 10.0), ("upper", "above", 20.0)):
+        fuels = fuels.join(agg.exact_quantiles(t, ["fuel"], c, {name: 0.5}), "fuel", "left").withColumn(name, half_up(F.coalesce(name, F.lit(other)), 3))
+    return fuels
 
 
 @query("""with v as (select distinct p_retailprice v from part), s as (select v - lag(v) over (order by v) step from v), r as (select step, row_number() over (order by step) rn, count(*) over () n from s where step is not null)
 select round(step, 3) step from r where rn = n // 2 + 1""")
 def agg_33_median_step(spark, sf):
-    from pyspark.sql import Window
-
-    w = Window.orderBy("v")
-    s = read(spark, sf, "part").select(F.col("p_retailprice").alias("v")).distinct().select((F.col("v") - F.lag("v").over(w)).alias("step")).where("step is not null")
-    r = s.withColumn("rn", F.row_number().over(Window.orderBy("step"))).withColumn("n", F.count("*").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    return r.where("rn = floor(n / 2) + 1").select(half_up("step", 3).alias("step"))
+    steps = agg.ordered_steps(read(spark, sf, "part"), "p_retailprice")
+    return agg.values_at_ranks(steps, [], "step", {"step": lambda n: F.floor(n / 2)}).select(half_up("step", 3).alias("step"))
 
 
 @query(f"with {GRID_SQL}, a as (select d, fuel, sum(price * w) / sum(w) m from grid group by all) select grid.d, fuel, grid_id, round(price - m, 3) spread from grid join a using (d, fuel)")

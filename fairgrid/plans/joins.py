@@ -106,11 +106,11 @@ def join_10_snapshot_lookup(spark, sf):
     return out.select("station_id", "d", half_up("value", 3).alias("value"), "source_date")
 
 
-@query(f"""with {GRID_SQL}, c as (select d, grid_id, cell_x x, cell_y y, sum(n) n from grid where d between date '1997-01-01' and date '1997-03-31' group by all)
+@query(f"""with {GRID_SQL}, c as (select d, grid_id, cell_x x, cell_y y, sum(n) n from grid group by all)
 select a.d, a.grid_id, round(coalesce(sum(b.n * exp(-sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) / 1000.0)), 0), 3) influence from c a left join c b on a.d = b.d and a.grid_id <> b.grid_id and (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 1500 * 1500 group by all""")
 def join_11_daily_influence(spark, sf):
-    """Station influence on each cell of three months, cell itself left out, pairs at the cut-off counted."""
-    c = grid_day(spark, sf).where("d between date'1997-01-01' and date'1997-03-31'").groupBy("d", F.col("grid_id").alias("id"), F.col("cell_x").cast("double").alias("x"), F.col("cell_y").cast("double").alias("y")).agg(F.sum("n").alias("n"))
+    """Station influence on each cell of every day, cell itself left out, pairs at the cut-off counted."""
+    c = grid_day(spark, sf).groupBy("d", F.col("grid_id").alias("id"), F.col("cell_x").cast("double").alias("x"), F.col("cell_y").cast("double").alias("y")).agg(F.sum("n").alias("n"))
     out = joins.decay_sum(c.drop("n"), c.select("d", F.col("id").alias("id2"), F.col("x").alias("x2"), F.col("y").alias("y2"), "n"), 1500.0, 1000.0, F.col("n"), keys=["d"])
     return out.select("d", F.col("id").alias("grid_id"), half_up("influence", 3).alias("influence"))
 
@@ -154,8 +154,7 @@ def join_15_nearest_in_region(spark, sf):
     s = stations(spark, sf)
     one = s.select(F.col("station_id").alias("id"), "region", F.col("cell_x").cast("double").alias("x"), F.col("cell_y").cast("double").alias("y"))
     two = s.select(F.col("station_id").alias("id2"), "region", F.col("cell_x").cast("double").alias("x2"), F.col("cell_y").cast("double").alias("y2"))
-    met = one.join(two, "region").where("id <> id2").withColumn("d2", F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2))
-    return met.groupBy("id").agg(F.min_by("id2", F.struct("d2", "id2")).alias("id2"), half_up(F.min("d2"), 3).alias("d2"))
+    return joins.nearest(one, two, ["region"], 500.0, exclude_self=True).select("id", "id2", half_up("d2", 3).alias("d2"))
 
 
 @query(f"with {STATION_SQL}, land as (select distinct cell_x, cell_y from station where cell_x < 3000) select distinct cell_x, cell_y from station anti join land using (cell_x, cell_y)")

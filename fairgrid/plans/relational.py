@@ -80,12 +80,22 @@ def flt_04_exclusion_mask(spark, sf):
     return domestic(spark, sf).join(days, "d", "left").select("d", F.coalesce("hit", F.lit(False)).alias("excluded"))
 
 
-@query(f"""with {POLICY_SQL}, w as (select name, start - 7 a, "end" + 7 b from policies)
+#: Dated ranges from the given tables: of each customer the days from the first to the last order of a priority; an urgent one has no end yet.
+_RANGE_SQL = """ranges as (select o_custkey || ' ' || o_orderpriority as name, cast(min(o_orderdate) as date) as start, case when o_orderpriority <> '1-URGENT' then cast(max(o_orderdate) as date) end as "end" from orders group by o_custkey, o_orderpriority)"""
+
+
+def _ranges(spark, sf):
+    last = F.when(F.col("o_orderpriority") != "1-URGENT", F.to_date(F.max("o_orderdate")))
+    by = read(spark, sf, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.to_date(F.min("o_orderdate")).alias("start"), last.alias("end"))
+    return by.select(F.concat_ws(" ", F.col("o_custkey").cast("string"), "o_orderpriority").alias("name"), "start", "end")
+
+
+@query(f"""with {_RANGE_SQL}, w as (select name, start - 7 a, "end" + 7 b from ranges)
 select name, cast(a + cast(6 - dayofweek(a) as int) as date) first_week, cast(b + cast(6 - dayofweek(b) as int) as date) last_week from w""")
 def flt_05_widen_to_weeks(spark, sf):
     from fairgrid.functions.dates import saturday_week
 
-    return policies(spark).select("name", saturday_week(F.date_sub("start", 7)).alias("first_week"), saturday_week(F.date_add("end", 7)).alias("last_week"))
+    return _ranges(spark, sf).select("name", saturday_week(F.date_sub("start", 7)).alias("first_week"), saturday_week(F.date_add("end", 7)).alias("last_week"))
 
 
 @query(f"with {OBS_SQL} select fuel, count(*) n from obs where d between date '1996-03-10' and date '1996-12-31' or d between date '2000-01-01' and date '2000-06-30' group by 1")
@@ -124,10 +134,10 @@ def flt_12_price_sanity(spark, sf):
     return t.where("price > 0").withColumn("price", half_up("price", 2))
 
 
-@query(f"with {POLICY_SQL} select name from policies where (start is null or start <= date '1996-11-15') and (\"end\" is null or \"end\" >= date '1996-11-15')")
+@query(f"with {_RANGE_SQL} select name from ranges where (start is null or start <= date '1996-11-15') and (\"end\" is null or \"end\" >= date '1996-11-15')")
 def flt_13_policies_in_force(spark, sf):
     d = F.lit("1996-11-15").cast("date")
-    return policies(spark).where(frames.within(d, F.col("start"), F.col("end"))).select("name")
+    return _ranges(spark, sf).where(frames.within(d, F.col("start"), F.col("end"))).select("name")
 
 
 @query(f"""with {GRID_SQL}, c as (select d, count(*) n from grid group by 1), m as (select quantile_cont(n, 0.5) median from (select n from c order by d desc limit 14))

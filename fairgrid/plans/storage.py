@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fairgrid.functions.numbers import half_up
+from fairgrid.operators import frames
 from fairgrid.operators.frames import rounded
 from fairgrid.sources import readers, sinks
 from fairgrid.streaming import jobs
@@ -23,21 +24,32 @@ def src_01_csv_with_header_map(spark, sf):
     return rounded(readers.read_dataset(spark, out, "crude"), 2)
 
 
-@query(f"with {OBS_SQL} select d as date, 'A' || station_id station_id, round(max(price), 3) price, 'diesel' fuel from obs where fuel = 'diesel' and station_id < 8 group by all")
-def src_05_wide_station_matrix(spark, sf):
-    """SRC-05, RSH-02: a matrix with a column for each station, written and melted again for the wanted stations."""
-    out = sinks.work_folder(spark, "matrix")
-    o = observations(spark, sf).where("fuel = 'diesel' and station_id < 12").withColumn("id", F.concat(F.lit("A"), F.col("station_id").cast("string")))
-    o.groupBy(F.date_format("d", "yyyyMMdd").alias("date")).pivot("id", [f"A{k}" for k in range(12)]).agg(half_up(F.max("price"), 3)).write.option("header", True).csv(out)
-    return readers.read_wide_prices(spark, [out], [f"A{k}" for k in range(8)], "diesel").select("date", "station_id", "price", "fuel")
+#: Station columns of one matrix, and stations of one nested document.
+_COLUMNS, _STATIONS = 200, 500
 
 
-@query("select 'A' || user_id station_id, cast(ts as date) effective_date, cast(event_id as varchar) brand from events where user_id < 40")
+@query(f"with {OBS_SQL} select d as date, 'A' || station_id station_id, round(max(price), 3) price, 'diesel' fuel from obs where fuel = 'diesel' group by all")
+def src_05_wide_station_matrix(spark, sf):
+    """SRC-05, RSH-02: matrices with a column for each station, so many to a file, written and melted again."""
+    o = observations(spark, sf).where("fuel = 'diesel'").withColumn("id", F.concat(F.lit("A"), F.col("station_id").cast("string")))
+    names = sorted(r.id for r in o.select("id").distinct().collect())  # the header row itself
+    parts = []
+    for at in range(0, len(names), _COLUMNS):
+        own, out = names[at : at + _COLUMNS], sinks.work_folder(spark, "matrix")
+        wide = o.where(F.col("id").isin(own)).groupBy(F.date_format("d", "yyyyMMdd").alias("date")).pivot("id", own).agg(half_up(F.max("price"), 3))
+        wide.write.option("header", True).csv(out)
+        parts.append(readers.read_wide_prices(spark, [out], own, "diesel"))
+    return frames.reduce(lambda a, b: a.unionByName(b), parts).select("date", "station_id", "price", "fuel")
+
+
+@query("select 'A' || user_id station_id, cast(ts as date) effective_date, cast(event_id as varchar) brand from events")
 def src_06_station_history(spark, sf):
-    """SRC-06: one nested document of attribute histories, read as a row for each entry."""
+    """SRC-06: nested documents of attribute histories, so many stations to one, read as a row for each entry."""
     out = sinks.work_folder(spark, "meta")
-    e = read(spark, sf, "events").where("user_id < 40").groupBy(F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("k")).agg(F.collect_list(F.array(F.date_format("ts", "yyyy-MM-dd"), F.col("event_id").cast("string"))).alias("brand"))
-    e.groupBy((F.xxhash64("k") % 4).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", F.struct("brand"))))).alias("value")).repartition("part").write.partitionBy("part").text(out)
+    e = read(spark, sf, "events")
+    n_docs = max(1, -(-e.agg(F.count_distinct("user_id")).first()[0] // _STATIONS))
+    e = e.groupBy(F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("k")).agg(F.collect_list(F.array(F.date_format("ts", "yyyy-MM-dd"), F.col("event_id").cast("string"))).alias("brand"))
+    e.groupBy(F.pmod(F.xxhash64("k"), F.lit(n_docs)).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", F.struct("brand"))))).alias("value")).repartition("part").write.partitionBy("part").text(out)
     return readers.read_station_history(spark, out, "brand").select("station_id", "effective_date", F.col("values")[0].alias("brand"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from fairgrid.functions import dates, numbers, text
 from fairgrid.operators.frames import last_per_key, rename
+from fairgrid.operators.stored import cut
 
 #: Encodings of the source files, in the order in which they are tried.
 ENCODINGS = ("UTF-8", "cp949", "euc-kr")
@@ -146,7 +147,12 @@ def read_facilities(spark: SparkSession, path: str, encoding: str = "UTF-8") ->
     rows = df.select(kind.alias("kind"), pick("이름", "name").alias("name"), pick("주소", "address").alias("address"), numbers.parse_number(pick("경도", "lon", "longitude")).alias("lon"), numbers.parse_number(pick("위도", "lat", "latitude")).alias("lat"), F.monotonically_increasing_id().alias("__at"))
     from pyspark.sql import Window
 
-    return rows.withColumn("facility_id", F.format_string("F%06d", F.row_number().over(Window.orderBy("__at")))).drop("__at")
+    # a scan numbers rows by partition, so only the partitions' counts meet in one task
+    rows = cut(rows.withColumn("__part", F.shiftright("__at", 33)))
+    before = F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = rows.groupBy("__part").agg(F.count("*").alias("n")).select("__part", F.coalesce(before, F.lit(0)).alias("__off"))
+    number = F.col("__off") + F.row_number().over(Window.partitionBy("__part").orderBy("__at"))
+    return rows.join(F.broadcast(offsets), "__part").withColumn("facility_id", F.format_string("F%06d", number)).drop("__at", "__part", "__off")
 
 
 def land_price_snapshots(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from fairgrid.functions.numbers import safe_json_number
 from fairgrid.operators.frames import last_per_key
+from fairgrid.operators.stored import new_folder
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -78,9 +79,5 @@ def cached(spark: SparkSession, folder: str, conditions: dict, inputs: list[str]
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the storage that the cluster shares (``spark.checkpoint.dir``); a temporary one only where that is unset."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="fairgrid-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    """A new folder in the storage that the cluster shares."""
+    return new_folder(spark, name)
