@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairgrid.operators.stored import cut
+
 HISTORY = 29
 
 
@@ -80,6 +82,7 @@ def residual_band(df: DataFrame, keys: list[str], order: str, residual: str, eli
     numbered = df.withColumn("__ok", eligible & F.col(residual).isNotNull()).withColumn("__seen", F.coalesce(F.sum(F.col("__ok").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     first = F.min(F.when(F.col("__seen") >= least, F.col("__rn"))).over(Window.partitionBy(*keys))
     numbered = numbered.withColumn("__rn", F.row_number().over(w)).withColumn("__first", first).withColumn("__slot", F.when(F.col("__rn") >= F.col("__first"), F.floor((F.col("__rn") - F.col("__first")) / refresh)))
+    numbered = cut(numbered)  # used three times
     turns = numbered.where((F.col("__slot").isNotNull()) & ((F.col("__rn") - F.col("__first")) % refresh == 0)).select(*keys, "__slot", "__seen")
     wanted = turns.select(*keys, "__slot", "__seen", F.explode(F.array_distinct(F.array(F.floor((F.greatest(F.col("__seen") - cap, F.lit(0))) / cap), F.floor((F.col("__seen") - 1) / cap)))).alias("__block"))
     pool = numbered.where("__ok").select(*keys, F.col("__seen").alias("__no"), F.floor(F.col("__seen") / cap).alias("__block"), F.col(residual).alias("__r"))

@@ -251,10 +251,10 @@ def _state(spark, sf):
     s = _events(spark, sf).select(F.to_date("ts").alias("date"), "grid_id", "price", "seq")
     out = sinks.work_folder(spark, "state")
     jobs.keep_last_state(s, out, sinks.work_folder(spark, "state-offsets")).awaitTermination()
-    return jobs.read_state(spark, out, days=14)
+    return jobs.read_state(spark, out)
 
 
-@query(f"with {_LAST_SQL} select date, grid_id, round(price, 3) price from l where date > (select max(date) from l) - 14")
+@query(f"with {_LAST_SQL} select date, grid_id, round(price, 3) price from l where date > (select max(date) from l) - 45")
 def stm_02_rolling_state(spark, sf):
     """STM-01, STM-02, STM-03: the stream kept as a rolling table, last write wins."""
     return rounded(_state(spark, sf).drop("seq"))
@@ -276,11 +276,12 @@ def stm_03_skip_without_gain(spark, sf):
     s = _events(spark, sf).select(F.to_date("ts").alias("date"), "grid_id", "price", "seq")
     out = sinks.work_folder(spark, "state")
     jobs.keep_last_state(s, out, sinks.work_folder(spark, "first-offsets")).awaitTermination()
-    jobs.keep_last_state(s.withColumn("price", F.col("price") + 1).withColumn("seq", F.col("seq") + 1_000_000_000), out, sinks.work_folder(spark, "second-offsets")).awaitTermination()
+    later = s.withColumn("price", F.col("price") + 1).withColumn("seq", F.col("seq") + 1_000_000_000)
+    jobs.keep_last_state(later, out, sinks.work_folder(spark, "second-offsets"), skip_without_gain=True).awaitTermination()
     return rounded(spark.read.parquet(out).select("date", "grid_id", "price"))
 
 
-@query(f"""with {_LAST_SQL}, s as (select * from l where date > (select max(date) from l) - 14), c as (select date, count(*) n from s group by 1), m as (select quantile_cont(n, 0.5) med from (select n from c order by date desc limit 14)), d as (select max(date) as top from c, m where n >= 0.8 * med)
+@query(f"""with {_LAST_SQL}, s as (select * from l where date > (select max(date) from l) - 45), c as (select date, count(*) n from s group by 1), m as (select quantile_cont(n, 0.5) med from (select n from c order by date desc limit 14)), d as (select max(date) as top from c, m where n >= 0.8 * med)
 select date + 1 as date, grid_id, round(price, 3) prediction from s, d where date = top""")
 def stm_05_next_day(spark, sf):
     state = _state(spark, sf)

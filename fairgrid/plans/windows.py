@@ -59,12 +59,17 @@ def flt_07_sequence_quality(spark, sf):
     return windows.lookback_quality(t, ["k"], "d", "x", "policy").where("usable").select("d")
 
 
-@query(f"with {_STATION_DAY}, t as (select station_id, d, lag(x, 1) over w - lag(x, 2) over w a, lag(x, 2) over w - lag(x, 3) over w b from sd window w as (partition by station_id order by d)) select station_id, d, round(a, 3) delta1, round(b, 3) delta2 from t where b is not null")
+_STEPS = 28
+_LAGS_SQL = ", ".join(f"round(lag(x, {k}) over w, 3) lag{k}" + (f", round(lag(x, {k}) over w - lag(x, {k + 1}) over w, 3) delta{k}" if k < _STEPS else "") for k in range(1, _STEPS + 1))
+
+
+@query(f"with {_STATION_DAY}, t as (select station_id, d, {_LAGS_SQL} from sd window w as (partition by station_id order by d)) select * from t where lag{_STEPS} is not null")
 def win_06_lag_differences(spark, sf):
-    """The last 28 levels as one array over one window; differences are taken from it."""
-    t = windows.lag_sequence(_station_day(spark, sf), ["x"], 3, ["station_id"], "d").where("sequence is not null")
-    v = lambda i: F.col("sequence")[i][0]
-    return t.select("station_id", "d", half_up(v(2) - v(1), 3).alias("delta1"), half_up(v(1) - v(0), 3).alias("delta2"))
+    """The last 28 levels as one array over one window; levels and differences are taken from it."""
+    t = windows.lag_sequence(_station_day(spark, sf), ["x"], _STEPS, ["station_id"], "d").where("sequence is not null")
+    v = lambda k: F.col("sequence")[_STEPS - k][0]
+    levels = [half_up(v(k), 3).alias(f"lag{k}") for k in range(1, _STEPS + 1)]
+    return t.select("station_id", "d", *levels, *[half_up(v(k) - v(k + 1), 3).alias(f"delta{k}") for k in range(1, _STEPS)])
 
 
 @query(f"with {_STATION_DAY}, t as (select station_id, d, count(*) over w n, round(avg(x) over w, 3) mean, policy from sd window w as (partition by station_id order by d rows between 28 preceding and 1 preceding)) select station_id, d, mean from t where n = 28")
@@ -149,14 +154,14 @@ def win_17_daily_delta(spark, sf):
 
 
 _BAND_SQL = f"""{_STATION_DAY}, t as (select station_id, d, x - 1500 r, day(d) <> 5 ok from sd), n as (select *, coalesce(sum(cast(ok as int)) over (partition by station_id order by d rows between unbounded preceding and 1 preceding), 0) seen, row_number() over (partition by station_id order by d) rn from t),
-f as (select *, min(case when seen >= 20 then rn end) over (partition by station_id) f0 from n), k as (select *, case when rn >= f0 then (rn - f0) // 7 end slot from f),
-b as (select a.station_id, a.slot, quantile_cont(p.r, 0.15) q_low, quantile_cont(p.r, 0.85) q_high from k a join k p on p.station_id = a.station_id and p.ok and p.seen < a.seen and p.seen >= a.seen - 100 where a.slot is not null and (a.rn - a.f0) % 7 = 0 group by all)"""
+f as (select *, min(case when seen >= 120 then rn end) over (partition by station_id) f0 from n), k as (select *, case when rn >= f0 then (rn - f0) // 7 end slot from f),
+b as (select a.station_id, a.slot, quantile_cont(p.r, 0.15) q_low, quantile_cont(p.r, 0.85) q_high from k a join k p on p.station_id = a.station_id and p.ok and p.seen < a.seen and p.seen >= a.seen - 1200 where a.slot is not null and (a.rn - a.f0) % 7 = 0 group by all)"""
 
 
 @query(f"with {_BAND_SQL} select k.station_id, d, round(q_low, 3) q_low, round(q_high, 3) q_high from k left join b using (station_id, slot)")
 def win_18_residual_band(spark, sf):
     t = _station_day(spark, sf).select("station_id", "d", (F.col("x") - 1500).alias("r"))
-    out = windows.residual_band(t, ["station_id"], "d", "r", F.dayofmonth("d") != 5, 0.7, cap=100, least=20)
+    out = windows.residual_band(t, ["station_id"], "d", "r", F.dayofmonth("d") != 5, 0.7)
     return frames.rounded(out.select("station_id", "d", "q_low", "q_high"))
 
 

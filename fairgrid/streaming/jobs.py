@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,20 +27,34 @@ def daily_grid(stream: DataFrame, delay: str = "7 days") -> DataFrame:
 
 
 def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    from pyspark.errors import AnalysisException
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())])).parquet(path)
+
+
+def _stored_days(spark: SparkSession, path: str) -> dict:
+    """The state's day folders by date, from their names alone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return {}
+    names = [f.getPath() for f in fs.listStatus(folder) if f.isDirectory() and f.getPath().getName().startswith("day=")]
+    return {dt.date.fromisoformat(n.getName()[4:]): n for n in names}
+
 
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+def evict(spark: SparkSession, path: str, days: int) -> None:
+    """Delete the day folders that lie ``days`` days or more before the newest."""
+    stored = _stored_days(spark, path)
+    for day, folder in stored.items():
+        if day <= max(stored) - dt.timedelta(days):
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def keep_last_state(stream: DataFrame, path: str, checkpoint: str, days: int = 45, backfill_days: int = 7, keys: tuple[str, ...] = ("date", "grid_id"), order: str = "seq", skip_without_gain: bool = True) -> StreamingQuery:
-    """STM-01, STM-02, STM-03: a rolling table of the last ``days`` days by month folder, the row with the highest ``order`` winning.
+def keep_last_state(stream: DataFrame, path: str, checkpoint: str, days: int = 45, backfill_days: int = 7, keys: tuple[str, ...] = ("date", "grid_id"), order: str = "seq", skip_without_gain: bool = False) -> StreamingQuery:
+    """STM-01, STM-02, STM-03: a rolling table of the last ``days`` days in a folder for each day, the row with the highest ``order`` winning.
 
     ``stream`` has date, the keys, ``order`` and values. Rows more than ``backfill_days`` older than
-    the newest stored date are late and go. A batch that adds no date and no key to any date is skipped if asked. Only
-    the dates that a batch touches are written anew, each batch to its own folder by date, so a batch that runs again writes the same rows.
+    the newest stored date are late and go, and so do rows ``days`` days older than the newest of their batch. A batch that adds no date and no key to any date is skipped if asked; corrections then go, too. Only
+    the dates that a batch touches are read and written anew, so a batch that runs again writes the same rows; then old folders are deleted. The newest date comes from the
+    folders' names, so neither storage nor work grows with the stream's age.
     """
     from fairgrid.operators.frames import last_per_key
 
@@ -46,17 +62,23 @@ def keep_last_state(stream: DataFrame, path: str, checkpoint: str, days: int = 4
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        old = _table(spark, path, schema).drop("day")
-        newest = old.agg(F.max("date").alias("top"))
-        fresh = batch.crossJoin(F.broadcast(newest)).where(F.col("top").isNull() | (F.col("date") > F.date_sub("top", backfill_days))).drop("top")
-        touched = fresh.select("date").distinct()
+        stored = _stored_days(spark, path)
+        fresh = batch.where(F.col("date") > F.lit(max(stored) - dt.timedelta(backfill_days))) if stored else batch
+        newest = fresh.agg(F.max("date")).first()[0]
+        if newest is None:
+            return
+        fresh = fresh.where(F.col("date") > F.lit(max([newest, *stored]) - dt.timedelta(days)))
+        touched = [r.date for r in fresh.select("date").distinct().collect()]  # at most ``days`` dates
+        old = _table(spark, path, schema) if stored else spark.createDataFrame([], schema)
+        old = (old.where(F.col("day").isin(touched)) if stored else old).select(*schema.names)
         if skip_without_gain:
-            before = old.join(F.broadcast(touched), "date", "left_semi").select(*keys)
-            if not fresh.select(*keys).distinct().join(before, list(keys), "left_anti").limit(1).count():
+            before = old.select(*keys)
+            if fresh.select(*keys).distinct().join(before, list(keys), "left_anti").isEmpty():
                 return
-        both = old.join(F.broadcast(touched), "date", "left_semi").withColumn("__new", F.lit(0)).unionByName(fresh.withColumn("__new", F.lit(1)))
+        both = old.withColumn("__new", F.lit(0)).unionByName(fresh.withColumn("__new", F.lit(1)))
         merged = last_per_key(both, list(keys), [F.col(order), F.col("__new")]).drop("__new")
         merged.withColumn("day", F.col("date")).repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+        evict(spark, path, days)
 
     return stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

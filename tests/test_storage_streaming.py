@@ -101,13 +101,17 @@ def test_batches_without_gain_are_skipped_and_late_rows_go(spark, tmp_path):
 
     def deliver(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        jobs.keep_last_state(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/state", f"{tmp_path}/offsets").awaitTermination()
+        jobs.keep_last_state(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/state", f"{tmp_path}/offsets", days=10, skip_without_gain=True).awaitTermination()
         return sorted((r.date.day, r.price) for r in spark.read.parquet(f"{tmp_path}/state").collect())
 
     d = lambda k: dt.date(2024, 1, k)
     assert deliver([(d(20), "G", 1.0, 1)]) == [(20, 1.0)]
     assert deliver([(d(20), "G", 9.0, 2)]) == [(20, 1.0)]
     assert deliver([(d(2), "G", 5.0, 3), (d(21), "G", 6.0, 4)]) == [(20, 1.0), (21, 6.0)]
+    # the state forgets: folders ten days before the newest are gone, and what comes for them is late
+    assert deliver([(d(30), "G", 7.0, 5), (d(25), "G", 7.5, 6)]) == [(21, 6.0), (25, 7.5), (30, 7.0)]
+    assert deliver([(d(20), "G", 8.0, 7), (d(31), "G", 9.0, 8), (d(31), "H", 9.5, 9)]) == [(25, 7.5), (30, 7.0), (31, 9.0), (31, 9.5)]
+    assert sorted(f.name for f in tmp_path.joinpath("state").glob("day=*")) == ["day=2024-01-25", "day=2024-01-30", "day=2024-01-31"]
 
 
 def test_next_day(spark):
