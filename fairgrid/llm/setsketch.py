@@ -296,9 +296,10 @@ def _least_leaders(member: DataFrame) -> DataFrame:
 
 def _in_parts(member: DataFrame, parts: DataFrame) -> DataFrame:
     """``member`` (bucket, doc_id, ...) with its ``part`` from ``parts`` (doc_id, part), without the buckets that lie in one part."""
-    own = cut(member.select("bucket", "doc_id").join(parts, "doc_id", "left").select("bucket", "doc_id", F.coalesce("part", "doc_id").alias("part")))
-    mixed = own.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("bucket")
-    return cut(own.join(mixed, "bucket", "left_semi"))
+    part = F.coalesce("part", "doc_id").alias("part")
+    placed = lambda m: m.select("bucket", "doc_id").join(parts, "doc_id", "left").select("bucket", "doc_id", part)
+    mixed = cut(placed(member).groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("bucket"))
+    return cut(placed(member.join(mixed, "bucket", "left_semi")))
 
 
 def _merged_parts(parts: DataFrame | None, links: DataFrame) -> DataFrame:
