@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairgrid.operators.stored import cut
+
 
 # ---- cross products in Spark, solutions on a row for each series -------------------------------------------------
 
@@ -52,45 +55,204 @@ def regressions(grams: DataFrame, keys: list[str], size: int) -> DataFrame:
     return grams.mapInPandas(run, schema)
 
 
-def lag_design(df: DataFrame, keys: list[str], order: str, y: str, x: str, p: int, q: int, causal: bool = True) -> tuple[DataFrame, list[str]]:
-    """WIN-02 for a lag model: y lags 1..p, then x lags from 1 (or 0 if not causal) to q, over one window."""
+def lag_design(df: DataFrame, keys: list[str], order: str, y: str, x: str, p: int, q: int, causal: bool = True, dummies: bool = False) -> tuple[DataFrame, list[str]]:
+    """WIN-02 for a lag model: y lags 1..p, then x lags from 1 (or 0 if not causal) to q, over one window; with ``dummies`` first six weekdays and eleven months."""
     w = Window.partitionBy(*keys).orderBy(order)
+    day = {f"wd{k}": (F.weekday(order) == k).cast("double") for k in range(1, 7)} | {f"mo{k}": (F.month(order) == k).cast("double") for k in range(2, 13)} if dummies else {}
     own = {f"y{i}": F.lag(y, i).over(w) for i in range(1, p + 1)}
     other = {f"x{j}": F.lag(x, j).over(w) for j in range(1 if causal else 0, q + 1)}
-    return df.withColumns(own | other).withColumn("__rn", F.row_number().over(w)), [*own, *other]
+    return df.withColumns(day | own | other).withColumn("__rn", F.row_number().over(w)), [*day, *own, *other]
+
+
+def wide_gram(df: DataFrame, keys: list[str], xs: list[str], y: str) -> DataFrame:
+    """(keys, n, zz): the flat cross products of constant, ``xs`` and ``y``, for designs of many columns.
+
+    Each task adds up what it reads as one matrix product; the matrices are then added position by position. Rows with a missing value are left out.
+    """
+    size = len(xs) + 2
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keys)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for f in frames:
+            for key, rows in f.groupby(keys, dropna=False):
+                z = np.column_stack([np.ones(len(rows)), rows[[*xs, y]].to_numpy(float)])
+                z = z[np.isfinite(z).all(1)]
+                n, m = sums.get(key, (0, np.zeros((size, size))))
+                sums[key] = n + len(z), m + z.T @ z
+        yield pd.DataFrame([[*key, n, m.ravel().tolist()] for key, (n, m) in sums.items()], columns=[*keys, "n", "zz"])
+
+    parts = df.select(*keys, *[F.col(c).cast("double") for c in [*xs, y]]).mapInPandas(run, f"{fields}, n long, zz array<double>")
+    cells = parts.select(*keys, "n", F.posexplode("zz").alias("pos", "v")).groupBy(*keys, "pos").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    return cells.groupBy(*keys).agg(F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda c: c["v"]).alias("zz"))
 
 
-def order_search(df: DataFrame, keys: list[str], order: str, y: str, x: str, max_p: int, max_q: int, train: int) -> DataFrame:
-    """ML-02: every order (p, q) on a common sample: the first ``train`` rows fit, the rest score out of sample.
+def _solve_scaled(m: np.ndarray, xy: np.ndarray) -> np.ndarray:
+    scale = np.sqrt(np.maximum(np.diag(m), 1e-300))
+    try:
+        return np.linalg.solve(m / np.outer(scale, scale) + 1e-12 * np.eye(len(m)), xy / scale) / scale
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(m, xy, rcond=None)[0]
+
+
+#: Candidates that each of the two shortlists takes, autocorrelations tested, and levels of the tests.
+SHORTLIST, BOX_LAGS, LEVEL = 10, 14, 0.05
+
+
+def order_search(df: DataFrame, keys: list[str], order: str, y: str, x: str, max_p: int, max_q: int, train: int, dummies: bool = True) -> DataFrame:
+    """ML-02: the best orders (p, q) on a common sample: the first ``train`` rows fit, the rest score out of sample.
 
     Spark builds the cross products of the largest design once, for fit and for score; each
-    candidate solves a sub-matrix, and its errors on the later rows follow from their cross
-    products alone. Columns: keys, p, q, r2, aic, bic, oos_rmse, stable, rank.
+    order solves a sub-matrix, and its errors on the later rows and its block test follow from cross
+    products alone. The SHORTLIST best by BIC and by AIC go on. Their residuals are rows of Spark, whose lagged products give the Ljung-Box test. Tiers: stable with clean residuals and
+    a significant block of foreign lags (1), stable with such a block (2), stable (3), any (4); inside a tier by the error out of sample.
+    Columns: keys, p, q, tried, n, r2, aic, bic, oos_rmse, stable, block_f, block_p, box_q, box_p, hac_error, tier, rank, beta (constant, own lags, foreign lags; dummies left out).
     """
-    design, xs = lag_design(df, keys, order, y, x, max_p, max_q)
-    fit = gram(design, keys, xs, y, F.col("__rn") <= train)
-    score = gram(design, keys, xs, y, F.col("__rn") > train).select(*keys, F.col("n").alias("n2"), F.col("xx").alias("xx2"), F.col("xy").alias("xy2"), F.col("yy").alias("yy2"))
+    design, xs = lag_design(df, keys, order, y, x, max_p, max_q, dummies=dummies)
+    whole = F.col(y).isNotNull()
+    for c in xs:
+        whole = whole & F.col(c).isNotNull()
+    design = cut(design.where(whole).select(*keys, order, "__rn", y, *xs))
+    fit = wide_gram(design.where(F.col("__rn") <= train), keys, xs, y)
+    score = wide_gram(design.where(F.col("__rn") > train), keys, xs, y).select(*keys, F.col("n").alias("n2"), F.col("zz").alias("zz2"))
     both = fit.join(score, keys)
-    size = len(xs) + 1
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both.schema if f.name in keys) + ", p int, q int, r2 double, aic double, bic double, oos_rmse double, stable boolean"
+    size, base = len(xs) + 1, len(xs) - max_p - max_q + 1
+    key_fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both.schema if f.name in keys)
+    names = ["p", "q", "tried", "n", "r2", "aic", "bic", "oos_rmse", "stable", "block_f", "block_p", "beta", "whole", "hac_row"]
+    schema = key_fields + ", p int, q int, tried int, n long, r2 double, aic double, bic double, oos_rmse double, stable boolean, block_f double, block_p double, beta array<double>, whole array<double>, hac_row array<double>"
+
+    def columns(p: int, q: int) -> list[int]:
+        return [*range(base), *range(base, base + p), *range(base + max_p, base + max_p + q)]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
             for r in f.to_dict("records"):
-                xx, xx2, xy, xy2 = _square(r["xx"], size), _square(r["xx2"], size), np.asarray(r["xy"]), np.asarray(r["xy2"])
+                m, m2, n = _square_of(r["zz"]), _square_of(r["zz2"]), r["n"]
+                xx, xy, yy, xx2, xy2, yy2 = m[:size, :size], m[:size, size], m[size, size], m2[:size, :size], m2[:size, size], m2[size, size]
+                tss = max(yy - xy[0] ** 2 / n, 1e-12)
+                found = []
                 for p in range(max_p + 1):
+                    own = columns(p, 0)
+                    rss0 = max(yy - _solve_scaled(xx[np.ix_(own, own)], xy[own]) @ xy[own], 1e-12)
                     for q in range(1, max_q + 1):
-                        at = [0, *range(1, p + 1), *range(max_p + 1, max_p + q + 1)]
-                        s = solve(xx[np.ix_(at, at)], xy[at], r["yy"], r["n"])
-                        b = np.asarray(s["beta"])
-                        sse = r["yy2"] - 2 * b @ xy2[at] + b @ xx2[np.ix_(at, at)] @ b
-                        out.append([*(r[k] for k in keys), p, q, s["r2"], s["aic"], s["bic"], math.sqrt(max(sse, 0) / r["n2"]), is_stable(b[1 : p + 1])])
-            yield pd.DataFrame(out, columns=[*keys, "p", "q", "r2", "aic", "bic", "oos_rmse", "stable"])
+                        at = columns(p, q)
+                        b = _solve_scaled(xx[np.ix_(at, at)], xy[at])
+                        rss = max(yy - 2 * b @ xy[at] + b @ xx[np.ix_(at, at)] @ b, 1e-12)
+                        sse = yy2 - 2 * b @ xy2[at] + b @ xx2[np.ix_(at, at)] @ b
+                        free, k = n - len(at), len(at)
+                        found.append((n * math.log(rss / n) + k * math.log(n), n * math.log(rss / n) + 2 * k, p, q, b, 1 - rss / tss, math.sqrt(max(sse, 0) / r["n2"]), max(0.0, (rss0 - rss) / q / (rss / free)), free))
+                short = {x[2:4]: x for i in (0, 1) for x in sorted(found, key=lambda x, i=i: (x[i], x[2], x[3]))[:SHORTLIST]}
+                for (p, q), (bic, aic, _, _, b, r2, oos, f_value, free) in sorted(short.items()):
+                    at, padded, hac = columns(p, q), np.zeros(size), np.zeros(size)
+                    padded[at] = b
+                    hac[at] = np.linalg.pinv(xx[np.ix_(at, at)])[base + p]
+                    beta = [b[0], *b[base:]]
+                    out.append([*(r[k] for k in keys), p, q, len(found), n, r2, aic, bic, oos, is_stable(b[base : base + p]), f_value, f_tail(f_value, q, free), list(map(float, beta)), padded.tolist(), hac.tolist()])
+            yield pd.DataFrame(out, columns=[*keys, *names])
+
+    short = cut(both.mapInPandas(run, schema))
+    v = F.array(F.lit(1.0), *[F.col(c).cast("double") for c in xs])
+    dot = lambda weights: F.aggregate(F.zip_with("__v", weights, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    rows = design.where(F.col("__rn") <= train).select(*keys, order, y, v.alias("__v")).join(F.broadcast(short.select(*keys, "p", "q", "whole", "hac_row")), keys)
+    rows = rows.withColumn("e", F.col(y) - dot("whole")).withColumn("s", F.col("e") * dot("hac_row")).select(*keys, order, "p", "q", "e", "s")
+    tests = lagged_products(rows, [*keys, "p", "q"], order, {"e": BOX_LAGS, "s": HAC_LAGS})
+    joined = short.drop("whole", "hac_row").join(tests.drop("n"), [*keys, "p", "q"])
+    joined = joined.withColumn("box_q", box_statistic("e", F.col("n"), BOX_LAGS)).withColumn("hac_error", F.sqrt(F.greatest(bartlett_sum("s", HAC_LAGS), F.lit(0.0))))
+    joined = joined.select(*short.drop("whole", "hac_row").columns, "box_q", "hac_error")
+    done = with_tail(joined, "box_p", lambda r: chi2_tail(r["box_q"], max(1, BOX_LAGS - r["p"])))
+    clean, block = F.col("box_p") > LEVEL, F.col("block_p") < LEVEL
+    tier = F.when(F.col("stable") & clean & block, 1).when(F.col("stable") & block, 2).when(F.col("stable"), 3).otherwise(4)
+    best = Window.partitionBy(*keys).orderBy("tier", "oos_rmse", "p", "q")
+    return done.withColumn("tier", tier).withColumn("rank", F.row_number().over(best))
+
+
+#: Lags of the Newey-West weights.
+HAC_LAGS = 7
+
+
+def lagged_products(df: DataFrame, keys: list[str], order: str, lags: dict[str, int]) -> DataFrame:
+    """The keys, n and for each column c of ``lags`` the sums c__0 … c__k of its products with itself k rows before."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    products = {f"{c}__{k}": F.col(c) * (F.lag(c, k).over(w) if k else F.col(c)) for c, most in lags.items() for k in range(most + 1)}
+    return df.withColumns(products).groupBy(*keys).agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in products])
+
+
+def box_statistic(c: str, n: Column, lags: int) -> Column:
+    """ML-04: Ljung and Box's Q from lagged products of residuals whose mean is 0."""
+    return n * (n + 2) * sum((F.pow(F.try_divide(F.col(f"{c}__{k}"), F.col(f"{c}__0")), 2) / (n - k) for k in range(1, lags + 1)), F.lit(0.0))
+
+
+def bartlett_sum(c: str, lags: int) -> Column:
+    """ML-03, ML-08: Newey and West's long-run sum of products."""
+    return F.col(f"{c}__0") + sum((2 * (1 - k / (lags + 1)) * F.col(f"{c}__{k}") for k in range(1, lags + 1)), F.lit(0.0))
+
+
+def with_tail(df: DataFrame, name: str, tail: Callable[[dict], float]) -> DataFrame:
+    """``df``, a row for each model, with a tail probability of its statistics."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", {name} double"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.assign(**{name: [float(tail(r)) for r in f.to_dict("records")]})
+
+    return df.mapInPandas(run, schema)
+
+
+def responses(chosen: DataFrame, keys: list[str], horizon: int = 30) -> DataFrame:
+    """ML-06, ML-07: keys, peak_lag, half_mass_lag, mean_lag, recommended_shift, cumulative, irf and weights of each row of ``chosen`` (p, q, beta)."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keys)
+    names = ["peak_lag", "half_mass_lag", "mean_lag", "recommended_shift", "cumulative", "irf", "weights"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for r in f.to_dict("records"):
+                beta = np.asarray(r["beta"])
+                irf = impulse_response(beta[1 : 1 + r["p"]], beta[1 + r["p"] :], horizon)
+                out.append([*(r[k] for k in keys), *response_summary(irf).values(), irf.tolist(), response_weights(irf).tolist()])
+            yield pd.DataFrame(out, columns=[*keys, *names])
 
-    found = both.mapInPandas(run, schema)
-    best = Window.partitionBy(*keys).orderBy(F.col("stable").desc(), "oos_rmse", "p", "q")
-    return found.withColumn("rank", F.row_number().over(best))
+    return chosen.select(*keys, "p", "beta").mapInPandas(run, f"{fields}, peak_lag int, half_mass_lag int, mean_lag double, recommended_shift int, cumulative double, irf array<double>, weights array<double>")
+
+
+def stationarity(df: DataFrame, keys: list[str], order: str, x: str, max_lags: int = 10) -> DataFrame:
+    """ML-08: keys, adf, adf_lags, kpss, stationary_like, from cross products, running sums and lagged products of each series.
+
+    The Dickey-Fuller regression has a constant; lags of the difference are chosen by AIC on a common sample.
+    """
+    w = Window.partitionBy(*keys).orderBy(order)
+    step = df.select(*keys, order, F.col(x).alias("__v")).withColumns({"__step": F.col("__v") - F.lag("__v").over(w), "__level": F.lag("__v").over(w)})
+    design = step.withColumns({f"__step{k}": F.lag("__step", k).over(w) for k in range(1, max_lags + 1)})
+    xs = ["__level", *(f"__step{k}" for k in range(1, max_lags + 1))]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keys)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for r in f.to_dict("records"):
+                m, n, best = _square_of(r["zz"]), r["n"], None
+                xx, xy, yy = m[:-1, :-1], m[:-1, -1], m[-1, -1]
+                for k in range(max_lags + 1):
+                    inverse = np.linalg.pinv(xx[: k + 2, : k + 2])
+                    b = inverse @ xy[: k + 2]
+                    rss = max(float(yy - 2 * b @ xy[: k + 2] + b @ xx[: k + 2, : k + 2] @ b), 1e-300)
+                    error = math.sqrt(max(rss / max(1, n - k - 2) * inverse[1, 1], 1e-300))
+                    best = min(best or (np.inf,), (n * math.log(rss / n) + 2 * (k + 2), float(b[1]) / error, k))
+                out.append([*(r[k] for k in keys), best[1], best[2]])
+            yield pd.DataFrame(out, columns=[*keys, "adf", "adf_lags"])
+
+    unit = wide_gram(design.where(f"__step{max_lags} is not null"), keys, xs, "__step").mapInPandas(run, f"{fields}, adf double, adf_lags int")
+    centred = df.select(*keys, order, (F.col(x) - F.avg(x).over(Window.partitionBy(*keys))).alias("e"))
+    running = centred.withColumn("s", F.sum("e").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    sums = lagged_products(running, keys, order, {"e": max_lags, "s": 0})
+    level = sums.select(*keys, (F.col("s__0") / (F.col("n") * F.greatest(bartlett_sum("e", max_lags), F.lit(1e-300)))).alias("kpss"))
+    return unit.join(level, keys).withColumn("stationary_like", (F.col("adf") < ADF_CRITICAL[1]) & (F.col("kpss") < KPSS_CRITICAL[1]))
+
+
+def _square_of(flat) -> np.ndarray:
+    size = math.isqrt(len(flat))
+    return np.asarray(flat).reshape(size, size)
 
 
 # ---- numbers of one model ----------------------------------------------------------------------------------------
@@ -173,53 +335,10 @@ def f_tail(f: float, d1: float, d2: float) -> float:
     return incomplete_beta(d2 / 2, d1 / 2, d2 / (d2 + d1 * f)) if f > 0 else 1.0
 
 
-def ljung_box(residuals: np.ndarray, lags: int, fitted: int = 0) -> tuple[float, float]:
-    """ML-04: (Q, p) of the first ``lags`` autocorrelations, degrees of freedom less the fitted lags (1 at least)."""
-    r = residuals - residuals.mean()
-    n, total = len(r), float(r @ r)
-    if not total or n <= lags:
-        return 0.0, 1.0
-    q = n * (n + 2) * sum((float(r[k:] @ r[:-k]) / total) ** 2 / (n - k) for k in range(1, lags + 1))
-    return q, chi2_tail(q, max(1, lags - fitted))
-
-
-def hac_covariance(x: np.ndarray, residuals: np.ndarray, lags: int) -> np.ndarray:
-    """ML-03: the Newey-West covariance of least-squares coefficients, Bartlett weights."""
-    u = x * residuals[:, None]
-    middle = u.T @ u
-    for k in range(1, lags + 1):
-        g = u[k:].T @ u[:-k]
-        middle += (1 - k / (lags + 1)) * (g + g.T)
-    inverse = np.linalg.pinv(x.T @ x)
-    return inverse @ middle @ inverse
-
-
 #: Critical values at 1, 5 and 10 % of the Dickey-Fuller test with a constant (large samples) and of the KPSS test for a level.
 ADF_CRITICAL, KPSS_CRITICAL = (-3.43, -2.86, -2.57), (0.739, 0.463, 0.347)
 
 
-def adf(x: np.ndarray, max_lags: int) -> tuple[float, int]:
-    """ML-08: the augmented Dickey-Fuller statistic with a constant; lags of the difference by AIC on a common sample."""
-    d, best = np.diff(x), (np.inf, 0.0, 0)
-    y = d[max_lags:]
-    for k in range(max_lags + 1):
-        z = np.column_stack([np.ones(len(y)), x[max_lags:-1], *(d[max_lags - i : len(d) - i] for i in range(1, k + 1))])
-        beta, *_ = np.linalg.lstsq(z, y, rcond=None)
-        e = y - z @ beta
-        s2 = float(e @ e) / max(1, len(y) - z.shape[1])
-        aic = len(y) * math.log(max(float(e @ e) / len(y), 1e-300)) + 2 * z.shape[1]
-        se = math.sqrt(max(s2 * np.linalg.pinv(z.T @ z)[1, 1], 1e-300))
-        best = min(best, (aic, float(beta[1]) / se, k))
-    return best[1], best[2]
-
-
-def kpss(x: np.ndarray, lags: int) -> float:
-    """ML-08: the KPSS statistic for a level, long-run variance with Bartlett weights."""
-    e = x - x.mean()
-    s2 = float(e @ e) + 2 * sum((1 - k / (lags + 1)) * float(e[k:] @ e[:-k]) for k in range(1, lags + 1))
-    return float((np.cumsum(e) ** 2).sum()) / (len(x) * max(s2, 1e-300))
-
-
 def huber(x: np.ndarray, y: np.ndarray, epsilon: float = 1.35, alpha: float = 1e-4, rounds: int = 50) -> np.ndarray:
     """ML-09: robust coefficients (constant first) by reweighting, on population z-scores, scale from the residuals' MAD."""
     mean, std = x.mean(0), x.std(0)
@@ -241,68 +360,75 @@ def huber(x: np.ndarray, y: np.ndarray, epsilon: float = 1.35, alpha: float = 1e
     return np.concatenate([[beta[0] - slope @ mean], slope])
 
 
-# ---- models over whole series ------------------------------------------------------------------------------------
+# ---- models over time --------------------------------------------------------------------------------------------
 
 
-def per_series(df: DataFrame, keys: list[str], order: str, run, columns: dict[str, str]) -> DataFrame:
-    """``run`` on each series in order: a group is one series, as long as its days. Rows come back with the keys before ``columns``."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keys) + ", " + ", ".join(f"{k} {t}" for k, t in columns.items())
+def refit_rows(usable: list[int], step: int) -> list[int]:
+    """Trap 10: the usable rows at which a model is fitted anew: the first, then each that is ``step`` rows or more after the last."""
+    out: list[int] = []
+    for i in usable:
+        if not out or i - out[-1] >= step:
+            out.append(i)
+    return out
 
-    def grouped(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(run(rows.sort_values(order)), columns=list(columns))
-        for i, k in enumerate(keys):
-            out.insert(i, k, key[i])
-        return out
 
-    return df.groupBy(*keys).applyInPandas(grouped, schema)
+def _numbered(df: DataFrame, keys: list[str], order: str, learn: Column) -> DataFrame:
+    """``df`` with __learn, __rn (rows from 0) and __seen (rows learnt from before), written once."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    seen = F.coalesce(F.sum(F.col("__learn").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return cut(df.withColumn("__learn", learn).withColumn("__rn", F.row_number().over(w) - 1).withColumn("__seen", seen))
 
 
-def refit_rows(usable: np.ndarray, step: int) -> np.ndarray:
-    """Trap 10: the usable rows at which a model is fitted anew: the first, then each that is ``step`` rows or more after the last."""
-    out, last = np.zeros(len(usable), bool), None
-    for i in np.flatnonzero(usable):
-        if last is None or i - last >= step:
-            out[i], last = True, i
-    return out
+def _all_there(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns])
 
 
 def rolling_huber(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], eligible: str, cap: int = 900, least: int = 240, refit: int = 7) -> DataFrame:
     """ML-09: each row's prediction by the last model, which is fitted on up to ``cap`` eligible complete rows before its refit row.
 
     Columns: keys, the order column, prediction. Rows before ``least`` rows of history, and rows with a missing regressor, get null.
+    Each refit is a range of row numbers, met by an equi-join on blocks of ``cap`` numbers, and a small fit of its own; a series is never in one task but for its row numbers.
     """
+    t = df.select(*keys, order, F.col(y).alias("__y"), *xs, eligible).withColumn("__whole", _all_there(xs))
+    t = _numbered(t, keys, order, F.col("__whole") & _all_there(["__y"]) & F.coalesce(eligible, F.lit(False)))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in t.schema if f.name in keys)
+
+    def chain(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.assign(at=[refit_rows(list(at), refit) for at in f["at"]])
+
+    usable = t.where(F.col("__whole") & (F.col("__seen") >= least)).groupBy(*keys).agg(F.array_sort(F.collect_list("__rn")).alias("at"))
+    turns = usable.mapInPandas(chain, f"{fields}, at array<int>").select(*keys, F.explode("at").alias("__rn"))
+    turns = cut(t.join(turns, [*keys, "__rn"]).select(*keys, "__rn", "__seen"))
+    first = F.floor(F.greatest(F.col("__seen") - cap, F.lit(0)) / cap)
+    wanted = turns.select(*keys, F.col("__rn").alias("__turn"), F.col("__seen").alias("__end"), F.explode(F.array_distinct(F.array(first, F.floor((F.col("__seen") - 1) / cap)))).alias("__block"))
+    pool = t.where("__learn").select(*keys, F.floor(F.col("__seen") / cap).alias("__block"), F.col("__seen").alias("__no"), "__y", *xs)
+    met = wanted.join(pool, [*keys, "__block"]).where((F.col("__no") < F.col("__end")) & (F.col("__no") >= F.col("__end") - cap))
 
-    def run(rows: pd.DataFrame) -> dict:
-        x, t = rows[xs].to_numpy(float), rows[y].to_numpy(float)
-        complete = np.isfinite(x).all(1)
-        learn = complete & np.isfinite(t) & rows[eligible].to_numpy(bool)
-        seen = np.concatenate([[0], np.cumsum(learn)[:-1]])
-        at = np.flatnonzero(learn)
-        out, beta = np.full(len(rows), np.nan), None
-        for i, anew in enumerate(refit_rows(complete & (seen >= least), refit)):
-            if anew:
-                own = at[max(0, seen[i] - cap) : seen[i]]
-                beta = huber(x[own], t[own])
-            if beta is not None and complete[i]:
-                out[i] = beta[0] + x[i] @ beta[1:]
-        return {order: rows[order].to_numpy(), "prediction": [None if np.isnan(v) else float(v) for v in out]}
-
-    kind = dict(df.dtypes)[order]
-    return per_series(df.select(*keys, order, y, *xs, eligible), keys, order, run, {order: kind, "prediction": "double"})
+    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("__no")
+        return pd.DataFrame([[*key, huber(rows[xs].to_numpy(float), rows["__y"].to_numpy(float)).tolist()]], columns=[*keys, "__turn", "__beta"])
+
+    fits = met.select(*keys, "__turn", "__no", "__y", *xs).groupBy(*keys, "__turn").applyInPandas(fit, f"{fields}, __turn int, __beta array<double>")
+    w = Window.partitionBy(*keys).orderBy(order)
+    placed = t.join(turns.select(*keys, "__rn", F.col("__rn").alias("__turn")), [*keys, "__rn"], "left").withColumn("__turn", F.last("__turn", ignorenulls=True).over(w))
+    value = reduce(lambda a, b: a + b, [F.col("__beta")[0], *[F.col("__beta")[i] * F.col(c) for i, c in enumerate(xs, 1)]])
+    return placed.join(fits, [*keys, "__turn"], "left").select(*keys, order, F.when(F.col("__whole"), value).alias("prediction"))
 
 
 def expanding_forecasts(df: DataFrame, keys: list[str], order: str, y: str, xs: list[str], train: int) -> DataFrame:
-    """WIN-20: one-step forecasts by least squares on all rows before, from row ``train`` on, by rank-one updates of the cross products."""
-
-    def run(rows: pd.DataFrame) -> dict:
-        x = np.column_stack([np.ones(len(rows)), rows[xs].to_numpy(float)])
-        t = rows[y].to_numpy(float)
-        ok = np.isfinite(x).all(1) & np.isfinite(t)
-        xx, xy, n, out = np.zeros((x.shape[1],) * 2), np.zeros(x.shape[1]), 0, []
-        for i in range(len(rows)):
-            out.append(float(x[i] @ np.linalg.lstsq(xx, xy, rcond=None)[0]) if ok[i] and n >= train else None)
-            if ok[i]:
-                xx, xy, n = xx + np.outer(x[i], x[i]), xy + x[i] * t[i], n + 1
-        return {order: rows[order].to_numpy(), "forecast": out}
-
-    return per_series(df.select(*keys, order, y, *xs), keys, order, run, {order: dict(df.dtypes)[order], "forecast": "double"})
+    """WIN-20: one-step forecasts by least squares on all rows before, from row ``train`` on: running sums of cross products, and a small solve for each row."""
+    t = _numbered(df.select(*keys, order, F.col(y).alias("__y"), *xs), keys, order, _all_there([*xs]) & _all_there(["__y"]))
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    z, k = [F.lit(1.0), *[F.col(c).cast("double") for c in xs]], len(xs) + 1
+    run_sum = lambda c: F.coalesce(F.sum(F.when(F.col("__learn"), c)).over(before), F.lit(0.0))
+    sums = t.withColumns({"__xx": F.array(*[run_sum(z[i] * z[j]) for i in range(k) for j in range(k)]), "__xy": F.array(*[run_sum(c * F.col("__y")) for c in z]), "__z": F.array(*z)})
+    kept = sums.select(*keys, order, (F.col("__learn") & (F.col("__seen") >= train)).alias("__go"), "__xx", "__xy", "__z")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in [*keys, order])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            made = [float(r[2] @ np.linalg.lstsq(np.asarray(r[0]).reshape(k, k), np.asarray(r[1]), rcond=None)[0]) if go else None for go, *r in zip(f["__go"], f["__xx"], f["__xy"], f["__z"], strict=True)]
+            yield f[[*keys, order]].assign(forecast=made)
+
+    return kept.select(*keys, order, "__go", "__xx", "__xy", "__z").mapInPandas(run, f"{fields}, forecast double")

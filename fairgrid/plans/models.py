@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -28,79 +26,53 @@ def ml_01_regression(spark, sf):
     return r.select("fuel", "n", half_up(F.col("beta")[0], 4).alias("intercept"), half_up(F.col("beta")[1], 4).alias("slope"), half_up("r2", 6).alias("r2"))
 
 
+def _orders(spark, sf):
+    """All orders up to 60 own and 60 foreign lags, with weekday and month dummies."""
+    return models.order_search(_series(spark, sf), ["fuel"], "d", "y", "x", 60, 60, 1500)
+
+
 @query()
 def ml_02_order_search(spark, sf):
-    """All orders up to (6, 6) by out-of-sample error; stable models first."""
-    return frames.rounded(models.order_search(_series(spark, sf), ["fuel"], "d", "y", "x", 6, 6, 1500), 4)
+    """The shortlisted orders by tier and by their error out of sample."""
+    return frames.rounded(_orders(spark, sf).drop("beta", "block_f", "box_q", "hac_error"), 4)
 
 
-def _best(rows: pd.DataFrame, p: int = 2, q: int = 3):
-    y, x = rows["y"].to_numpy(float), rows["x"].to_numpy(float)
-    k = max(p, q)
-    z = np.column_stack([np.ones(len(y) - k), *(y[k - i : len(y) - i] for i in range(1, p + 1)), *(x[k - j : len(x) - j] for j in range(1, q + 1))])
-    t = y[k:]
-    beta, *_ = np.linalg.lstsq(z, t, rcond=None)
-    return z, t, beta, t - z @ beta
+def _chosen(spark, sf):
+    return _orders(spark, sf).where("rank = 1")
 
 
 @query()
 def ml_03_block_test(spark, sf):
-    """F-test of the foreign lags, and the Newey-West error of the first of them."""
-
-    def run(rows):
-        z, t, beta, e = _best(rows)
-        own = z[:, :3]
-        e0 = t - own @ np.linalg.lstsq(own, t, rcond=None)[0]
-        d2 = len(t) - z.shape[1]
-        f = (float(e0 @ e0) - float(e @ e)) / 3 / (float(e @ e) / d2)
-        return {"f": [round(f, 4)], "p_value": [round(models.f_tail(f, 3, d2), 6)], "hac_error": [round(float(np.sqrt(models.hac_covariance(z, e, 7)[3, 3])), 6)]}
-
-    return models.per_series(_series(spark, sf), ["fuel"], "d", run, {"f": "double", "p_value": "double", "hac_error": "double"})
+    """F-test of the chosen order's foreign lags, and the Newey-West error of the first of them."""
+    return _chosen(spark, sf).select("fuel", half_up("block_f", 4).alias("f"), half_up("block_p", 6).alias("p_value"), half_up("hac_error", 6).alias("hac_error"))
 
 
 @query()
 def ml_04_ljung_box(spark, sf):
-    def run(rows):
-        q, p = models.ljung_box(_best(rows)[3], 14, 2)
-        return {"q": [round(q, 4)], "p_value": [round(p, 6)]}
-
-    return models.per_series(_series(spark, sf), ["fuel"], "d", run, {"q": "double", "p_value": "double"})
+    return _chosen(spark, sf).select("fuel", half_up("box_q", 4).alias("q"), half_up("box_p", 6).alias("p_value"))
 
 
 @query()
 def ml_05_stability(spark, sf):
-    return models.per_series(_series(spark, sf), ["fuel"], "d", lambda rows: {"stable": [models.is_stable(_best(rows)[2][1:3])]}, {"stable": "boolean"})
+    return _chosen(spark, sf).select("fuel", "p", "stable")
 
 
 @query()
 def ml_06_impulse_response(spark, sf):
-    def run(rows):
-        beta = _best(rows)[2]
-        s = models.response_summary(models.impulse_response(beta[1:3], beta[3:], 30))
-        return {k: [round(v, 4) if isinstance(v, float) else v] for k, v in s.items()}
-
-    return models.per_series(_series(spark, sf), ["fuel"], "d", run, {"peak_lag": "int", "half_mass_lag": "int", "mean_lag": "double", "recommended_shift": "int", "cumulative": "double"})
+    out = models.responses(_chosen(spark, sf), ["fuel"], 90).drop("irf", "weights")
+    return frames.rounded(out, 4)
 
 
 @query()
 def ml_07_response_weights(spark, sf):
-    def run(rows):
-        beta = _best(rows)[2]
-        w = models.response_weights(models.impulse_response(beta[1:3], beta[3:], 30))
-        return {"lag": range(len(w)), "weight": w.round(6), "cumulative": w.cumsum().round(6)}
-
-    return models.per_series(_series(spark, sf), ["fuel"], "d", run, {"lag": "int", "weight": "double", "cumulative": "double"})
+    t = models.responses(_chosen(spark, sf), ["fuel"], 90).select("fuel", F.posexplode("weights").alias("lag", "weight"))
+    total = F.sum("weight").over(Window.partitionBy("fuel").orderBy("lag"))
+    return t.select("fuel", "lag", half_up("weight", 6).alias("weight"), half_up(total, 6).alias("cumulative"))
 
 
 @query()
 def ml_08_stationarity(spark, sf):
-    def run(rows):
-        y = rows["y"].to_numpy(float)
-        stat, lags = models.adf(y, 10)
-        level = models.kpss(y, 10)
-        return {"adf": [round(stat, 4)], "adf_lags": [lags], "kpss": [round(level, 4)], "stationary_like": [bool(stat < models.ADF_CRITICAL[1] and level < models.KPSS_CRITICAL[1])]}
-
-    return models.per_series(_series(spark, sf), ["fuel"], "d", run, {"adf": "double", "adf_lags": "int", "kpss": "double", "stationary_like": "boolean"})
+    return frames.rounded(models.stationarity(_series(spark, sf), ["fuel"], "d", "y"), 4)
 
 
 def _fair_frame(spark, sf):

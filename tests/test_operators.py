@@ -170,15 +170,51 @@ def test_gram_solve_equals_least_squares(spark):
     assert np.allclose(got.beta, want) and got.rss == pytest.approx(rss[0]) and got.n == 100
 
 
-def test_order_search_finds_the_lag(spark):
-    r = np.random.default_rng(4)
-    x = r.normal(size=600)
-    y = np.zeros(600)
-    for t in range(2, 600):
+def _lagged(seed, n=600):
+    r = np.random.default_rng(seed)
+    x = 100 + r.normal(size=n)
+    y = np.zeros(n)
+    for t in range(2, n):
         y[t] = 0.5 * y[t - 1] + 0.8 * x[t - 2] + 0.1 * r.normal()
-    df = spark.createDataFrame([("s", i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "k string, d int, x double, y double")
-    best = models.order_search(df, ["k"], "d", "y", "x", 2, 4, 400).where("rank = 1").first()
-    assert best.p >= 1 and best.q >= 2 and best.oos_rmse < 0.12 and best.stable
+    return x, y
+
+
+def _series_of(spark, x, y, **more):
+    rows = [("s", day(i), float(a), float(b), *(v[i] for v in more.values())) for i, (a, b) in enumerate(zip(x, y, strict=True))]
+    return spark.createDataFrame(rows, "k string, d date, x double, y double" + "".join(f", {c} {'boolean' if isinstance(v[0], bool) else 'double'}" for c, v in more.items()))
+
+
+@pytest.mark.parametrize("dummies", [False, True])
+def test_order_search_equals_brute_force(spark, dummies):
+    x, y = _lagged(4)
+    out = models.order_search(_series_of(spark, x, y), ["k"], "d", "y", "x", 3, 4, 400, dummies=dummies).collect()
+    best = next(r for r in out if r.rank == 1)
+    assert best.stable and best.tried == 16 and best.p >= 1
+    assert dummies or best.q >= 2 and best.oos_rmse < 0.12 and best.tier == 1
+    assert [r.rank for r in sorted(out, key=lambda r: (r.tier, r.oos_rmse, r.p, r.q))] == list(range(1, len(out) + 1))
+    assert sorted(r.rank for r in out) == list(range(1, len(out) + 1))
+    days = [day(i) for i in range(600)]
+    for r in out[:6]:
+        extra = [*([float(days[t].weekday() == k) for t in range(4, 600)] for k in range(1, 7)), *([float(days[t].month == k) for t in range(4, 600)] for k in range(2, 13))] if dummies else []
+        own = [y[4 - i : 600 - i] for i in range(1, r.p + 1)]
+        z = np.column_stack([np.ones(596), *extra, *own, *(x[4 - j : 600 - j] for j in range(1, r.q + 1))])
+        t, fit = y[4:], slice(0, 396)
+        beta, *_ = np.linalg.lstsq(z[fit], t[fit], rcond=None)
+        e, late = t[fit] - z[fit] @ beta, t[396:] - z[396:] @ beta
+        small = z[fit][:, : z.shape[1] - r.q]
+        e0 = t[fit] - small @ np.linalg.lstsq(small, t[fit], rcond=None)[0]
+        f = (e0 @ e0 - e @ e) / r.q / (e @ e / (396 - z.shape[1]))
+        q = 396 * 398 * sum((e[k:] @ e[:-k] / (e @ e)) ** 2 / (396 - k) for k in range(1, 15))
+        u = z[fit] * e[:, None]
+        middle = u.T @ u + sum((1 - k / 8) * (u[k:].T @ u[:-k] + u[:-k].T @ u[k:]) for k in range(1, 8))
+        inverse = np.linalg.pinv(z[fit].T @ z[fit])
+        first = z.shape[1] - r.q
+        assert r.oos_rmse == pytest.approx(np.sqrt(late @ late / len(late)), rel=1e-4)
+        assert r.block_f == pytest.approx(f, rel=1e-3) and r.box_q == pytest.approx(q, rel=1e-3)
+        assert r.hac_error == pytest.approx(np.sqrt((inverse @ middle @ inverse)[first, first]), rel=1e-3)
+        assert np.allclose(r.beta, [beta[0], *beta[len(extra) + 1 :]], rtol=1e-3, atol=1e-4)
+    w = models.responses(spark.createDataFrame([("s", 1, [0.0, 0.5, 0.0, 1.0])], "k string, p int, beta array<double>"), ["k"], 6).first()
+    assert np.allclose(w.irf, [0, 0, 1, 0.5, 0.25, 0.125, 0.0625]) and w.peak_lag == 2 and sum(w.weights) == pytest.approx(1)
 
 
 def test_responses_and_tails():
@@ -193,9 +229,7 @@ def test_responses_and_tails():
 
 
 def test_refit_chain_and_huber():
-    usable = np.zeros(40, bool)
-    usable[[0, 1, 7, 13, 14, 22, 29, 30]] = True
-    assert np.flatnonzero(models.refit_rows(usable, 7)).tolist() == [0, 7, 14, 22, 29]
+    assert models.refit_rows([0, 1, 7, 13, 14, 22, 29, 30], 7) == [0, 7, 14, 22, 29]
     r = np.random.default_rng(5)
     x = r.normal(size=(300, 2))
     y = 3 + x @ [2, -1] + 0.1 * r.normal(size=300)
@@ -203,9 +237,74 @@ def test_refit_chain_and_huber():
     assert np.allclose(models.huber(x, y), [3, 2, -1], atol=0.1)
 
 
-def test_stationarity():
-    r = np.random.default_rng(6)
-    noise = r.normal(size=500)
-    assert models.adf(noise, 4)[0] < models.ADF_CRITICAL[0] and models.kpss(noise, 6) < models.KPSS_CRITICAL[1]
+def test_rolling_and_expanding_models_equal_brute_force(spark):
+    x, y = _lagged(5, 160)
+    r = np.random.default_rng(7)
+    ok = [bool(v) for v in r.random(160) > 0.15]
+    holes = [None if i in (50, 51, 90) else float(v) for i, v in enumerate(x)]
+    df = _series_of(spark, x, y, ok=ok, z=holes).withColumn("x", F.col("x"))
+    got = [v.prediction for v in models.rolling_huber(df, ["k"], "d", "y", ["x", "z"], "ok", cap=40, least=25, refit=7).orderBy("d").collect()]
+    grown = [v.forecast for v in models.expanding_forecasts(df, ["k"], "d", "y", ["x", "z"], 30).orderBy("d").collect()]
+    learnt, beta, last = [], None, None
+    for i in range(160):
+        row = None if holes[i] is None else np.array([x[i], holes[i]])
+        if row is not None and len(learnt) >= 25 and (last is None or i - last >= 7):
+            at, last = learnt[-40:], i
+            beta = models.huber(np.array([[x[j], holes[j]] for j in at]), y[at])
+        want = None if row is None or beta is None else beta[0] + row @ beta[1:]
+        assert got[i] == (None if want is None else pytest.approx(want)), i
+        past = [j for j in range(i) if holes[j] is not None]
+        if row is not None and len(past) >= 30:
+            z = np.array([[1, x[j], holes[j]] for j in past])
+            want = np.array([1, *row]) @ np.linalg.lstsq(z.T @ z, z.T @ y[past], rcond=None)[0]
+            assert grown[i] == pytest.approx(want, rel=1e-6)
+        else:
+            assert grown[i] is None
+        if row is not None and ok[i]:
+            learnt.append(i)
+
+
+def test_stationarity_equals_brute_force(spark):
+    noise = np.random.default_rng(6).normal(size=500)
     walk = np.cumsum(noise)
-    assert models.adf(walk, 4)[0] > models.ADF_CRITICAL[0] and models.kpss(walk, 6) > models.KPSS_CRITICAL[1]
+    out = {}
+    for name, v in (("noise", noise), ("walk", walk)):
+        got = models.stationarity(_series_of(spark, v, v), ["k"], "d", "x", 4).first()
+        d, best = np.diff(v), None
+        for k in range(5):
+            z = np.column_stack([np.ones(495), v[4:-1], *(d[4 - i : 499 - i] for i in range(1, k + 1))])
+            b, *_ = np.linalg.lstsq(z, d[4:], rcond=None)
+            e = d[4:] - z @ b
+            t = b[1] / np.sqrt(e @ e / (495 - z.shape[1]) * np.linalg.inv(z.T @ z)[1, 1])
+            best = min(best or (np.inf,), (495 * np.log(e @ e / 495) + 2 * z.shape[1], t, k))
+        e = v - v.mean()
+        s2 = e @ e + 2 * sum((1 - k / 5) * (e[k:] @ e[:-k]) for k in range(1, 5))
+        assert (got.adf, got.adf_lags) == (pytest.approx(best[1]), best[2]) and got.kpss == pytest.approx((np.cumsum(e) ** 2).sum() / (500 * s2))
+        out[name] = got.stationary_like
+    assert out == {"noise": True, "walk": False}
+
+
+def test_exact_quantiles_equal_numpy(spark):
+    r = np.random.default_rng(8)
+    rows = [("ab"[i % 2], None if i % 11 == 0 else float(r.integers(0, 40))) for i in range(500)] + [("c", None), (None, 3.0), (None, 5.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {v.k: v for v in agg.exact_quantiles(df, ["k"], "x", {"lo": 0.1, "mid": 0.5, "hi": 0.93}).collect()}
+    assert set(got) == {"a", "b", None}
+    for k in got:
+        own = [x for key, x in rows if key == k and x is not None]
+        assert np.allclose([got[k].lo, got[k].mid, got[k].hi], np.quantile(own, [0.1, 0.5, 0.93]))
+    values = sorted({x for _, x in rows if x is not None})
+    assert sorted(v.step for v in agg.ordered_steps(df, "x").collect()) == sorted(np.diff(values).tolist())
+
+
+def test_nearest_equals_brute_force(spark):
+    r = np.random.default_rng(9)
+    points = [(i, "ab"[i % 2], float(r.integers(0, 9) * 500), float(r.integers(0, 9) ** 3 * 500)) for i in range(120)] + [(500, "alone", 0.0, 0.0), (600, "two", 0.0, 0.0), (601, "two", 9e6, 9e6)]
+    df = spark.createDataFrame(points, "id long, g string, x double, y double")
+    other = df.select(F.col("id").alias("id2"), "g", F.col("x").alias("x2"), F.col("y").alias("y2"))
+    got = {v.id: (v.id2, v.d2) for v in joins.nearest(df, other, ["g"], 500.0, exclude_self=True).collect()}
+    for i, g, x, y in points:
+        best = min((((x - a) ** 2 + (y - b) ** 2, j) for j, h, a, b in points if h == g and j != i), default=None)
+        assert got.get(i) == (None if best is None else (best[1], best[0])), i
+    same = {v.id: v.id2 for v in joins.nearest(df, other, ["g"], 500.0).where("d2 = 0").collect()}
+    assert len(same) == len(points) and joins.nearest(df.limit(0), other, ["g"], 500.0).count() == 0
