@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fairgrid.functions.numbers import half_up
+from fairgrid.functions.numbers import BASE_TAX, half_up, judge, policy_shift
 from fairgrid.operators import aggregates as agg
-from fairgrid.operators import frames, models, windows
+from fairgrid.operators import frames, joins, models, windows
 
 from .registry import query
-from .tables import DOM_SQL, GRID_SQL, INTL_SQL, OBS_SQL, domestic, grid_day, international, observations
+from .tables import DOM_SQL, OBS_SQL, domestic, grid_day, observations, policies, stations
 
 
 def _series(spark, sf):
@@ -110,19 +110,34 @@ def _model_frame(spark, sf):
     return t.withColumn("validation", F.col("d") >= F.lit("2000-01-01").cast("date"))
 
 
+def _sequence_frame(spark, sf):
+    """Next-day change of a station's mean price with 28 days before it in three channels (own price, national price, weight) and four latest
+    features: distance from the national price, weight, days since, and the month's mean. Levels count from yesterday's price."""
+    from pyspark.ml.functions import array_to_vector
+
+    t = observations(spark, sf).groupBy("station_id", "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
+    t = t.join(t.groupBy("d").agg(agg.anchor("y", "weight").alias("national")), "d")
+    t = t.withColumn("since", F.datediff("d", F.lag("d").over(Window.partitionBy("station_id").orderBy("d"))).cast("double"))
+    t = windows.lag_sequence(t, ["y", "national", "weight"], 28, ["station_id"], "d").where("sequence is not null").withColumn("y_lag1", F.col("sequence")[27][0])
+    steps = F.flatten(F.transform("sequence", lambda s: F.array(s[0] - F.col("y_lag1"), s[1] - F.col("y_lag1"), s[2])))
+    month = F.aggregate("sequence", F.lit(0.0), lambda a, s: a + s[0]) / 28 - F.col("y_lag1")
+    latest = F.array(F.col("y_lag1") - F.col("sequence")[27][1], F.col("sequence")[27][2], F.col("since"), month)
+    return t.select("station_id", "d", "y", "y_lag1", "weight", (F.col("y") - F.col("y_lag1")).alias("delta"), array_to_vector(F.concat(steps, latest)).alias("raw"), (F.col("d") >= F.lit("2000-01-01").cast("date")).alias("validation"))
+
+
 def _fitted(spark, sf):
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.feature import StandardScaler
     from pyspark.ml.regression import LinearRegression
 
-    t = _model_frame(spark, sf)
-    steps = [VectorAssembler(inputCols=[f"y_lag{k}" for k in range(1, 6)], outputCol="raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True), LinearRegression(loss="huber", labelCol="delta", weightCol="weight", maxIter=30, regParam=1e-4)]
+    t = _sequence_frame(spark, sf)
+    steps = [StandardScaler(inputCol="raw", outputCol="features", withMean=True), LinearRegression(loss="huber", labelCol="delta", weightCol="weight", maxIter=30, regParam=1e-4)]
     return Pipeline(stages=steps).fit(t.where("not validation")), t
 
 
 @query()
 def ml_11_delta_model(spark, sf):
-    """The robust next-day model's errors on the validation days, beside yesterday's price."""
+    """The robust next-day model's errors on the validation days."""
     model, t = _fitted(spark, sf)
     out = model.transform(t.where("validation")).withColumn("level", F.col("y_lag1") + F.col("prediction"))
     return frames.rounded(out.agg(*agg.error_metrics("y", "level", "weight")))
@@ -134,6 +149,45 @@ def ml_12_scoring(spark, sf):
     return model.transform(t.where("validation")).select("station_id", "d", half_up(F.col("y_lag1") + F.col("prediction"), 3).alias("prediction"))
 
 
+def national_fair(spark, sf):
+    """(fuel, d, actual, prediction, shift, fair, low, high) of the nation: the rolling robust model, the band of its past residuals, then the day's policies.
+
+    Days of a tax cut teach neither the model nor the band.
+    """
+    t = _fair_frame(spark, sf)
+    days = {f: t.where(F.col("fuel") == f).select("d").distinct() for f in BASE_TAX}
+    shifts = [
+        joins.overlay(days[f], "d", policies(spark).where(F.col("fuel") == f), {0: "tax", 1: "cap"}).select(F.lit(f).alias("fuel"), "d", policy_shift(F.lit(tax), F.col("tax_rate")).alias("shift"))
+        for f, tax in BASE_TAX.items()
+    ]
+    shift = frames.reduce(lambda a, b: a.unionByName(b), shifts)
+    model = models.rolling_huber(t.join(shift, ["fuel", "d"]).withColumn("eligible", F.col("shift") == 0), ["fuel"], "d", "y", ["x1", "x7"], "eligible")
+    p = t.select("fuel", "d", "y").join(model, ["fuel", "d"]).join(shift, ["fuel", "d"]).withColumn("residual", F.col("y") - F.col("prediction"))
+    band = windows.residual_band(p, ["fuel"], "d", "residual", F.col("shift") == 0, 0.7)
+    return band.select(
+        "fuel", "d", F.col("y").alias("actual"), "prediction", "shift", (F.col("prediction") - F.col("shift")).alias("fair"),
+        (F.col("prediction") + F.col("q_low") - F.col("shift")).alias("low"), (F.col("prediction") + F.col("q_high") - F.col("shift")).alias("high"),
+    )
+
+
+def grid_target(spark, sf):
+    """(d, fuel, cell, price, n, w, spread, target, target_low, target_high): each cell's distance from the national anchor on top of the national fair price and band."""
+    g = grid_day(spark, sf)
+    anchor = g.groupBy("d", "fuel").agg(agg.anchor("price", "n").alias("anchor"))
+    spread = F.col("price") - F.col("anchor")
+    t = g.join(anchor, ["d", "fuel"]).join(national_fair(spark, sf).select("d", "fuel", "fair", "low", "high"), ["d", "fuel"])
+    return t.withColumns({"spread": spread, "target": F.col("fair") + spread, "target_low": F.col("low") + spread, "target_high": F.col("high") + spread})
+
+
+@query()
+def fitted_region_price(spark, sf):
+    """The whole model path in one query: features, rolling fit, band, policies, grid targets, then each region's day by fuel with its judgement."""
+    t = grid_target(spark, sf).join(stations(spark, sf).select("cell_x", "cell_y", "region").distinct(), ["cell_x", "cell_y"]).where("target is not null")
+    r = t.groupBy("d", "region", "fuel").agg(F.count("*").alias("grid_rows"), F.sum("w").alias("weight"), *[agg.mean_unmasked(c, "w").alias(n) for c, n in (("price", "actual"), ("target", "fair"), ("target_low", "low"), ("target_high", "high"))])
+    r = r.withColumn("judgement", judge(F.col("actual"), F.col("fair"), F.col("low"), F.col("high"))).withColumn("gap", F.col("actual") - F.col("fair"))
+    return frames.rounded(r)
+
+
 _FRAME_SQL = f"""{OBS_SQL}, sd as (select station_id, d, avg(price) y, sum(w) weight from obs group by all), fr as (select *, lag(y, 1) over w y1, lag(y, 5) over w y5 from sd window w as (partition by station_id order by d)), f as (select *, y - y1 delta, d >= date '2000-01-01' validation from fr where y5 is not null)"""
 
 
