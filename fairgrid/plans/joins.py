@@ -209,8 +209,11 @@ def geo_03_candidate_lattice(spark, sf):
     return joins.point_in_polygon(points.withColumn("id", F.col("x") * 100000 + F.col("y")), joins.polygon_edges(polygons), 500.0).where("name is not null").select("x", "y", "name")
 
 
-@query()
+@query(f"""with recursive {STATION_SQL}, n as (select distinct cell_x, cell_y, cell_x::bigint * 10000000000 + cell_y id from station),
+e as (select a.id a, b.id b from n a join n b on abs(a.cell_x - b.cell_x) <= 500 and abs(a.cell_y - b.cell_y) <= 500),
+r(id, root) as (select id, id from n union select r.id, e.b from r join e on r.root = e.a), l as (select id, min(root) component from r group by 1), z as (select component, count(*) k from l group by 1)
+select cell_x, cell_y, component, component = (select component from z order by k desc, component limit 1) mainland from n join l using (id)""")
 def geo_04_mainland_cells(spark, sf):
-    """Components of all cells that hold stations: tested against a scalar flood fill."""
+    """Components of all cells that hold stations."""
     cells = stations(spark, sf).select("cell_x", "cell_y").distinct()
     return joins.neighbour_components(cells, 500)

@@ -83,10 +83,10 @@ def str_01_squeeze(spark, sf):
     return read(spark, sf, "part").select("p_partkey", text.squeeze(F.concat(F.lit("  "), "p_name", F.lit(" \t x"))).alias("s"))
 
 
-@query()
+@query("select p_partkey, 'N1fi2 ' || p_name s from part")
 def str_01_unicode_form(spark, sf):
-    """NFKC by a vectorised function; Spark has none built in."""
-    return read(spark, sf, "part").select("p_partkey", text.unicode_form("NFKC")(F.concat(F.lit("Ｎ"), "p_name")).alias("s"))
+    """NFKC by a vectorised function; Spark has none built in. Full-width, circled, ligature and raised characters become plain ones."""
+    return read(spark, sf, "part").select("p_partkey", text.unicode_form("NFKC")(F.concat(F.lit("Ｎ①ﬁ²\u3000"), "p_name")).alias("s"))
 
 
 _NAMES = "case p_size % 8 when 0 then 'sk ' when 1 then 'GS칼텍스 ' when 2 then '현대' when 3 then 'S-oil ' when 4 then '알뜰' when 5 then 'NH' when 6 then '자가 ' else 'x' end || p_brand"
@@ -183,7 +183,22 @@ def geo_02_haversine(spark, sf):
     return p.select("station_id", half_up(geo.haversine_km(F.col("lon"), F.col("lat"), F.lit(127.0), F.lit(37.5)), 3).alias("km"), geo.valid_coordinates(F.col("lon"), F.col("lat")).alias("valid"))
 
 
-@query()
+def _metre_grid_sql() -> str:
+    """The projection's series written out in SQL."""
+    k, e = geo.SCALE * geo._RADIUS, geo._E
+    x = "eta" + "".join(f" + {c!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(geo._ALPHA, 1))
+    y = "xi" + "".join(f" + {c!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(geo._ALPHA, 1))
+    a = "xi" + "".join(f" - {c!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(geo._BETA, 1))
+    b = "eta" + "".join(f" - {c!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(geo._BETA, 1))
+    lat = "chi" + "".join(f" + {c!r} * sin({2 * j} * chi)" for j, c in enumerate(geo._DELTA, 1))
+    return f"""with p as (select s_suppkey station_id, radians(126.5 + (s_suppkey % 97) * 0.02 - {geo.LON0}) dl, sin(radians(34.5 + (s_suppkey % 89) * 0.03)) s from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
+t as (select station_id, dl, sinh(atanh(s) - {e!r} * atanh({e!r} * s)) t from p), q as (select station_id, atan2(t, cos(dl)) xi, asinh(sin(dl) / sqrt(t * t + cos(dl) * cos(dl))) eta from t),
+m as (select station_id, cast(floor(({geo.EAST0} + {k!r} * ({x})) / 500) * 500 as int) cell_x, cast(floor(({geo.NORTH0} + {k!r} * ({y} - {geo._XI0!r})) / 500) * 500 as int) cell_y from q),
+u as (select *, (cell_y + 250.0 - {geo.NORTH0}) / {k!r} + {geo._XI0!r} xi, (cell_x + 250.0 - {geo.EAST0}) / {k!r} eta from m), v as (select *, {a} a, {b} b from u), w as (select *, asin(sin(a) / cosh(b)) chi from v)
+select station_id, cell_x, cell_y, round({geo.LON0} + degrees(atan2(sinh(b), cos(a))), 6) lon, round(degrees({lat}), 6) lat from w"""
+
+
+@query(_metre_grid_sql())
 def geo_01_metre_grid(spark, sf):
     """Degrees to the 500 m cell and back, by native functions."""
     p = stations(spark, sf).select("station_id", (126.5 + (F.col("station_id") % 97) * 0.02).alias("lon"), (34.5 + (F.col("station_id") % 89) * 0.03).alias("lat"))
