@@ -82,7 +82,28 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op5_html_extraction, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup, op10_warc)}
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+#: Operators 1, 2, 3, 5 and 6 have none: token ids, compressed sizes, trained models and style trees have no SQL form. They are tested against brute-force versions.
 ORACLE_SQL = {
+    "op4_near_dedup": rf"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x20\x09-\x0D]+') w from documents),
+s as (select distinct doc_id, unnest(case when len(w) > 1 then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end) g from d),
+n as (select doc_id, count(*) n from s group by 1),
+x as (select a.doc_id a, b.doc_id b, count(*) shared from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as (select a, b from x join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * shared >= 80 * (na.n + nb.n - shared)),
+near as (select a, b from e union all select b, a from e),
+r(id, root) as (select doc_id, doc_id from documents union select r.id, near.b from r join near on r.root = near.a)
+select d.doc_id, cast(coalesce(n, 0) as bigint) n_shingles, component_id, d.doc_id = component_id kept
+from d left join n using (doc_id) join (select id, min(root) component_id from r group by 1) on id = d.doc_id""",
+    "op7_sharding": """
+with t as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i::bigint, range(8)), lambda v, k: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end)) crc_table),
+s as (select doc_id, strlen(coalesce(text, '')) + 1 size,
+ list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: (instr('0123456789ABCDEF', h[1]) - 1) * 16 + instr('0123456789ABCDEF', h[2]) - 1) bytes from documents),
+k as (select doc_id, size, xor(list_reduce(list_prepend(4294967295::bigint, bytes), lambda v, b: xor(v >> 8, crc_table[xor(v & 255, b) + 1])), 4294967295) text_crc32 from s, t),
+r as (select *, sum(size) over (order by doc_id) run, sum(size) over () total from k),
+p as (select *, cast(least(7, ((2 * run - size) * 8) // (2 * total)) as int) shard from r)
+select doc_id, size, text_crc32, 'bytes' law, shard, row_number() over (partition by shard order by doc_id) - 1 slot, cast(null as int) grown_shard from p""",
     "op10_warc": """
 with p as (select page_id, strlen(coalesce(html, '')) payload_bytes, sha1(coalesce(html, '')) payload_digest from pages),
 r as (select payload_digest, payload_bytes, max(page_id) response from p where payload_bytes >= 1000 group by all)
