@@ -18,7 +18,11 @@ SHINGLE_WORDS = 5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier does not reject. Empty and null texts are scored like others; null ids stay."""
+    """Documents that the compression classifier does not reject.
+
+    Every row is scored by its whole text: null counts as empty, null ids and repeated rows are rows like others, equal texts (ties) have equal scores.
+    Further columns are left out. An empty table stays empty.
+    """
     from fairgrid.llm.quality import fit_quality, score_quality
 
     labelled = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
@@ -28,14 +32,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document holds; ``n_chars`` follows the new text."""
+    """Documents without the lines that a document with a smaller id holds; ``n_chars`` follows the new text.
+
+    Null text becomes empty; rows with a null id keep all lines and count for none; repeated rows of one id are one document, each loses its own lines; very
+    long texts are split whole. No document goes, even if no line is left. Further columns are left out. An empty table stays empty.
+    """
     from fairgrid.llm.linededup import dedup_lines
 
     return dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest doc_id. Texts without words are alone in their groups."""
+    """One document of each group of near duplicates: that with the smallest doc_id.
+
+    Null, empty and wordless texts are alone in their groups; rows with a null id stay; repeated rows of one id stay or go together, and an id with several
+    texts has the links of each. Further columns are left out. An empty table stays empty.
+    """
     from fairgrid.llm.setsketch import near_duplicate_groups
 
     docs = docs.select(*COLUMNS)
@@ -45,14 +57,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of the benchmark occurs."""
+    """Documents in which no window of the benchmark occurs.
+
+    Rows are judged by their whole text alone, so null ids, repeated rows and ties are no special case; null and empty texts stay, and so does all where the benchmark
+    is empty. Further columns are left out. An empty table stays empty.
+    """
     from fairgrid.llm.decontam import drop_contaminated
 
     return drop_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the remaining documents with their sequence and place in it."""
+    """Token pieces of the remaining documents with their sequence and place in it.
+
+    Null and empty texts are one piece with the end id alone; very long texts are cut; null ids and repeated rows are pieces like others; pieces of equal length
+    go by place in the scan. An empty table gives no pieces.
+    """
     import public_tokenizers
 
     from fairgrid.llm.packing import pack, token_pieces
