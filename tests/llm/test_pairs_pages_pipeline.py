@@ -314,3 +314,75 @@ def test_pipeline_stages(spark, tmp_path):
     assert left["lines"] == left["quality"]
     assert 3 * 122 not in left["decontamination"] and {3 * i for i in range(60)} <= left["packing"]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 60
+
+
+def test_each_stage_equals_brute_force_on_awkward_rows(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from fairgrid.llm import decontam, quality
+
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    bench, r = words(30, 500), random.Random(3)
+    base = words(90, 1).split(" ")
+    near = [" ".join(base[:40] + [f"new{k}"] + base[41:]) for k in range(4)]
+    texts = [*AWKWARD, *near, *(words(80, 20 + i) + "\nshared by many documents\n" + words(9, 60 + i) for i in range(6)), words(20, 7) + " " + bench[20:], near[0], words(4000, 9)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    rows += [rows[12], (3, near[1], "en", "s", 0), (None, near[2], "en", "s", 0), (None, "shared by many documents", None, None, None), (None, None, None, None, None)]
+    r.shuffle(rows)
+    train = [(1000 + i, words(80, 100 + i) if i < 40 else " ".join(f"{w}%%%" for w in words(80, 100 + i).split()), "en", "s", 0) for i in range(80)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    everything = spark.createDataFrame(rows + train, schema)
+    everything.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1000 + i, int(i < 40), 0) for i in range(80)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, bench), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, schema)
+    for c in ("score", "part", "h", "bucket", "sequence_id", "line", "pos"):
+        docs = docs.withColumn(c, F.lit("clash"))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    stages = dict(corpus_pipeline.STAGES)
+    run = lambda name: sorted(((x.doc_id, x.text) for x in stages[name](spark, docs, str(tmp_path)).collect()), key=key)
+    plain = [(i, t) for i, t, *_ in rows]
+
+    model = quality.fit_quality(everything, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    measure = quality.SizeDifference(model.good, model.bad)
+    assert run("quality") == sorted(((i, t) for i, t in plain if model.scores(np.array([measure(t)]))[0] >= 0.3), key=key)
+
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    line_key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(lower)
+    held = {}
+    for i, t in plain:
+        for x in (t or "").split("\n"):
+            if i is not None and len(line_key(x)) >= 10:
+                held.setdefault(line_key(x), set()).add(i)
+    gone = lambda i, x: i is not None and len(held.get(line_key(x), ())) > 1 and min(held[line_key(x)]) < i
+    assert run("lines") == sorted(((i, "\n".join(x for x in (t or "").split("\n") if not gone(i, x))) for i, t in plain), key=key)
+
+    named = [(i, t) for i, t in plain if i is not None]
+    _, part = brute_components([t for _, t in named], 5)
+    label = {i: i for i, _ in named}
+    for _ in named:  # ids with several texts join their parts
+        for (i, _), p in zip(named, part, strict=True):
+            label[i] = label[named[p][0]] = min(label[i], label[named[p][0]])
+    assert run("near_duplicates") == sorted(((i, t) for i, t in plain if i is None or label[i] == i), key=key)
+
+    benched = decontam.words_of(bench)
+    windows = {tuple(benched[i : i + 10]) for i in range(len(benched) - 9)}
+    hit = lambda t: any(tuple(w[i : i + 10]) in windows for w in [decontam.words_of(t)] for i in range(len(w) - 9))
+    assert run("decontamination") == sorted(((i, t) for i, t in plain if not hit(t)), key=key) and len(run("decontamination")) == len(plain) - 1
+
+    pieces = stages["packing"](spark, docs, str(tmp_path)).collect()
+    tokenizer, want = Tokenizer.from_file(path), []
+    for i, t in plain:
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        want += [(i, k // 2048, k, len(ids[k : k + 2048]), zlib.crc32(ids[k : k + 2048].tobytes())) for k in range(0, len(ids), 2048)]
+    order = lambda x: (x[0] is None, *(v or 0 for v in x))
+    assert sorted(((p.doc_id, p.piece, p.start, p.length, p.ids_crc32) for p in pieces), key=order) == sorted(want, key=order)
+    filled = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert filled.setdefault(p.sequence_id, 0) == p.offset
+        filled[p.sequence_id] += p.length
+    assert max(filled.values()) <= 2048
+
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name

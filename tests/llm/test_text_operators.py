@@ -225,6 +225,45 @@ def test_outliers_reject_odd_rows_only(spark):
     assert outliers.judge(docs.limit(0)).count() == 0
 
 
+def test_shapes_equal_a_plain_search(spark):
+    r = np.random.default_rng(12)
+    groups = {}
+    for k, n in (("a", 400), ("b", 150), ("c", 60)):
+        mix = r.normal(size=(5, 5)) + 2 * np.eye(5)
+        x = r.normal(size=(n, 5)) @ mix + 5
+        x[: n // 10] += 60  # a tenth lies far off
+        groups[k] = x
+    rows = [(k, *map(float, v)) for k, x in groups.items() for v in x]
+    shapes, few = outliers.robust_shapes(spark.createDataFrame(rows, "grp string, x0 double, x1 double, x2 double, x3 double, x4 double"))
+    assert few
+    got = {s.grp: s for s in shapes.collect()}
+
+    def solve(x, share):
+        c, v, size = outliers.solve(np.array([float(len(x))]), x.sum(0)[None], (x.T @ x)[None], share)
+        return c[0], v[0], size[0]
+
+    distance = lambda x, c, v: np.einsum("ni,ij,nj->n", x - c, v, x - c)
+    for k, x in groups.items():
+        best = None
+        for trial in range(60):  # many random starts, exact quantiles, until nothing moves
+            c, v, size = solve(x[r.choice(len(x), 12, replace=False)], 1.0) if trial else solve(x, 1.0)
+            for _ in range(200):
+                d = distance(x, c, v)
+                c, v, new = solve(x[d <= np.sort(d)[int(np.ceil(0.75 * len(x))) - 1]], 0.75)
+                if new >= size - 1e-9:
+                    break
+                size = new
+            best = min(best or (np.inf,), (size, trial, c, v), key=lambda b: b[0])
+        d = distance(x, best[2], best[3])
+        c, v, _ = solve(x[d <= outliers.chi2_quantile(0.975, 5)], 0.975)
+        s = got[k]
+        mine = distance(x, np.array([s[f"c{i}"] for i in range(5)]), np.array([[s[f"v{i}{j}"] for j in range(5)] for i in range(5)]))
+        plain = distance(x, c, v)
+        far = outliers.chi2_quantile(0.999, 5)
+        assert (mine[: len(x) // 10] > far).all() and (mine[len(x) // 10 :] < 3 * far).all()
+        assert np.corrcoef(np.log(mine), np.log(plain))[0, 1] > 0.98 and np.mean((mine > far) != (plain > far)) < 0.03
+
+
 def test_copies_of_a_text_do_not_reject_others(spark):
     clean = [words(round(60 * 30 ** (i / 59)), i) for i in range(60)]
     odd = [" ".join(f"{w}#$%" for w in words(100, 900 + i).split()) for i in range(2)]
