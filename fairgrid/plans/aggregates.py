@@ -91,8 +91,8 @@ def agg_08_region_day(spark, sf):
 @query(f"""with {_FAIR_SQL} select d, fuel, region, round(sum(price * w) / sum(w), 3) actual, count(*) n from j where region <> 'AFRICA' group by grouping sets ((d, fuel, region), (d, fuel))""")
 def agg_09_national_rollup(spark, sf):
     """Regions and the nation by one grouping-sets aggregate; the unclassified region left out."""
-    _judged(spark, sf).where("region <> 'AFRICA'").createOrReplaceTempView("fairgrid_judged")
-    t = spark.sql("select d, fuel, region, sum(price * w) / sum(w) actual, count(*) n from fairgrid_judged group by grouping sets ((d, fuel, region), (d, fuel))")
+    t = _judged(spark, sf).where("region <> 'AFRICA'").groupingSets([["d", "fuel", "region"], ["d", "fuel"]], "d", "fuel", "region")
+    t = t.agg(agg.mean_unmasked("price", "w").alias("actual"), F.count("*").alias("n"))
     return frames.rounded(t)
 
 

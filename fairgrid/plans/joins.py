@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fairgrid.functions.dates import saturday_week
@@ -42,9 +43,11 @@ def join_03_full_outer_fuels(spark, sf):
 @query(f"""with {GRID_SQL}, {DOM_SQL}, a as (select d, fuel, sum(price * n) / sum(n) anchor from grid group by all)
 select g.d, g.fuel, grid_id, round(price - anchor, 3) spread, round(x, 3) fair from grid g left join a using (d, fuel) left join dom using (d)""")
 def join_04_grid_anchor_fair(spark, sf):
-    g = grid_day(spark, sf)
-    a = g.groupBy("d", "fuel").agg(agg.anchor("price", "n").alias("anchor"))
-    return g.join(a, ["d", "fuel"], "left").join(domestic(spark, sf).select("d", "x"), "d", "left").select("d", "fuel", "grid_id", half_up(F.col("price") - F.col("anchor"), 3).alias("spread"), half_up("x", 3).alias("fair"))
+    day = Window.partitionBy("d", "fuel")
+    ok = (F.col("price") > 0) & (F.col("n") > 0)
+    anchor = F.sum(F.when(ok, F.col("price") * F.col("n"))).over(day) / F.nullif(F.sum(F.when(ok, F.col("n"))).over(day), F.lit(0.0))
+    g = grid_day(spark, sf).withColumn("spread", F.col("price") - anchor)
+    return g.join(domestic(spark, sf).select("d", "x"), "d", "left").select("d", "fuel", "grid_id", half_up("spread", 3).alias("spread"), half_up("x", 3).alias("fair"))
 
 
 @query(f"""with {GRID_SQL}, {STATION_SQL}, c as (select cell_x, cell_y, count(*) stations, min(region) region from station group by all)
@@ -56,9 +59,9 @@ def join_05_panel_static(spark, sf):
 
 @query(f"with {GRID_SQL} select t.d, t.fuel, t.grid_id, round(t.price - f.price, 3) delta from grid t join grid f on t.fuel = f.fuel and t.grid_id = f.grid_id and f.d = t.d - 1")
 def join_06_feature_day_before(spark, sf):
-    g = grid_day(spark, sf).select("d", "fuel", "grid_id", "price")
-    before = g.select(F.date_add("d", 1).alias("d"), "fuel", "grid_id", F.col("price").alias("before"))
-    return g.join(before, ["d", "fuel", "grid_id"]).select("d", "fuel", "grid_id", half_up(F.col("price") - F.col("before"), 3).alias("delta"))
+    w = Window.partitionBy("fuel", "grid_id").orderBy("d")
+    g = grid_day(spark, sf).withColumns({"day_before": F.lag("d").over(w), "before": F.lag("price").over(w)})
+    return g.where(F.date_sub("d", 1) == F.col("day_before")).select("d", "fuel", "grid_id", half_up(F.col("price") - F.col("before"), 3).alias("delta"))
 
 
 @query(f"""with {_EVENT_SQL}, f as (select user_id, cast(ts as date) d, event_id from events where event_type = 'purchase'), e as (select user_id, d, v from ev where event_type = 'view')
@@ -185,10 +188,10 @@ def join_19_latest_date_rows(spark, sf):
 @query(f"""with {GRID_SQL} select t.d + 1 target_date, t.fuel, t.grid_id, round(coalesce(n.price, t.price), 3) actual, case when n.price is null then 'feature_date' else 'target_date' end basis
 from grid t left join grid n on n.fuel = t.fuel and n.grid_id = t.grid_id and n.d = t.d + 1""")
 def join_20_actual_or_yesterday(spark, sf):
-    g = grid_day(spark, sf).select("d", "fuel", "grid_id", "price")
-    t = g.select(F.date_add("d", 1).alias("target_date"), "fuel", "grid_id", F.col("price").alias("before"))
-    now = g.withColumnRenamed("d", "target_date").withColumnRenamed("price", "now")
-    return t.join(now, ["target_date", "fuel", "grid_id"], "left").select("target_date", "fuel", "grid_id", half_up(F.coalesce("now", "before"), 3).alias("actual"), F.when(F.col("now").isNull(), "feature_date").otherwise("target_date").alias("basis"))
+    w = Window.partitionBy("fuel", "grid_id").orderBy("d")
+    g = grid_day(spark, sf).select("fuel", "grid_id", F.date_add("d", 1).alias("target_date"), F.col("price").alias("before"), F.lead("d").over(w).alias("next"), F.lead("price").over(w).alias("after"))
+    now = F.when(F.col("next") == F.col("target_date"), F.col("after"))  # the next row, if it is of the next day
+    return g.select("target_date", "fuel", "grid_id", half_up(F.coalesce(now, "before"), 3).alias("actual"), F.when(now.isNull(), "feature_date").otherwise("target_date").alias("basis"))
 
 
 @query("""with p as (select event_id, user_id, ts, case when event_type = 'view' then value end lon from events), v as (select user_id, arg_max(lon, ts) filled from p where lon is not null group by 1)

@@ -28,7 +28,7 @@ def ml_01_regression(spark, sf):
 
 def _orders(spark, sf):
     """All orders up to 60 own and 60 foreign lags, with weekday and month dummies."""
-    return models.order_search(_series(spark, sf), ["fuel"], "d", "y", "x", 60, 60, 1500)
+    return models.order_search(_series(spark, sf), ["fuel"], "d", "y", "x", 60, 60, 1095)
 
 
 @query()
