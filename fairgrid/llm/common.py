@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,18 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 5 == 0, F.lit(False))
 
 
+def sample_of_each(rows: DataFrame, group: str, key: str, limit: int) -> DataFrame:
+    """At most ``limit`` rows of ``rows`` for each value of ``group``, those with the least hash of ``key`` (distinct in a group).
+
+    A share of each group, some four times the limit, is let through by its hash before rows are ranked, so that ranking never gathers a large group.
+    """
+    u = F.pmod(F.xxhash64(F.lit(5), F.col(key)), F.lit(1 << 30))
+    counts = rows.groupBy(group).agg(F.count("*").alias("__n"))
+    few = rows.join(counts, group).withColumn("__u", u).where(F.col("__u") * F.col("__n") < F.lit(float(4 * limit + 100) * (1 << 30)))
+    first = Window.partitionBy(group).orderBy("__u", key)
+    return few.withColumn("__nth", F.row_number().over(first)).where(F.col("__nth") <= limit).select(*rows.columns)
+
+
 def plus(schema: T.StructType, **types: str) -> T.StructType:
     """``schema`` with more columns of the named types."""
     made = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "binary": T.BinaryType()}

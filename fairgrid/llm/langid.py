@@ -8,10 +8,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, plus, utf8
+from .common import held_out, plus, sample_of_each, utf8
 
 #: Bound of the training sample in rows, shared evenly by the languages, but at least LEAST_ROWS for each; and the model's size.
 MAX_ROWS, LEAST_ROWS = 4000, 20
@@ -65,8 +65,7 @@ def _training_rows(docs: DataFrame, max_rows: int) -> list[tuple[str, np.ndarray
     known = docs.where("text is not null and lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     ids = known.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     n_langs = max(1, known.agg(F.count_distinct("lang")).first()[0])
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    taken = ids.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= max(LEAST_ROWS, max_rows // n_langs)).select("doc_id", "lang")
+    taken = sample_of_each(ids, "lang", "doc_id", max(LEAST_ROWS, max_rows // n_langs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -9,10 +9,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held_out, plus, utf8
+from .common import cut, held_out, plus, sample_of_each, utf8
 
 #: Bounds of the training sample: labelled rows of each class, bytes of each dictionary, and the pieces of one text that train a dictionary.
 MAX_ROWS_PER_CLASS = 2000
@@ -109,8 +109,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER
     learnt from; of repeated rows of an id each distinct text counts once, and ids with both labels count in both classes. Without both classes the score is the share of good rows, or one half without labels.
     """
     usable = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", "quality").distinct()
-    first = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = usable.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= max_rows).select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
+    sample = sample_of_each(usable, "quality", "doc_id", max_rows).select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
     rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     rows = cut(rows.withColumn("u", F.xxhash64(F.lit(3), "doc_id")).dropDuplicates(["doc_id", "quality", "text"]))
 
