@@ -25,6 +25,7 @@ REGIONS = {
     "강원도": "강원", "강원특별자치도": "강원", "충청북도": "충북", "충청남도": "충남", "전라북도": "전북", "전북특별자치도": "전북", "전라남도": "전남", "경상북도": "경북", "경상남도": "경남", "제주도": "제주", "제주특별자치도": "제주",
 }
 SELF_LABELS = {"self": "셀프", "full": "일반", "unknown": "미상"}
+# Texts that count as missing.
 BLANK_LIKE = ("", "nan", "None", "<NA>")
 
 

@@ -142,26 +142,28 @@ def src_03_newest_file(spark, sf):
     return spark.read.parquet(readers.newest_file(spark, sf, "orders.parquet")).agg(F.count("*").alias("n"), half_up(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query(f"with {DOM_SQL} select d as date, cast(null as double) customs, round(x, 2) transport, cast(n as double) education, 1.0::double driving, 0.5::double import_levy from dom where day(d) = 1")
+@query(f"with {DOM_SQL} select d as date, cast(null as double) customs, round(x, 2) transport, cast(n as double) education, 1.0::double driving, 0.5::double import_levy from dom")
 def src_04_html_tax_table(spark, sf):
     """SRC-04: tax changes as an HTML page with a header row and a total column."""
     out = sinks.work_folder(spark, "tax")
     cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
     row = F.concat(F.lit("<tr>"), cell(F.date_format("d", "yyyy'년'MM'월'dd'일'")), cell(F.lit("-")), cell(F.format_number(half_up("x", 2), 2)), cell(F.col("n").cast("string")), cell(F.lit("<b>1</b>")), cell(F.lit("0.5")), cell(F.lit("total")), F.lit("</tr>"))
-    page = domestic(spark, sf).where("day(d) = 1").select(F.year("d").alias("y"), row.alias("r")).groupBy("y").agg(F.concat(F.lit("<table><tr><th>변동일자</th></tr>"), F.array_join(F.collect_list("r"), ""), F.lit("</table>")).alias("value"))
+    page = domestic(spark, sf).select(F.year("d").alias("y"), row.alias("r")).groupBy("y").agg(F.concat(F.lit("<table><tr><th>변동일자</th></tr>"), F.array_join(F.collect_list("r"), ""), F.lit("</table>")).alias("value"))
     page.repartition("y").write.partitionBy("y").text(out)
     return readers.read_tax(spark, out)
 
 
 @query(f"with {STATION_SQL} select district as name, count(*) polygons, 4 * count(*) corners from station group by 1")
 def src_07_polygons(spark, sf):
-    """SRC-07: a square for each station as GeoJSON of its region, read into rings."""
+    """SRC-07: a square for each station as GeoJSON, so many stations to a document, read into rings."""
     out = sinks.work_folder(spark, "geo")
     x, y = F.col("cell_x").cast("double"), F.col("cell_y").cast("double")
     ring = F.array(F.array(x, y), F.array(x + 500, y), F.array(x + 500, y + 500), F.array(x, y + 500))
     feature = F.struct(F.struct(F.col("district").alias("name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
-    pages = stations(spark, sf).groupBy("region").agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))).alias("value"))
-    pages.repartition("region").write.partitionBy("region").text(out)
+    t = stations(spark, sf)
+    n_docs = max(1, -(-t.count() // _STATIONS))
+    pages = t.groupBy(F.pmod(F.xxhash64("station_id"), F.lit(n_docs)).alias("part")).agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))).alias("value"))
+    pages.repartition("part").write.partitionBy("part").text(out)
     p = readers.read_polygons(spark, out)
     return p.groupBy("name").agg(F.count("*").alias("polygons"), F.sum(F.size(F.col("rings")[0])).alias("corners"))
 
