@@ -102,9 +102,8 @@ SHORTLIST, BOX_LAGS, LEVEL = 10, 14, 0.05
 def order_search(df: DataFrame, keys: list[str], order: str, y: str, x: str, max_p: int, max_q: int, train: int, dummies: bool = True) -> DataFrame:
     """ML-02: the best orders (p, q) on a common sample: the first ``train`` rows fit, the rest score out of sample.
 
-    Spark builds the cross products of the largest design once, for fit and for score; each
-    order solves a sub-matrix, and its errors on the later rows and its block test follow from cross
-    products alone. The SHORTLIST best by BIC and by AIC go on. Their residuals are rows of Spark, whose lagged products give the Ljung-Box test. Tiers: stable with clean residuals and
+    Spark builds the cross products of the largest design once, for fit and for score; all orders' errors and
+    block tests follow from them alone, by one factor of a sub-matrix for each p, and so do the errors on the later rows. The SHORTLIST best by BIC and by AIC go on. Their residuals are rows of Spark, whose lagged products give the Ljung-Box test. Tiers: stable with clean residuals and
     a significant block of foreign lags (1), stable with such a block (2), stable (3), any (4); inside a tier by the error out of sample.
     Columns: keys, p, q, tried, n, r2, aic, bic, oos_rmse, stable, block_f, block_p, box_q, box_p, hac_error, tier, rank, beta (constant, own lags, foreign lags; dummies left out).
     """
@@ -133,19 +132,20 @@ def order_search(df: DataFrame, keys: list[str], order: str, y: str, x: str, max
                 tss = max(yy - xy[0] ** 2 / n, 1e-12)
                 found = []
                 for p in range(max_p + 1):
-                    own = columns(p, 0)
-                    rss0 = max(yy - _solve_scaled(xx[np.ix_(own, own)], xy[own]) @ xy[own], 1e-12)
+                    # one factor serves all q: its leading blocks are those of the shorter designs, and each further column takes its square off the error
+                    at = columns(p, max_q)
+                    scale = np.sqrt(np.maximum(np.diag(xx)[at], 1e-300))
+                    factor = np.linalg.cholesky(xx[np.ix_(at, at)] / np.outer(scale, scale) + 1e-12 * np.eye(len(at)))
+                    left = np.maximum(yy - np.cumsum(np.linalg.solve(factor, xy[at] / scale) ** 2), 1e-12)
                     for q in range(1, max_q + 1):
-                        at = columns(p, q)
-                        b = _solve_scaled(xx[np.ix_(at, at)], xy[at])
-                        rss = max(yy - 2 * b @ xy[at] + b @ xx[np.ix_(at, at)] @ b, 1e-12)
-                        sse = yy2 - 2 * b @ xy2[at] + b @ xx2[np.ix_(at, at)] @ b
-                        free, k = n - len(at), len(at)
-                        found.append((n * math.log(rss / n) + k * math.log(n), n * math.log(rss / n) + 2 * k, p, q, b, 1 - rss / tss, math.sqrt(max(sse, 0) / r["n2"]), max(0.0, (rss0 - rss) / q / (rss / free)), free))
+                        k = base + p + q
+                        rss, free = left[k - 1], n - k
+                        found.append((n * math.log(rss / n) + k * math.log(n), n * math.log(rss / n) + 2 * k, p, q, 1 - rss / tss, max(0.0, (left[k - q - 1] - rss) / q / (rss / free)), free))
                 short = {x[2:4]: x for i in (0, 1) for x in sorted(found, key=lambda x, i=i: (x[i], x[2], x[3]))[:SHORTLIST]}
-                for (p, q), (bic, aic, _, _, b, r2, oos, f_value, free) in sorted(short.items()):
+                for (p, q), (bic, aic, _, _, r2, f_value, free) in sorted(short.items()):
                     at, padded, hac = columns(p, q), np.zeros(size), np.zeros(size)
-                    padded[at] = b
+                    padded[at] = b = _solve_scaled(xx[np.ix_(at, at)], xy[at])
+                    oos = math.sqrt(max(yy2 - 2 * b @ xy2[at] + b @ xx2[np.ix_(at, at)] @ b, 0) / r["n2"])
                     hac[at] = np.linalg.pinv(xx[np.ix_(at, at)])[base + p]
                     beta = [b[0], *b[base:]]
                     out.append([*(r[k] for k in keys), p, q, len(found), n, r2, aic, bic, oos, is_stable(b[base : base + p]), f_value, f_tail(f_value, q, free), list(map(float, beta)), padded.tolist(), hac.tolist()])
