@@ -97,9 +97,16 @@ def ml_10_model_choice(spark, sf):
     return frames.rounded(m.withColumn("choice", F.when(F.col("two_mae") <= 1.15 * F.col("direct_mae"), "two layers").otherwise("direct")))
 
 
-@query()
+_FAIR_FRAME_SQL = f"""{OBS_SQL}, {DOM_SQL}, t as (select fuel, d, avg(price) y from obs group by all), s as (select fuel, d, y, x / 1000 x from t join dom using (d) where d >= date '1995-06-01'),
+f as (select fuel, d, y, lag(x) over (partition by fuel order by d) a, avg(x) over (partition by fuel order by d rows between 7 preceding and 1 preceding) b from s), g as (select *, a is not null ok from f),
+r as (select fuel, d, a, b, ok, count(*) filter (where ok) over p n, sum(a) filter (where ok) over p sa, sum(b) filter (where ok) over p sb, sum(y) filter (where ok) over p sy, sum(a * a) filter (where ok) over p saa, sum(a * b) filter (where ok) over p sab,
+ sum(b * b) filter (where ok) over p sbb, sum(a * y) filter (where ok) over p say, sum(b * y) filter (where ok) over p sby from g window p as (partition by fuel order by d rows between unbounded preceding and 1 preceding)),
+c as (select *, saa - sa * sa / n aa, sab - sa * sb / n ab, sbb - sb * sb / n bb, say - sa * sy / n ay, sby - sb * sy / n by_ from r)"""
+
+
+@query(f"with {_FAIR_FRAME_SQL} select fuel, d, case when ok and n >= 240 then round(sy / n + ((bb * ay - ab * by_) * (a - sa / n) + (aa * by_ - ab * ay) * (b - sb / n)) / (aa * bb - ab * ab), 1) end forecast from c")
 def win_20_expanding_forecasts(spark, sf):
-    return frames.rounded(models.expanding_forecasts(_fair_frame(spark, sf), ["fuel"], "d", "y", ["x1", "x7"], 240))
+    return frames.rounded(models.expanding_forecasts(_fair_frame(spark, sf), ["fuel"], "d", "y", ["x1", "x7"], 240), 1)
 
 
 def _model_frame(spark, sf):

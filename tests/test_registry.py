@@ -112,7 +112,6 @@ CHECKS = {
     "ml_07_response_weights": lambda rows, con: all(abs(sum(r.weight for r in rows if r.fuel == f) - 1) < 1e-4 and min(r.weight for r in rows if r.fuel == f) >= 0 for f in ("diesel", "gasoline")) and len(rows) == 182,
     "ml_08_stationarity": lambda rows, con: all(r.stationary_like == (r.adf < -2.86 and r.kpss < 0.463) for r in rows) and len(rows) == 2,
     "ml_09_rolling_huber": _forecasts("prediction"),
-    "win_20_expanding_forecasts": _forecasts("forecast"),
     "ml_10_model_choice": lambda rows, con: all(r.choice == ("two layers" if r.two_mae <= 1.15 * r.direct_mae else "direct") for r in rows) and len(rows) == 2,
     "ml_11_delta_model": lambda rows, con: len(rows) == 1 and rows[0].rows > 0 and rows[0].rmse >= rows[0].mae > 0,
     "ml_12_scoring": _scores,
