@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,8 @@ from .common import WordHashes, chain, cut, utf8
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 50, 50, 3
 #: Share of a group's rows that the covariance determinant is made small on, and rows below which a group is pooled.
 CORE_SHARE, MIN_GROUP = 0.75, 50
-#: Concentration steps end when no group's log determinant falls by more than TOLERANCE, at the latest after MAX_STEPS.
-TOLERANCE, MAX_STEPS = 1e-3, 25
+#: Concentration steps of a group end when its log determinant falls by no more than TOLERANCE, about what approximate quantiles can move it, at the latest after MAX_STEPS.
+TOLERANCE, MAX_STEPS = 1e-2, 25
 #: Groups up to which their shapes, 300 bytes each, are broadcast; beyond that rows meet them in a join that AQE can split.
 BROADCAST_GROUPS = 50_000
 #: Rows beyond this quantile of the chi-square law are rejected.
@@ -106,13 +107,13 @@ _SHAPE = "grp string, start int, size double, old double, " + ", ".join(f"{c} do
 
 def _sums(rows: DataFrame, share: float) -> DataFrame:
     """A shape for each group and start of ``rows`` (grp, start, old, x0..x4): a partial aggregate, then a small solve for each row of sums."""
-    sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIM)]
-    products = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}{j}") for i in range(DIM) for j in range(DIM)]
+    sums = [F.expr(f"sum(x{i}) as s{i}") for i in range(DIM)]
+    products = [F.expr(f"sum(x{i} * x{j}) as p{i}{j}") for i in range(DIM) for j in range(i, DIM)]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             take = lambda names: f[names].to_numpy(float)  # noqa: B023, E731
-            products = take([f"p{i}{j}" for i in range(DIM) for j in range(DIM)]).reshape(-1, DIM, DIM)
+            products = take([f"p{min(i, j)}{max(i, j)}" for i in range(DIM) for j in range(DIM)]).reshape(-1, DIM, DIM)
             centre, inverse, size = solve(take("n"), take([f"s{i}" for i in range(DIM)]), products, share)
             out = pd.DataFrame(np.column_stack([size, take("old"), centre, inverse.reshape(len(f), -1)]), columns=["size", "old", *_CENTRE, *_INVERSE])
             yield out.assign(grp=f["grp"].tolist(), start=f["start"].tolist())[["grp", "start", *out.columns]]
@@ -122,7 +123,7 @@ def _sums(rows: DataFrame, share: float) -> DataFrame:
 
 def _distance():
     """The squared distance of x0..x4 from a shape."""
-    return sum(((F.col(f"x{i}") - F.col(f"c{i}")) * (F.col(f"x{j}") - F.col(f"c{j}")) * F.col(f"v{i}{j}") for i in range(DIM) for j in range(DIM)), F.lit(0.0))
+    return F.expr(" + ".join(f"{1 if i == j else 2} * (x{i} - c{i}) * (x{j} - c{j}) * v{i}{j}" for i in range(DIM) for j in range(i, DIM)))
 
 
 def robust_shapes(rows: DataFrame) -> tuple[DataFrame, bool]:
@@ -130,7 +131,7 @@ def robust_shapes(rows: DataFrame) -> tuple[DataFrame, bool]:
     search, and whether they are few enough to broadcast.
 
     Two starts for each group: medians with median absolute deviations, and mean with
-    scatter of all rows. Both take concentration steps until no determinant falls any more: keep the CORE_SHARE of rows with the least distance,
+    scatter of all rows. Both take concentration steps until their determinant falls no more, and then rest while others go on: keep the CORE_SHARE of rows with the least distance,
     estimate anew. The smaller determinant wins, and a last step re-estimates on all rows within its 97.5 %
     ellipsoid. Every step is a scan of ``rows`` with a partial aggregate, both starts together, so a group of
     any size is spread over tasks; only a row of sums for each group moves on. Quantiles are Spark's approximate ones, within 1/2000 of the rank.
@@ -145,12 +146,20 @@ def robust_shapes(rows: DataFrame) -> tuple[DataFrame, bool]:
     size = sum((2 * F.log(x) for x in least), F.lit(0.0))
     first = away.select("grp", F.lit(0).alias("start"), size.alias("size"), F.lit(None).cast("double").alias("old"), *_CENTRE, *inverse)
     shapes = cut(first.unionByName(_sums(rows.withColumns({"start": F.lit(1), "old": F.lit(None).cast("double")}), 1.0)))
+    settled = []
     for step in range(MAX_STEPS):
         near = rows.join(small(shapes.drop("old").withColumnRenamed("size", "old")), "grp").withColumn("d", _distance())
         bound = near.groupBy("grp", "start").agg(median("d", CORE_SHARE, 2000).alias("bound"))
         shapes = cut(_sums(near.join(small(bound), ["grp", "start"]).where("d <= bound"), CORE_SHARE))
-        if step and shapes.where(F.col("size") < F.col("old") - TOLERANCE).isEmpty():
-            break
+        if step == MAX_STEPS - 1:
+            settled.append(shapes)
+        elif step:
+            falls = F.col("size") < F.col("old") - TOLERANCE
+            settled.append(shapes.where(~falls))
+            shapes = shapes.where(falls)
+            if shapes.isEmpty():
+                break
+    shapes = reduce(DataFrame.unionByName, settled)
     best = shapes.groupBy("grp").agg(F.min_by(F.struct("start", "size", *_CENTRE, *_INVERSE), F.struct("size", "start")).alias("b")).select("grp", "b.*")
     near = rows.join(small(best.withColumnRenamed("size", "old")), "grp").where(_distance() <= chi2_quantile(0.975, DIM))
     return cut(_sums(near, 0.975)), few
