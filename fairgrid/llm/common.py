@@ -70,7 +70,7 @@ def sample_of_each(rows: DataFrame, group: str, key: str, limit: int) -> DataFra
     """
     u = F.pmod(F.xxhash64(F.lit(5), F.col(key)), F.lit(1 << 30))
     counts = rows.groupBy(group).agg(F.count("*").alias("__n"))
-    few = rows.join(counts, group).withColumn("__u", u).where(F.col("__u") * F.col("__n") < F.lit(float(4 * limit + 100) * (1 << 30)))
+    few = rows.join(counts, group).withColumn("__u", u).where(F.col("__u").cast("double") * F.col("__n") < F.lit(float(4 * limit + 100) * (1 << 30)))
     first = Window.partitionBy(group).orderBy("__u", key)
     return few.withColumn("__nth", F.row_number().over(first)).where(F.col("__nth") <= limit).select(*rows.columns)
 
@@ -91,7 +91,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    LIMIT = 1_000_000
+    LIMIT = 400_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -39,7 +39,7 @@ class CachedTokenizer(dict):
     chunks met so far, beside one of words; both are bounded.
     """
 
-    CHUNKS, WORDS = 400_000, 400_000
+    CHUNKS, WORDS = 250_000, 250_000
     #: Longer chunks and words are never kept, so that the bounds in entries are bounds in bytes.
     LONGEST = 64
 
