@@ -36,10 +36,11 @@ class CachedTokenizer(dict):
     so the ids of a text are those of its chunks in order. A chunk of Latin
     letters and then punctuation is cut exactly there, and its two words go to the tokenizer's
     model alone; any other chunk goes through the whole tokenizer. This is a dictionary of the ids of
-    chunks met so far, beside one of words; both are bounded.
+    chunks met lately, beside one of words. When one holds half its bound it becomes the older
+    half and a new one begins; what is met again moves on from the older half, so that frequent words stay.
     """
 
-    CHUNKS, WORDS = 250_000, 250_000
+    CHUNKS, WORDS = 400_000, 400_000
     #: Longer chunks and words are never kept, so that the bounds in entries are bounds in bytes.
     LONGEST = 64
 
@@ -48,29 +49,34 @@ class CachedTokenizer(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.words = self.tokenizer.model, {"": b""}
+        self.model, self.words, self.older_words, self.older = self.tokenizer.model, {}, {}, {}
 
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= self.WORDS:
-                self.words = {"": b""}
-            coded = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_ALPHABET)
-            found = array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
+            found = self.older_words.get(word)
+            if found is None:
+                coded = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_ALPHABET)
+                found = array("I", [t.id for t in self.model.tokenize(coded)]).tobytes() if word else b""
             if len(word) <= self.LONGEST:
+                if len(self.words) >= self.WORDS // 2:
+                    self.older_words, self.words = self.words, {}
                 self.words[word] = found
         return found
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.CHUNKS:
-            self.clear()
-        low = chunk.lower()
-        word = low.rstrip(MARKS)
-        if word.isalpha() and word.isascii() or not word and low or LATIN_LETTERS.fullmatch(word):
-            ids = self._word(word) + self._word(low[len(word) :])
-        else:
-            ids = np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.older.get(chunk)
+        if ids is None:
+            low = chunk.lower()
+            word = low.rstrip(MARKS)
+            if word.isalpha() and word.isascii() or not word and low or LATIN_LETTERS.fullmatch(word):
+                ids = self._word(word) + self._word(low[len(word) :])
+            else:
+                ids = np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         if len(chunk) <= self.LONGEST:
+            if len(self) >= self.CHUNKS // 2:
+                self.older = dict(self)
+                self.clear()
             self[chunk] = ids
         return ids
 
