@@ -44,6 +44,14 @@ def test_cached_tokens_equal_whole_tokens(tokenizer_path):
         assert np.frombuffer(cached.ids(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, t
 
 
+def test_full_caches_change_no_ids(tokenizer_path):
+    few, many = packing.CachedTokenizer(tokenizer_path), packing.tokenizer_of(tokenizer_path)
+    few.CHUNKS = few.WORDS = 8
+    texts = [words(60, i, ("Alpha,", "beta", "Gamma's", "é", "42", "the.")) for i in range(5)] + ["x" * 500 + " the the", ""]
+    assert [few.ids(t) for t in texts] == [many.ids(t) for t in texts]
+    assert len(few) <= 4 and len(few.older) <= 4 and len(few.words) <= 4 and len(few.older_words) <= 4
+
+
 def test_best_fit_bounds_and_order():
     bins, offsets = packing.best_fit([5, 4, 5, 1, 6, 3], 10)
     assert (bins, offsets) == ([0, 0, 1, 0, 2, 2], [0, 5, 0, 9, 0, 6])
