@@ -67,10 +67,11 @@ def sample_of_each(rows: DataFrame, group: str, key: str, limit: int) -> DataFra
     """At most ``limit`` rows of ``rows`` for each value of ``group``, those with the least hash of ``key`` (distinct in a group).
 
     A share of each group, some four times the limit, is let through by its hash before rows are ranked, so that ranking never gathers a large group.
+    The groups are classes or languages: their counts, a row each, are broadcast.
     """
     u = F.pmod(F.xxhash64(F.lit(5), F.col(key)), F.lit(1 << 30))
     counts = rows.groupBy(group).agg(F.count("*").alias("__n"))
-    few = rows.join(counts, group).withColumn("__u", u).where(F.col("__u").cast("double") * F.col("__n") < F.lit(float(4 * limit + 100) * (1 << 30)))
+    few = rows.join(F.broadcast(counts), group).withColumn("__u", u).where(F.col("__u").cast("double") * F.col("__n") < F.lit(float(4 * limit + 100) * (1 << 30)))
     first = Window.partitionBy(group).orderBy("__u", key)
     return few.withColumn("__nth", F.row_number().over(first)).where(F.col("__nth") <= limit).select(*rows.columns)
 
