@@ -80,7 +80,13 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op5_html_extraction, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup, op10_warc)}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op5_html_extraction, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup, op10_warc, op11_phrases)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -131,4 +137,18 @@ f as (select k.doc_id, p, line, coalesce(k.doc_id <> keeper, false) gone from k
 select doc_id, count(*) n_lines, cast(sum(cast(gone as bigint)) as bigint) n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by p) filter (where not gone), '')) kept_sha256
 from f group by doc_id""",
+    "op11_phrases": r"""
+with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+p as (select lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') w from d),
+g as (select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) phrase from p, range(1, 6) s(m) where len(w) >= m),
+f as (select lang, m, phrase, count(*) f from g group by all),
+n as (select lang, sum(f) n from f where m = 1 group by lang),
+c as (select * from f where m > 1 and f >= 100),
+free as (select * from c where not exists (select 1 from c b where b.lang = c.lang and b.m > c.m and 100 * b.f >= 100 * c.f and contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts as (select lang, m, phrase, f a, k, array_to_string(string_split(phrase, ' ')[1 : k], ' ') lp, array_to_string(string_split(phrase, ' ')[k + 1 :], ' ') rp from free, range(1, 5) s(k) where k < m),
+scored as (select cuts.lang, cuts.phrase, a, l.f l, r.f r, n, k, cast((1000::hugeint * a * n) // (l.f::hugeint * r.f) as bigint) score
+ from cuts join f l on l.lang = cuts.lang and l.m = k and l.phrase = lp join f r on r.lang = cuts.lang and r.m = cuts.m - k and r.phrase = rp join n on n.lang = cuts.lang),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as "rank" from best)
+select lang, "rank", phrase, cast(a as bigint) a, cast(l as bigint) l, cast(r as bigint) r, cast(n as bigint) n, score from ranked where "rank" <= 2000""",
 }
