@@ -86,7 +86,13 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op5_html_extraction, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup, op10_warc, op11_phrases)}
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op5_html_extraction, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup, op10_warc, op11_phrases, op12_top_k)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -151,4 +157,10 @@ scored as (select cuts.lang, cuts.phrase, a, l.f l, r.f r, n, k, cast((1000::hug
 best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
 ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as "rank" from best)
 select lang, "rank", phrase, cast(a as bigint) a, cast(l as bigint) l, cast(r as bigint) r, cast(n as bigint) n, score from ranked where "rank" <= 2000""",
+    "op12_top_k": r"""
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) v from embeddings
+ where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id query_id, c.vec_id vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) score
+ from v q join v c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 50 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) "rank", vec_id, score from s qualify "rank" <= 5""",
 }
