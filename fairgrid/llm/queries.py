@@ -92,7 +92,13 @@ def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op5_html_extraction, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup, op10_warc, op11_phrases, op12_top_k)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversations import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_language_id, op4_near_dedup, op5_html_extraction, op6_quality_rules, op7_sharding, op8_decontamination, op9_line_dedup, op10_warc, op11_phrases, op12_top_k, op13_prefix_trie)}
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -163,4 +169,19 @@ with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * c
 s as (select q.vec_id query_id, c.vec_id vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) score
  from v q join v c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 50 = 0)
 select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) "rank", vec_id, score from s qualify "rank" <= 5""",
+    "op13_prefix_trie": r"""
+with crc as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i::bigint, range(8)), lambda v, k: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end)) crc_table),
+t as (select conv_id, coalesce(role, '') "role", coalesce(text, '') text, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) pos from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % 5 base, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, len(conv_id::varchar) + 1), lambda i: ascii(substr(conv_id::varchar, i, 1))::bigint)),
+  lambda v, b: xor(v >> 8, crc_table[xor(v & 255, b) + 1])), 4294967295) % 9 h from (select distinct conv_id from t), crc),
+r as (select c.conv_id, pos, "role", text from c join t on t.conv_id = base and pos <= h union all select c.conv_id, pos + 9, "role", text from c join t on t.conv_id = c.conv_id and pos > h),
+s as (select conv_id, coalesce(list(struct_pack("role", text) order by pos) filter (pos is not null), []) s from c left join r using (conv_id) group by conv_id),
+m as (select conv_id, len(s) n, d, s[1 : d] k from s, range(0, (select max(len(s)) + 1 from s)) x(d) where d <= len(s)),
+u as (select d, k, min(conv_id) conv_id, count(*) n_convs, string_agg(conv_id::varchar, ',' order by conv_id) filter (n = d) ends from m group by d, k),
+p as (select u.*, b.conv_id parent, case when u.d = 0 then 0 else strlen(u.k[u.d].text) end bytes from u left join u b on b.d = u.d - 1 and b.k = u.k[1 : u.d - 1]),
+ch as (select parent, d - 1 d, count(*) n_children from p where parent is not null group by all),
+v as (select p.*, coalesce(n_children, 0) n_children from p left join ch on ch.parent = p.conv_id and ch.d = p.d),
+sub as (select a.conv_id, a.d, count(*) filter (b.n_children = 0) n_leaves, sum((b.n_convs - 1) * b.bytes) saved from v a join v b on b.d >= a.d and b.k[1 : a.d] = a.k group by all)
+select conv_id, d depth, parent parent_conv_id, n_convs, n_children, n_leaves, cast(saved as bigint) saved_tokens, sha256(coalesce(ends, '')) ends_sha256
+from v join sub using (conv_id, d)""",
 }
