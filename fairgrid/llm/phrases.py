@@ -16,7 +16,9 @@ MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
 #: Bytes of text that a task counts together before its stripes leave it.
-FLUSH_BYTES = 12_000_000
+FLUSH_BYTES = 8_000_000
+#: Bytes of text that are split into words at once.
+_SPLIT_BYTES = 500_000
 #: Size of the filter of frequent phrases that every task holds, in bits: 8 MB whatever the corpus.
 FILTER_BITS = 26
 _SEGMENT_BITS = 16
@@ -49,6 +51,23 @@ def _in_filter(bits: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
 
 
+def _portions(texts: list[bytes]) -> Iterator[list[bytes]]:
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= _SPLIT_BYTES:
+            yield some
+            some, size = [], 0
+    yield some
+
+
+def _numbers(texts: list[bytes], ids: _Ids) -> np.ndarray:
+    """The words of ``texts`` as numbers; 0 ends a piece and each text."""
+    parts = b"\n".join([*texts, b""]).translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
+    return np.fromiter(map(ids.__getitem__, filter(None, parts)), np.int32)
+
+
 def _count(lang: str, texts: list[bytes], lengths: tuple[int, ...], bitmap: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """The stripes of ``texts`` whose prefixes have ``lengths`` words.
 
@@ -57,9 +76,7 @@ def _count(lang: str, texts: list[bytes], lengths: tuple[int, ...], bitmap: np.n
     pairs of neighbours (longer prefixes) are in it.
     """
     ids = _Ids({b"\n": 0})
-    parts = b"\n".join(texts).translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
-    a = np.fromiter(map(ids.__getitem__, filter(None, parts)), np.int64)
-    del parts
+    a = np.concatenate([_numbers(some, ids) for some in _portions(texts)])
     words = list(ids)
     spelled = pa.array(words, pa.binary()).cast(pa.string())
 
@@ -90,14 +107,15 @@ def _count(lang: str, texts: list[bytes], lengths: tuple[int, ...], bitmap: np.n
         at = np.flatnonzero(valid)
         if not len(at):
             return
-        key, first, inverse, counts = np.unique(before[at] * len(words) + a[at + m], return_index=True, return_inverse=True, return_counts=True)
+        key, first, inverse, counts = np.unique(before[at].astype(np.int64) * len(words) + a[at + m], return_index=True, return_inverse=True, return_counts=True)
         if m in lengths:
             owner = key // len(words)
             starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             places = at[first[starts]]
             yield stripes([b" ".join([words[j] for j in a[p : p + m]]).decode() for p in places.tolist()], starts, key % len(words), counts)
-        before = np.zeros(len(a), np.int64)
+        before = np.zeros(len(a), np.int32)
         before[at] = inverse
+        del inverse
         valid = valid[:-1] & link[m:]
 
 
