@@ -5,36 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fairgrid.functions.dates import saturday_week
 from fairgrid.functions.numbers import BASE_TAX, half_up, judge, policy_shift
 from fairgrid.operators import aggregates as agg
-from fairgrid.operators import frames, joins, models, windows
+from fairgrid.operators import frames, joins, lagmodels, layers, models, windows
+from fairgrid.operators.stored import shared_dir
+from fairgrid.sources import sinks
 
 from .registry import query
-from .tables import DOM_SQL, OBS_SQL, domestic, grid_day, observations, policies, stations
+from .tables import DOM_SQL, OBS_SQL, domestic, grid_day, observations, policies, read, stations
 
 
 def _series(spark, sf):
     """Per fuel: the mean price of a day and the national order value of that day."""
     o = observations(spark, sf).groupBy("fuel", "d").agg(F.avg("price").alias("y"))
-    return o.join(domestic(spark, sf).select("d", (F.col("x") / 1000).alias("x")), "d").where("d >= date'1995-06-01'")
+    return o.join(domestic(spark, sf).select("d", (F.col("x") / 1000).alias("x")), "d")
 
 
-@query(f"""with {OBS_SQL}, {DOM_SQL}, o as (select fuel, d, avg(price) y from obs group by all), t as (select fuel, y, x / 1000 x from o join dom using (d) where d >= date '1995-06-01')
+@query(f"""with {OBS_SQL}, {DOM_SQL}, o as (select fuel, d, avg(price) y from obs group by all), t as (select fuel, y, x / 1000 x from o join dom using (d))
 select fuel, count(*) n, round(regr_intercept(y, x), 4) intercept, round(regr_slope(y, x), 4) slope, round(regr_r2(y, x), 6) r2 from t group by 1""")
 def ml_01_regression(spark, sf):
     r = models.regressions(models.gram(_series(spark, sf), ["fuel"], ["x"], "y"), ["fuel"], 2)
     return r.select("fuel", "n", half_up(F.col("beta")[0], 4).alias("intercept"), half_up(F.col("beta")[1], 4).alias("slope"), half_up("r2", 6).alias("r2"))
 
 
-def _orders(spark, sf):
-    """All orders up to 60 own and 60 foreign lags, with weekday and month dummies."""
-    return models.order_search(_series(spark, sf), ["fuel"], "d", "y", "x", 60, 60, 1095)
+def _changes(spark, sf):
+    """Per fuel: daily changes (100 times the log) of the price and of the national order value, with the price itself."""
+    t = windows.percent_change(_series(spark, sf), "y", ["fuel"], "d", name="dom")
+    return windows.percent_change(t, "x", ["fuel"], "d", name="intl").select("fuel", "d", "dom", "intl", F.col("y").alias("level"))
+
+
+def _orders(spark, sf, max_p=60, max_q=60, train=1095):
+    """All orders up to 60 own and 60 foreign lags of the change series, with weekday and month dummies; kept for as long as the tables stay the same."""
+    search = lambda: lagmodels.order_search(_changes(spark, sf), ["fuel"], "d", "dom", "intl", "level", max_p, max_q, train)
+    conditions = {"what": "order search", "max_p": max_p, "max_q": max_q, "train": train}
+    return sinks.cached(spark, f"{shared_dir(spark)}/lag-orders", conditions, [f"{sf}/lineitem.parquet", f"{sf}/orders.parquet"], search)
 
 
 @query()
 def ml_02_order_search(spark, sf):
-    """The shortlisted orders by tier and by their error out of sample."""
-    return frames.rounded(_orders(spark, sf).drop("beta", "block_f", "box_q", "hac_error"), 4)
+    """The finalists among 3,660 orders with their one-step forecasts' errors on changes and levels and their tests on the whole series, ranked."""
+    return frames.rounded(_orders(spark, sf).drop("beta", "block_f", "full_f", "box_q", "hac_error"), 4)
+
+
+@query()
+def ml_02_screening_orders(spark, sf):
+    """The smaller search of the screening stage: up to 8 own and 12 foreign lags."""
+    return frames.rounded(_orders(spark, sf, 8, 12).select("fuel", "rank", "p", "q", "tried", "rule", "bic", "oos_rmse_chg", "oos_rmse_level", "full_stable", "box_p"), 4)
 
 
 def _chosen(spark, sf):
@@ -43,18 +60,22 @@ def _chosen(spark, sf):
 
 @query()
 def ml_03_block_test(spark, sf):
-    """F-test of the chosen order's foreign lags, and the Newey-West error of the first of them."""
-    return _chosen(spark, sf).select("fuel", half_up("block_f", 4).alias("f"), half_up("block_p", 6).alias("p_value"), half_up("hac_error", 6).alias("hac_error"))
+    """The chosen order's foreign lags: F under the Newey-West covariance, F of the model without them against the whole one, and the first one's error."""
+    t = _chosen(spark, sf)
+    return t.select(
+        "fuel", "p", "q", half_up("block_f", 4).alias("hac_f"), half_up("full_block_p", 6).alias("hac_p"), half_up("full_f", 4).alias("restricted_f"), half_up("full_p", 6).alias("restricted_p"), half_up("hac_error", 6).alias("hac_error")
+    )
 
 
 @query()
 def ml_04_ljung_box(spark, sf):
-    return _chosen(spark, sf).select("fuel", half_up("box_q", 4).alias("q"), half_up("box_p", 6).alias("p_value"))
+    """Ljung-Box test of the chosen order's residuals, with the number of lags that its own lags and rows call for."""
+    return _chosen(spark, sf).select("fuel", "p", "full_n", "box_lag", half_up("box_q", 4).alias("q"), half_up("box_p", 6).alias("p_value"))
 
 
 @query()
 def ml_05_stability(spark, sf):
-    return _chosen(spark, sf).select("fuel", "p", "stable")
+    return _chosen(spark, sf).select("fuel", "p", F.col("full_stable").alias("stable"))
 
 
 @query()
@@ -87,17 +108,44 @@ def ml_09_rolling_huber(spark, sf):
     return frames.rounded(models.rolling_huber(_fair_frame(spark, sf), ["fuel"], "d", "y", ["x1", "x7"], "eligible"))
 
 
+#: Weeks that the weekly search of lag orders learns from first.
+_WEEKS = 104
+
+
+def _refinery(spark, sf):
+    """Per fuel and Saturday week: the mean price net of discounts, in the role of the refineries' supply price."""
+    t = read(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("d"), F.when(F.col("l_linestatus") == "F", "gasoline").otherwise("diesel").alias("fuel"), (F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity")).alias("net"))
+    return t.groupBy("fuel", saturday_week(F.col("d")).alias("week_end")).agg(F.avg("net").alias("refinery"))
+
+
+def _weekly_weights(spark, sf, daily):
+    """The response of the refinery price's weekly changes to the benchmark's, searched up to 8 own and 12 foreign lags."""
+    weeks = daily.groupBy("fuel", saturday_week(F.col("d")).alias("week_end")).agg(F.avg("intl").alias("x")).join(_refinery(spark, sf), ["fuel", "week_end"])
+    t = windows.percent_change(windows.percent_change(weeks, "refinery", ["fuel"], "week_end", name="dom"), "x", ["fuel"], "week_end", name="foreign")
+    chosen = lagmodels.order_search(t, ["fuel"], "week_end", "dom", "foreign", "refinery", 8, 12, _WEEKS, dummies=False).where("rank = 1")
+    return models.responses(chosen, ["fuel"], 12)
+
+
+def _layers(spark, sf):
+    excluded = F.col("d").between(F.lit("1996-03-10").cast("date"), F.lit("1996-12-31").cast("date"))
+    daily = _series(spark, sf).select("fuel", "d", F.col("y").alias("retail"), F.col("x").alias("intl"), excluded.alias("excluded"))
+    weights = models.responses(_chosen(spark, sf), ["fuel"], 30)
+    return layers.layered_prices(daily, _refinery(spark, sf), ["fuel"], weights, _weekly_weights(spark, sf, daily))
+
+
 @query()
 def ml_10_model_choice(spark, sf):
-    """Two layers against the direct model: the former if its error is at most 1.15 times the latter's."""
-    t = _fair_frame(spark, sf)
-    direct = models.rolling_huber(t, ["fuel"], "d", "y", ["x1", "x7"], "eligible").withColumnRenamed("prediction", "direct")
-    two = models.rolling_huber(t, ["fuel"], "d", "y", ["y1", "x7"], "eligible").withColumnRenamed("prediction", "two")
-    m = t.select("fuel", "d", "y").join(direct, ["fuel", "d"]).join(two, ["fuel", "d"]).groupBy("fuel").agg(F.avg(F.abs(F.col("y") - F.col("direct"))).alias("direct_mae"), F.avg(F.abs(F.col("y") - F.col("two"))).alias("two_mae"))
-    return frames.rounded(m.withColumn("choice", F.when(F.col("two_mae") <= 1.15 * F.col("direct_mae"), "two layers").otherwise("direct")))
+    """Errors of the weekly refinery model, the direct and the two-layer retail model on clean rows, and which of the latter is chosen."""
+    return frames.rounded(_layers(spark, sf).metrics)
+
+
+@query()
+def ml_10_layered_price(spark, sf):
+    """Each day's fair price by the direct model, the refinery layer before it, the two layers together and the chosen model."""
+    return frames.rounded(_layers(spark, sf).daily)
 
 
-_FAIR_FRAME_SQL = f"""{OBS_SQL}, {DOM_SQL}, t as (select fuel, d, avg(price) y from obs group by all), s as (select fuel, d, y, x / 1000 x from t join dom using (d) where d >= date '1995-06-01'),
+_FAIR_FRAME_SQL = f"""{OBS_SQL}, {DOM_SQL}, t as (select fuel, d, avg(price) y from obs group by all), s as (select fuel, d, y, x / 1000 x from t join dom using (d)),
 f as (select fuel, d, y, lag(x) over (partition by fuel order by d) a, avg(x) over (partition by fuel order by d rows between 7 preceding and 1 preceding) b from s), g as (select *, a is not null ok from f),
 r as (select fuel, d, a, b, ok, count(*) filter (where ok) over p n, sum(a) filter (where ok) over p sa, sum(b) filter (where ok) over p sb, sum(y) filter (where ok) over p sy, sum(a * a) filter (where ok) over p saa, sum(a * b) filter (where ok) over p sab,
  sum(b * b) filter (where ok) over p sbb, sum(a * y) filter (where ok) over p say, sum(b * y) filter (where ok) over p sby from g window p as (partition by fuel order by d rows between unbounded preceding and 1 preceding)),

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fairgrid.operators import aggregates as agg
-from fairgrid.operators import frames, joins, models, windows
+from fairgrid.operators import frames, joins, lagmodels, models, windows
 
 DAY0 = dt.date(2024, 1, 1)
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -184,35 +184,82 @@ def _series_of(spark, x, y, **more):
     return spark.createDataFrame(rows, "k string, d date, x double, y double" + "".join(f", {c} {'boolean' if isinstance(v[0], bool) else 'double'}" for c, v in more.items()))
 
 
+def _ols(z, t):
+    inverse = np.linalg.pinv(z.T @ z)
+    beta = inverse @ z.T @ t
+    return beta, t - z @ beta, inverse
+
+
+def _hac(z, e, inverse, lags=7):
+    u = z * e[:, None]
+    middle = u.T @ u + sum((1 - k / (lags + 1)) * (u[k:].T @ u[:-k] + u[:-k].T @ u[k:]) for k in range(1, lags + 1))
+    return inverse @ middle @ inverse
+
+
+def _box(e, p):
+    n, lag = len(e), min(max(14, p + 5), max(5, len(e) // 5))
+    q = n * (n + 2) * sum((e[k:] @ e[:-k] / (e @ e)) ** 2 / (n - k) for k in range(1, lag + 1))
+    return lag, q, models.chi2_tail(q, lag - p)
+
+
 @pytest.mark.parametrize("dummies", [False, True])
 def test_order_search_equals_brute_force(spark, dummies):
     x, y = _lagged(4)
-    out = models.order_search(_series_of(spark, x, y), ["k"], "d", "y", "x", 3, 4, 400, dummies=dummies).collect()
-    best = next(r for r in out if r.rank == 1)
-    assert best.stable and best.tried == 16 and best.p >= 1
-    assert dummies or best.q >= 2 and best.oos_rmse < 0.12 and best.tier == 1
-    assert [r.rank for r in sorted(out, key=lambda r: (r.tier, r.oos_rmse, r.p, r.q))] == list(range(1, len(out) + 1))
-    assert sorted(r.rank for r in out) == list(range(1, len(out) + 1))
-    days = [day(i) for i in range(600)]
-    for r in out[:6]:
-        extra = [*([float(days[t].weekday() == k) for t in range(4, 600)] for k in range(1, 7)), *([float(days[t].month == k) for t in range(4, 600)] for k in range(2, 13))] if dummies else []
-        own = [y[4 - i : 600 - i] for i in range(1, r.p + 1)]
-        z = np.column_stack([np.ones(596), *extra, *own, *(x[4 - j : 600 - j] for j in range(1, r.q + 1))])
-        t, fit = y[4:], slice(0, 396)
-        beta, *_ = np.linalg.lstsq(z[fit], t[fit], rcond=None)
-        e, late = t[fit] - z[fit] @ beta, t[396:] - z[396:] @ beta
-        small = z[fit][:, : z.shape[1] - r.q]
-        e0 = t[fit] - small @ np.linalg.lstsq(small, t[fit], rcond=None)[0]
-        f = (e0 @ e0 - e @ e) / r.q / (e @ e / (396 - z.shape[1]))
-        q = 396 * 398 * sum((e[k:] @ e[:-k] / (e @ e)) ** 2 / (396 - k) for k in range(1, 15))
-        u = z[fit] * e[:, None]
-        middle = u.T @ u + sum((1 - k / 8) * (u[k:].T @ u[:-k] + u[:-k].T @ u[k:]) for k in range(1, 8))
-        inverse = np.linalg.pinv(z[fit].T @ z[fit])
-        first = z.shape[1] - r.q
-        assert r.oos_rmse == pytest.approx(np.sqrt(late @ late / len(late)), rel=1e-4)
-        assert r.block_f == pytest.approx(f, rel=1e-3) and r.box_q == pytest.approx(q, rel=1e-3)
-        assert r.hac_error == pytest.approx(np.sqrt((inverse @ middle @ inverse)[first, first]), rel=1e-3)
-        assert np.allclose(r.beta, [beta[0], *beta[len(extra) + 1 :]], rtol=1e-3, atol=1e-4)
+    level = 100 * np.exp(np.cumsum(y - y.mean()) / 1000)
+    n, train, max_p, max_q = 600, 400, 3, 4
+    days = [day(i) for i in range(n)]
+    df = _series_of(spark, x, y, level=[float(v) for v in level])
+    fixed = np.column_stack([np.ones(n), *([[float(d.weekday() == k) for d in days] for k in range(1, 7)] + [[float(d.month == k) for d in days] for k in range(2, 13)] if dummies else [])])
+
+    def sample(p, q, first):
+        at = np.arange(first, n)
+        return np.column_stack([fixed[at], *(y[at - i] for i in range(1, p + 1)), *(x[at - j] for j in range(1, q + 1))]), y[at]
+
+    base = fixed.shape[1]
+    grid = {}
+    for p in range(max_p + 1):
+        for q in range(1, max_q + 1):
+            z, t = (a[:train] for a in sample(p, q, 4))
+            beta, e, inverse = _ols(z, t)
+            block = beta[base + p :] @ np.linalg.pinv(_hac(z, e, inverse)[base + p :, base + p :]) @ beta[base + p :] / q
+            grid[p, q] = (train * np.log(e @ e / train) + z.shape[1] * np.log(train), models.is_stable(beta[base : base + p]), models.f_tail(block, q, train - z.shape[1]), *_box(e, p))
+    design, at = lagmodels.change_design(df, ["k"], "d", "y", "x", "level", max_p, max_q, dummies)
+    assert at == base
+    tried = {(r.p, r.q): r for r in lagmodels.search_grid(design.withColumnRenamed("d", "__at"), ["k"], base, max_p, max_q, train).collect()}
+    assert set(tried) == set(grid)
+    for k, (bic, stable, block_p, lag, _, clean) in grid.items():
+        r = tried[k]
+        assert (r.n, r.stable, r.lb_lag) == (train, stable, lag)
+        assert r.bic == pytest.approx(bic, rel=1e-6) and r.block_p == pytest.approx(block_p, rel=1e-3, abs=1e-9) and r.lb_p == pytest.approx(clean, rel=1e-4, abs=1e-9)
+
+    out = lagmodels.order_search(df, ["k"], "d", "y", "x", "level", max_p, max_q, train, dummies=dummies).collect()
+    rules = {k: 1 if g[1] and g[5] >= 0.05 and g[2] <= 0.1 else 2 if g[1] and g[2] <= 0.1 else 3 if g[1] else 4 for k, g in grid.items()}
+    inside = [k for k in grid if rules[k] == min(rules.values())]
+    short = set(sorted(inside, key=lambda k: (grid[k][0], k[1], k[0]))[:12]) | set(sorted(inside, key=lambda k: (-grid[k][5], grid[k][0]))[:12])
+    assert {(r.p, r.q) for r in out} == short and all(r.tried == 16 for r in out)
+    assert dummies or max(out, key=lambda r: -r.rank).q >= 2
+    for r in out:
+        z, t = sample(r.p, r.q, max(r.p, r.q))
+        made = []
+        for i in range(train, len(t)):
+            made.append(z[i] @ np.linalg.lstsq(z[:i], t[:i], rcond=None)[0])
+        late, first = t[train:], max(r.p, r.q) + train
+        rebuilt = level[first - 1 : n - 1] * np.exp(np.array(made) / 100)
+        assert r.n_forecasts == len(late)
+        assert r.oos_rmse_chg == pytest.approx(np.sqrt(np.mean((late - made) ** 2)), rel=1e-6)
+        assert r.oos_rmse_level == pytest.approx(np.sqrt(np.mean((level[first:] - rebuilt) ** 2)), rel=1e-6)
+        assert r.oos_mape_level == pytest.approx(100 * np.mean(np.abs(level[first:] - rebuilt) / level[first:]), rel=1e-6)
+        beta, e, inverse = _ols(z, t)
+        cov, k = _hac(z, e, inverse)[base + r.p :, base + r.p :], z.shape[1]
+        f = beta[base + r.p :] @ np.linalg.pinv(cov) @ beta[base + r.p :] / r.q
+        e0 = _ols(z[:, : base + r.p], t)[1]
+        plain = (e0 @ e0 - e @ e) / r.q / (e @ e / (len(t) - k))
+        assert r.block_f == pytest.approx(f, rel=1e-5) and r.full_f == pytest.approx(plain, rel=1e-5) and r.full_n == len(t)
+        assert r.full_block_p == pytest.approx(models.f_tail(f, r.q, len(t) - k), abs=1e-6) and r.full_p == pytest.approx(models.f_tail(plain, r.q, len(t) - k), abs=1e-6)
+        assert (r.box_lag, r.box_q, r.box_p) == (_box(e, r.p)[0], pytest.approx(_box(e, r.p)[1], rel=1e-5), pytest.approx(_box(e, r.p)[2], rel=1e-4, abs=1e-9))
+        assert r.hac_error == pytest.approx(np.sqrt(cov[0, 0]), rel=1e-5) and np.allclose(r.beta, [beta[0], *beta[base:]], rtol=1e-4, atol=1e-6)
+    place = lambda r: ({True: 1}.get(r.full_stable and r.box_p >= 0.05, 2 if r.full_stable else 3), r.oos_rmse_chg)
+    assert [r.rank for r in sorted(out, key=place)] == list(range(1, len(out) + 1))
     w = models.responses(spark.createDataFrame([("s", 1, [0.0, 0.5, 0.0, 1.0])], "k string, p int, beta array<double>"), ["k"], 6).first()
     assert np.allclose(w.irf, [0, 0, 1, 0.5, 0.25, 0.125, 0.0625]) and w.peak_lag == 2 and sum(w.weights) == pytest.approx(1)
 
