@@ -68,7 +68,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         docs.join(lost, (F.col("doc_id") == F.col("__id")) & (F.xxhash64(text) == F.col("__t")), "left")
         .withColumn("__lines", F.split(text, "\n", -1))
         .withColumn("n_lines", F.size("__lines").cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("__lost"), F.lit(0)).cast("long"))
+        .withColumn("n_dropped", F.when(F.col("__lost").isNull(), 0).otherwise(F.size("__lost")).cast("long"))
         .withColumn("text", F.when(F.col("__lost").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n")))
         .drop("__id", "__t", "__lost", "__lines")
     )

@@ -159,8 +159,10 @@ def _bucket_counts(lang: str, texts: list[bytes], bitmap: np.ndarray) -> Iterato
     pieces = _Pieces(texts)
     at = np.flatnonzero(pieces.pairs(lang, bitmap))
     buckets, counts = np.unique(_buckets_of(chain(pieces.hashes()[pieces.at], 2)[at], lang), return_counts=True)
+    if not len(buckets):
+        return
     segments, inside = buckets >> BUCKET_SEGMENT_BITS, buckets & ((1 << BUCKET_SEGMENT_BITS) - 1)
-    starts = np.flatnonzero(np.append(True, segments[1:] != segments[:-1])) if len(segments) else []
+    starts = np.flatnonzero(np.append(True, segments[1:] != segments[:-1]))
     packed = []
     for i, j in zip(starts, [*starts[1:], len(segments)], strict=True):
         step = np.diff(inside[i:j], prepend=-1)

@@ -38,7 +38,7 @@ def integer_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 def inner_products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact 64-bit inner products of the integer rows of ``q`` and ``c``; in floating point where its digits suffice."""
+    """Exact inner products, up to 62 bits, of the integer rows of ``q`` and ``c``; in floating point where its digits suffice."""
     if not q.size or not c.size:
         return np.zeros((len(q), len(c)), np.int64)
     bound = float(np.abs(q.astype(np.float64)).sum(1).max()) * float(np.abs(c.astype(np.float64)).max())
@@ -49,8 +49,8 @@ def inner_products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     if bound < 2**62:
         return q @ c.T
     exact = q.astype(object) @ c.T.astype(object)
-    if max(abs(x) for x in exact.ravel()) >= 2**63:
-        raise OverflowError("an inner product passes 64 bits")
+    if max(abs(x) for x in exact.ravel()) >= 2**62:
+        raise OverflowError("an inner product passes 62 bits")
     return exact.astype(np.int64)
 
 
@@ -139,7 +139,7 @@ def top_k(rows: DataFrame, is_query, k: int = K, scale: int = SCALE, block: int
     n_chunks = -(-size.n // block)
     chunks = vectors.select(F.pmod(F.xxhash64("place"), F.lit(n_chunks)).alias("chunk"), "place", "vec_id", "v", "dim")
 
-    most = F.least(F.floor(norm * (size.norm * (1 + 1e-9))) + 1, F.lit(2**62))
+    most = F.floor(F.least(norm * (size.norm * (1 + 1e-9)) + 1, F.lit(float(2**62))))
     bits = F.ceil(F.log2((2 * most.cast("double") + 1) / BINS + 1e-9)).cast("int")
     active = cut(queries.select("place", "vec_id", "v", "dim", (-most).alias("low"), F.greatest(F.lit(0), bits).alias("shift"), F.lit(BINS).alias("bins"), F.lit(k).cast("long").alias("need")))
 
