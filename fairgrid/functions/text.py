@@ -61,9 +61,18 @@ def brand_class(text: Column) -> Column:
 
 
 def self_class(text: Column) -> Column:
-    """STR-03: self-service, full-service or unknown, from flags and words."""
+    """STR-03: self-service if the text contains the label or is a flag that says so, unknown if it is blank, else full service."""
     s = F.lower(squeeze(F.coalesce(text, F.lit(""))))
-    return F.when(s.isin("y", "true", "1", "self", "셀프"), "self").when(s.isin("n", "false", "0", "full", "일반"), "full").otherwise("unknown")
+    return F.when(s.contains("셀프") | s.isin("y", "true", "1", "self"), "self").when(s == "", "unknown").otherwise("full")
+
+
+#: Kinds of facilities and the words that tell them, in order. Fixed values of the source files.
+FACILITIES = (("storage", ("저유", "저장")), ("factory", ("공장",)), ("agency", ("대리점",)))
+
+
+def facility_class(text: Column) -> Column:
+    """STR-03: storage, factory or agency by the first word contained; null for others."""
+    return classify(text, FACILITIES, None)
 
 
 def address_variants(text: Column) -> Column:

@@ -94,6 +94,25 @@ def change_history(df: DataFrame, keys: list[str], order: str, value: str) -> Da
     return kept.withColumn("valid_to", F.lead(order).over(w))
 
 
+def append_changes(history: DataFrame, new: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+    """WIN-14: ``history`` (keys, order, value, valid_to, seen) with the observations ``new`` (keys, order, value), in whatever order they are delivered.
+
+    An interval keeps the dates at which its value was ``seen``, so a late observation cuts it where it must and the result is that of all
+    observations at once. Of two values for one key and date that delivered later counts; repeated rows of one delivery go by the greatest
+    value. Only the keys that ``new`` touches are worked on.
+    """
+    touched = new.select(*keys).distinct()
+    old = history.join(touched, keys, "left_semi").select(*keys, F.explode("seen").alias(order), value, F.lit(0).alias("__new"))
+    both = old.unionByName(new.select(*keys, order, value, F.lit(1).alias("__new")))
+    rows = last_per_key(both, [*keys, order], [F.col("__new"), F.col(value)])
+    w = Window.partitionBy(*keys).orderBy(order)
+    turn = F.coalesce((~F.col(value).eqNullSafe(F.lag(value).over(w))).cast("int"), F.lit(0)) + F.when(F.row_number().over(w) == 1, 1).otherwise(0)
+    runs = rows.withColumn("__turn", (turn > 0).cast("int")).withColumn("__run", F.sum("__turn").over(w))
+    made = runs.groupBy(*keys, "__run").agg(F.min(order).alias(order), F.first(value).alias(value), F.sort_array(F.collect_list(order)).alias("seen"))
+    made = made.withColumn("valid_to", F.lead(order).over(w)).select(*keys, order, value, "valid_to", "seen")
+    return history.join(touched, keys, "left_anti").select(*keys, order, value, "valid_to", "seen").unionByName(made)
+
+
 def islands(df: DataFrame, keys: list[str], order: str, flag: Column) -> DataFrame:
     """WIN-16: (keys, start, end, rows, tone) of each run of equal ``flag``; rows with a null flag break runs and go."""
     w = Window.partitionBy(*keys).orderBy(order)

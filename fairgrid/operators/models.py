@@ -87,88 +87,8 @@ def wide_gram(df: DataFrame, keys: list[str], xs: list[str], y: str) -> DataFram
     return cells.groupBy(*keys).agg(F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda c: c["v"]).alias("zz"))
 
 
-def _solve_scaled(m: np.ndarray, xy: np.ndarray) -> np.ndarray:
-    scale = np.sqrt(np.maximum(np.diag(m), 1e-300))
-    try:
-        return np.linalg.solve(m / np.outer(scale, scale) + 1e-12 * np.eye(len(m)), xy / scale) / scale
-    except np.linalg.LinAlgError:
-        return np.linalg.lstsq(m, xy, rcond=None)[0]
-
-
-#: Candidates that each of the two shortlists takes, autocorrelations tested, and levels of the tests.
-SHORTLIST, BOX_LAGS, LEVEL = 10, 14, 0.05
-
-
-def order_search(df: DataFrame, keys: list[str], order: str, y: str, x: str, max_p: int, max_q: int, train: int, dummies: bool = True) -> DataFrame:
-    """ML-02: the best orders (p, q) on a common sample: the first ``train`` rows fit, the rest score out of sample.
-
-    Spark builds the cross products of the largest design once, for fit and for score; all orders' errors and
-    block tests follow from them alone, by one factor of a sub-matrix for each p, and so do the errors on the later rows. The SHORTLIST best by BIC and by AIC go on. Their residuals are rows of Spark, whose lagged products give the Ljung-Box test. Tiers: stable with clean residuals and
-    a significant block of foreign lags (1), stable with such a block (2), stable (3), any (4); inside a tier by the error out of sample.
-    Columns: keys, p, q, tried, n, r2, aic, bic, oos_rmse, stable, block_f, block_p, box_q, box_p, hac_error, tier, rank, beta (constant, own lags, foreign lags; dummies left out).
-    """
-    design, xs = lag_design(df, keys, order, y, x, max_p, max_q, dummies=dummies)
-    whole = F.col(y).isNotNull()
-    for c in xs:
-        whole = whole & F.col(c).isNotNull()
-    design = cut(design.where(whole).select(*keys, order, "__rn", y, *xs))
-    fit = wide_gram(design.where(F.col("__rn") <= train), keys, xs, y)
-    score = wide_gram(design.where(F.col("__rn") > train), keys, xs, y).select(*keys, F.col("n").alias("n2"), F.col("zz").alias("zz2"))
-    both = fit.join(score, keys)
-    size, base = len(xs) + 1, len(xs) - max_p - max_q + 1
-    key_fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both.schema if f.name in keys)
-    names = ["p", "q", "tried", "n", "r2", "aic", "bic", "oos_rmse", "stable", "block_f", "block_p", "beta", "whole", "hac_row"]
-    schema = key_fields + ", p int, q int, tried int, n long, r2 double, aic double, bic double, oos_rmse double, stable boolean, block_f double, block_p double, beta array<double>, whole array<double>, hac_row array<double>"
-
-    def columns(p: int, q: int) -> list[int]:
-        return [*range(base), *range(base, base + p), *range(base + max_p, base + max_p + q)]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for r in f.to_dict("records"):
-                m, m2, n = _square_of(r["zz"]), _square_of(r["zz2"]), r["n"]
-                xx, xy, yy, xx2, xy2, yy2 = m[:size, :size], m[:size, size], m[size, size], m2[:size, :size], m2[:size, size], m2[size, size]
-                tss = max(yy - xy[0] ** 2 / n, 1e-12)
-                found = []
-                for p in range(max_p + 1):
-                    # one factor serves all q: its leading blocks are those of the shorter designs, and each further column takes its square off the error
-                    at = columns(p, max_q)
-                    scale = np.sqrt(np.maximum(np.diag(xx)[at], 1e-300))
-                    factor = np.linalg.cholesky(xx[np.ix_(at, at)] / np.outer(scale, scale) + 1e-12 * np.eye(len(at)))
-                    left = np.maximum(yy - np.cumsum(np.linalg.solve(factor, xy[at] / scale) ** 2), 1e-12)
-                    for q in range(1, max_q + 1):
-                        k = base + p + q
-                        rss, free = left[k - 1], n - k
-                        found.append((n * math.log(rss / n) + k * math.log(n), n * math.log(rss / n) + 2 * k, p, q, 1 - rss / tss, max(0.0, (left[k - q - 1] - rss) / q / (rss / free)), free))
-                short = {x[2:4]: x for i in (0, 1) for x in sorted(found, key=lambda x, i=i: (x[i], x[2], x[3]))[:SHORTLIST]}
-                for (p, q), (bic, aic, _, _, r2, f_value, free) in sorted(short.items()):
-                    at, padded, hac = columns(p, q), np.zeros(size), np.zeros(size)
-                    padded[at] = b = _solve_scaled(xx[np.ix_(at, at)], xy[at])
-                    oos = math.sqrt(max(yy2 - 2 * b @ xy2[at] + b @ xx2[np.ix_(at, at)] @ b, 0) / r["n2"])
-                    hac[at] = np.linalg.pinv(xx[np.ix_(at, at)])[base + p]
-                    beta = [b[0], *b[base:]]
-                    out.append([*(r[k] for k in keys), p, q, len(found), n, r2, aic, bic, oos, is_stable(b[base : base + p]), f_value, f_tail(f_value, q, free), list(map(float, beta)), padded.tolist(), hac.tolist()])
-            yield pd.DataFrame(out, columns=[*keys, *names])
-
-    short = cut(both.mapInPandas(run, schema))
-    v = F.array(F.lit(1.0), *[F.col(c).cast("double") for c in xs])
-    dot = lambda weights: F.aggregate(F.zip_with("__v", weights, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    rows = design.where(F.col("__rn") <= train).select(*keys, order, y, v.alias("__v")).join(F.broadcast(short.select(*keys, "p", "q", "whole", "hac_row")), keys)
-    rows = rows.withColumn("e", F.col(y) - dot("whole")).withColumn("s", F.col("e") * dot("hac_row")).select(*keys, order, "p", "q", "e", "s")
-    tests = lagged_products(rows, [*keys, "p", "q"], order, {"e": BOX_LAGS, "s": HAC_LAGS})
-    joined = short.drop("whole", "hac_row").join(tests.drop("n"), [*keys, "p", "q"])
-    joined = joined.withColumn("box_q", box_statistic("e", F.col("n"), BOX_LAGS)).withColumn("hac_error", F.sqrt(F.greatest(bartlett_sum("s", HAC_LAGS), F.lit(0.0))))
-    joined = joined.select(*short.drop("whole", "hac_row").columns, "box_q", "hac_error")
-    done = with_tail(joined, "box_p", lambda r: chi2_tail(r["box_q"], max(1, BOX_LAGS - r["p"])))
-    clean, block = F.col("box_p") > LEVEL, F.col("block_p") < LEVEL
-    tier = F.when(F.col("stable") & clean & block, 1).when(F.col("stable") & block, 2).when(F.col("stable"), 3).otherwise(4)
-    best = Window.partitionBy(*keys).orderBy("tier", "oos_rmse", "p", "q")
-    return done.withColumn("tier", tier).withColumn("rank", F.row_number().over(best))
-
-
-#: Lags of the Newey-West weights.
-HAC_LAGS = 7
+#: Level of the tests.
+LEVEL = 0.05
 
 
 def lagged_products(df: DataFrame, keys: list[str], order: str, lags: dict[str, int]) -> DataFrame:
@@ -178,27 +98,11 @@ def lagged_products(df: DataFrame, keys: list[str], order: str, lags: dict[str,
     return df.withColumns(products).groupBy(*keys).agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in products])
 
 
-def box_statistic(c: str, n: Column, lags: int) -> Column:
-    """ML-04: Ljung and Box's Q from lagged products of residuals whose mean is 0."""
-    return n * (n + 2) * sum((F.pow(F.try_divide(F.col(f"{c}__{k}"), F.col(f"{c}__0")), 2) / (n - k) for k in range(1, lags + 1)), F.lit(0.0))
-
-
 def bartlett_sum(c: str, lags: int) -> Column:
-    """ML-03, ML-08: Newey and West's long-run sum of products."""
+    """ML-08: Newey and West's long-run sum of products."""
     return F.col(f"{c}__0") + sum((2 * (1 - k / (lags + 1)) * F.col(f"{c}__{k}") for k in range(1, lags + 1)), F.lit(0.0))
 
 
-def with_tail(df: DataFrame, name: str, tail: Callable[[dict], float]) -> DataFrame:
-    """``df``, a row for each model, with a tail probability of its statistics."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", {name} double"
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.assign(**{name: [float(tail(r)) for r in f.to_dict("records")]})
-
-    return df.mapInPandas(run, schema)
-
-
 def responses(chosen: DataFrame, keys: list[str], horizon: int = 30) -> DataFrame:
     """ML-06, ML-07: keys, peak_lag, half_mass_lag, mean_lag, recommended_shift, cumulative, irf and weights of each row of ``chosen`` (p, q, beta)."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keys)
@@ -217,7 +121,7 @@ def responses(chosen: DataFrame, keys: list[str], horizon: int = 30) -> DataFram
 
 
 def stationarity(df: DataFrame, keys: list[str], order: str, x: str, max_lags: int = 10) -> DataFrame:
-    """ML-08: keys, adf, adf_lags, kpss, stationary_like, from cross products, running sums and lagged products of each series.
+    """ML-08: keys, adf, adf_lags, adf_p, kpss, kpss_p, stationary_like, from cross products, running sums and lagged products of each series.
 
     The Dickey-Fuller regression has a constant; lags of the difference are chosen by AIC on a common sample.
     """
@@ -239,15 +143,16 @@ def stationarity(df: DataFrame, keys: list[str], order: str, x: str, max_lags: i
                     rss = max(float(yy - 2 * b @ xy[: k + 2] + b @ xx[: k + 2, : k + 2] @ b), 1e-300)
                     error = math.sqrt(max(rss / max(1, n - k - 2) * inverse[1, 1], 1e-300))
                     best = min(best or (np.inf,), (n * math.log(rss / n) + 2 * (k + 2), float(b[1]) / error, k))
-                out.append([*(r[k] for k in keys), best[1], best[2]])
-            yield pd.DataFrame(out, columns=[*keys, "adf", "adf_lags"])
+                out.append([*(r[k] for k in keys), best[1], best[2], adf_tail(best[1])])
+            yield pd.DataFrame(out, columns=[*keys, "adf", "adf_lags", "adf_p"])
 
-    unit = wide_gram(design.where(f"__step{max_lags} is not null"), keys, xs, "__step").mapInPandas(run, f"{fields}, adf double, adf_lags int")
+    unit = wide_gram(design.where(f"__step{max_lags} is not null"), keys, xs, "__step").mapInPandas(run, f"{fields}, adf double, adf_lags int, adf_p double")
     centred = df.select(*keys, order, (F.col(x) - F.avg(x).over(Window.partitionBy(*keys))).alias("e"))
     running = centred.withColumn("s", F.sum("e").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     sums = lagged_products(running, keys, order, {"e": max_lags, "s": 0})
     level = sums.select(*keys, (F.col("s__0") / (F.col("n") * F.greatest(bartlett_sum("e", max_lags), F.lit(1e-300)))).alias("kpss"))
-    return unit.join(level, keys).withColumn("stationary_like", (F.col("adf") < ADF_CRITICAL[1]) & (F.col("kpss") < KPSS_CRITICAL[1]))
+    told = unit.join(level, keys).withColumn("kpss_p", kpss_tail(F.col("kpss")))
+    return told.withColumn("stationary_like", (F.col("adf_p") < LEVEL) & (F.col("kpss_p") > LEVEL))
 
 
 def _square_of(flat) -> np.ndarray:
@@ -335,8 +240,27 @@ def f_tail(f: float, d1: float, d2: float) -> float:
     return incomplete_beta(d2 / 2, d1 / 2, d2 / (d2 + d1 * f)) if f > 0 else 1.0
 
 
-#: Critical values at 1, 5 and 10 % of the Dickey-Fuller test with a constant (large samples) and of the KPSS test for a level.
-ADF_CRITICAL, KPSS_CRITICAL = (-3.43, -2.86, -2.57), (0.739, 0.463, 0.347)
+#: MacKinnon's (1994) response surface of the Dickey-Fuller test with a constant: the normal quantile of the p-value as a polynomial
+#: of the statistic, below and above the break, and the ends beyond which p is 0 or 1.
+ADF_LOW, ADF_HIGH, ADF_BREAK, ADF_ENDS = (2.1659, 1.4412, 0.038269), (1.7339, 0.93202, -0.12745, -0.010368), -1.61, (-18.83, 2.74)
+#: Critical values of the KPSS test for a level (1992) and their p-values.
+KPSS_TABLE = ((0.347, 0.10), (0.463, 0.05), (0.574, 0.025), (0.739, 0.01))
+
+
+def adf_tail(t: float) -> float:
+    """ML-08: the p-value of a Dickey-Fuller statistic."""
+    if not ADF_ENDS[0] <= t <= ADF_ENDS[1]:
+        return float(t > 0)
+    z = sum(c * t**i for i, c in enumerate(ADF_LOW if t <= ADF_BREAK else ADF_HIGH))
+    return 0.5 * math.erfc(-z / math.sqrt(2))
+
+
+def kpss_tail(stat: Column) -> Column:
+    """ML-08: the p-value of a KPSS statistic between the table's values, which bound it."""
+    out = F.when(stat <= KPSS_TABLE[0][0], KPSS_TABLE[0][1])
+    for (a, p), (b, q) in zip(KPSS_TABLE, KPSS_TABLE[1:], strict=False):
+        out = out.when(stat <= b, p + (stat - a) * ((q - p) / (b - a)))
+    return out.otherwise(KPSS_TABLE[-1][1])
 
 
 def huber(x: np.ndarray, y: np.ndarray, epsilon: float = 1.35, alpha: float = 1e-4, rounds: int = 50) -> np.ndarray:

@@ -8,6 +8,8 @@ from fairgrid.functions import dates, geo, numbers, text
 
 from fairgrid.functions.numbers import half_up
 
+from fairgrid.sources import readers
+
 from .registry import query
 from .tables import DOM_SQL, GRID_SQL, OBS_SQL, POLICY_SQL, STATION_SQL, domestic, grid_day, observations, policies, read, stations
 
@@ -97,10 +99,14 @@ def str_02_brand_classes(spark, sf):
     return read(spark, sf, "part").select("p_partkey", text.brand_class(F.expr(_NAMES)).alias("brand"))
 
 
-@query("select fuel, case l_returnflag when 'A' then 'self' when 'N' then 'full' else 'unknown' end service, count(*) n from (select l_returnflag, case when l_linestatus = 'F' then 'gasoline' else 'diesel' end fuel from lineitem) group by all")
+@query("""select fuel, case l_returnflag when 'A' then 'self' when 'N' then 'full' else 'unknown' end service, case l_quantity % 4 when 0 then 'storage' when 1 then 'factory' when 2 then 'agency' end facility, count(*) n
+from (select l_returnflag, l_quantity, case when l_linestatus = 'F' then 'gasoline' else 'diesel' end fuel from lineitem) group by all""")
 def str_03_self_service(spark, sf):
-    flag = F.when(F.col("l_returnflag") == "A", " Y ").when(F.col("l_returnflag") == "N", "일반")
-    return observations(spark, sf).select("fuel", text.self_class(flag).alias("service")).groupBy("fuel", "service").agg(F.count("*").alias("n"))
+    """Self-service by contained label, and kinds of facilities."""
+    flag = F.when(F.col("l_returnflag") == "A", F.when(F.col("l_orderkey") % 2 == 0, " Y ").otherwise("한마음 셀프주유소")).when(F.col("l_returnflag") == "N", F.lit("일반 "))
+    site = F.when(F.col("l_quantity") % 4 == 0, "남부 저유소").when(F.col("l_quantity") % 4 == 1, "윤활유공장").when(F.col("l_quantity") % 4 == 2, "직영 대리점").otherwise("본사")
+    t = read(spark, sf, "lineitem").select(F.when(F.col("l_linestatus") == "F", "gasoline").otherwise("diesel").alias("fuel"), text.self_class(flag).alias("service"), text.facility_class(site).alias("facility"))
+    return t.groupBy("fuel", "service", "facility").agg(F.count("*").alias("n"))
 
 
 @query("select p_partkey, case when p_size % 2 = 0 then p_name || ' (old) - 변경 1|' || p_name || ' - 변경 1|' || p_name else p_name end variants from part")
@@ -254,3 +260,13 @@ def udf_01_mapped_values(spark, sf):
     """UDF-01: brand, service and date of each value by column functions, without Python."""
     t = read(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 2 == 0, " nh ").otherwise("에스케이").alias("b"), F.when(F.col("p_size") % 3 == 0, "셀프").when(F.col("p_size") % 3 == 1, "N").alias("s"), F.format_string("26년06월%02d일", F.col("p_size") % 28 + 1).alias("d"))
     return t.select("p_partkey", text.brand_class(F.col("b")).alias("brand"), text.self_class(F.col("s")).alias("service"), dates.parse_date(F.col("d")).alias("day"))
+
+
+@query("""with c as (select c_custkey, c_name, c_mktsegment from customer)
+select c_custkey, 0 table_no, 0 row_no, 0 cell_no, 'No & name' as text from c union all select c_custkey, 0, 0, 1, c_name || ' end' from c
+union all select c_custkey, 1, 0, 0, c_mktsegment from c union all select c_custkey, 1, 0, 1, '' from c union all select c_custkey, 0, 1, 0, c_custkey::varchar from c""")
+def udf_03_html_cells(spark, sf):
+    """UDF-03: the cells of nested tables with cells and rows left open, by a table function in a lateral join."""
+    t = read(spark, sf, "customer")
+    page = F.concat(F.lit("<table><tr><th>No &amp;\n name<td>"), "c_name", F.lit("<table><td>"), "c_mktsegment", F.lit("<td></table> <b>end</b><TR><td>"), F.col("c_custkey").cast("string"))
+    return readers.html_cells(t.select("c_custkey", page.alias("html")), "html").drop("html")

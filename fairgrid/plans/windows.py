@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from fairgrid.functions import dates
 from fairgrid.operators import aggregates as agg
 from fairgrid.operators import frames, windows
+from fairgrid.operators.stored import cut
 
 from fairgrid.functions.numbers import half_up
 
-from .registry import query
+from .registry import ORACLE_SQL, query
 from .tables import DOM_SQL, GRID_SQL, INTL_SQL, OBS_SQL, POLICY_SQL, domestic, grid_day, international, observations, policies, read
 
 _SPINE = "s as (select cast(unnest(generate_series(timestamp '1995-01-01', timestamp '2001-08-01', interval 1 day)) as date) d)"
@@ -48,9 +49,11 @@ def win_04_policy_days(spark, sf):
     return windows.lookback_quality(_station_day(spark, sf), ["station_id"], "d", "x", "policy").where("policy_days > 0").select("station_id", "d", "policy_days")
 
 
-@query(f"with {_QUALITY_SQL} select station_id, d, span_days from q where span_days <= 60")
+@query(f"with {_QUALITY_SQL} select station_id, d, span_days, span_days = 29 whole from q where span_days is not null")
 def win_05_calendar_span(spark, sf):
-    return windows.lookback_quality(_station_day(spark, sf), ["station_id"], "d", "x", "policy").where("span_days <= 60").select("station_id", "d", "span_days")
+    """Days that the 29 rows before a row span, and whether none is missing between."""
+    q = windows.lookback_quality(_station_day(spark, sf), ["station_id"], "d", "x", "policy")
+    return q.where("span_days is not null").select("station_id", "d", "span_days", (F.col("span_days") == 29).alias("whole"))
 
 
 @query(f"""with {DOM_SQL}, t as (select 'national' k, d, x, d between date '1996-03-10' and date '1996-12-31' policy from dom), q as (select d, count(x) over f n, sum(cast(policy as int)) over f p, d - lag(d, 29) over (order by d) span from t window f as (order by d rows between 29 preceding and 1 preceding)) select d from q where n = 29 and p = 0 and span = 29""")
@@ -135,6 +138,17 @@ def win_14_change_history(spark, sf):
     return frames.change_history(t, ["o_custkey"], "d", "p")
 
 
+@query(ORACLE_SQL["win_14_change_history"])
+def win_14_appended_history(spark, sf):
+    """The same history from three deliveries out of order, each merged into what is stored."""
+    t = cut(read(spark, sf, "orders").groupBy("o_custkey", F.to_date("o_orderdate").alias("d")).agg(F.max_by("o_orderpriority", "o_orderkey").alias("p")))
+    part = F.pmod(F.xxhash64("d"), F.lit(3))
+    history = t.limit(0).select("o_custkey", "d", "p", F.col("d").alias("valid_to"), F.array("d").alias("seen"))
+    for k in (2, 0, 1):
+        history = cut(frames.append_changes(history, t.where(part == k), ["o_custkey"], "d", "p"))
+    return history.drop("seen")
+
+
 @query(f"with {GRID_SQL}, c as (select d, count(*) n from grid group by 1), r as (select d, sum(n) over (order by d) cum, sum(n) over () total from c) select min(d) train_end, min(d) + 8 validation_start from r where cum >= floor(0.7 * total)")
 def win_15_time_split(spark, sf):
     return windows.time_split(grid_day(spark, sf).groupBy("d").agg(F.count("*").alias("n")), "d")
@@ -165,12 +179,12 @@ def win_18_residual_band(spark, sf):
     return frames.rounded(out.select("station_id", "d", "q_low", "q_high"))
 
 
-@query(f"""with {_STATION_DAY}, c(coverage) as (values (0.55::double), (0.6::double), (0.7::double), (0.8::double)), e as (select station_id, coverage, avg(cast(x between 1500 - 700 * coverage and 1500 + 700 * coverage as int)) hit, avg(1400 * coverage + case when x < 1500 - 700 * coverage then 2 / (1 - coverage) * (1500 - 700 * coverage - x) when x > 1500 + 700 * coverage then 2 / (1 - coverage) * (x - 1500 - 700 * coverage) else 0 end) score from sd, c group by all),
+@query(f"""with {_STATION_DAY}, c(coverage) as (values (0.55::double), (0.6::double), (0.65::double), (0.7::double), (0.75::double), (0.8::double)), e as (select station_id, coverage, avg(cast(x between 1500 - 700 * coverage and 1500 + 700 * coverage as int)) hit, avg(1400 * coverage + case when x < 1500 - 700 * coverage then 2 / (1 - coverage) * (1500 - 700 * coverage - x) when x > 1500 + 700 * coverage then 2 / (1 - coverage) * (x - 1500 - 700 * coverage) else 0 end) score from sd, c group by all),
 r as (select *, row_number() over (partition by station_id order by hit < 0.6, score, coverage) rn from e) select station_id, coverage, round(hit, 4) hit, round(score, 3) score from r where rn = 1""")
 def win_19_band_choice(spark, sf):
     """Of several coverages that which covers enough, then scores best."""
     half = 700 * F.col("coverage")
-    t = _station_day(spark, sf).withColumn("coverage", F.explode(F.array(*map(F.lit, (0.55, 0.6, 0.7, 0.8))))).withColumns({"low": 1500 - half, "high": 1500 + half})
+    t = _station_day(spark, sf).withColumn("coverage", F.explode(F.array(*map(F.lit, (0.55, 0.6, 0.65, 0.7, 0.75, 0.8))))).withColumns({"low": 1500 - half, "high": 1500 + half})
     e = t.groupBy("station_id", "coverage").agg(F.avg(F.col("x").between(F.col("low"), F.col("high")).cast("int")).alias("hit"), agg.interval_score("x", "low", "high", F.col("coverage")).alias("score"))
     best = e.withColumn("rn", F.row_number().over(Window.partitionBy("station_id").orderBy(F.col("hit") < 0.6, "score", "coverage"))).where("rn = 1")
     return best.select("station_id", "coverage", half_up("hit", 4).alias("hit"), half_up("score", 3).alias("score"))

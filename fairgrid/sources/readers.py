@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,20 +67,86 @@ def read_csv_any(spark: SparkSession, path: str, expected: list[str], id_column:
     return best
 
 
-def newest_file(spark: SparkSession, folder: str, pattern: str) -> str:
-    """SRC-03: the file that matches a glob and was changed last; names break ties."""
+def newest_file(spark: SparkSession, folder: str, pattern: str, parents: str = "*") -> str:
+    """SRC-03: the file that matches a glob, in a folder that matches ``parents``, and was changed last; names break ties."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder).select("path", "modificationTime")
+    if parents != "*":
+        listed = listed.where(F.element_at(F.split("path", "/"), -2).like(parents.replace("_", r"\_").replace("*", "%")))
     found = listed.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()
     if found is None or found["path"] is None:
         raise FileNotFoundError(f"{folder}: nothing matches {pattern}")
     return found["path"]
 
 
+class _Cells(HTMLParser):
+    """The cells of all tables of a page. Cells and rows may be left open: the next one, or the end of their table, ends them; a
+    table inside a cell has rows of its own and its text is no text of the cell around it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.done: list[tuple[int, int, int, str]] = []
+        self.open: list[dict] = []
+        self.tables = 0
+
+    def _end_cell(self) -> None:
+        t = self.open[-1]
+        if t["text"] is not None:
+            self.done.append((t["table"], t["row"], t["cell"], " ".join("".join(t["text"]).split())))
+            t["text"], t["cell"] = None, t["cell"] + 1
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "table":
+            self.open.append({"table": self.tables, "row": -1, "cell": 0, "text": None})
+            self.tables += 1
+        elif self.open and tag in ("tr", "td", "th"):
+            self._end_cell()
+            t = self.open[-1]
+            if tag == "tr" or t["row"] < 0:
+                t["row"], t["cell"] = t["row"] + 1, 0
+            if tag != "tr":
+                t["text"] = []
+        elif tag == "br":
+            self.handle_data(" ")
+
+    def handle_endtag(self, tag: str) -> None:
+        if self.open and tag in ("td", "th", "tr", "table"):
+            self._end_cell()
+            if tag == "table":
+                self.open.pop()
+
+    def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1]["text"] is not None:
+            self.open[-1]["text"].append(data)
+
+
+@F.udtf(returnType="table_no int, row_no int, cell_no int, text string")
+class HtmlCells:
+    """UDF-03: a row for each cell of each table of a page, handed on while the page is read, some kilobytes at a time."""
+
+    def eval(self, html: str):
+        page = _Cells()
+        for at in range(0, len(html or ""), 65_536):
+            page.feed(html[at : at + 65_536])
+            yield from page.done
+            page.done = []
+        page.close()
+        while page.open:
+            page.handle_endtag("table")
+        yield from page.done
+
+
+def html_cells(df: DataFrame, html: str) -> DataFrame:
+    """UDF-03: ``df`` with table_no, row_no, cell_no and text of each cell of the tables in a column, by a lateral join; rows without cells go."""
+    return df.lateralJoin(HtmlCells(F.col(html).outer()))
+
+
 def read_html_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """SRC-04: the cells of an HTML table, whatever the file is called; rows shorter than ``columns`` and header rows go."""
-    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.regexp_extract_all("value", F.lit("(?is)<tr[^>]*>(.*?)</tr>"), 1)).alias("row", "html"))
-    cells = rows.select("row", F.transform(F.regexp_extract_all("html", F.lit("(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1), lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), "&nbsp;", " "))).alias("c"))
-    return cells.where((F.size("c") >= len(columns)) & dates.parse_date(F.col("c")[0]).isNotNull()).orderBy("row").select(*[F.col("c")[i].alias(n) for i, n in enumerate(columns)])
+    """SRC-04: the rows of a page's tables, whatever the file is called; rows shorter than ``columns`` and header rows go."""
+    pages = spark.read.text(path, wholetext=True).select(F.monotonically_increasing_id().alias("page"), "value")
+    cells = html_cells(pages, "value").where(F.col("cell_no") < len(columns))
+    rows = cells.groupBy("page", "table_no", "row_no").agg(*[F.max(F.when(F.col("cell_no") == i, F.col("text"))).alias(n) for i, n in enumerate(columns)], F.count("*").alias("__n"))
+    kept = rows.where((F.col("__n") == len(columns)) & dates.parse_date(F.col(columns[0])).isNotNull())
+    return kept.orderBy("page", "table_no", "row_no").select(*columns)
 
 
 def read_tax(spark: SparkSession, path: str) -> DataFrame:

@@ -38,10 +38,15 @@ def write_json(df: DataFrame, path: str) -> None:
     json_safe(df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_regions(df: DataFrame, path: str, region: str = "region") -> DataFrame:
-    """SNK-05: JSON rows in a folder for each region; returns the index: region, districts, rows."""
-    json_safe(df).repartition(region).write.mode("overwrite").partitionBy(region).json(path)
-    return df.groupBy(region).agg(F.count_distinct("district").alias("districts"), F.count("*").alias("rows"))
+def write_regions(df: DataFrame, path: str, values: list[str], region: str = "region", district: str = "district") -> DataFrame:
+    """SNK-05: one nested JSON document for each region, {region, districts: [{district, cells: [...]}]}, and the index: region, districts, rows.
+
+    A region's document holds its cells of one day, as many as the region has; they are put in order of district and value.
+    """
+    cells = json_safe(df).groupBy(region, district).agg(F.sort_array(F.collect_list(F.struct(*values))).alias("cells"))
+    document = cells.groupBy(region).agg(F.sort_array(F.collect_list(F.struct(district, "cells"))).alias("districts"))
+    document.repartition(region).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    return df.groupBy(region).agg(F.count_distinct(district).alias("districts"), F.count("*").alias("rows"))
 
 
 def upsert_by_date(old: DataFrame, new: DataFrame, date: str = "date") -> DataFrame:

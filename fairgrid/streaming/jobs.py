@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +26,20 @@ def daily_grid(stream: DataFrame, delay: str = "7 days") -> DataFrame:
     return stream.withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "grid_id").agg(F.avg("price").alias("price"), F.count("*").alias("n")).select(F.to_date("window.start").alias("date"), "grid_id", "price", "n")
 
 
+def append_daily(spark: SparkSession, folder: str, schema: T.StructType, out: str, checkpoint: str, delay: str = "7 days") -> dict[str, int]:
+    """STM-04 as a job: what ``folder`` holds since the last call, by ``daily_grid`` in append mode, into ``out`` (a folder for each batch).
+
+    A day is written once, when the watermark has passed it; what comes later for it is dropped, and only days that are still open are kept
+    as state. Returns rows_dropped (partial sums too late for their day) and state_rows after the last batch.
+    """
+    stream = daily_grid(price_stream(spark, folder, schema), delay)
+    write = lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/batch={k}")
+    q = stream.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    states = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    return {"rows_dropped": sum(x["numRowsDroppedByWatermark"] for x in states), "state_rows": states[-1]["numRowsTotal"] if states else 0}
+
+
 def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())])).parquet(path)
 
@@ -89,14 +103,51 @@ def read_state(spark: SparkSession, path: str, days: int = 45) -> DataFrame:
     return t.crossJoin(F.broadcast(t.agg(F.max("date").alias("top")))).where(F.col("date") > F.date_sub("top", days)).drop("top")
 
 
-def next_day_prediction(state: DataFrame, published: DataFrame, ratio: float = 0.8) -> DataFrame:
-    """STM-05: the day after the last complete day, by that day's price and the mean change so far; days already published are left out.
+#: Rows of a grid whose mean price tomorrow's is drawn to.
+PULL_ROWS = 7
+
+
+def next_day_features(state: DataFrame) -> DataFrame:
+    """(date, grid_id, price, gap, delta): the price less the mean of the grid's last PULL_ROWS stored rows, and the change to the next day where that is stored."""
+    w = Window.partitionBy("grid_id").orderBy("date")
+    gap = F.col("price") - F.avg("price").over(w.rowsBetween(1 - PULL_ROWS, 0))
+    delta = F.when(F.lead("date").over(w) == F.date_add("date", 1), F.lead("price").over(w) - F.col("price"))
+    return state.select("date", "grid_id", "price", gap.alias("gap"), delta.alias("delta"))
+
+
+def fit_next_day(state: DataFrame, path: str) -> None:
+    """STM-05: learn the next day's change from the rolling state and keep the model at ``path``."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
 
-    A day is complete with at least ``ratio`` of the median row count of the last 14 days.
+    learn = next_day_features(state).where("delta is not null and gap is not null")
+    steps = [VectorAssembler(inputCols=["gap"], outputCol="features"), LinearRegression(labelCol="delta", solver="normal")]
+    Pipeline(stages=steps).fit(learn).write().overwrite().save(path)
+
+
+def target_dates(state: DataFrame, published: DataFrame, ratio: float = 0.8) -> DataFrame:
+    """STM-05: one row: start and last of the dates to predict, from the day after the last published one up to the day after the last complete one.
+
+    A day is complete with at least ``ratio`` of the median row count of the last 14 days. Where nothing is published, or more than
+    is safe, only the last date is predicted again.
     """
     from fairgrid.operators.aggregates import completeness_gate
 
     gate = completeness_gate(state.groupBy("date").agg(F.count("*").alias("n")), "date", ratio)
-    last = gate.where("usable").agg(F.max("date").alias("last"))
-    now = state.crossJoin(F.broadcast(last)).where("date = last").select(F.date_add("date", 1).alias("date"), "grid_id", F.col("price").alias("prediction"))
-    return now.join(published.select("date", "grid_id"), ["date", "grid_id"], "left_anti")
+    safe = gate.where("usable").agg(F.date_add(F.max("date"), 1).alias("last"))
+    both = safe.crossJoin(published.agg(F.max("date").alias("published")))  # a row each
+    return both.select(F.when(F.col("published") <= F.col("last"), F.date_add("published", 1)).otherwise(F.col("last")).alias("start"), "last")
+
+
+def next_day_prediction(state: DataFrame, published: DataFrame, model_path: str, ratio: float = 0.8) -> DataFrame:
+    """STM-05: (date, grid_id, prediction) for every target date, each from the complete day before it by the stored model; published days stay untouched."""
+    from pyspark.ml import PipelineModel
+
+    from fairgrid.operators.aggregates import completeness_gate
+
+    usable = completeness_gate(state.groupBy("date").agg(F.count("*").alias("n")), "date", ratio).where("usable").select("date")
+    rows = next_day_features(state).join(F.broadcast(usable), "date").crossJoin(F.broadcast(target_dates(state, published, ratio)))
+    rows = rows.where(F.date_add("date", 1).between(F.col("start"), F.col("last")) & F.col("gap").isNotNull())
+    told = PipelineModel.load(model_path).transform(rows)
+    return told.select(F.date_add("date", 1).alias("date"), "grid_id", (F.col("price") + F.col("prediction")).alias("prediction"))

@@ -119,6 +119,21 @@ def test_change_history(spark):
     assert [(r.d, r.v, r.valid_to) for r in frames.change_history(df, ["k"], "d", "v").orderBy("d").collect()] == [(0, "x", 2), (2, None, 4), (4, "y", 5), (5, "x", None)]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_appended_history_is_that_of_all_rows(spark, seed):
+    r = random.Random(seed)
+    rows = [(k, d, r.choice(["x", "x", "y", None])) for k in "ab" for d in range(12) if r.random() < 0.8]
+    r.shuffle(rows)
+    schema = "k string, d int, v string"
+    history = spark.createDataFrame([], schema + ", valid_to int, seen array<int>")
+    for part in (rows[:7], rows[7:9], rows[9:]):
+        history = frames.append_changes(history, spark.createDataFrame(part, schema), ["k"], "d", "v")
+    history = frames.append_changes(history, spark.createDataFrame([("a", 3, "z")], schema), ["k"], "d", "v")
+    whole = [x for x in rows if x[:2] != ("a", 3)] + [("a", 3, "z")]
+    want = frames.change_history(spark.createDataFrame(whole, schema), ["k"], "d", "v").select("k", "d", "v", "valid_to")
+    assert sorted(map(str, history.drop("seen").collect())) == sorted(map(str, want.collect()))
+
+
 def test_weighted_means_differ_on_missing(spark):
     df = spark.createDataFrame([(10.0, 1.0), (None, 1.0), (20.0, 0.0)], "x double, w double")
     r = df.agg(agg.mean_unmasked("x", "w").alias("a"), agg.mean_masked("x", "w").alias("b")).first()
@@ -264,6 +279,15 @@ def test_order_search_equals_brute_force(spark, dummies):
     assert np.allclose(w.irf, [0, 0, 1, 0.5, 0.25, 0.125, 0.0625]) and w.peak_lag == 2 and sum(w.weights) == pytest.approx(1)
 
 
+def test_stationarity_tails(spark):
+    # critical values of large samples at 1, 5 and 10 %
+    for stat, p in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
+        assert models.adf_tail(stat) == pytest.approx(p, abs=1.5e-3)
+    assert models.adf_tail(-20) == 0 and models.adf_tail(3) == 1 and models.adf_tail(-1.61) == pytest.approx(models.adf_tail(-1.6099), abs=2e-3)
+    df = spark.createDataFrame([(0.1, 0.1), (0.347, 0.1), (0.405, 0.075), (0.463, 0.05), (0.574, 0.025), (0.6565, 0.0175), (0.739, 0.01), (5.0, 0.01)], "x double, want double")
+    assert all(r.p == pytest.approx(r.want) for r in df.withColumn("p", models.kpss_tail(F.col("x"))).collect())
+
+
 def test_responses_and_tails():
     irf = models.impulse_response([0.5], [0.0, 1.0], 6)
     assert np.allclose(irf, [0, 0, 1, 0.5, 0.25, 0.125, 0.0625])
@@ -327,6 +351,7 @@ def test_stationarity_equals_brute_force(spark):
         e = v - v.mean()
         s2 = e @ e + 2 * sum((1 - k / 5) * (e[k:] @ e[:-k]) for k in range(1, 5))
         assert (got.adf, got.adf_lags) == (pytest.approx(best[1]), best[2]) and got.kpss == pytest.approx((np.cumsum(e) ** 2).sum() / (500 * s2))
+        assert got.adf_p == pytest.approx(models.adf_tail(best[1])) and 0.01 <= got.kpss_p <= 0.1
         out[name] = got.stationary_like
     assert out == {"noise": True, "walk": False}
 

@@ -4,8 +4,10 @@ import datetime as dt
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fairgrid.sources import readers, sinks
 from fairgrid.streaming import jobs
@@ -114,11 +116,67 @@ def test_batches_without_gain_are_skipped_and_late_rows_go(spark, tmp_path):
     assert sorted(f.name for f in tmp_path.joinpath("state").glob("day=*")) == ["day=2024-01-25", "day=2024-01-30", "day=2024-01-31"]
 
 
-def test_next_day(spark):
-    rows = [(dt.date(2024, 1, k), f"G{g}", float(k)) for k in range(1, 15) for g in range(5)] + [(dt.date(2024, 1, 15), "G0", 99.0)]
-    state = spark.createDataFrame(rows, "date date, grid_id string, price double")
-    out = jobs.next_day_prediction(state, state.select("date", "grid_id"))
-    assert sorted((r.date.day, r.grid_id, r.prediction) for r in out.collect()) == [(15, f"G{g}", 14.0) for g in range(1, 5)]
+def test_next_day_by_a_stored_model(spark, tmp_path):
+    r = random.Random(3)
+    prices = {(k, g): 100 + 10 * g + r.random() for k in range(1, 15) for g in range(5) if (k, g) != (9, 2)} | {(15, 0): 99.0}
+    state = spark.createDataFrame([(dt.date(2024, 1, k), f"G{g}", p) for (k, g), p in prices.items()], "date date, grid_id string, price double")
+    jobs.fit_next_day(state, f"{tmp_path}/model")
+    gaps, learn = {}, []
+    for g in range(5):
+        days = sorted(k for k, h in prices if h == g)
+        for i, k in enumerate(days):
+            last = [prices[d, g] for d in days[max(0, i - 6) : i + 1]]
+            gaps[k, g] = prices[k, g] - sum(last) / len(last)
+            if (k + 1, g) in prices:
+                learn.append((gaps[k, g], prices[k + 1, g] - prices[k, g]))
+    slope, intercept = np.polyfit(*zip(*learn, strict=True), 1)
+    guess = lambda k, g: prices[k, g] + intercept + slope * gaps[k, g]
+
+    def told(published):
+        days = spark.createDataFrame([(dt.date(2024, 1, k),) for k in published], "date date")
+        return {(x.date.day, int(x.grid_id[1:])): x.prediction for x in jobs.next_day_prediction(state, days, f"{tmp_path}/model").collect()}
+
+    # day 15 is not complete, so 15 is the last date that can be predicted
+    for published, start in (([], 15), ([1, 12], 13), ([14], 15), ([15], None), ([20], 15)):
+        want = {(k + 1, g): guess(k, g) for k in range(1, 15) for g in range(5) if start and start <= k + 1 and (k, g) in prices}
+        got = told(published)
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want), published
+
+
+def test_append_job_writes_days_once_and_forgets(spark, tmp_path):
+    schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("grid_id", T.StringType()), T.StructField("price", T.DoubleType())])
+    at = lambda k, h=0: dt.datetime(2024, 1, k, h)
+
+    def deliver(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        told = jobs.append_daily(spark, f"{tmp_path}/in", schema, f"{tmp_path}/out", f"{tmp_path}/offsets", "2 days")
+        return told, sorted((r.date.day, r.grid_id, r.price, r.n) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    assert deliver([(at(1), "G", 1.0), (at(1, 5), "G", 3.0), (at(2), "G", 5.0)]) == ({"rows_dropped": 0, "state_rows": 2}, [])
+    told, rows = deliver([(at(1, 9), "G", 5.0), (at(9), "H", 7.0)])
+    assert rows == [(1, "G", 3.0, 3), (2, "G", 5.0, 1)] and told == {"rows_dropped": 0, "state_rows": 1}
+    told, rows = deliver([(at(2), "G", 1e9), (at(8), "H", 8.0)])
+    assert rows == [(1, "G", 3.0, 3), (2, "G", 5.0, 1)] and told == {"rows_dropped": 1, "state_rows": 2}
+
+
+def test_html_cells_of_nested_and_open_tables(spark):
+    page = "<p>x</p><table><tr><th>a<td>b<table><tr><td>in<td>ner<tr><td>2</table>after<tr><td>c &amp; d</td><td></table><table><td>" + "e" * 70_000
+    rows = readers.html_cells(spark.createDataFrame([(1, page), (2, None), (3, "no table"), (4, "</td></table><td>")], "id int, html string"), "html")
+    got = sorted((r.id, r.table_no, r.row_no, r.cell_no, r.text) for r in rows.collect())
+    assert got == [
+        (1, 0, 0, 0, "a"), (1, 0, 0, 1, "bafter"), (1, 0, 1, 0, "c & d"), (1, 0, 1, 1, ""), (1, 1, 0, 0, "in"), (1, 1, 0, 1, "ner"), (1, 1, 1, 0, "2"), (1, 2, 0, 0, "e" * 70_000),
+    ]
+
+
+def test_newest_of_matching_folders_and_nested_regions(spark, tmp_path):
+    for name in ("a_1", "a_2", "axb"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.csv").write_text(name)
+    assert readers.newest_file(spark, str(tmp_path), "f.csv", "a_*").endswith("a_2/f.csv")
+    df = spark.createDataFrame([("r", "d1", 2, 1.5), ("r", "d1", 1, float("nan")), ("r", "d2", 3, 2.0), ("s", "d", 4, 3.0)], "region string, district string, id int, x double")
+    assert sorted(map(tuple, sinks.write_regions(df, f"{tmp_path}/regions", ["id", "x"]).collect())) == [("r", 2, 3), ("s", 1, 1)]
+    documents = [json.loads(line) for f in (tmp_path / "regions").glob("*.json") for line in f.read_text().splitlines()]
+    assert {"region": "r", "districts": [{"district": "d1", "cells": [{"id": 1, "x": None}, {"id": 2, "x": 1.5}]}, {"district": "d2", "cells": [{"id": 3, "x": 2.0}]}]} in documents and len(documents) == 2
 
 
 def test_json_is_safe(spark, tmp_path):
