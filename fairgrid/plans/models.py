@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fairgrid.functions.dates import saturday_week
 from fairgrid.functions.numbers import BASE_TAX, half_up, judge, policy_shift
 from fairgrid.operators import aggregates as agg
-from fairgrid.operators import frames, joins, lagmodels, layers, models, windows
+from fairgrid.operators import delta, frames, joins, lagmodels, layers, models, windows
 from fairgrid.operators.stored import shared_dir
 from fairgrid.sources import sinks
 
@@ -166,42 +166,63 @@ def _model_frame(spark, sf):
 
 
 def _sequence_frame(spark, sf):
-    """Next-day change of a station's mean price with 28 days before it in three channels (own price, national price, weight) and four latest
-    features: distance from the national price, weight, days since, and the month's mean. Levels count from yesterday's price."""
+    """Next-day change of a cell's mean price of a fuel with 28 days before it in three channels (own price, national price, weight), four latest
+    features (distance from the national price, weight, days since, the month's mean) and four static ones (place, stations, their mean balance).
+    Levels count from yesterday's price. Rows from 2000 on stop the fit, those from July 2000 on are held out."""
     from pyspark.ml.functions import array_to_vector
 
-    t = observations(spark, sf).groupBy("station_id", "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
-    t = t.join(t.groupBy("d").agg(agg.anchor("y", "weight").alias("national")), "d")
-    t = t.withColumn("since", F.datediff("d", F.lag("d").over(Window.partitionBy("station_id").orderBy("d"))).cast("double"))
-    t = windows.lag_sequence(t, ["y", "national", "weight"], 28, ["station_id"], "d").where("sequence is not null").withColumn("y_lag1", F.col("sequence")[27][0])
+    t = grid_day(spark, sf).select("fuel", "grid_id", "cell_x", "cell_y", "d", F.col("price").alias("y"), F.col("w").alias("weight"))
+    t = t.join(t.groupBy("fuel", "d").agg(agg.anchor("y", "weight").alias("national")), ["fuel", "d"])
+    key = ["fuel", "grid_id"]
+    t = t.withColumn("since", F.datediff("d", F.lag("d").over(Window.partitionBy(*key).orderBy("d"))).cast("double"))
+    t = windows.lag_sequence(t, ["y", "national", "weight"], 28, key, "d").where("sequence is not null").withColumn("y_lag1", F.col("sequence")[27][0])
     steps = F.flatten(F.transform("sequence", lambda s: F.array(s[0] - F.col("y_lag1"), s[1] - F.col("y_lag1"), s[2])))
     month = F.aggregate("sequence", F.lit(0.0), lambda a, s: a + s[0]) / 28 - F.col("y_lag1")
     latest = F.array(F.col("y_lag1") - F.col("sequence")[27][1], F.col("sequence")[27][2], F.col("since"), month)
-    return t.select("station_id", "d", "y", "y_lag1", "weight", (F.col("y") - F.col("y_lag1")).alias("delta"), array_to_vector(F.concat(steps, latest)).alias("raw"), (F.col("d") >= F.lit("2000-01-01").cast("date")).alias("validation"))
+    sites = stations(spark, sf).groupBy("cell_x", "cell_y").agg(F.count("*").cast("double").alias("sites"), F.avg("s_acctbal").alias("balance"))
+    t = t.join(F.broadcast(sites), ["cell_x", "cell_y"], "left").fillna(0.0, ["sites", "balance"])  # a row a cell
+    static = F.array(F.col("cell_x") / 1000, F.col("cell_y") / 1000, F.col("sites"), F.col("balance") / 1000)
+    part = F.when(F.col("d") < F.lit("2000-01-01").cast("date"), "train").when(F.col("d") < F.lit("2000-07-01").cast("date"), "stop").otherwise("holdout")
+    return t.select(
+        "fuel", "grid_id", "d", F.date_format("d", "yyyy-MM").alias("month"), "y", "y_lag1", "weight", (F.col("y") - F.col("y_lag1")).alias("delta"),
+        array_to_vector(F.concat(steps, latest, static)).alias("raw"), part.alias("part"),
+    )
+
 
+def _delta_models(spark, sf):
+    """(fuel, model, rows, mae, rmse, weighted_mae, chosen, path, frame): the stored models of each fuel and the stored frame, kept while the tables stay the same."""
 
-def _fitted(spark, sf):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler
-    from pyspark.ml.regression import LinearRegression
+    def build():
+        frame = sinks.work_folder(spark, "delta-frame")
+        _sequence_frame(spark, sf).repartition("month").write.partitionBy("month").parquet(frame)
+        t, rows = spark.read.parquet(frame), []
+        for fuel in BASE_TAX:
+            path = sinks.work_folder(spark, f"delta-model-{fuel}")
+            rows += [(fuel, *told, path, frame) for told in delta.fit_delta_models(t.where(F.col("fuel") == fuel), path)]
+        return spark.createDataFrame(rows, "fuel string, model string, rows long, mae double, rmse double, weighted_mae double, chosen boolean, path string, frame string")
 
-    t = _sequence_frame(spark, sf)
-    steps = [StandardScaler(inputCol="raw", outputCol="features", withMean=True), LinearRegression(loss="huber", labelCol="delta", weightCol="weight", maxIter=30, regParam=1e-4)]
-    return Pipeline(stages=steps).fit(t.where("not validation")), t
+    tables = [f"{sf}/{t}.parquet" for t in ("lineitem", "supplier", "nation", "region")]
+    return sinks.cached(spark, f"{shared_dir(spark)}/delta-models", {"what": "delta models"}, tables, build)
 
 
 @query()
 def ml_11_delta_model(spark, sf):
-    """The robust next-day model's errors on the validation days."""
-    model, t = _fitted(spark, sf)
-    out = model.transform(t.where("validation")).withColumn("level", F.col("y_lag1") + F.col("prediction"))
-    return frames.rounded(out.agg(*agg.error_metrics("y", "level", "weight")))
+    """Errors on the holdout of each fuel's robust linear and boosted model, and which is chosen and stored."""
+    return frames.rounded(_delta_models(spark, sf).drop("path", "frame"))
 
 
 @query()
 def ml_12_scoring(spark, sf):
-    model, t = _fitted(spark, sf)
-    return model.transform(t.where("validation")).select("station_id", "d", half_up(F.col("y_lag1") + F.col("prediction"), 3).alias("prediction"))
+    """Every cell's and day's prediction by its fuel's stored model, a month at a time; the first run stops half way, the second goes on from there."""
+    chosen, out = _delta_models(spark, sf).where("chosen").collect(), sinks.work_folder(spark, "delta-scores")
+    parts = []
+    for r in chosen:  # a row a fuel
+        frame = spark.read.parquet(r.frame).where(F.col("fuel") == r.fuel).withColumn("month", F.col("month").cast("string"))
+        to, keep = f"{out}/{r.fuel}", ["fuel", "grid_id", "d"]
+        delta.score_months(frame.where("month < '1998-06'"), r.path, to, keep)
+        delta.score_months(frame, r.path, to, keep)
+        parts.append(spark.read.parquet(to).drop("month"))
+    return frames.rounded(parts[0].unionByName(parts[1]))
 
 
 def national_fair(spark, sf):

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fairgrid.operators import aggregates as agg
-from fairgrid.operators import frames, joins, lagmodels, models, windows
+from fairgrid.operators import delta, frames, joins, lagmodels, layers, models, windows
 
 DAY0 = dt.date(2024, 1, 1)
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -380,3 +380,95 @@ def test_nearest_equals_brute_force(spark):
         assert got.get(i) == (None if best is None else (best[1], best[0])), i
     same = {v.id: v.id2 for v in joins.nearest(df, other, ["g"], 500.0).where("d2 = 0").collect()}
     assert len(same) == len(points) and joins.nearest(df.limit(0), other, ["g"], 500.0).count() == 0
+
+
+def _rolled(rows, xs, y, ok, cap, least, refit):
+    """Predictions of rolling robust fits, row by row."""
+    out, learnt, beta, last = [], [], None, None
+    for i, r in enumerate(rows):
+        x = [r[c] for c in xs]
+        whole = all(v is not None for v in x)
+        if whole and len(learnt) >= least and (last is None or i - last >= refit):
+            at, last = learnt[-cap:], i
+            beta = models.huber(np.array([[rows[j][c] for c in xs] for j in at]), np.array([y(rows[j]) for j in at]))
+        out.append(beta[0] + np.array(x) @ beta[1:] if whole and beta is not None else None)
+        if whole and y(r) is not None and ok(r):
+            learnt.append(i)
+    return out
+
+
+def test_layered_prices_equal_brute_force(spark):
+    r = np.random.default_rng(8)
+    n, horizon = 420, 4
+    intl = np.cumsum(r.normal(size=n)) + 50
+    retail = 2 * intl + 10 + r.normal(size=n)
+    days = [day(k) for k in range(n)]
+    ends = sorted({d + dt.timedelta((5 - d.weekday()) % 7) for d in days})
+    supply = {e: 1.5 * float(np.mean([v for d, v in zip(days, intl, strict=True) if e - dt.timedelta(6) <= d <= e])) + float(r.normal()) for e in ends if e != ends[9]}
+    daily = spark.createDataFrame([("s", d, float(a), None if k == 40 else float(b), 100 <= k < 120) for k, (d, a, b) in enumerate(zip(days, retail, intl, strict=True))], "k string, d date, retail double, intl double, excluded boolean")
+    refinery = spark.createDataFrame([("s", e, v) for e, v in supply.items()], "k string, week_end date, refinery double")
+    weights = [0.1, 0.2, 0.4, 0.2, 0.1]
+    w = spark.createDataFrame([("s", weights)], "k string, weights array<double>")
+    no = w.limit(0)
+    few, week = {"cap": 90, "least": 60, "refit": 7}, {"cap": 30, "least": 24, "refit": 3}
+    got = layers.layered_prices(daily, refinery, ["k"], w, no, horizon, 3, few, week)
+
+    weekly, weekly_xs = layers.weekly_frame(daily, refinery, ["k"], no, 3)
+    weekly = weekly.orderBy("week_end").collect()
+    level = {x.week_end: x.intl_w for x in weekly}
+    assert [x.week_end for x in weekly] == sorted(supply) and all(x.irf == pytest.approx(x.intl_w) for x in weekly)
+    for a, b in zip(weekly, weekly[1:], strict=False):
+        assert b.step == pytest.approx(level[b.week_end] - level[a.week_end]) and b.rise - b.fall == pytest.approx(b.step)
+    fair = dict(zip([x.week_end for x in weekly], _rolled(weekly, weekly_xs, lambda x: x.refinery, lambda x: not x.excluded, **week), strict=True))
+    stored = {x.week_end: x.fair_refinery for x in got.weekly.collect()}
+    assert sum(v is not None for v in fair.values()) > 10 and all(stored[k] == (v if v is None else pytest.approx(v)) for k, v in fair.items())
+
+    frame, direct_xs, spread_xs = layers.daily_frame(daily, ["k"], w, horizon)
+    rows = [x.asDict() for x in frame.orderBy("d").collect()]
+    for k in (10, 200):
+        assert rows[k]["irf"] == pytest.approx(sum(weights[h] * intl[k - h] for h in range(5)))
+        assert rows[k]["irf_rise"] == pytest.approx(sum(weights[h] * max(intl[k - h] - intl[k - h - 1], 0) for h in range(5)))
+    for x in rows:
+        known = [e for e in fair if e < x["d"] and fair[e] is not None]
+        x["fair_refinery"] = fair[max(known)] if known else None
+        x["spread"] = None if x["fair_refinery"] is None else x["retail"] - x["fair_refinery"]
+    direct = _rolled(rows, direct_xs, lambda x: x["retail"], lambda x: not x["excluded"], **few)
+    spread = _rolled(rows, ["fair_refinery", *spread_xs], lambda x: x["spread"], lambda x: not x["excluded"], **few)
+    two = [None if v is None else v + x["fair_refinery"] for v, x in zip(spread, rows, strict=True)]
+    out = got.daily.orderBy("d").collect()
+    same = lambda a, b: a == (None if b is None else pytest.approx(b, rel=1e-6))
+    assert sum(v is not None for v in two) > 50
+    assert all(same(o.direct, a) and same(o.two_layer, b) and same(o.fair_refinery, x["fair_refinery"]) for o, a, b, x in zip(out, direct, two, rows, strict=True))
+    mae = {m: np.mean([abs(x["retail"] - v) for v, x in zip(fit, rows, strict=True) if v is not None and not x["excluded"]]) for m, fit in (("direct", direct), ("two_layer", two))}
+    metrics = {m.model: m for m in got.metrics.collect()}
+    assert set(metrics) == {"refinery_weekly", "direct", "two_layer"} and all(metrics[m].mae == pytest.approx(v, rel=1e-6) for m, v in mae.items())
+    choice = "two_layer" if mae["two_layer"] <= 1.15 * mae["direct"] else "direct"
+    assert [m for m in metrics if metrics[m].chosen] == [choice]
+    assert all(same(o.final, b if choice == "two_layer" else a) for o, a, b in zip(out, direct, two, strict=True))
+    strict = layers.layered_prices(daily, refinery, ["k"], w, no, horizon, 3, few, week, allowance=0.01)
+    assert [m.model for m in strict.metrics.collect() if m.chosen] == ["direct"]
+
+
+def test_delta_models_are_chosen_on_the_holdout_and_scored_by_month(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import array_to_vector
+
+    r = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        a, b = r.normal(size=2)
+        rows.append(("train" if i < 240 else "stop" if i < 300 else "holdout", float(3 * a - b + 0.01 * r.normal()), 10.0, 1.0 + i % 3, [float(a), float(b)], f"2024-{1 + i // 100:02d}", i))
+    t = spark.createDataFrame(rows, "part string, delta double, y_lag1 double, weight double, x array<double>, month string, id int").withColumn("raw", array_to_vector("x")).withColumn("y", F.col("y_lag1") + F.col("delta"))
+    told = {m: (n, weighted, chosen) for m, n, _, _, weighted, chosen in delta.fit_delta_models(t, f"{tmp_path}/model")}
+    assert {m: v[0] for m, v in told.items()} == {"robust linear": 100, "boosted trees": 100}
+    assert told["robust linear"][2] and not told["boosted trees"][2] and told["robust linear"][1] < 0.05 < told["boosted trees"][1]
+    model = PipelineModel.load(f"{tmp_path}/model")
+    want = {x.id: x.y_lag1 + x.prediction for x in model.transform(t).collect()}
+    held = [x for x in rows if x[0] == "holdout"]
+    weighted = sum(x[3] * abs(10 + x[1] - want[x[6]]) for x in held) / sum(x[3] for x in held)
+    assert told["robust linear"][1] == pytest.approx(weighted)
+    out = f"{tmp_path}/scores"
+    assert delta.score_months(t.where("month < '2024-03'"), f"{tmp_path}/model", out, ["id"], at_once=1) == ["2024-01", "2024-02"]
+    assert delta.score_months(t, f"{tmp_path}/model", out, ["id"], again=("2024-01",), at_once=2) == ["2024-01", "2024-03", "2024-04"]
+    got = {x.id: x.prediction for x in spark.read.parquet(out).collect()}
+    assert got == want and spark.read.parquet(out).count() == 400
