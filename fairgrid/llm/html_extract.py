@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 
 from .common import cut, plus
 
-#: A branch of a site's style tree is noise if so many pages have it and its importance stays below this share of the most possible.
-MIN_PAGES, MIN_IMPORTANCE = 5, 0.2
+#: A branch of a site's style tree is judged if so many distinct pages have it. It is noise if its importance stays below these shares of the
+#: most possible: what surrounds the article differs on nearly every page or it is furniture; inside an article only what hardly ever differs goes.
+MIN_PAGES, MIN_IMPORTANCE, MIN_IMPORTANCE_INSIDE = 5, 0.94, 0.2
+#: Pages that the prior counts for: an element that is never main text by its kind starts with as many pages of importance 0, one made for text with as many of importance 1.
+PRIOR_PAGES = 10
+#: Text blocks of so many characters tell copies of a page without article or main apart from pages of their own.
+LONG_BLOCK = 200
 #: Number of pages at which the most possible importance of a branch inside an article or main stops growing: a heading of a few wordings does not become noise as its site grows.
 INNER_PAGES = 100
-#: Noise branches of all sites up to which they are broadcast, 8 bytes each; beyond that pages meet them in a join that AQE can split.
+#: Judged branches of all sites up to which they are broadcast, 8 bytes each; beyond that each part of a site's pages follows one row that has its site's.
 BROADCAST_BRANCHES = 2_000_000
-#: Sites whose noise a worker keeps at once, and copies it remembers.
-SITES_KEPT, COPIES_KEPT = 256, 100_000
+#: Pages of a part of a site, and copies that a worker remembers.
+PART_PAGES, COPIES_KEPT = 2_000, 100_000
 
 # Element names of HTML by their role in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,6 +45,9 @@ DROPPED = set(
 )
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
+#: Elements made for text, a prior in their favour.
+FOR_TEXT = set("p h1 h2 h3 h4 h5 h6 blockquote pre dd figcaption caption".split())
+
 #: Class and id names (a choice of ours) that stand for what is never main text, wherever they are.
 STRONG_NAMES = set(
     "ad ads adbox adslot adsense advert adverts advertisement advertising sponsor sponsored nav navbar navigation menubar breadcrumb breadcrumbs sidebar sidenav topnav subnav aside footer"
@@ -146,18 +154,27 @@ def branch_id(parent: int, style: str) -> int:
 class Element:
     """An open element: what it is, what its ancestors decide for it, and in tree mode the digest of its texts."""
 
-    __slots__ = ("tag", "branch", "dropped", "article", "main", "link", "root", "weak_from", "content", "shape")
+    __slots__ = ("tag", "branch", "dropped", "article", "main", "link", "root", "noise", "weak_from", "content", "shape")
 
-    def __init__(self, tag: str, branch: int, dropped: bool, article: int, main: bool, link: bool, root: int):
-        self.tag, self.branch, self.dropped, self.article, self.main, self.link, self.root = tag, branch, dropped, article, main, link, root
+    def __init__(self, tag: str, branch: int, dropped: bool, article: int, main: bool, link: bool, root: int, noise: bool = False):
+        self.tag, self.branch, self.dropped, self.article, self.main, self.link, self.root, self.noise = tag, branch, dropped, article, main, link, root, noise
         self.weak_from, self.content, self.shape = -1, None, None
 
 
 class Page:
-    """One page, read once in order: its text blocks, or with ``tree`` the shape and text of every branch of its style tree."""
+    """One page, read once in order: its text blocks, or with ``tree`` the shape and text of every branch of its style tree.
+
+    ``noise`` has the site's branches of low importance, ``kept`` those of high importance right below such ones: a branch goes with all below
+    it, but for what its own importance keeps. Branches that the site's tree does not judge follow the one they are in.
+    """
 
-    def __init__(self, html: str, noise: frozenset | set = frozenset(), by_name: bool = True, tree: bool = False):
-        self.noise, self.by_name, self.tree = noise, by_name, tree
+    def __init__(self, html: str, noise: frozenset | set = frozenset(), by_name: bool = True, tree: bool = False, kept: frozenset | set = frozenset()):
+        self.noise, self.kept, self.by_name, self.tree = noise, kept, by_name, tree
+        #: branch -> branch of its parent and prior (-1: never main text, 1: made for text), in tree mode; whether it has long blocks and their digest; blocks that the tree removed
+        self.parents: dict[int, tuple[int, int]] = {}
+        self.long = xxhash.xxh3_128()
+        self.any_long = False
+        self.by_tree = 0
         self.stack = [Element("", 0, False, 0, False, False, 0)]
         #: places in the stack of the open elements of each tag, and of all block elements
         self.places: dict[str, list[int]] = {}
@@ -183,15 +200,21 @@ class Page:
         if self.parts:
             if text := " ".join("".join(self.parts).split()):
                 top, holder = self.stack[-1], self.stack[self.block_places[-1]]
-                if holder.branch not in self.noise or holder.tag in PROTECTED:
+                if not holder.noise:
                     self.blocks.append((text, top.article, top.main, self.linked))
+                else:
+                    self.by_tree += 1
             self.parts, self.linked = [], 0
 
     def _text(self, raw: str) -> None:
         top = self.stack[-1]
         if self.tree:
             if (text := " ".join(raw.split())) and top.content is not None:
-                top.content.update(text.encode("utf-8", "replace"))
+                data = text.encode("utf-8", "replace")
+                top.content.update(data)
+                if len(text) >= LONG_BLOCK:
+                    self.any_long = True
+                    self.long.update(data)
         elif not top.dropped:
             text = unescape(raw) if "&" in raw else raw
             self.parts.append(text)
@@ -248,6 +271,8 @@ class Page:
                 up.shape.update(style.encode("utf-8", "replace") + b"|")
             if branch not in self.branches:
                 self.branches[branch] = (xxhash.xxh64(), xxhash.xxh64())
+                never = tag in DROPPED or tag == "header" or role in DROPPED_ROLES
+                self.parents[branch] = (up.branch, -1 if never else int(tag in FOR_TEXT))
             if up.root:
                 self.inner[branch] = up.root
         if tag in VOID:
@@ -266,7 +291,8 @@ class Page:
         main = tag == "main" or role == "main"
         if not root and main:
             root = branch
-        own = Element(tag, branch, dropped, article, up.main or main, up.link or tag == "a", root)
+        noise = False if tag in PROTECTED or main else True if branch in self.noise else False if branch in self.kept else up.noise
+        own = Element(tag, branch, dropped, article, up.main or main, up.link or tag == "a", root, noise)
         if weak:
             own.weak_from = len(self.blocks)
         if self.tree:
@@ -298,11 +324,12 @@ class Page:
         return "\n".join(t for t, _, _, n in self.blocks if n < 0.8 * len(t))
 
 
-def extract(html: str | None, noise: frozenset | set = frozenset()) -> str:
-    """The main text of one page; if names in the page mark all of it for dropping, only its elements judge."""
+def extract(html: str | None, noise: frozenset | set = frozenset(), kept: frozenset | set = frozenset()) -> str:
+    """The main text of one page; if names in the page mark all of it for dropping, only the tree and its elements judge, and where the tree leaves nothing, elements alone."""
     if not html:
         return ""
-    return Page(html, noise).main_text() or Page(html, noise, by_name=False).main_text()
+    found = Page(html, noise, kept=kept).main_text() or Page(html, noise, by_name=False, kept=kept).main_text()
+    return found or not noise and "" or Page(html).main_text() or Page(html, by_name=False).main_text()
 
 
 def host_of(url):
@@ -310,26 +337,28 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url.cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def _units(html: str) -> Iterator[tuple[bytes, bool, list, list, list]]:
-    """Digest, whether inside an article or main, and branches with the hashes of their shapes and texts: the
-    page without its articles and main by all its html, each of these by its own branches."""
+def _units(html: str) -> Iterator[tuple[bytes, bool, list, list, list, list, list]]:
+    """Digest, whether inside an article or main, and branches with their parents, priors and the hashes of their shapes and texts: the
+    page without its articles and main by all its html (by its long blocks where it has neither article nor main), each of these by its own branches."""
     page, groups = Page(html, tree=True), {}
     for branch, (shape, content) in page.branches.items():
-        groups.setdefault(page.inner.get(branch, 0), []).append((branch, shape.intdigest() - (1 << 63), content.intdigest() - (1 << 63)))
+        groups.setdefault(page.inner.get(branch, 0), []).append((branch, *page.parents[branch], shape.intdigest() - (1 << 63), content.intdigest() - (1 << 63)))
     for root, nodes in groups.items():
         data = repr((root, nodes)) if root else html
-        yield xxhash.xxh3_128_digest(data.encode("utf-8", "replace")), bool(root), *map(list, zip(*nodes, strict=True))
+        unit = page.long.digest() if not page.inner and page.any_long else xxhash.xxh3_128_digest(data.encode("utf-8", "replace"))
+        yield unit, bool(root), *map(list, zip(*nodes, strict=True))
 
 
 def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, branch, pages, importance) of every branch of each site's style tree that ``min_pages`` distinct pages have.
+    """(host, branch, parent, inner, pages, seen, importance) of every branch of each site's style tree that ``min_pages`` distinct pages have.
 
     Pages of a host are merged by the styles (tag, first class or id) from the root down. Presentation
     is the sequence of child styles below a branch, content the texts below it. A branch's
     importance is the larger of the two entropies over the pages that have it,
     by the logarithm of their number: 0 if all agree, 1 if all differ. Copies count once:
     a page by its html, the branches inside an article or main by that element's own branches, so that
-    copies under changing menus are copies as well. There the logarithm stops at INNER_PAGES. A task
+    copies under changing menus are copies as well, and a page without these by its long blocks. Inside them the logarithm stops at INNER_PAGES. Elements that are
+    never main text (navigation, asides, forms) or are made for it (paragraphs, headings) are the prior: such a branch counts PRIOR_PAGES pages of importance 0 or 1 more; ``seen`` is without it. A task
     hands on a copy once, and counts are combined before each shuffle, so neither a copied page nor a host with a third of all pages is a hot key.
     """
 
@@ -349,55 +378,91 @@ def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                         if not inner or (host, unit) not in known:
                             known.add((host, unit))
                             rows.append((host, unit, inner, *nodes))
-                cols = list(zip(*rows, strict=True)) or [()] * 6
                 longs = pa.list_(pa.int64())
-                types = (pa.string(), pa.binary(), pa.bool_(), longs, longs, longs)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["host", "unit", "inner", "branches", "shapes", "texts"])
+                types = (pa.string(), pa.binary(), pa.bool_(), longs, longs, pa.list_(pa.int8()), longs, longs)
+                cols = list(zip(*rows, strict=True)) or [()] * len(types)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["host", "unit", "inner", "branches", "parents", "priors", "shapes", "texts"])
 
-    schema = "host string, unit binary, inner boolean, branches array<long>, shapes array<long>, texts array<long>"
+    schema = "host string, unit binary, inner boolean, branches array<long>, parents array<long>, priors array<tinyint>, shapes array<long>, texts array<long>"
     seen = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(run, schema)
-    units = seen.groupBy("host", "unit", "inner").agg(F.first(F.struct("branches", "shapes", "texts")).alias("u"))
-    nodes = units.select("host", "inner", F.explode(F.arrays_zip("u.branches", "u.shapes", "u.texts")).alias("v"))
-    kinds = nodes.select("host", "inner", F.col("v.branches").alias("branch"), F.posexplode(F.array("v.shapes", "v.texts")).alias("kind", "hash"))
-    counts = kinds.groupBy("host", "branch", "kind", "hash").agg(F.count("*").alias("n"), F.max("inner").alias("inner"))
-    sums = counts.groupBy("host", "branch", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), F.max("inner").alias("inner"))
+    units = seen.groupBy("host", "unit", "inner").agg(F.first(F.struct("branches", "parents", "priors", "shapes", "texts")).alias("u"))
+    nodes = units.select("host", "inner", F.explode(F.arrays_zip("u.branches", "u.parents", "u.priors", "u.shapes", "u.texts")).alias("v"))
+    kinds = nodes.select("host", "inner", F.col("v.branches").alias("branch"), F.col("v.parents").alias("parent"), F.col("v.priors").alias("prior"), F.posexplode(F.array("v.shapes", "v.texts")).alias("kind", "hash"))
+    told = [F.max(c).alias(c) for c in ("inner", "parent", "prior")]
+    counts = kinds.groupBy("host", "branch", "kind", "hash").agg(F.count("*").alias("n"), *told)
+    sums = counts.groupBy("host", "branch", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), *told)
     sums = sums.where(F.col("pages") >= min_pages)
     most = F.when(F.col("inner"), F.least("pages", F.lit(INNER_PAGES))).otherwise(F.col("pages"))
     importance = F.least((F.log("pages") - F.col("s") / F.col("pages")) / F.log(most), F.lit(1.0))
-    return sums.groupBy("host", "branch").agg(F.max("pages").alias("pages"), F.max(importance).alias("importance"))
+    merged = sums.groupBy("host", "branch").agg(F.max("pages").alias("pages"), F.max(importance).alias("seen"), *told)
+    with_prior = (F.col("seen") * F.col("pages") + F.when(F.col("prior") > 0, PRIOR_PAGES).otherwise(0)) / (F.col("pages") + F.abs("prior") * PRIOR_PAGES)
+    return merged.select("host", "branch", "parent", "inner", "pages", "seen", with_prior.alias("importance"))
+
+
+def judged_branches(tree: DataFrame, least: float = MIN_IMPORTANCE, least_inside: float = MIN_IMPORTANCE_INSIDE) -> DataFrame:
+    """(host, noise, kept): a row for each site with noise; its branches of low importance, and those of high importance right below one of them."""
+    bar = F.when(F.col("inner"), least_inside).otherwise(least)
+    weak = cut(tree.select("host", "branch", "parent", (F.col("importance") < bar).alias("noise"), (F.col("seen") >= bar).alias("high")))
+    above = weak.where("noise").select("host", F.col("branch").alias("parent"), F.lit(True).alias("below"))
+    rows = weak.join(above, ["host", "parent"], "left").where("noise or (high and below)")
+    listed = lambda c: F.collect_list(F.when(c, F.col("branch")))
+    return rows.groupBy("host").agg(listed(F.col("noise")).alias("noise"), listed(~F.col("noise")).alias("kept")).where(F.size("noise") > 0)
 
 
 def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
     """``pages`` (page_id, url, html, more) with ``text``: the main text, blocks in page order joined by a line feed.
 
-    A text block goes if the branch of the site's style tree that holds it has low importance (never html, body, main or
-    article themselves); so a branch goes whole where all below it is low, and what varies from page to page stays. Navigation, headers, footers, asides, forms, adverts, notices
-    and comments go by element, role and name. What is left of the articles and of main is the text. Character references
+    First the site's style tree judges: a branch of low importance goes with all below it, but for branches below it whose own importance is high, and
+    what varies from page to page stays (html, body, main and article never go). Elements are the tree's prior; where a site has
+    too few pages for its tree, they judge by themselves, and so do class names. What is left of the articles and of main is the text. Character references
     are decoded, white space inside a block becomes one space.
 
     Null or empty html gives empty text; very long and broken pages take time in proportion; null and bad urls are one site without
     name. Copies of a page count once in the tree and each get their text. An incoming ``text`` is replaced, other columns pass through. Empty in, empty out.
+
+    A site's branches reach its pages once for a task: as one broadcast map where all are few, else as a row of their own ahead of each
+    part of PART_PAGES of the site's pages.
     """
-    pages = pages.drop("text")
-    weak = style_tree(pages, min_pages).where(F.col("importance") < min_importance)
-    noise = cut(weak.groupBy(F.col("host").alias("__host")).agg(F.collect_list("branch").alias("__noise")))
-    size = noise.agg(F.sum(F.size("__noise") + 8)).first()[0] or 0
-    if size <= BROADCAST_BRANCHES:
-        noise = F.broadcast(noise)
-    schema, n = plus(pages.schema, text="string"), len(pages.columns)
-    at = pages.columns.index("html")
+    spark, pages = pages.sparkSession, pages.drop("text")
+    judged = cut(judged_branches(style_tree(pages, min_pages), min_importance))
+    size = judged.agg(F.sum(F.size("noise") + F.size("kept") + 8)).first()[0] or 0
+    schema, n, at = plus(pages.schema, text="string"), len(pages.columns), pages.columns.index("html")
+    named = pages.withColumn("__host", host_of(F.col("url")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict = {}
+    if size <= BROADCAST_BRANCHES:
+        sites = spark.sparkContext.broadcast({r.host: (r.noise, r.kept) for r in judged.toLocalIterator()})
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sets: dict = {}
+            for batch in batches:
+                texts = []
+                for html, host in zip(batch.column(at), batch.column(n).to_pylist(), strict=True):
+                    if host not in sets:
+                        sets[host] = tuple(map(frozenset, sites.value.get(host, ((), ()))))
+                    texts.append(extract(html.as_py(), *sets[host]))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], [*batch.schema.names[:n], "text"])
+
+        return named.mapInArrow(run, schema)
+
+    counts = pages.groupBy(host_of(F.col("url")).alias("__host")).agg(F.ceil(F.count("*") / PART_PAGES).alias("__parts"))
+    rows = named.join(counts, "__host").withColumn("__part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__parts")))
+    none = F.lit(None).cast("array<bigint>")
+    rows = rows.select(*pages.columns, "__host", "__part", none.alias("__noise"), none.alias("__kept"))
+    heads = judged.join(counts, judged["host"] == counts["__host"]).select("__host", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1)).alias("__part"), F.col("noise").alias("__noise"), F.col("kept").alias("__kept"))
+    both = rows.unionByName(heads, allowMissingColumns=True).withColumn("__page", F.col("__noise").isNull())
+    dealt = both.repartition("__host", "__part").sortWithinPartitions("__host", "__part", "__page")
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, sets = None, ((), ())
         for batch in batches:
-            texts = []
-            for html, host, branches in zip(batch.column(at), batch.column(n).to_pylist(), batch.column(n + 1), strict=True):
-                if host not in sets:
-                    if len(sets) >= SITES_KEPT:
-                        sets.clear()
-                    sets[host] = frozenset(branches.as_py() or ())
-                texts.append(extract(html.as_py(), sets[host]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], [*batch.schema.names[:n], "text"])
-
-    met = pages.withColumn("__host", host_of(F.col("url"))).join(noise, "__host", "left").select(*pages.columns, "__host", "__noise")
-    return met.mapInArrow(run, schema)
+            texts, kept = [], []
+            for i, (html, host, part, is_page) in enumerate(zip(batch.column(at), *(batch.column(k).to_pylist() for k in (n, n + 1, n + 4)), strict=True)):
+                if not is_page:
+                    known, sets = (host, part), (frozenset(batch.column(n + 2)[i].as_py()), frozenset(batch.column(n + 3)[i].as_py()))
+                    continue
+                kept.append(i)
+                texts.append(extract(html.as_py(), *(sets if known == (host, part) else (frozenset(), frozenset()))))
+            own = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*own.columns[:n], pa.array(texts, pa.string())], [*batch.schema.names[:n], "text"])
+
+    return dealt.select(*pages.columns, "__host", "__part", "__noise", "__kept", "__page").mapInArrow(follow, schema)

@@ -183,7 +183,7 @@ def test_importance_equals_plain_entropy(spark):
     shown = [(r.choice(["a", "b"]), r.randrange(3), words(5, i // 2)) for i in range(30)]
     html = [f"<html><body><div class=top>{x}</div><div class=list>{'<p>same</p>' * k}</div><div class=story><p>{t}</p></div></body></html>" for x, k, t in shown]
     pages = spark.createDataFrame([(i, "http://h/", x) for i, x in enumerate(html)], "page_id long, url string, html string")
-    got = {x.branch: (x.pages, x.importance) for x in html_extract.style_tree(pages, 2).collect()}
+    got = {x.branch: (x.pages, x.seen, x.importance) for x in html_extract.style_tree(pages, 2).collect()}
     distinct = sorted(set(html))
     kept = [shown[html.index(x)] for x in distinct]
 
@@ -195,7 +195,10 @@ def test_importance_equals_plain_entropy(spark):
     for path, values in expected.items():
         assert got[branch(path)][0] == len(kept) and abs(got[branch(path)][1] - importance(values)) < 1e-9, path
     with_p = [k for _, k, _ in kept if k]
-    assert got[branch("/html/body/div.list/p")][0] == len(with_p) and abs(got[branch("/html/body/div.list/p")][1] - importance(with_p)) < 1e-9
+    pages_of_p, seen, weighed = got[branch("/html/body/div.list/p")]
+    assert pages_of_p == len(with_p) and abs(seen - importance(with_p)) < 1e-9
+    assert abs(weighed - (seen * pages_of_p + html_extract.PRIOR_PAGES) / (pages_of_p + html_extract.PRIOR_PAGES)) < 1e-9
+    assert got[branch("/html/body/div.top")][1] == got[branch("/html/body/div.top")][2]
 
 
 def test_a_branch_that_few_pages_fill_stays_there(spark):
@@ -224,6 +227,42 @@ def test_copies_of_a_page_do_not_erase_its_text(spark):
     assert counted["mixed.example", branch("/html/body")] == 16 and counted["menus.example", branch("/html/body/article/p")] == 5 and ("equal.example", branch("/html/body")) not in counted
 
 
+@pytest.mark.parametrize("bound", [10**6, -1])
+def test_the_tree_alone_finds_the_text_of_given_pages(spark, monkeypatch, bound):
+    """All telling elements and names replaced by neutral ones: on sites with enough pages the tree leaves what the elements leave."""
+    monkeypatch.setattr(html_extract, "BROADCAST_BRANCHES", bound)
+    monkeypatch.setattr(html_extract, "PART_PAGES", 50)
+    given = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").withColumn("host", html_extract.host_of(F.col("url")))
+    large = given.groupBy("host").count().where("count >= 40").select("host")
+    given = given.join(large, "host").select("page_id", "url", "html")
+    neutral = F.col("html")
+    for tag, name in (("article", "k1"), ("nav", "k2"), ("footer", "k3")):
+        neutral = F.regexp_replace(F.regexp_replace(neutral, f"<{tag}>", f'<div class="{name}">'), f"</{tag}>", "</div>")
+    hidden = given.withColumn("html", F.regexp_replace(neutral, 'class="ad"', 'class="k4"'))
+    want = {r.page_id: html_extract.extract(r.html) for r in given.collect()}
+    got = {r.page_id: r.text for r in html_extract.extract_main_text(hidden).collect()}
+    assert len(want) > 1000 and got == want
+    assert {r.page_id: r.text for r in html_extract.extract_main_text(given).collect()} == want
+
+
+def test_a_noisy_branch_goes_whole_but_for_what_varies_below_it(spark):
+    page = "<html><body><div class=frame><div class=menu><span>Home and more</span><div class=rare{r}>Seldom seen</div></div><div class=story>{t}</div></div><div class=pad><div class=note>One of {k} lines</div><div class=lead>{u}</div></div></body></html>"
+    rows = [(i, f"http://h/{i}", page.format(r=i if i % 9 == 0 else "", t=words(20, i), k=i % 3, u=words(9, 500 + i))) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = [x.text for x in html_extract.extract_main_text(pages).orderBy("page_id").collect()]
+    # a branch with too few pages of its own follows the menu that it is in
+    assert out == [f"{words(20, i)}\n{words(9, 500 + i)}" for i in range(60)]
+    told = html_extract.judged_branches(html_extract.style_tree(pages)).first()
+    assert branch("/html/body/div.frame/div.menu") in told.noise and branch("/html/body/div.frame") not in told.noise
+
+
+def test_copies_of_a_story_under_changing_menus_keep_their_text(spark):
+    page = "<html><body><div class=strip>menu {}</div><div class=story><h1>{}</h1><p>{}</p></div></body></html>"
+    rows = [(i, "http://h/", page.format(i, "Copied", words(60, 1))) for i in range(40)] + [(40 + i, "http://h/", page.format(i % 4, f"T{i}", words(60, 100 + i))) for i in range(20)]
+    out = [x.text for x in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert out == ["Copied\n" + words(60, 1)] * 40 + [f"T{i}\n{words(60, 100 + i)}" for i in range(20)]
+
+
 def records_of(raw):
     """(headers, block) of every record of a .warc.gz file, by the format's definition alone."""
     out = []
