@@ -20,29 +20,30 @@ DICT_BYTES = 400_000
 TRAIN_PIECE_BYTES, TRAIN_PIECES = 4096, 8
 #: Texts are scored in pieces of this size, so that the dictionaries count everywhere in a long text, more than what the text repeats itself.
 PIECE_BYTES = 512
-#: A text of so many bytes counts half: the difference of a short one says little, and its score stays near the share of good rows.
-HALF_BYTES = 100
+#: A text of so many bytes counts half: the difference of a short one says little, and its score stays near the share of good rows, which an empty one has.
+HALF_BYTES = 400
 LEVEL = 3
 THRESHOLD = 0.3
 
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Two dictionaries, and the weights that calibrate a size difference: of a constant, of a text's evidence, and of the difference times it."""
+    """Two dictionaries; the log-odds of a good row; and the weights that calibrate a size difference: of a text's evidence, and of the difference times it."""
 
     good: bytes
     bad: bytes
-    weights: tuple[float, float, float]
+    prior: float
+    weights: tuple[float, float]
 
     def scores(self, measured: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(_terms(measured) @ np.array(self.weights), -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.prior + _terms(measured) @ np.array(self.weights), -40, 40)))
 
 
 def _terms(measured: np.ndarray) -> np.ndarray:
-    """Of rows of (difference, bytes of the text)."""
+    """Of rows of (difference, bytes of the text): evidence, which is 0 for an empty text and near 1 for a long one, and the difference times it."""
     d, n = measured.reshape(-1, 2).T
     evidence = n / (n + HALF_BYTES)
-    return np.column_stack([np.ones(len(d)), evidence, d * evidence])
+    return np.column_stack([evidence, d * evidence])
 
 
 class SizeDifference:
@@ -69,27 +70,29 @@ def _loaded(raw: bytes) -> zstandard.ZstdCompressionDict:
 
 
 def _dictionary(pieces: list[bytes]) -> bytes:
-    """A trained dictionary; the pieces' own bytes where they are too few to train on."""
+    """A trained dictionary of up to DICT_BYTES; the pieces' own bytes where they are too few to train on.
+
+    The rarer class gives a smaller one. Cutting the other down to its size made the difference tell less (README), so sizes are left as they are; the
+    weight of the evidence takes up what the size shifts.
+    """
     try:
         return zstandard.train_dictionary(DICT_BYTES, pieces).as_bytes()
     except (zstandard.ZstdError, ValueError):
         return b"".join(t[: max(64, DICT_BYTES // max(1, len(pieces)))] for t in pieces)[:DICT_BYTES] or b" " * 64
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Weights by Newton steps on standardised columns (the first is constant), with a small ridge for separable samples."""
-    mean, scale = x.mean(0), x.std(0)
-    mean[0], scale[scale == 0] = 0, 1
-    z, w, ridge = (x - mean) / scale, np.zeros(x.shape[1]), 1e-2
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: float, rounds: int = 50) -> np.ndarray:
+    """Weights of the columns beside a fixed constant, by Newton steps on scaled columns, with a small ridge for separable samples."""
+    scale = np.sqrt(np.square(x).mean(0))
+    scale[scale == 0] = 1
+    z, w, ridge = x / scale, np.zeros(x.shape[1]), 1e-2
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + ridge * np.eye(len(w)), z.T @ (y - p) - ridge * w)
+        p = 1 / (1 + np.exp(-np.clip(prior + z @ w, -30, 30)))
+        step = np.linalg.solve(z.T @ (z * (weight * p * (1 - p))[:, None]) + ridge * np.eye(len(w)), z.T @ (weight * (y - p)) - ridge * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    w = w / scale
-    w[0] -= w[1:] @ mean[1:]
-    return w
+    return w / scale
 
 
 def _pieces(text: str) -> list[bytes]:
@@ -106,7 +109,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER
     Learns from at most ``max_rows`` rows of each class, taken by a hash of the id,
     never from held-out rows (see ``held_out``). Two thirds build the
     dictionaries, from at most TRAIN_PIECES pieces of a text; one third, measured whole in tasks, calibrates. So what reaches the driver is bounded. Null ids, labels and texts are not
-    learnt from; of repeated rows of an id each distinct text counts once, and ids with both labels count in both classes. Without both classes the score is the share of good rows, or one half without labels.
+    learnt from; of repeated rows of an id each distinct text counts once, and ids with both labels count in both classes. The share of good labels, over all of them, is where every
+    score starts from; evidence moves it. Without both classes the score is that share, or one half without labels.
     """
     usable = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", "quality").distinct()
     sample = sample_of_each(usable, "quality", "doc_id", max_rows).select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
@@ -121,9 +125,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER
     built = rows.where("u % 3 <> 0").select("u", "doc_id", "quality", "text").mapInArrow(pieces, "u long, doc_id long, quality int, parts array<binary>")
     found = sorted((r.u, r.doc_id, r.quality, tuple(map(bytes, r.parts))) for r in built.collect())
     parts = {q: [p for *_, quality, own in found if quality == q for p in own] for q in (0, 1)}
+    share = {q: usable.where(F.col("quality") == q).count() for q in (0, 1)}
+    prior = math.log((share[1] + 0.5) / (share[0] + 0.5))
     if not all(parts.values()):
-        good, n = rows.agg(F.coalesce(F.sum("quality"), F.lit(0)), F.count("*")).first()
-        return QualityModel(b" " * 64, b" " * 64, (math.log((good + 0.5) / (n - good + 0.5)), 0.0, 0.0))
+        return QualityModel(b" " * 64, b" " * 64, prior, (0.0, 0.0))
     good, bad = _dictionary(parts[1]), _dictionary(parts[0])
     shared = docs.sparkSession.sparkContext.broadcast((good, bad))
 
@@ -137,7 +142,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER
     held = rows if held.isEmpty() else held
     measured = held.select("quality", "text").mapInArrow(differences, "quality int, d double, n long").orderBy("d", "n", "quality").toArrow()
     x = np.column_stack([measured.column(c).to_numpy().astype(float) for c in ("d", "n")])
-    return QualityModel(good, bad, tuple(_logistic(_terms(x), measured.column("quality").to_numpy().astype(float)).tolist()))
+    y = measured.column("quality").to_numpy().astype(float)
+    # each class weighs as much as among all labels, though the sample takes as many rows of either
+    weight = np.where(y == 1, share[1] / max(1, y.sum()), share[0] / max(1, len(y) - y.sum()))
+    return QualityModel(good, bad, prior, tuple(_logistic(_terms(x), y, weight * len(y) / weight.sum(), prior).tolist()))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:

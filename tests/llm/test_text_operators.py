@@ -127,14 +127,25 @@ def test_scores_equal_the_sizes_by_definition(spark):
         for d in (model.good, model.bad):
             c = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False)
             sizes.append(sum(len(c.compress(raw[k : k + 512])) for k in range(0, len(raw), 512)))
-        w, evidence = model.weights, len(raw) / (len(raw) + 100)
-        z = w[0] + w[1] * evidence + w[2] * evidence * (sizes[1] - sizes[0]) / len(raw)
+        w, evidence = model.weights, len(raw) / (len(raw) + quality.HALF_BYTES)
+        z = model.prior + w[0] * evidence + w[1] * evidence * (sizes[1] - sizes[0]) / len(raw)
         assert abs(out[i].score - 1 / (1 + np.exp(-z))) < 0.02
-    assert abs(out[120].score - 1 / (1 + np.exp(-model.weights[0]))) < 1e-9
+    assert abs(out[120].score - 1 / (1 + np.exp(-model.prior))) < 1e-9  # no evidence: the share of good labels
+    learnt = [i < 60 for i in range(120) if zlib.crc32(str(i).encode()) % 5]
+    assert abs(out[120].score - (sum(learnt) + 0.5) / (len(learnt) + 1)) < 1e-9
     assert all(r.predicted == int(r.score >= 0.3) for r in out.values())
     assert sum(map(len, quality._pieces("y" * 10**6))) <= 8 * 4096 and b"".join(quality._pieces("ab" * 9000)) == b"ab" * 9000
 
 
+def test_the_base_rate_is_that_of_all_labels(spark):
+    docs = docs_of(spark, [*[words(60, i) for i in range(300)], *[words(60, i).upper() for i in range(30)], ""])
+    model = quality.fit_quality(docs, spark.createDataFrame([(i, int(i < 300)) for i in range(330)], "doc_id long, quality int"), max_rows=20)
+    learnt = [i < 300 for i in range(330) if zlib.crc32(str(i).encode()) % 5]
+    score = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
+    assert abs(score[330] - (sum(learnt) + 0.5) / (len(learnt) + 1)) < 1e-9
+    assert np.mean([score[i] for i in range(300)]) > score[330] > np.mean([score[i] for i in range(300, 330)])
+
+
 def test_quality_without_labels(spark):
     docs = docs_of(spark, ["a b", None])
     model = quality.fit_quality(docs, spark.createDataFrame([], "doc_id long, quality int"))
