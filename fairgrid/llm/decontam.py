@@ -31,37 +31,37 @@ def windows_of(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 class WindowIndex:
-    """The windows of benchmark items, by length and hash."""
+    """The distinct windows of benchmark items, by length and hash, each with the items that hold it."""
 
     def __init__(self, items: list[tuple], window: int):
-        hashes, made = WordHashes(), {}
-        self.items, self.words = [i for i, _ in items], [words_of(t) for _, t in items]
-        for k, words in enumerate(self.words):
-            if words:
-                n = min(window, len(words))
+        hashes, holders = WordHashes(), {}
+        for item, text in items:
+            words = words_of(text)
+            n = min(window, len(words))
+            if n:
                 own, first = np.unique(windows_of(hashes.of(words), n), return_index=True)
-                made.setdefault(n, []).append((own, np.full(len(own), k), first))
-        self.at = {}
-        for n, parts in made.items():
-            own, item, first = (np.concatenate(c) for c in zip(*parts, strict=True))
-            order = np.argsort(own, kind="stable")
-            self.at[n] = own[order], item[order], first[order]
+                for h, at in zip(own.tolist(), first.tolist(), strict=True):
+                    holders.setdefault((n, h), {}).setdefault(tuple(words[at : at + n]), set()).add(item)
+        lengths: dict[int, list] = {}
+        for n, h in sorted(holders):
+            lengths.setdefault(n, []).append(h)
+        self.holders = holders
+        self.at = {n: np.array(hs, np.uint64) for n, hs in lengths.items()}
 
     def scan(self, words: list[bytes], hashes: np.ndarray) -> tuple[np.ndarray, set]:
-        """(hit flag of each word, items that occur); equal hashes are confirmed on the words."""
-        hit, found = np.zeros(len(words), bool), set()
-        for n, (known, item, first) in self.at.items():
+        """(hit flag of each word, items that occur); equal hashes are confirmed on the words. A window's items are taken up once, however often it occurs."""
+        hit, met = np.zeros(len(words), bool), set()
+        for n, known in self.at.items():
             own = windows_of(hashes, n)
             if not len(own):
                 continue
             places = np.flatnonzero(known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own)
-            for i in places.tolist():
-                text = words[i : i + n]
-                for k in range(np.searchsorted(known, own[i]), np.searchsorted(known, own[i], "right")):
-                    if self.words[item[k]][first[k] : first[k] + n] == text:
-                        hit[i : i + n] = True
-                        found.add(self.items[item[k]])
-        return hit, found
+            for i, h in zip(places.tolist(), own[places].tolist(), strict=True):
+                text = tuple(words[i : i + n])
+                if text in self.holders[n, h]:
+                    hit[i : i + n] = True
+                    met.add((n, h, text))
+        return hit, set().union(*(self.holders[n, h][text] for n, h, text in met))
 
 
 def _small_index(benchmark: DataFrame, window: int, bound: int) -> WindowIndex | None:
@@ -125,36 +125,52 @@ def _candidates(docs: DataFrame, keys: dict[str, str], windows: DataFrame) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (known, lengths), hashes = shared.value, WordHashes()
         passes = lambda bit: known[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)
+        types = pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()
+
+        def made(batch: pa.RecordBatch, whose: list[int], out: list[tuple]) -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True))
+            return pa.RecordBatch.from_arrays([*batch.take(pa.array(whose, pa.int64())).columns[:k], *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names)
+
         for batch in batches:
+            whose, out = [], []
             for row in range(batch.num_rows):
                 words = words_of(batch.column(k)[row].as_py())
-                own = hashes.of(words)
-                out = [(None, None, None, None)]
+                own, before = hashes.of(words), len(out)
+                out.append((len(words), None, None, None, None))
                 for n in lengths:
                     h = windows_of(own, n)
                     one, two = _bits(h)
                     at = np.flatnonzero(passes(one) & passes(two))
-                    out += [(i, n, int(h[i].view(np.int64)), b" ".join(words[i : i + n])) for i in at.tolist()]
-                cols = list(zip(*out, strict=True))
-                whose = [pa.array([batch.column(c)[row].as_py()] * len(out), batch.column(c).type) for c in range(k)]
-                types = pa.int32(), pa.int32(), pa.int64(), pa.binary()
-                yield pa.RecordBatch.from_arrays([*whose, pa.array([len(words)] * len(out), pa.int64()), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names)
+                    out += [(len(words), i, n, int(h[i].view(np.int64)), b" ".join(words[i : i + n])) for i in at.tolist()]
+                whose += [row] * (len(out) - before)
+                if len(out) >= 4096:
+                    yield made(batch, whose, out)
+                    whose, out = [], []
+            if out:
+                yield made(batch, whose, out)
 
     return cut(docs.select(*keys, "text").mapInArrow(run, schema))
 
 
 def _met(candidates: DataFrame, windows: DataFrame) -> DataFrame:
-    """Candidates with the items whose windows they are: equal hashes, confirmed on the words."""
+    """Candidates that are windows: equal hashes, confirmed on the words. Windows meet them once each, however many items share one."""
+    texts = windows.select("h", "n", F.col("words").alias("their_words")).distinct()
+    return candidates.where("at is not null").join(texts, ["h", "n"]).where("words = their_words").drop("their_words")
+
+
+def _items_of(met: DataFrame, windows: DataFrame) -> DataFrame:
+    """(row, item_id), distinct: the items of each row's windows, a window taken once however often the row repeats it."""
+    once = met.select("row", "h", "n", "words").distinct()
     theirs = windows.select("h", "n", F.col("words").alias("their_words"), "item_id")
-    return candidates.where("at is not null").join(theirs, ["h", "n"]).where("words = their_words")
+    return once.join(theirs, ["h", "n"]).where("words = their_words").select("row", "item_id").distinct()
 
 
 def _hits_by_join(rows: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     windows = cut(benchmark_windows(benchmark, window))
     candidates = _candidates(rows, {"row": "long", "doc_id": "long"}, windows)
-    met = cut(_met(candidates, windows).select("row", "at", "n", "item_id"))
+    met = cut(_met(candidates, windows).select("row", "at", "n", "h", "words"))
     spans = met.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("n")).alias("end")))).alias("spans"))
-    items = met.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("ids"), F.max(F.col("item_id").isNull()).alias("nameless"))
+    items = _items_of(met, windows).groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("ids"), F.max(F.col("item_id").isNull()).alias("nameless"))
     every = candidates.where("at is null").select("row", "doc_id", "n_words").join(spans, "row", "left").join(items, "row", "left")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -331,6 +331,21 @@ def test_hits_equal_brute_force(spark, bound):
     assert decontam.benchmark_hits(docs.limit(0), bench, broadcast_chars=bound).count() == 0
 
 
+def test_a_window_that_many_items_share_is_met_once(spark):
+    shared = " ".join(f"t{i}" for i in range(10))
+    bench = spark.createDataFrame([(i, f"{shared} own{i} word{i}") for i in range(200)], "item_id long, text string")
+    docs = docs_of(spark, [f"start {shared} {shared} end {i}" for i in range(30)] + ["nothing here"])
+    rows = docs.select(F.col("doc_id").alias("row"), "text")
+    windows = decontam.benchmark_windows(bench, 10).cache()
+    candidates = decontam._candidates(rows, {"row": "long"}, windows)
+    met = decontam._met(candidates, windows)
+    assert met.count() == 60  # occurrences, not occurrences times items
+    assert decontam._items_of(met, windows).count() == 30 * 200
+    for bound in (10**6, 0):
+        out = {r.doc_id: r for r in decontam.benchmark_hits(docs, bench, broadcast_chars=bound).collect()}
+        assert all(len(out[i].item_ids) == 200 and [(s.first, s.end) for s in out[i].hit_spans] == [(1, 21)] for i in range(30)) and out[30].item_ids == []
+
+
 def test_drop_contaminated(spark):
     bench = spark.createDataFrame([(1, words(25, 5))], "item_id long, text string")
     docs = docs_of(spark, [words(50, 9), words(25, 5), None, "", words(25, 5) + " more"]).withColumn("h", F.lit("clash"))
