@@ -67,10 +67,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .warc import read_captures, write_archive
+    from .warc import Archive, read_captures, write_archive
 
     archive, keys = write_archive(table(spark, sf_dir, "pages"))
-    return read_captures(spark, archive, keys).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_captures(spark, Archive.open(archive.folder), keys).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ BLOCK_LINES, BLOCKS_KEPT = 512, 16
 FILE_BYTES = 1 << 30
 #: Digests of repeated payloads up to which they are broadcast, so that payloads stay where they are; beyond that rows meet them in a join.
 BROADCAST_DIGESTS = 200_000
+#: The file with the top level of an archive's index: its index files in key order, and the record files that count.
+MANIFEST = "archive.json"
 #: Record ids are UUIDs of this name space; a revisit can so name its response.
 NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:fairgrid:captures")
 #: Target of pages without URL; the page's own is then in X-Page-Url.
@@ -131,6 +133,23 @@ class Archive:
         fs, path = pafs.FileSystem.from_uri(self.folder)
         return fs, f"{path}/{name}"
 
+    def store(self, record_files: list[str]) -> None:
+        """Write the top level of the index, with the names of the record files that count, and remove what tasks that ran twice have left beside them."""
+        fs, target = self.file(MANIFEST)
+        with fs.open_output_stream(target, compression=None) as out:
+            out.write(json.dumps({"record_files": sorted(record_files), "index_files": self.index_files}).encode())
+        known = {*record_files, *(name for _, name in self.index_files), MANIFEST}
+        for found in fs.get_file_info(pafs.FileSelector(target.rsplit("/", 1)[0])):
+            if found.is_file and found.base_name not in known:
+                fs.delete_file(found.path)
+
+    @staticmethod
+    def open(folder: str) -> Archive:
+        """The archive in ``folder``, by what ``store`` wrote there."""
+        fs, target = Archive(folder, []).file(MANIFEST)
+        with fs.open_input_stream(target, compression=None) as stream:
+            return Archive(folder, [tuple(x) for x in json.loads(stream.read())["index_files"]])
+
 
 def resolve_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """(page_id, url, payload, payload_bytes, payload_digest, refers_to, refers_url): of equal payloads the largest page_id is the response.
@@ -160,7 +179,7 @@ def write_archive(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES,
     runs again leaves no half-written file in use: the captures (key, file, offset,
     length) of the tasks that ended are checkpointed, sorted by reversed-host key over range partitions
     and stored as index files: compressed blocks of lines, then a sparse directory of
-    the blocks' first keys. A key ends with the capture's number in the scan, so
+    the blocks' first keys. The list of index files with their first keys is stored beside them (``Archive.open``), and files of tasks that ran twice are removed. A key ends with the capture's number in the scan, so
     equal URLs, even a third of all rows, stay apart and in order.
 
     Responses hold an HTTP head and the payload, revisits the head alone and the response's id, URI and date. All records have one ``date`` (default: now),
@@ -230,7 +249,9 @@ def write_archive(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES,
             yield pa.RecordBatch.from_arrays([pa.array([directory[0][0]]), pa.array([name])], ["first_key", "name"])
 
     files = sorted(tuple(r) for r in cut(ordered.mapInArrow(index, "first_key string, name string")).collect())
-    return Archive(folder, files), captures.select("key")
+    archive = Archive(folder, files)
+    archive.store([r.file for r in captures.select("file").distinct().toLocalIterator()])
+    return archive, captures.select("key")
 
 
 class IndexReader:

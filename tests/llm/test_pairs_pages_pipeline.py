@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import math
 import random
 import re
@@ -286,7 +287,14 @@ def test_warc_round_trip(spark, monkeypatch, bound):
     rows = [(1, "http://www.a.example/x?q=1", same), (2, "http://a.example/x?q=1", same), (9, "https://b.a.example:8080/", same), (3, None, None), (4, "", ""), (5, "http://[bad", "tiny"), (6, "http://c/", "tiny"), (7, "line\nfeed: x", other), (7, "line\nfeed: x", other), (None, "http://n/", same), (8, "http://long/ü", "long\r\n\r\n" * 50_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("key", F.lit(1)).withColumn("payload", F.lit("clash"))
     archive, keys = warc.write_archive(pages, file_bytes=600)
-    out = warc.read_captures(spark, archive, keys).collect()
+    folder = Path(archive.folder.removeprefix("file://"))
+    manifest = json.loads((folder / "archive.json").read_text())
+    assert set(manifest["record_files"]) == {f.name for f in folder.glob("*.warc.gz")} and [tuple(x) for x in manifest["index_files"]] == archive.index_files
+    (folder / "part-of-a-lost-task.warc.gz").write_bytes(b"half")
+    archive.store(manifest["record_files"])
+    assert not (folder / "part-of-a-lost-task.warc.gz").exists()
+    assert warc.Archive.open(archive.folder) == archive  # as another session would find it
+    out = warc.read_captures(spark, warc.Archive.open(archive.folder), keys).collect()
     assert len(out) == len(rows)
     for r in out:
         html = next(h for p, u, h in rows if p == r.page_id and u == r.url) or ""
