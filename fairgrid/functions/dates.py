@@ -55,6 +55,11 @@ def calendar_spine(spark: SparkSession, first: str, last: str, step: str = "1 da
     return spark.range(1).select(F.explode(F.expr(f"sequence(date'{first}', date'{last}', interval {step})")).alias(name))
 
 
+def spine_of(df: DataFrame, date: str) -> DataFrame:
+    """DT-04: every date from the first to the last of ``df``."""
+    return df.agg(F.min(date).alias("__a"), F.max(date).alias("__b")).where("__a is not null").select(F.explode(F.sequence("__a", "__b")).alias(date))
+
+
 def calendar_features(df: DataFrame, date: str = "date", keys: tuple[str, ...] = ()) -> DataFrame:
     """DT-05: trend in years by row, weekday 1 to 6 and month 2 to 12 dummies (the first of each is the base)."""
     w = Window.partitionBy(*keys).orderBy(date)

@@ -127,5 +127,12 @@ def hash_sample(df: DataFrame, keys: list[str], per_mille: int, salt: int = 0) -
 
 
 def fixed_sample(df: DataFrame, keys: list[str], n: int, salt: int = 0) -> DataFrame:
-    """FLT-09: ``n`` rows by key hash, in key order; a bounded top-n, not a full sort."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(salt)), *keys).limit(n).orderBy(*keys)
+    """FLT-09: ``n`` rows by key hash (more only where the last hash has several rows), in key order.
+
+    The n-th hash is found from counts over range partitions and the rest is a filter and a sort, so a sample of any size is spread over tasks.
+    """
+    from fairgrid.operators.aggregates import values_at_ranks
+
+    hashed = df.withColumn("__h", F.xxhash64(*keys, F.lit(salt)))
+    last = values_at_ranks(hashed.select("__h"), [], "__h", {"__last": lambda total: F.least(F.lit(n), total) - 1}).select("__last")
+    return hashed.crossJoin(F.broadcast(last)).where("__h <= __last").drop("__h", "__last").orderBy(*keys)
\ No newline at end of file

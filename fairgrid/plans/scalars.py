@@ -37,10 +37,10 @@ def dt_03_saturday_weeks(spark, sf):
     return d.groupBy(dates.saturday_week(F.col("d")).alias("week_end")).agg(F.count("*").alias("days"), F.min("d").alias("first_day"), F.max("d").alias("last_day"))
 
 
-@query(f"""with {DOM_SQL}, s as (select cast(unnest(generate_series(timestamp '1995-01-01', timestamp '2001-08-01', interval 1 day)) as date) d)
+@query(f"""with {DOM_SQL}, s as (select cast(unnest(generate_series(cast(min(d) as timestamp), cast(max(d) as timestamp), interval 1 day)) as date) d from dom)
 select s.d, round(x, 3) x from s left join dom using (d)""")
 def dt_04_calendar_spine(spark, sf):
-    return dates.calendar_spine(spark, "1995-01-01", "2001-08-01", name="d").join(domestic(spark, sf), "d", "left").select("d", half_up("x", 3).alias("x"))
+    return dates.spine_of(domestic(spark, sf), "d").join(domestic(spark, sf), "d", "left").select("d", half_up("x", 3).alias("x"))
 
 
 @query(f"""with {DOM_SQL} select d, round((row_number() over (order by d) - 1) / 365.25, 6) trend, cast(isodow(d) = 2 as double) weekday_1, cast(isodow(d) = 7 as double) weekday_6,

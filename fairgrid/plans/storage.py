@@ -24,22 +24,17 @@ def src_01_csv_with_header_map(spark, sf):
     return rounded(readers.read_dataset(spark, out, "crude"), 2)
 
 
-#: Station columns of one matrix, and stations of one nested document.
-_COLUMNS, _STATIONS = 200, 500
+#: Stations of one nested document.
+_STATIONS = 500
 
 
 @query(f"with {OBS_SQL} select d as date, 'A' || station_id station_id, round(max(price), 3) price, 'diesel' fuel from obs where fuel = 'diesel' group by all")
 def src_05_wide_station_matrix(spark, sf):
-    """SRC-05, RSH-02: matrices with a column for each station, so many to a file, written and melted again."""
-    o = observations(spark, sf).where("fuel = 'diesel'").withColumn("id", F.concat(F.lit("A"), F.col("station_id").cast("string")))
-    names = sorted(r.id for r in o.select("id").distinct().collect())  # the header row itself
-    parts = []
-    for at in range(0, len(names), _COLUMNS):
-        own, out = names[at : at + _COLUMNS], sinks.work_folder(spark, "matrix")
-        wide = o.where(F.col("id").isin(own)).groupBy(F.date_format("d", "yyyyMMdd").alias("date")).pivot("id", own).agg(half_up(F.max("price"), 3))
-        wide.write.option("header", True).csv(out)
-        parts.append(readers.read_wide_prices(spark, [out], own, "diesel"))
-    return frames.reduce(lambda a, b: a.unionByName(b), parts).select("date", "station_id", "price", "fuel")
+    """SRC-05, RSH-02: matrices with a column for each station, so many to a file, written in one job and melted again in one."""
+    o = observations(spark, sf).where("fuel = 'diesel'")
+    out = sinks.work_folder(spark, "matrix")
+    readers.write_price_matrix(o.select(F.col("d").alias("date"), F.concat(F.lit("A"), F.col("station_id").cast("string")).alias("station_id"), half_up("price", 3).alias("price")), out)
+    return readers.read_price_matrix(spark, out, "diesel").select("date", "station_id", "price", "fuel")
 
 
 @query("select 'A' || user_id station_id, cast(ts as date) effective_date, cast(event_id as varchar) brand from events")

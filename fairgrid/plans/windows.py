@@ -15,7 +15,7 @@ from fairgrid.functions.numbers import half_up
 from .registry import ORACLE_SQL, query
 from .tables import DOM_SQL, GRID_SQL, INTL_SQL, OBS_SQL, POLICY_SQL, domestic, grid_day, international, observations, policies, read
 
-_SPINE = "s as (select cast(unnest(generate_series(timestamp '1995-01-01', timestamp '2001-08-01', interval 1 day)) as date) d)"
+_SPINE = "s as (select cast(unnest(generate_series(cast(min(d) as timestamp), cast(max(d) as timestamp), interval 1 day)) as date) d from dom)"
 _STATION_DAY = f"{OBS_SQL}, sd as (select station_id, d, avg(price) x, max(cast(d between date '1996-03-10' and date '1996-12-31' as int)) = 1 policy from obs group by all)"
 
 
@@ -26,7 +26,7 @@ def _station_day(spark, sf):
 
 @query(f"with {DOM_SQL}, {_SPINE}, t as (select s.d, case when isodow(s.d) < 6 then x end x from s left join dom using (d)) select d, round(last_value(x ignore nulls) over (order by d rows unbounded preceding), 3) x from t")
 def win_01_forward_fill(spark, sf):
-    t = dates.calendar_spine(spark, "1995-01-01", "2001-08-01", name="d").join(domestic(spark, sf), "d", "left").withColumn("x", F.when(F.weekday("d") < 5, F.col("x")))
+    t = dates.spine_of(domestic(spark, sf), "d").join(domestic(spark, sf), "d", "left").withColumn("x", F.when(F.weekday("d") < 5, F.col("x")))
     return frames.rounded(frames.forward_fill(t.select("d", "x"), ["x"], "d"))
 
 
@@ -114,7 +114,7 @@ def win_10_weekly_volatility(spark, sf):
 @query(f"""with {DOM_SQL}, {_SPINE}, t as (select s.d, last_value(x ignore nulls) over (order by s.d rows unbounded preceding) x from s left join dom using (d)), e as (select d, case when d between date '1996-03-10' and date '1996-12-31' then null else x end x from t)
 select d, round(100 * (ln(x) - ln(lag(x) over (order by d))), 4) change from e""")
 def win_11_log_change(spark, sf):
-    t = dates.calendar_spine(spark, "1995-01-01", "2001-08-01", name="d").join(domestic(spark, sf).select("d", "x"), "d", "left").withColumn("series", F.lit("national"))
+    t = dates.spine_of(domestic(spark, sf), "d").join(domestic(spark, sf).select("d", "x"), "d", "left").withColumn("series", F.lit("national"))
     t = frames.forward_fill(t, ["x"], "d", ("series",))
     out = windows.percent_change(t, "x", ["series"], "d", F.col("d").between(F.lit("1996-03-10").cast("date"), F.lit("1996-12-31").cast("date")))
     return out.select("d", half_up("change", 4).alias("change"))

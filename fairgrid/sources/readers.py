@@ -164,6 +164,27 @@ def read_wide_prices(spark: SparkSession, paths: list[str], stations: list[str],
     return prices.unpivot("date", wanted, "station_id", "price").where("price > 0 and date is not null").withColumn("fuel", F.lit(fuel))
 
 
+def write_price_matrix(df: DataFrame, path: str, columns: int = 200) -> None:
+    """SRC-05: the opposite of ``read_price_matrix``, in one job: ``df`` (date, station_id, price) as matrices with a row for each date and some ``columns`` stations each, a
+    folder for each block of stations. Stations are dealt to blocks by hash; a block's file is a header and a line a day."""
+    n_blocks = -(-(df.agg(F.count_distinct("station_id")).first()[0] or 1) // columns)
+    cells = df.withColumn("block", F.pmod(F.xxhash64("station_id"), F.lit(n_blocks))).groupBy("block", "date", "station_id").agg(F.max("price").alias("price"))
+    ids = cells.groupBy("block").agg(F.sort_array(F.collect_set("station_id")).alias("ids"))
+    days = cells.groupBy("block", "date").agg(F.map_from_entries(F.collect_list(F.struct("station_id", F.col("price").cast("decimal(18,3)").cast("string")))).alias("p")).join(ids, "block")
+    line = F.concat_ws(",", F.date_format("date", "yyyyMMdd"), F.transform("ids", lambda i: F.coalesce(F.try_element_at("p", i), F.lit(""))))
+    lines = days.select("block", F.date_format("date", "yyyyMMdd").alias("__at"), line.alias("value")).union(ids.select("block", F.lit(""), F.concat_ws(",", F.lit("date"), "ids")))
+    lines.repartition("block").sortWithinPartitions("block", "__at").drop("__at").write.mode("overwrite").partitionBy("block").text(path)
+
+
+def read_price_matrix(spark: SparkSession, path: str, fuel: str) -> DataFrame:
+    """SRC-05: (date, station_id, price, fuel) of all blocks of a station matrix, each with a header of its own, in one job."""
+    lines = spark.read.text(path).select("block", F.split("value", ",").alias("c"))
+    heads = lines.where(F.col("c")[0] == "date").select("block", F.col("c").alias("ids"))
+    cells = lines.where(F.col("c")[0] != "date").join(heads, "block").select(dates.parse_date(F.col("c")[0]).alias("date"), F.explode(F.arrays_zip(F.slice("ids", F.lit(2), F.size("ids") - 1).alias("id"), F.slice("c", F.lit(2), F.size("c") - 1).alias("v"))).alias("x"))
+    out = cells.select("date", F.col("x.id").alias("station_id"), numbers.parse_number(F.col("x.v")).alias("price"))
+    return out.where("price > 0 and date is not null").withColumn("fuel", F.lit(fuel))
+
+
 _HISTORY = T.ArrayType(T.ArrayType(T.StringType()))
 STATION_META = T.MapType(T.StringType(), T.StructType([*(T.StructField(n, T.StringType()) for n in ("region", "station_name", "address")), *(T.StructField(n, _HISTORY) for n in ("location", "brand", "is_self"))]))
 
