@@ -61,13 +61,19 @@ def distance_pairs(points: DataFrame, others: DataFrame, cutoff: float, keys: li
 
 
 def decay_sum(points: DataFrame, sources: DataFrame, cutoff: float, band: float, weight: Column, keys: list[str] | None = None, exclude_self: bool = True) -> DataFrame:
-    """JOIN-11, JOIN-12: Σ weight · exp(−d / band) over sources within the cut-off; points without any get 0."""
-    pairs = distance_pairs(points, sources, cutoff, keys)
+    """JOIN-11, JOIN-12: Σ weight · exp(−d / band) over sources within the cut-off; points without any get 0.
+
+    Places are paired once, whatever the number of keys (days) at which they occur; sources then meet the pairs of their place.
+    """
+    keys = keys or []
+    near = distance_pairs(points.select("id", "x", "y").distinct(), sources.select("id2", "x2", "y2").distinct(), cutoff)
     if exclude_self:
-        pairs = pairs.where("id <> id2")
-    group = [*(keys or []), "id"]
-    total = pairs.groupBy(*group).agg(F.sum(weight * F.exp(-F.col("distance") / band)).alias("influence"))
-    return points.select(*group).distinct().join(total, group, "left").withColumn("influence", F.coalesce("influence", F.lit(0.0)))
+        near = near.where("id <> id2")
+    place = ["id", "x", "y"]
+    pairs = sources.join(near.select(*place, "id2", "x2", "y2", "distance"), ["id2", "x2", "y2"])
+    total = pairs.groupBy(*keys, *place).agg(F.sum(weight * F.exp(-F.col("distance") / band)).alias("influence"))
+    met = points.select(*keys, *place).distinct().join(total, [*keys, *place], "left")
+    return met.select(*keys, "id", F.coalesce("influence", F.lit(0.0)).alias("influence"))
 
 
 def polygon_edges(polygons: DataFrame) -> DataFrame:

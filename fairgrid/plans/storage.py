@@ -159,19 +159,28 @@ def src_04_html_tax_table(spark, sf):
     return readers.read_tax(spark, out)
 
 
-@query(f"with {STATION_SQL} select district as name, count(*) polygons, 4 * count(*) corners from station group by 1")
+@query(f"""with {STATION_SQL}, k as (select district as name, s.station_id % 3 kind, s.* from station s)
+select name, cast(sum(case when kind = 2 then 2 else 1 end) as bigint) polygons, cast(sum(case kind when 0 then 4 when 1 then 8 else 8 end) as bigint) corners, count(*) filter (where kind = 1) holes,
+ round(sum(case kind when 0 then 250000.0 when 1 then 240000.0 else 500000.0 end), 1) area from k group by name""")
 def src_07_polygons(spark, sf):
-    """SRC-07: a square for each station as GeoJSON, so many stations to a document, read into rings."""
+    """SRC-07: for each station a square, a square with a hole or two squares as one MultiPolygon, so many stations to a document, read into rings."""
     out = sinks.work_folder(spark, "geo")
     x, y = F.col("cell_x").cast("double"), F.col("cell_y").cast("double")
-    ring = F.array(F.array(x, y), F.array(x + 500, y), F.array(x + 500, y + 500), F.array(x, y + 500))
-    feature = F.struct(F.struct(F.col("district").alias("name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    square = lambda x, y, side: F.array(F.array(x, y), F.array(x + side, y), F.array(x + side, y + side), F.array(x, y + side))
+    plain, holed = F.array(square(x, y, 500)), F.array(square(x, y, 500), square(x + 100, y + 100, 100))
+    many = F.array(plain, F.array(square(x + 1000, y, 500)))
+    kind = F.col("station_id") % 3
+    shape = F.when(kind == 2, F.to_json(many)).when(kind == 1, F.to_json(holed)).otherwise(F.to_json(plain))
+    line = F.concat(F.lit('{"properties":'), F.to_json(F.struct(F.col("district").alias("name"))), F.lit(',"geometry":{"type":"'), F.when(kind == 2, "MultiPolygon").otherwise("Polygon"), F.lit('","coordinates":'), shape, F.lit("}}"))
     t = stations(spark, sf)
     n_docs = max(1, -(-t.count() // _STATIONS))
-    pages = t.groupBy(F.pmod(F.xxhash64("station_id"), F.lit(n_docs)).alias("part")).agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))).alias("value"))
+    pages = t.groupBy(F.pmod(F.xxhash64("station_id"), F.lit(n_docs)).alias("part")).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(line)), F.lit("]}")).alias("value"))
     pages.repartition("part").write.partitionBy("part").text(out)
     p = readers.read_polygons(spark, out)
-    return p.groupBy("name").agg(F.count("*").alias("polygons"), F.sum(F.size(F.col("rings")[0])).alias("corners"))
+    size = lambda r: F.abs(F.aggregate(F.transform(r, lambda v, i: v[0] * F.get(r, (i + 1) % F.size(r))[1] - F.get(r, (i + 1) % F.size(r))[0] * v[1]), F.lit(0.0), lambda a, b: a + b)) / 2
+    area = 2 * size(F.col("rings")[0]) - F.aggregate(F.transform("rings", size), F.lit(0.0), lambda a, b: a + b)  # the outer ring less its holes
+    corners = F.aggregate(F.transform("rings", lambda r: F.size(r)), F.lit(0), lambda a, b: a + b)
+    return p.groupBy("name").agg(F.count("*").alias("polygons"), F.sum(corners).alias("corners"), F.sum(F.size("rings") - 1).alias("holes"), half_up(F.sum(area), 1).alias("area"))
 
 
 @query("select l_suppkey, count(*) n, round(sum(l_quantity), 3) q from (select l_suppkey, l_quantity from lineitem) group by 1")
