@@ -115,6 +115,17 @@ def _fit(con, fuel, p, q):
     return z, t, beta, e, inverse @ middle @ inverse, z.shape[1] - q, level[at], level[at + 1]
 
 
+def _dynamic(rows, con):
+    right = len(rows) == 46
+    for fuel in ("diesel", "gasoline"):
+        z, t, beta, e, *_ = _fit(con, fuel, 2, 3)
+        own = {r.term: r for r in rows if r.fuel == fuel}
+        names = ["const", *(f"wd{k}" for k in range(1, 7)), *(f"mo{k}" for k in range(2, 13)), "y1", "y2", "x1", "x2", "x3"]
+        right &= list(own) == names and all(r.n == len(t) for r in own.values()) and all(_near(own[n].beta, b, 6) for n, b in zip(names, beta, strict=True))
+        right &= _near(own["const"].r2, 1 - e @ e / ((t - t.mean()) @ (t - t.mean())), 6)
+    return bool(right)
+
+
 def _near(a, b, digits):
     return abs(a - b) <= 1.5 * 10**-digits + 1e-6 * abs(b)
 
@@ -151,7 +162,7 @@ def _block(rows, con):
 def _box(rows, con):
     right = len(rows) == 2
     for r in rows:
-        q = next(x.q for x in _CHOSEN if x.fuel == r.fuel)
+        q = r.foreign
         e = _fit(con, r.fuel, r.p, q)[3]
         n, lag = len(e), min(max(14, r.p + 5), max(5, len(e) // 5))
         stat = n * (n + 2) * sum((e[k:] @ e[:-k] / (e @ e)) ** 2 / (n - k) for k in range(1, lag + 1))
@@ -159,9 +170,6 @@ def _box(rows, con):
     return bool(right)
 
 
-_CHOSEN: list = []
-
-
 def _unit_roots(rows, con):
     right = len(rows) == 2
     for r in rows:
@@ -218,6 +226,7 @@ def _frame(rows, con):
 CHECKS = {
     "flt_08_hash_sample": _hash_sample,
     "flt_09_fixed_sample": _fixed_sample,
+    "ml_01_dynamic_regression": _dynamic,
     "ml_02_order_search": _finalists,
     "ml_02_screening_orders": lambda rows, con: all(r.tried == 108 and r.p <= 8 and 1 <= r.q <= 12 for r in rows) and sorted(r.rank for r in rows if r.fuel == "diesel")[:2] == [1, 2],
     "ml_03_block_test": _block,
@@ -245,7 +254,6 @@ def more(spark):
     c = duckdb.connect()
     for t in TABLES:
         c.execute(f"create view {t} as select * from '{SF_MORE}/{t}.parquet'")
-    _CHOSEN[:] = registry.QUERIES["ml_03_block_test"](spark, SF_MORE).collect()
     return c
 
 
