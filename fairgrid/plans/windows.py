@@ -13,7 +13,7 @@ from fairgrid.operators.stored import cut
 from fairgrid.functions.numbers import half_up
 
 from .registry import ORACLE_SQL, query
-from .tables import DOM_SQL, GRID_SQL, INTL_SQL, OBS_SQL, POLICY_SQL, domestic, grid_day, international, observations, policies, read
+from .tables import DOM_SQL, GRID_SQL, INTL_SQL, OBS_SQL, domestic, grid_day, international, observations, read
 
 _SPINE = "s as (select cast(unnest(generate_series(cast(min(d) as timestamp), cast(max(d) as timestamp), interval 1 day)) as date) d from dom)"
 _STATION_DAY = f"{OBS_SQL}, sd as (select station_id, d, avg(price) x, max(cast(d between date '1996-03-10' and date '1996-12-31' as int)) = 1 policy from obs group by all)"
