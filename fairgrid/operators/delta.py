@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fairgrid.operators import aggregates as agg
@@ -11,6 +13,80 @@ from fairgrid.operators import aggregates as agg
 TREES, DEPTH, STEP = 12, 4, 0.2
 
 
+#: Rows before a row that it looks at, and rows of a series in one stored piece.
+STEPS, PIECE = 28, 256
+
+
+def series_pieces(df: DataFrame, keys: list[str], order: str, values: list[str], static: list) -> DataFrame:
+    """(keys, static, days, months): each key's series in pieces of ``PIECE`` rows, each piece with the ``STEPS`` rows before it.
+
+    ``days`` has (order, values) in order, ``months`` the months of the piece's rows that have so many before them. A row is stored about
+    once, not once for each row that looks at it; ``sequence_rows`` makes the rows to learn from out of it.
+    """
+    w = Window.partitionBy(*keys).orderBy(order)
+    placed = df.withColumns({"__at": F.row_number().over(w) - 1, "__more": F.lead(order).over(w).isNotNull()})
+    piece = F.floor(F.col("__at") / PIECE)
+    ahead = (F.col("__at") % PIECE >= PIECE - STEPS) & F.col("__more")  # also stands before the next piece
+    told = placed.withColumn("__piece", F.explode(F.when(ahead, F.array(piece, piece + 1)).otherwise(F.array(piece))))
+    days = F.sort_array(F.collect_list(F.struct(order, *values)))
+    out = told.groupBy(*keys, "__piece").agg(days.alias("days"), *[F.first(c).alias(c) for c in static]).where(F.size("days") > STEPS).drop("__piece")
+    months = F.array_distinct(F.transform(F.slice("days", STEPS + 1, F.size("days")), lambda x: F.date_format(x[order], "yyyy-MM")))
+    return out.withColumn("months", months)
+
+
+def sequence_rows(pieces: DataFrame, keys: list[str], months: list[str] | None = None) -> DataFrame:
+    """(keys, d, month, y, y_lag1, weight, delta, raw) of each row with ``STEPS`` rows before it, or of those of some months.
+
+    ``pieces``: the keys, ``static`` (array), ``days`` (d, y, national, weight). ``raw``: the rows before in three channels (own and national
+    level from yesterday's own, weight), distance from the national level, weight and the mean of the rows before, days since, and ``static``.
+    """
+    from pyspark.ml.functions import array_to_vector
+
+    wanted = None if months is None else list(months)
+    schema = ", ".join(f"{k} {pieces.schema[k].dataType.simpleString()}" for k in keys) + ", d date, month string, y double, y_lag1 double, weight double, delta double, raw array<double>"
+
+    def expand(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            lists, static = batch.column("days"), batch.column("static")
+            flat, size = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False)
+            if not len(flat):
+                continue
+            d = flat.field("d").cast(pa.int32()).to_numpy(zero_copy_only=False)
+            y, national, weight = (flat.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("y", "national", "weight"))
+            fixed = static.flatten().to_numpy(zero_copy_only=False).reshape(len(static), -1)
+            row = np.repeat(np.arange(len(size)), size)
+            at = np.flatnonzero(np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) >= STEPS)
+            when = d.astype("datetime64[D]").astype("datetime64[M]")
+            if wanted is not None:
+                at = at[np.isin(when[at], np.array(wanted, "datetime64[M]"))]
+            for k in range(0, len(at), 2048):
+                i = at[k : k + 2048]
+                before = i[:, None] + np.arange(-STEPS, 0)
+                own, other, much, last = y[before], national[before], weight[before], y[i - 1]
+                mean = np.zeros(len(i))
+                for j in range(STEPS):
+                    mean += own[:, j]
+                steps = np.stack([own - last[:, None], other - last[:, None], much], 2).reshape(len(i), -1)
+                latest = np.column_stack([last - other[:, -1], much[:, -1], d[i] - d[i - 1], mean / STEPS - last])
+                raw = np.concatenate([steps, latest, fixed[row[i]]], 1)
+                names, code = np.unique(when[i], return_inverse=True)
+                told = pa.DictionaryArray.from_arrays(pa.array(code.astype("int32")), pa.array(names.astype(str))).cast(pa.string())
+                offsets = pa.array(np.arange(len(i) + 1, dtype="int32") * raw.shape[1])
+                out = [*(batch.column(c).take(pa.array(row[i])) for c in keys), pa.array(d[i]).cast(pa.date32()), told, *map(pa.array, (y[i], last, weight[i], y[i] - last)), pa.ListArray.from_arrays(offsets, pa.array(raw.ravel()))]
+                yield pa.RecordBatch.from_arrays(out, [*keys, "d", "month", "y", "y_lag1", "weight", "delta", "raw"])
+
+    return pieces.select(*keys, "static", "days").mapInArrow(expand, schema).withColumn("raw", array_to_vector("raw"))
+
+
+def spread(pieces: DataFrame, rows_each: int = 50_000) -> DataFrame:
+    """``pieces`` dealt to tasks of so many rows each, since they are small until they are expanded."""
+    rows = pieces.agg(F.sum(F.size("days"))).first()[0] or 0
+    return pieces.repartition(max(1, -(-rows // rows_each)))
+
+
 def fit_delta_models(rows: DataFrame, path: str) -> list[tuple]:
     """ML-11: a robust linear and a boosted-tree model of ``delta``; that with the smaller weighted error on the holdout is stored at ``path``.
 
@@ -24,11 +100,8 @@ def fit_delta_models(rows: DataFrame, path: str) -> list[tuple]:
 
     linear = [StandardScaler(inputCol="raw", outputCol="features", withMean=True), LinearRegression(loss="huber", labelCol="delta", weightCol="weight", maxIter=30, regParam=1e-4)]
     trees = [GBTRegressor(featuresCol="raw", labelCol="delta", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=1, validationIndicatorCol="stop", validationTol=0.0)]
-    learn = rows.withColumn("stop", F.col("part") == "stop").where("part <> 'holdout'").persist()
-    try:
-        fitted = {"robust linear": Pipeline(stages=linear).fit(learn.where("not stop")), "boosted trees": Pipeline(stages=trees).fit(learn)}
-    finally:
-        learn.unpersist()
+    learn = rows.withColumn("stop", F.col("part") == "stop").where("part <> 'holdout'")  # not kept: each learner keeps its own form of it
+    fitted = {"robust linear": Pipeline(stages=linear).fit(learn.where("not stop")), "boosted trees": Pipeline(stages=trees).fit(learn)}
     told = []
     for name, model in fitted.items():
         out = model.transform(rows.where("part = 'holdout'")).withColumn("level", F.col("y_lag1") + F.col("prediction"))
@@ -48,19 +121,22 @@ def folders(spark: SparkSession, path: str, name: str) -> set[str]:
     return {n[len(name) + 1 :] for f in fs.listStatus(folder) if f.isDirectory() and (n := f.getPath().getName()).startswith(f"{name}=")}
 
 
-def score_months(frame: DataFrame, model_path: str, out: str, keep: list[str], again: tuple[str, ...] = (), at_once: int = 12) -> list[str]:
+def score_months(frame: DataFrame, model_path: str, out: str, keep: list[str], again: tuple[str, ...] = (), at_once: int = 12, rows_of: Callable | None = None) -> list[str]:
     """ML-12: predictions of every row of ``frame`` (month as yyyy-MM, y_lag1, raw and the columns ``keep``) by a stored model, a folder for each month of ``out``.
 
     Months that have a folder are left alone, unless named in ``again``, so a run that was stopped goes on where it was; ``at_once`` months are one
-    job, whose folders appear when it ends and replace what was there. Returns the months that were scored. ``frame`` is best stored by month.
+    job, whose folders appear when it ends and replace what was there. Returns the months that were scored. ``frame`` is best stored by month,
+    or in pieces with an array ``months``, of which ``rows_of(pieces, months)`` makes the rows of some months.
     """
     from pyspark.ml import PipelineModel
 
     spark, model = frame.sparkSession, PipelineModel.load(model_path)
     there = folders(spark, out, "month") - set(again)
-    months = sorted({r.month for r in frame.select("month").distinct().collect()} - there)  # a row a month
+    known = frame.select("month") if rows_of is None else frame.select(F.explode("months").alias("month"))
+    months = sorted({r.month for r in known.distinct().collect()} - there)  # a row a month
     for i in range(0, len(months), at_once):
-        some = frame.where(F.col("month").isin(months[i : i + at_once]))
+        part = months[i : i + at_once]
+        some = frame.where(F.col("month").isin(part)) if rows_of is None else rows_of(frame.where(F.arrays_overlap("months", F.array(*map(F.lit, part)))), part)
         told = model.transform(some).select(*keep, (F.col("y_lag1") + F.col("prediction")).alias("prediction"), "month")
         told.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("month").parquet(out)
     return months

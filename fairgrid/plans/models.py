@@ -175,44 +175,46 @@ def _model_frame(spark, sf):
     return t.withColumn("validation", F.col("d") >= F.lit("2000-01-01").cast("date"))
 
 
-def _sequence_frame(spark, sf):
-    """Next-day change of a cell's mean price of a fuel with 28 days before it in three channels (own price, national price, weight), four latest
-    features (distance from the national price, weight, days since, the month's mean) and four static ones (place, stations, their mean balance).
-    Levels count from yesterday's price. Rows from 2000 on stop the fit, those from July 2000 on are held out."""
-    from pyspark.ml.functions import array_to_vector
-
+def _sequence_pieces(spark, sf):
+    """Each fuel's and cell's series of price, national price and weight, in pieces; static features: place, stations, their mean balance."""
     t = grid_day(spark, sf).select("fuel", "grid_id", "cell_x", "cell_y", "d", F.col("price").alias("y"), F.col("w").alias("weight"))
     t = t.join(t.groupBy("fuel", "d").agg(agg.anchor("y", "weight").alias("national")), ["fuel", "d"])
-    key = ["fuel", "grid_id"]
-    t = t.withColumn("since", F.datediff("d", F.lag("d").over(Window.partitionBy(*key).orderBy("d"))).cast("double"))
-    t = windows.lag_sequence(t, ["y", "national", "weight"], 28, key, "d").where("sequence is not null").withColumn("y_lag1", F.col("sequence")[27][0])
-    steps = F.flatten(F.transform("sequence", lambda s: F.array(s[0] - F.col("y_lag1"), s[1] - F.col("y_lag1"), s[2])))
-    month = F.aggregate("sequence", F.lit(0.0), lambda a, s: a + s[0]) / 28 - F.col("y_lag1")
-    latest = F.array(F.col("y_lag1") - F.col("sequence")[27][1], F.col("sequence")[27][2], F.col("since"), month)
+    p = delta.series_pieces(t, ["fuel", "grid_id"], "d", ["y", "national", "weight"], ["cell_x", "cell_y"])
     sites = stations(spark, sf).groupBy("cell_x", "cell_y").agg(F.count("*").cast("double").alias("sites"), F.avg("s_acctbal").alias("balance"))
-    t = t.join(F.broadcast(sites), ["cell_x", "cell_y"], "left").fillna(0.0, ["sites", "balance"])  # a row a cell
+    p = p.join(sites, ["cell_x", "cell_y"], "left").fillna(0.0, ["sites", "balance"])
     static = F.array(F.col("cell_x") / 1000, F.col("cell_y") / 1000, F.col("sites"), F.col("balance") / 1000)
+    return p.select("fuel", "grid_id", static.alias("static"), "days", "months")
+
+
+_SEQUENCE_KEYS = ["fuel", "grid_id"]
+
+
+def _sequence_rows(pieces, months=None):
+    """Next-day change of a cell's mean price of a fuel with 28 days before it in three channels (own price, national price, weight), four latest
+    features (distance from the national price, weight, days since, the month's mean) and four static ones.
+    Levels count from yesterday's price. Rows from 2000 on stop the fit, those from July 2000 on are held out."""
     part = F.when(F.col("d") < F.lit("2000-01-01").cast("date"), "train").when(F.col("d") < F.lit("2000-07-01").cast("date"), "stop").otherwise("holdout")
-    return t.select(
-        "fuel", "grid_id", "d", F.date_format("d", "yyyy-MM").alias("month"), "y", "y_lag1", "weight", (F.col("y") - F.col("y_lag1")).alias("delta"),
-        array_to_vector(F.concat(steps, latest, static)).alias("raw"), part.alias("part"),
-    )
+    return delta.sequence_rows(pieces, _SEQUENCE_KEYS, months).withColumn("part", part)
 
 
 def _delta_models(spark, sf):
-    """(fuel, model, rows, mae, rmse, weighted_mae, chosen, path, frame): the stored models of each fuel and the stored frame, kept while the tables stay the same."""
+    """(fuel, model, rows, mae, rmse, weighted_mae, chosen, path, frame): the stored models of each fuel and the stored series, kept while the tables stay the same."""
 
     def build():
-        frame = sinks.work_folder(spark, "delta-frame")
-        _sequence_frame(spark, sf).repartition("month").write.partitionBy("month").parquet(frame)
+        frame = sinks.work_folder(spark, "delta-series")
+        _sequence_pieces(spark, sf).write.option("compression", "zstd").partitionBy("fuel").parquet(frame)
         t, rows = spark.read.parquet(frame), []
         for fuel in BASE_TAX:
             path = sinks.work_folder(spark, f"delta-model-{fuel}")
-            rows += [(fuel, *told, path, frame) for told in delta.fit_delta_models(t.where(F.col("fuel") == fuel), path)]
+            pieces = delta.spread(t.where(F.col("fuel") == fuel)).persist()
+            try:
+                rows += [(fuel, *told, path, frame) for told in delta.fit_delta_models(_sequence_rows(pieces), path)]
+            finally:
+                pieces.unpersist()
         return spark.createDataFrame(rows, "fuel string, model string, rows long, mae double, rmse double, weighted_mae double, chosen boolean, path string, frame string")
 
     tables = [f"{sf}/{t}.parquet" for t in ("lineitem", "supplier", "nation", "region")]
-    return sinks.cached(spark, f"{shared_dir(spark)}/delta-models", {"what": "delta models"}, tables, build)
+    return sinks.cached(spark, f"{shared_dir(spark)}/delta-models", {"what": "delta models", "frame": "series"}, tables, build)
 
 
 @query()
@@ -227,10 +229,14 @@ def ml_12_scoring(spark, sf):
     chosen, out = _delta_models(spark, sf).where("chosen").collect(), sinks.work_folder(spark, "delta-scores")
     parts = []
     for r in chosen:  # a row a fuel
-        frame = spark.read.parquet(r.frame).where(F.col("fuel") == r.fuel).withColumn("month", F.col("month").cast("string"))
         to, keep = f"{out}/{r.fuel}", ["fuel", "grid_id", "d"]
-        delta.score_months(frame.where("month < '1998-06'"), r.path, to, keep)
-        delta.score_months(frame, r.path, to, keep)
+        pieces = delta.spread(spark.read.parquet(r.frame).where(F.col("fuel") == r.fuel)).persist()
+        try:
+            half = pieces.withColumn("months", F.filter("months", lambda m: m < "1998-06"))
+            delta.score_months(half, r.path, to, keep, rows_of=_sequence_rows)
+            delta.score_months(pieces, r.path, to, keep, rows_of=_sequence_rows)
+        finally:
+            pieces.unpersist()
         parts.append(spark.read.parquet(to).drop("month"))
     return frames.rounded(parts[0].unionByName(parts[1]))
 

@@ -472,3 +472,25 @@ def test_delta_models_are_chosen_on_the_holdout_and_scored_by_month(spark, tmp_p
     assert delta.score_months(t, f"{tmp_path}/model", out, ["id"], again=("2024-01",), at_once=2) == ["2024-01", "2024-03", "2024-04"]
     got = {x.id: x.prediction for x in spark.read.parquet(out).collect()}
     assert got == want and spark.read.parquet(out).count() == 400
+
+
+def test_sequences_are_stored_once_and_made_by_piece(spark):
+    r = np.random.default_rng(5)
+    series = {("f", g): sorted(r.choice(900, n, replace=False).tolist()) for g, n in (("a", 28), ("b", 29), ("c", 600), ("e", 256), ("h", 257))}
+    rows = [(f, g, day(k), *map(float, r.normal(size=3))) for (f, g), ks in series.items() for k in ks]
+    df = spark.createDataFrame(rows, "fuel string, grid_id string, d date, y double, national double, weight double").withColumn("static", F.array(F.lit(2.0), F.length("grid_id") * 3.0))
+    pieces = delta.series_pieces(df, ["fuel", "grid_id"], "d", ["y", "national", "weight"], ["static"]).cache()
+    assert pieces.agg(F.sum(F.size("days"))).first()[0] < 1.2 * len(rows)
+    want = {}
+    for key in series:
+        own = sorted(x[2:] for x in rows if x[:2] == key)
+        for i in range(28, len(own)):
+            past, (d, y, _, weight), last = own[i - 28 : i], own[i], own[i - 1][1]
+            steps = [v for x in past for v in (x[1] - last, x[2] - last, x[3])]
+            raw = [*steps, last - past[-1][2], past[-1][3], (d - past[-1][0]).days, sum(x[1] for x in past) / 28 - last, 2.0, 3.0]
+            want[*key, d] = (d.strftime("%Y-%m"), y, last, weight, y - last, raw)
+    got = {(x.fuel, x.grid_id, x.d): (x.month, x.y, x.y_lag1, x.weight, x.delta, x.raw.toArray().tolist()) for x in delta.sequence_rows(delta.spread(pieces, 100), ["fuel", "grid_id"]).collect()}
+    assert got == want
+    some = ["2024-05", "2025-01"]
+    assert {(x.fuel, x.grid_id, x.d) for x in delta.sequence_rows(pieces, ["fuel", "grid_id"], some).collect()} == {k for k, v in want.items() if v[0] in some}
+    assert {x.m for x in pieces.select(F.explode("months").alias("m")).distinct().collect()} == {v[0] for v in want.values()}
