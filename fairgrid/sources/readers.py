@@ -168,21 +168,30 @@ def write_price_matrix(df: DataFrame, path: str, columns: int = 200) -> None:
     """SRC-05: the opposite of ``read_price_matrix``, in one job: ``df`` (date, station_id, price) as matrices with a row for each date and some ``columns`` stations each, a
     folder for each block of stations. Stations are dealt to blocks by hash; a block's file is a header and a line a day."""
     n_blocks = -(-(df.agg(F.count_distinct("station_id")).first()[0] or 1) // columns)
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = df.withColumn("block", F.pmod(F.xxhash64("station_id"), F.lit(n_blocks))).groupBy("block", "date", "station_id").agg(F.max("price").alias("price"))
-    ids = cells.groupBy("block").agg(F.sort_array(F.collect_set("station_id")).alias("ids"))
-    days = cells.groupBy("block", "date").agg(F.map_from_entries(F.collect_list(F.struct("station_id", F.col("price").cast("decimal(18,3)").cast("string")))).alias("p")).join(ids, "block")
-    line = F.concat_ws(",", F.date_format("date", "yyyyMMdd"), F.transform("ids", lambda i: F.coalesce(F.try_element_at("p", i), F.lit(""))))
+    ids = df.select(F.pmod(F.xxhash64("station_id"), F.lit(n_blocks)).alias("block"), "station_id").distinct().groupBy("block").agg(F.sort_array(F.collect_list("station_id")).alias("ids"))
+    column = ids.select("block", F.posexplode("ids").alias("__no", "station_id"), F.size("ids").alias("__n"))
+    placed = cells.repartition(n_parts, "block", "station_id").join(column, ["block", "station_id"])
+    days = placed.groupBy("block", "date", "__n").agg(F.sort_array(F.collect_list(F.struct("__no", F.col("price").cast("decimal(18,3)").cast("string").alias("v")))).alias("c"))
+    # a value stands behind as many commas as columns lie between it and the one before, so that a line costs what its values cost
+    before = lambda i: F.when(i > 0, F.get("c", i - 1)["__no"]).otherwise(-1)
+    told = F.array_join(F.transform("c", lambda x, i: F.concat(F.repeat(F.lit(","), x["__no"] - before(i)), F.coalesce(x["v"], F.lit("")))), "")
+    line = F.concat(F.date_format("date", "yyyyMMdd"), told, F.repeat(F.lit(","), F.col("__n") - 1 - F.element_at("c", -1)["__no"]))
     lines = days.select("block", F.date_format("date", "yyyyMMdd").alias("__at"), line.alias("value")).union(ids.select("block", F.lit(""), F.concat_ws(",", F.lit("date"), "ids")))
-    lines.repartition("block").sortWithinPartitions("block", "__at").drop("__at").write.mode("overwrite").partitionBy("block").text(path)
+    lines.repartition(min(n_blocks, n_parts), "block").sortWithinPartitions("block", "__at").drop("__at").write.mode("overwrite").partitionBy("block").text(path)
 
 
 def read_price_matrix(spark: SparkSession, path: str, fuel: str) -> DataFrame:
     """SRC-05: (date, station_id, price, fuel) of all blocks of a station matrix, each with a header of its own, in one job."""
-    lines = spark.read.text(path).select("block", F.split("value", ",").alias("c"))
-    heads = lines.where(F.col("c")[0] == "date").select("block", F.col("c").alias("ids"))
-    cells = lines.where(F.col("c")[0] != "date").join(heads, "block").select(dates.parse_date(F.col("c")[0]).alias("date"), F.explode(F.arrays_zip(F.slice("ids", F.lit(2), F.size("ids") - 1).alias("id"), F.slice("c", F.lit(2), F.size("c") - 1).alias("v"))).alias("x"))
-    out = cells.select("date", F.col("x.id").alias("station_id"), numbers.parse_number(F.col("x.v")).alias("price"))
-    return out.where("price > 0 and date is not null").withColumn("fuel", F.lit(fuel))
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = spark.read.text(path).select("block", F.substring_index("value", ",", 1).alias("c0"), "value")
+    heads = lines.where("c0 = 'date'").select("block", F.split("value", ",").alias("ids"))
+    days = lines.where("c0 <> 'date'").withColumn("date", dates.parse_date(F.col("c0"))).where("date is not null").drop("c0")
+    # many more tasks than lines would ask for: a line of a few hundred bytes becomes as many rows
+    met = days.repartition(n_parts, "block").join(heads, "block")
+    cells = met.select("date", "ids", F.posexplode(F.split("value", ",")).alias("no", "v")).where("no > 0 and v <> ''").select("date", F.get("ids", F.col("no")).alias("station_id"), numbers.parse_number(F.col("v")).alias("price"))
+    return cells.where("price > 0 and station_id is not null").withColumn("fuel", F.lit(fuel))
 
 
 _HISTORY = T.ArrayType(T.ArrayType(T.StringType()))

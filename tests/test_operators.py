@@ -487,10 +487,25 @@ def test_sequences_are_stored_once_and_made_by_piece(spark):
         for i in range(28, len(own)):
             past, (d, y, _, weight), last = own[i - 28 : i], own[i], own[i - 1][1]
             steps = [v for x in past for v in (x[1] - last, x[2] - last, x[3])]
-            raw = [*steps, last - past[-1][2], past[-1][3], (d - past[-1][0]).days, sum(x[1] for x in past) / 28 - last, 2.0, 3.0]
+            raw = [*steps, last - past[-1][2], past[-1][3], (d - past[-1][0]).days, float(np.cumsum([x[1] for x in past])[-1]) / 28 - last, 2.0, 3.0]
             want[*key, d] = (d.strftime("%Y-%m"), y, last, weight, y - last, raw)
     got = {(x.fuel, x.grid_id, x.d): (x.month, x.y, x.y_lag1, x.weight, x.delta, x.raw.toArray().tolist()) for x in delta.sequence_rows(delta.spread(pieces, 100), ["fuel", "grid_id"]).collect()}
     assert got == want
     some = ["2024-05", "2025-01"]
     assert {(x.fuel, x.grid_id, x.d) for x in delta.sequence_rows(pieces, ["fuel", "grid_id"], some).collect()} == {k for k, v in want.items() if v[0] in some}
     assert {x.m for x in pieces.select(F.explode("months").alias("m")).distinct().collect()} == {v[0] for v in want.values()}
+
+
+def test_station_matrix_keeps_every_value_and_parses_a_date_once_a_line(spark, tmp_path):
+    from fairgrid.sources import readers
+
+    r = random.Random(4)
+    rows = {(day(d), f"A{s}"): round(r.random() * 1000 + 1, 3) for d in range(30) for s in range(25) if r.random() < 0.2}
+    df = spark.createDataFrame([(*k, v) for k, v in rows.items()] + [(*k, v - 0.5) for k, v in list(rows.items())[:9]] + [(day(3), "A99", None)], "date date, station_id string, price double")
+    readers.write_price_matrix(df, f"{tmp_path}/m", 7)
+    out = readers.read_price_matrix(spark, f"{tmp_path}/m", "diesel")
+    assert {(x.date, x.station_id): x.price for x in out.collect()} == rows and out.count() == len(rows)
+    widths = {x.block: x.n for x in spark.read.text(f"{tmp_path}/m").groupBy("block").agg(F.collect_set(F.size(F.split("value", ","))).alias("n")).collect()}
+    assert sum(n[0] - 1 for n in widths.values()) == len({s for _, s in rows} | {"A99"}) and all(len(n) == 1 for n in widths.values())
+    above = out._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "2,4" not in above  # the pattern of dates
