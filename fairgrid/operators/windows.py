@@ -26,8 +26,11 @@ def lookback_quality(df: DataFrame, keys: list[str], order: str, value: str, pol
 
 def lag_sequence(df: DataFrame, columns: list[str], steps: int, keys: list[str], order: str) -> DataFrame:
     """WIN-06, RSH-06: an array of ``steps`` rows before this one, oldest first, each an array of the columns; null where short."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-steps, -1)
-    return df.withColumn("sequence", F.collect_list(F.array(*columns)).over(w)).withColumn("sequence", F.when(F.size("sequence") == steps, F.col("sequence")))
+    w = Window.partitionBy(*keys).orderBy(order)
+    told = df.withColumn("__s", F.array(*columns))
+    past = [F.lag("__s", k).over(w).alias(f"__s{k}") for k in range(steps, 0, -1)]
+    out = told.select(*df.columns, *past)
+    return out.select(*df.columns, F.when(F.col(f"__s{steps}").isNotNull(), F.array(*[f"__s{k}" for k in range(steps, 0, -1)])).alias("sequence"))
 
 
 def weighted_lags(df: DataFrame, x: str, weights: list[float], keys: list[str], order: str, name: str) -> DataFrame:

@@ -68,11 +68,11 @@ _LAGS_SQL = ", ".join(f"round(lag(x, {k}) over w, 3) lag{k}" + (f", round(lag(x,
 
 @query(f"with {_STATION_DAY}, t as (select station_id, d, {_LAGS_SQL} from sd window w as (partition by station_id order by d)) select * from t where lag{_STEPS} is not null")
 def win_06_lag_differences(spark, sf):
-    """The last 28 levels as one array over one window; levels and differences are taken from it."""
-    t = windows.lag_sequence(_station_day(spark, sf), ["x"], _STEPS, ["station_id"], "d").where("sequence is not null")
-    v = lambda k: F.col("sequence")[_STEPS - k][0]
-    levels = [half_up(v(k), 3).alias(f"lag{k}") for k in range(1, _STEPS + 1)]
-    return t.select("station_id", "d", *levels, *[half_up(v(k) - v(k + 1), 3).alias(f"delta{k}") for k in range(1, _STEPS)])
+    """Levels and differences are rounded once a row and then looked up, all over one window."""
+    w = Window.partitionBy("station_id").orderBy("d")
+    t = _station_day(spark, sf).select("station_id", "d", half_up("x", 3).alias("r"), half_up(F.col("x") - F.lag("x").over(w), 3).alias("s"))
+    levels = [F.lag("r", k).over(w).alias(f"lag{k}") for k in range(1, _STEPS + 1)]
+    return t.select("station_id", "d", *levels, *[F.lag("s", k).over(w).alias(f"delta{k}") for k in range(1, _STEPS)]).where(f"lag{_STEPS} is not null")
 
 
 @query(f"with {_STATION_DAY}, t as (select station_id, d, count(*) over w n, round(avg(x) over w, 3) mean, policy from sd window w as (partition by station_id order by d rows between 28 preceding and 1 preceding)) select station_id, d, mean from t where n = 28")

@@ -509,3 +509,15 @@ def test_station_matrix_keeps_every_value_and_parses_a_date_once_a_line(spark, t
     assert sum(n[0] - 1 for n in widths.values()) == len({s for _, s in rows} | {"A99"}) and all(len(n) == 1 for n in widths.values())
     above = out._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
     assert "2,4" not in above  # the pattern of dates
+
+
+def test_lag_sequence_looks_up_rows_and_differences_are_rounded_once(spark, tmp_path):
+    from fairgrid.plans import registry
+
+    rows = [(k, d, float(d * d + len(k)), None if d == 3 else float(d)) for k, n in (("a", 9), ("bb", 3), ("ccc", 4)) for d in range(n)]
+    out = windows.lag_sequence(spark.createDataFrame(rows, "k string, d int, x double, p double"), ["x", "p"], 3, ["k"], "d")
+    want = {(k, d): [list(v[2:]) for v in rows if v[0] == k and d - 3 <= v[1] < d] if d >= 3 else None for k, d, *_ in rows}
+    assert {(x.k, x.d): x.sequence for x in out.collect()} == want
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    plan = registry.QUERIES["win_06_lag_differences"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and plan.count("round(") <= 2
