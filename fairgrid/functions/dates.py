@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Year, month and day with Hangul units, slashes, dashes or dots, or eight digits. Fixed values of the source files.
-_PARTED = r"^\s*(\d{2,4})\s*[년/.\-]\s*(\d{1,2})\s*[월/.\-]\s*(\d{1,2})\s*일?\s*$"
-_SOLID = r"^\s*(\d{4})(\d{2})(\d{2})\s*$"
+_WRITTEN = r"^\s*(?:(\d{2,4})\s*[년/.\-]\s*(\d{1,2})\s*[월/.\-]\s*(\d{1,2})\s*일?|(\d{4})(\d{2})(\d{2}))\s*$"
 _WEEK = r"^\s*(\d{2,4})년\s*(\d{1,2})월\s*(\d)주\s*$"
 
 
@@ -26,10 +25,13 @@ def _date(year: Column, month: Column, day: Column) -> Column:
 
 def parse_date(text: Column, pivot: int = 50) -> Column:
     """DT-01: dates such as 26년06월11일, 2026/06/11, 2026.6.1 or 20260611; two-digit years below ``pivot`` are 20xx; null if impossible."""
-    part = lambda pattern, i: F.regexp_extract(text, pattern, i)
-    parted = F.when(text.rlike(_PARTED), _date(_year(part(_PARTED, 1), pivot), _number(part(_PARTED, 2)), _number(part(_PARTED, 3))))
-    solid = F.when(text.rlike(_SOLID), _date(_number(part(_SOLID, 1)), _number(part(_SOLID, 2)), _number(part(_SOLID, 3))))
-    return F.coalesce(parted, solid)
+    # one look at the text: year, month and day between slashes behind one more; anything else has no second part
+    part = F.split(F.regexp_replace(text, _WRITTEN, "/$1$4/$2$5/$3$6"), "/")
+    known = (F.length(F.get(part, F.lit(0))) == 0) & (F.size(part) == 4) & text.rlike(r"^\s*\d")
+    year = F.get(part, F.lit(1))
+    century = F.when(F.length(year) > 2, "").when(year.try_cast("int") < pivot, "20").otherwise("19")
+    day = F.concat(F.lpad(F.concat(century, year), 4, "0"), F.lit("-"), F.get(part, F.lit(2)), F.lit("-"), F.get(part, F.lit(3)))
+    return F.when(known, day.try_cast("date"))
 
 
 def week_label_end(text: Column, pivot: int = 50) -> Column:

@@ -78,3 +78,11 @@ def test_metres_and_back(spark):
 def test_haversine(spark):
     got = spark.range(1).select(geo.haversine_km(F.lit(0.0), F.lit(0.0), F.lit(90.0), F.lit(0.0))).first()[0]
     assert got == pytest.approx(6371.0088 * math.pi / 2)
+
+
+def test_a_date_is_looked_at_twice_at_most(spark):
+    given = ["/97/1/1", "////", " 1997/1/1\n", "123-1-1", "20000229", "19970229", "97 년 1 월 1 일", "1/2020/1/1", "0000-01-01", "1997122"]
+    assert values(spark, dates.parse_date(F.col("v")).cast("string"), given, "string") == [None, None, "1997-01-01", "0123-01-01", "2000-02-29", None, "1997-01-01", None, "0000-01-01", None]
+    plan = spark.createDataFrame([("a",)], "v string").select(dates.parse_date(F.col("v")).alias("d"))
+    told = plan._jdf.queryExecution().analyzed().toString().lower()
+    assert "regexp_extract" not in told and "format_string" not in told
