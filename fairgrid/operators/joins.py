@@ -46,28 +46,46 @@ def overlap_join(weeks: DataFrame, start: str, end: str, policies: DataFrame) ->
     return met.select(*weeks.columns, "name", F.col("__ps").alias("policy_start"), F.col("__pe").alias("policy_end")).distinct()
 
 
+#: A bucket of a distance join is so many cut-offs wide: wider ones copy fewer points over their edges and pair more within.
+_WIDTH = 3
+
+
+def _near_buckets(points: DataFrame, others: DataFrame, cutoff: float) -> tuple[DataFrame, DataFrame]:
+    """Both sides with buckets (__bx, __by): a point's own, and for each other point all those that its cut-off reaches."""
+    size = _WIDTH * cutoff
+    # a little more than the cut-off, so that rounding at a bucket's edge loses no pair
+    reach = lambda c: F.explode(F.sequence(F.floor((F.col(c) - cutoff * (1 + 1e-9)) / size), F.floor((F.col(c) + cutoff * (1 + 1e-9)) / size)))
+    one = points.withColumn("__bx", F.floor(F.col("x") / size)).withColumn("__by", F.floor(F.col("y") / size))
+    return one, others.withColumn("__bx", reach("x2")).withColumn("__by", reach("y2"))
+
+
+def _square() -> Column:
+    return F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2)
+
+
 def distance_pairs(points: DataFrame, others: DataFrame, cutoff: float, keys: list[str] | None = None) -> DataFrame:
-    """Pairs of cell centres within ``cutoff`` metres, as an equi-join on square buckets of that size.
+    """Pairs of cell centres within ``cutoff`` metres, as an equi-join on square buckets.
 
     ``points`` (id, x, y, more) and ``others`` (id2, x2, y2, more); a pair at exactly the
-    cut-off counts. Each point looks at its own and the eight neighbouring buckets.
+    cut-off counts. A point stands in one bucket, the others in each that they reach.
     """
-    keys = keys or []
-    near = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    one = points.withColumn("__i", near).withColumn("__j", near).withColumn("__bx", F.floor(F.col("x") / cutoff) + F.col("__i")).withColumn("__by", F.floor(F.col("y") / cutoff) + F.col("__j")).drop("__i", "__j")
-    two = others.withColumn("__bx", F.floor(F.col("x2") / cutoff)).withColumn("__by", F.floor(F.col("y2") / cutoff))
-    d2 = F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2)
-    return one.join(two, ["__bx", "__by", *keys]).where(d2 <= cutoff * cutoff).withColumn("distance", F.sqrt(d2)).drop("__bx", "__by")
+    one, two = _near_buckets(points, others, cutoff)
+    return one.join(two, ["__bx", "__by", *(keys or [])]).where(_square() <= cutoff * cutoff).withColumn("distance", F.sqrt(_square())).drop("__bx", "__by")
 
 
 def decay_sum(points: DataFrame, sources: DataFrame, cutoff: float, band: float, weight: Column, keys: list[str] | None = None, exclude_self: bool = True) -> DataFrame:
-    """JOIN-11, JOIN-12: Σ weight · exp(−d / band) over sources within the cut-off; points without any get 0."""
-    pairs = distance_pairs(points, sources, cutoff, keys)
+    """JOIN-11, JOIN-12: Σ weight · exp(−d / band) over sources within the cut-off; points without any get 0.
+
+    An outer join keeps the points without a source, so that they need not be joined again."""
+    keys = keys or []
+    one, two = _near_buckets(points.select(*keys, "id", "x", "y"), sources.withColumns({f"__{k}": F.col(k) for k in keys}).withColumn("__w", weight).select(*[f"__{k}" for k in keys], "id2", "x2", "y2", "__w"), cutoff)
+    two = two.withColumnsRenamed({"__bx": "__bx2", "__by": "__by2"})
+    met = (F.col("__bx") == F.col("__bx2")) & (F.col("__by") == F.col("__by2")) & (_square() <= cutoff * cutoff)
+    for k in keys:
+        met = met & (F.col(k) == F.col(f"__{k}"))
     if exclude_self:
-        pairs = pairs.where("id <> id2")
-    group = [*(keys or []), "id"]
-    total = pairs.groupBy(*group).agg(F.sum(weight * F.exp(-F.col("distance") / band)).alias("influence"))
-    return points.select(*group).distinct().join(total, group, "left").withColumn("influence", F.coalesce("influence", F.lit(0.0)))
+        met = met & (F.col("id") != F.col("id2"))
+    return one.join(two, met, "left").groupBy(*keys, "id").agg(F.coalesce(F.sum(F.col("__w") * F.exp(-F.sqrt(_square()) / band)), F.lit(0.0)).alias("influence"))
 
 
 def polygon_edges(polygons: DataFrame) -> DataFrame:

@@ -521,3 +521,16 @@ def test_lag_sequence_looks_up_rows_and_differences_are_rounded_once(spark, tmp_
     assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
     plan = registry.QUERIES["win_06_lag_differences"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan and plan.count("round(") <= 2
+
+
+def test_decay_sums_equal_all_pairs_and_copy_few_points(spark):
+    r = random.Random(3)
+    pts = [(k, i, float(r.randrange(-20, 20) * 50), float(r.randrange(-20, 20) * 50), float(i % 4)) for k in (1, 2) for i in range(80)]
+    a = spark.createDataFrame([x[:4] for x in pts], "k int, id int, x double, y double")
+    b = spark.createDataFrame(pts, "k int, id2 int, x2 double, y2 double, n double")
+    got = {(x.k, x.id): x.influence for x in joins.decay_sum(a, b, 150.0, 100.0, F.col("n"), keys=["k"]).collect()}
+    far = lambda p, q: ((p[2] - q[2]) ** 2 + (p[3] - q[3]) ** 2) ** 0.5
+    want = {p[:2]: sum(q[4] * np.exp(-far(p, q) / 100) for q in pts if q[0] == p[0] and q[1] != p[1] and far(p, q) <= 150) for p in pts}
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+    one, two = joins._near_buckets(a, b, 150.0)
+    assert one.count() == len(pts) and two.count() < 4 * len(pts)
