@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairgrid.operators.stored import cut
-
 HISTORY = 29
 
 
@@ -76,19 +74,33 @@ def weekly(df: DataFrame, keys: list[str], date: str, x: str, saturday: Column)
 def residual_band(df: DataFrame, keys: list[str], order: str, residual: str, eligible: Column, coverage: float, cap: int = 1200, least: int = 120, refresh: int = 7) -> DataFrame:
     """WIN-18: low and high quantiles of the last ``cap`` eligible residuals strictly before a row, renewed every ``refresh`` rows and held between.
 
-    Only refresh rows gather a history: each is a range of residual numbers, met by
-    an equi-join on blocks of ``cap`` numbers, so no row of the series sees more than twice the cap.
+    Rows meet once, on their keys; a task holds one series at a time and, at each refresh row, sorts the last ``cap`` residuals.
     Rows with fewer than ``least`` residuals before them have no band.
     """
     low, high = (1 - coverage) / 2, 1 - (1 - coverage) / 2
-    w = Window.partitionBy(*keys).orderBy(order)
-    numbered = df.withColumn("__ok", eligible & F.col(residual).isNotNull()).withColumn("__seen", F.coalesce(F.sum(F.col("__ok").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    first = F.min(F.when(F.col("__seen") >= least, F.col("__rn"))).over(Window.partitionBy(*keys))
-    numbered = numbered.withColumn("__rn", F.row_number().over(w)).withColumn("__first", first).withColumn("__slot", F.when(F.col("__rn") >= F.col("__first"), F.floor((F.col("__rn") - F.col("__first")) / refresh)))
-    numbered = cut(numbered)  # used three times
-    turns = numbered.where((F.col("__slot").isNotNull()) & ((F.col("__rn") - F.col("__first")) % refresh == 0)).select(*keys, "__slot", "__seen")
-    wanted = turns.select(*keys, "__slot", "__seen", F.explode(F.array_distinct(F.array(F.floor((F.greatest(F.col("__seen") - cap, F.lit(0))) / cap), F.floor((F.col("__seen") - 1) / cap)))).alias("__block"))
-    pool = numbered.where("__ok").select(*keys, F.col("__seen").alias("__no"), F.floor(F.col("__seen") / cap).alias("__block"), F.col(residual).alias("__r"))
-    met = wanted.join(pool, [*keys, "__block"]).where((F.col("__no") < F.col("__seen")) & (F.col("__no") >= F.col("__seen") - cap))
-    bands = met.groupBy(*keys, "__slot").agg(F.percentile("__r", F.array(F.lit(low), F.lit(high))).alias("__q")).select(*keys, "__slot", F.col("__q")[0].alias("q_low"), F.col("__q")[1].alias("q_high"))
-    return numbered.join(bands, [*keys, "__slot"], "left").select(*df.columns, "q_low", "q_high")
+    columns = df.columns
+    told = df.withColumn("__ok", F.coalesce(eligible & F.col(residual).isNotNull(), F.lit(False)))
+
+    def bands(table):
+        import numpy as np
+        import pyarrow as pa
+
+        table = table.sort_by(order)
+        ok, r = table.column("__ok").to_numpy(), table.column(residual).cast(pa.float64()).to_numpy()
+        pool, seen = r[ok], np.cumsum(ok) - ok
+        out = np.full((2, len(r)), np.nan)
+        first = int(np.argmax(seen >= least)) if seen[-1] >= least else len(r)
+        for i in range(first, len(r), refresh):
+            past = np.sort(pool[max(0, seen[i] - cap) : seen[i]])
+            for k, share in enumerate((low, high)):
+                place = (len(past) - 1) * share
+                a, b = int(np.floor(place)), int(np.ceil(place))
+                out[k, i : i + refresh] = past[a] if a == b else (b - place) * past[a] + (place - a) * past[b]
+        none = np.arange(len(r)) < first
+        made = table.select(columns)
+        for name, q in zip(("q_low", "q_high"), out, strict=True):
+            made = made.append_column(name, pa.array(q, mask=none))
+        return made
+
+    schema = df.withColumns({c: F.lit(None).cast("double") for c in ("q_low", "q_high")}).schema
+    return told.groupBy(*keys).applyInArrow(bands, schema)

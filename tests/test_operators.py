@@ -534,3 +534,17 @@ def test_decay_sums_equal_all_pairs_and_copy_few_points(spark):
     assert got == {k: pytest.approx(v) for k, v in want.items()}
     one, two = joins._near_buckets(a, b, 150.0)
     assert one.count() == len(pts) and two.count() < 4 * len(pts)
+
+
+def test_band_takes_one_look_at_each_series(spark):
+    r = random.Random(6)
+    rows = [(k, i, r.choice([None, r.random()]), r.choice([True, True, None])) for k in ("a", "b") for i in range(150)] + [("c", 0, 1.0, True)]
+    out = windows.residual_band(spark.createDataFrame(rows, "k string, i int, r double, ok boolean"), ["k"], "i", "r", F.col("ok"), 0.7, cap=30, least=10)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got, held = {(x.k, x.i): (x.q_low, x.q_high) for x in out.collect()}, {}
+    for k, i, _, _ in rows:
+        past = [v for key, j, v, ok in rows if key == k and j < i and ok and v is not None][-30:]
+        if len(past) >= 10 and (k not in held or i - held[k][0] >= 7):
+            held[k] = (i, tuple(np.quantile(past, [0.15, 0.85])))
+        assert got[k, i] == (pytest.approx(held[k][1]) if k in held else (None, None))
+    assert len(got) == len(rows)
