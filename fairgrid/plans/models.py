@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fairgrid.functions.dates import saturday_week
 from fairgrid.functions.numbers import BASE_TAX, half_up, judge, policy_shift
+from fairgrid.functions.text import grid_id
 from fairgrid.operators import aggregates as agg
 from fairgrid.operators import delta, frames, joins, lagmodels, layers, models, windows
 from fairgrid.operators.stored import shared_dir
@@ -175,15 +176,28 @@ def _model_frame(spark, sf):
     return t.withColumn("validation", F.col("d") >= F.lit("2000-01-01").cast("date"))
 
 
+#: Observations in a partition of the series. Trees shuffle a histogram of every feature and node from each partition, so they are large,
+#: and depend on the rows alone, since the trees' split candidates are sampled by partition.
+_SERIES_ROWS, _SERIES_LEAST, _SERIES_PARTS = 600_000, 50_000, 24
+
+
 def _sequence_pieces(spark, sf):
-    """Each fuel's and cell's series of price, national price and weight, in pieces; static features: place, stations, their mean balance."""
-    t = grid_day(spark, sf).select("fuel", "grid_id", "cell_x", "cell_y", "d", F.col("price").alias("y"), F.col("w").alias("weight"))
-    t = t.join(t.groupBy("fuel", "d").agg(agg.anchor("y", "weight").alias("national")), ["fuel", "d"])
-    p = delta.series_pieces(t, ["fuel", "grid_id"], "d", ["y", "national", "weight"], ["cell_x", "cell_y"])
+    """Each fuel's and cell's series of price, national price and weight, in pieces; static features: place, stations, their mean balance.
+
+    Observations are dealt by fuel and cell once, and days, series and pieces are made where they are; the national series has a row a day.
+    """
+    o, keys = observations(spark, sf), ["fuel", "cell_x", "cell_y"]
+    rows = o.count()
+    parts = max(1, -(-rows // _SERIES_ROWS), min(_SERIES_PARTS, -(-rows // _SERIES_LEAST)))
+    t = o.select(*keys, "d", "price", "w").repartition(parts, *keys).groupBy(*keys, "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
+    t = t.join(F.broadcast(t.groupBy("fuel", "d").agg(agg.anchor("y", "weight").alias("national"))), ["fuel", "d"])
+    p = delta.series_pieces(t, keys, "d", ["y", "national", "weight"], [])
     sites = stations(spark, sf).groupBy("cell_x", "cell_y").agg(F.count("*").cast("double").alias("sites"), F.avg("s_acctbal").alias("balance"))
-    p = p.join(sites, ["cell_x", "cell_y"], "left").fillna(0.0, ["sites", "balance"])
+    sites = sites.withColumn("fuel", F.explode(F.array(*map(F.lit, BASE_TAX))))  # so that the pieces stay where they are
+    p = p.join(sites, keys, "left").fillna(0.0, ["sites", "balance"])
     static = F.array(F.col("cell_x") / 1000, F.col("cell_y") / 1000, F.col("sites"), F.col("balance") / 1000)
-    return p.select("fuel", "grid_id", static.alias("static"), "days", "months")
+    cell = grid_id(500, (F.col("cell_x") / 500).cast("int"), (F.col("cell_y") / 500).cast("int"))
+    return p.select("fuel", cell.alias("grid_id"), static.alias("static"), "days", "months")
 
 
 _SEQUENCE_KEYS = ["fuel", "grid_id"]
@@ -201,16 +215,15 @@ def _delta_models(spark, sf):
     """(fuel, model, rows, mae, rmse, weighted_mae, chosen, path, frame): the stored models of each fuel and the stored series, kept while the tables stay the same."""
 
     def build():
-        frame = sinks.work_folder(spark, "delta-series")
-        _sequence_pieces(spark, sf).write.option("compression", "zstd").partitionBy("fuel").parquet(frame)
-        t, rows = spark.read.parquet(frame), []
-        for fuel in BASE_TAX:
-            path = sinks.work_folder(spark, f"delta-model-{fuel}")
-            pieces = delta.spread(t.where(F.col("fuel") == fuel)).persist()
-            try:
-                rows += [(fuel, *told, path, frame) for told in delta.fit_delta_models(_sequence_rows(pieces), path)]
-            finally:
-                pieces.unpersist()
+        frame, rows = sinks.work_folder(spark, "delta-series"), []
+        pieces = _sequence_pieces(spark, sf).persist()
+        try:
+            pieces.write.option("compression", "zstd").partitionBy("fuel").parquet(frame)
+            for fuel in BASE_TAX:
+                path = sinks.work_folder(spark, f"delta-model-{fuel}")
+                rows += [(fuel, *told, path, frame) for told in delta.fit_delta_models(_sequence_rows(pieces.where(F.col("fuel") == fuel)), path)]
+        finally:
+            pieces.unpersist()
         return spark.createDataFrame(rows, "fuel string, model string, rows long, mae double, rmse double, weighted_mae double, chosen boolean, path string, frame string")
 
     tables = [f"{sf}/{t}.parquet" for t in ("lineitem", "supplier", "nation", "region")]

@@ -496,6 +496,42 @@ def test_sequences_are_stored_once_and_made_by_piece(spark):
     assert {x.m for x in pieces.select(F.explode("months").alias("m")).distinct().collect()} == {v[0] for v in want.values()}
 
 
+def _stages(spark):
+    """Records that each known stage has written to shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    store, no = sc.statusStore(), spark._jvm.java.util.ArrayList()
+    found = store.stageList(no, False, False, getattr(store, "stageList$default$4")(), no)
+    return {found.apply(i).stageId(): found.apply(i).shuffleWriteRecords() for i in range(found.size())}
+
+
+def test_series_move_once_and_are_those_of_plain_aggregates(spark, tmp_path):
+    from fairgrid.plans import models as plans
+    from fairgrid.plans.tables import grid_day
+
+    row = ("date_add(date'1998-01-01', cast(id div 40 as int)) l_shipdate", "id % 20 l_suppkey", "100D + id % 7 + id % 11 l_extendedprice", "1D + id % 3 l_quantity", "if(id % 3 = 0, 'F', 'O') l_linestatus", "id l_partkey", "'N' l_returnflag", "id l_orderkey", "1 l_linenumber")
+    spark.range(30_000).selectExpr(*row).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(15).selectExpr("id s_suppkey", "'s' s_name", "id % 2 s_nationkey", "id * 10D s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(2).selectExpr("id n_nationkey", "'n' n_name", "0L n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(1).selectExpr("id r_regionkey", "'r' r_name").write.parquet(f"{tmp_path}/region.parquet")
+    before = _stages(spark)
+    rows = plans._sequence_pieces(spark, str(tmp_path)).collect()
+    assert sum(n for k, n in _stages(spark).items() if k not in before) < 1.2 * 30_000
+    days = {(r.fuel, r.grid_id, x.d): (x.y, x.national, x.weight) for r in rows for x in r.days}
+    grid = [r for r in grid_day(spark, str(tmp_path)).collect()]
+    nation = {}
+    for r in grid:
+        nation.setdefault((r.fuel, r.d), []).append((r.price * r.w, r.w))
+    assert days.keys() == {(r.fuel, r.grid_id, r.d) for r in grid}
+    for r in grid:
+        national = sum(a for a, _ in nation[r.fuel, r.d]) / sum(b for _, b in nation[r.fuel, r.d])
+        assert days[r.fuel, r.grid_id, r.d] == pytest.approx((r.price, national, r.w))
+    told = {(r.fuel, r.grid_id): r.static for r in rows}
+    for r in grid:
+        k = r.cell_x // 500 + 10 * (r.cell_y // 500)
+        assert told[r.fuel, r.grid_id] == pytest.approx([r.cell_x / 1000, r.cell_y / 1000, float(k < 15), k / 100 if k < 15 else 0.0])
+
+
 def test_station_matrix_keeps_every_value_and_parses_a_date_once_a_line(spark, tmp_path):
     from fairgrid.sources import readers
 
