@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fairgrid.functions.numbers import half_up
+from fairgrid.operators.stored import cut
 
 
 def rename(df: DataFrame, aliases: dict[str, str]) -> DataFrame:
@@ -121,18 +122,31 @@ def islands(df: DataFrame, keys: list[str], order: str, flag: Column) -> DataFra
     return run.where("tone is not null").groupBy(*keys, "__run", "tone").agg(F.min(order).alias("start"), F.max(order).alias("end"), F.count("*").alias("rows")).drop("__run")
 
 
+def in_hash_sample(keys: list[str], per_mille: int, salt: int = 0) -> Column:
+    """FLT-08: whether a row's key hash falls below a rate."""
+    return F.pmod(F.xxhash64(*keys, F.lit(salt)), F.lit(1000)) < per_mille
+
+
 def hash_sample(df: DataFrame, keys: list[str], per_mille: int, salt: int = 0) -> DataFrame:
     """FLT-08: rows whose key hash falls below a rate; the same rows each time."""
-    return df.where(F.pmod(F.xxhash64(*keys, F.lit(salt)), F.lit(1000)) < per_mille)
+    return df.where(in_hash_sample(keys, per_mille, salt))
 
 
 def fixed_sample(df: DataFrame, keys: list[str], n: int, salt: int = 0) -> DataFrame:
     """FLT-09: ``n`` rows by key hash (more only where the last hash has several rows), in key order.
 
-    The n-th hash is found from counts over range partitions and the rest is a filter and a sort, so a sample of any size is spread over tasks.
+    Rows are counted by the first 16 bits of their hash. Those up to the range of the n-th hash are stored, and that hash is found among the
+    rows of the last range, some 65,536th of all. So no task holds more than a row for each range, or the rows of one, to find it.
     """
-    from fairgrid.operators.aggregates import values_at_ranks
-
-    hashed = df.withColumn("__h", F.xxhash64(*keys, F.lit(salt)))
-    last = values_at_ranks(hashed.select("__h"), [], "__h", {"__last": lambda total: F.least(F.lit(n), total) - 1}).select("__last")
-    return hashed.crossJoin(F.broadcast(last)).where("__h <= __last").drop("__h", "__last").orderBy(*keys)
\ No newline at end of file
+    hashed = df.withColumn("__h", F.xxhash64(*keys, F.lit(salt))).withColumn("__range", F.shiftright("__h", 48))
+
+    def last(rows: DataFrame, by: str, before: int) -> tuple:
+        """The greatest value of ``by`` with fewer than ``n`` rows before it, and how many these are."""
+        told = rows.groupBy(by).agg(F.count("*").alias("m"))
+        earlier = F.sum("m").over(Window.orderBy(by).rowsBetween(Window.unboundedPreceding, 0)) - F.col("m") + before
+        return tuple(told.withColumn("earlier", earlier).where(F.col("earlier") < n).agg(F.max(by), F.max("earlier")).first())
+
+    end, before = last(hashed, "__range", 0)
+    some = cut(hashed.where(F.col("__range") <= F.lit(end)).drop("__range"))
+    most = last(some.where(F.shiftright("__h", 48) == F.lit(end)), "__h", before or 0)[0]
+    return some.where(F.col("__h") <= F.lit(most)).drop("__h").orderBy(*keys)

@@ -10,7 +10,7 @@ from fairgrid.functions.numbers import BASE_TAX, half_up, judge, policy_shift
 from fairgrid.functions.text import grid_id
 from fairgrid.operators import aggregates as agg
 from fairgrid.operators import delta, frames, joins, lagmodels, layers, models, windows
-from fairgrid.operators.stored import shared_dir
+from fairgrid.operators.stored import cut, shared_dir
 from fairgrid.sources import sinks
 
 from .registry import query
@@ -168,28 +168,32 @@ def win_20_expanding_forecasts(spark, sf):
     return frames.rounded(models.expanding_forecasts(_fair_frame(spark, sf), ["fuel"], "d", "y", ["x1", "x7"], 240), 1)
 
 
+#: Observations in a partition of series; smaller ones, of so many at least, up to a number of partitions. Trees shuffle a histogram of every
+#: feature and node from each, so they are few, and their number comes from the rows alone, since split candidates are sampled by partition.
+_SERIES_ROWS, _SERIES_LEAST, _SERIES_PARTS = 600_000, 50_000, 24
+
+
+def _dealt(rows, keys):
+    """``rows`` dealt by keys to so many partitions that one holds about as many rows at any size; days are aggregated there, since hardly two rows of a scan share theirs."""
+    n = rows.count()
+    return rows.repartition(max(1, -(-n // _SERIES_ROWS), min(_SERIES_PARTS, -(-n // _SERIES_LEAST))), *keys)
+
+
 def _model_frame(spark, sf):
     """Next-day change of a station's mean price with its last five levels; weight, and which rows validate."""
-    t = observations(spark, sf).groupBy("station_id", "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
+    t = _dealt(observations(spark, sf).select("station_id", "d", "price", "w"), ["station_id"]).groupBy("station_id", "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
     w = Window.partitionBy("station_id").orderBy("d")
     t = windows.lags(t, "y", range(1, 6), ["station_id"], "d").withColumn("delta", F.col("y") - F.col("y_lag1")).where("y_lag5 is not null")
     return t.withColumn("validation", F.col("d") >= F.lit("2000-01-01").cast("date"))
 
 
-#: Observations in a partition of the series. Trees shuffle a histogram of every feature and node from each partition, so they are large,
-#: and depend on the rows alone, since the trees' split candidates are sampled by partition.
-_SERIES_ROWS, _SERIES_LEAST, _SERIES_PARTS = 600_000, 50_000, 24
-
-
 def _sequence_pieces(spark, sf):
     """Each fuel's and cell's series of price, national price and weight, in pieces; static features: place, stations, their mean balance.
 
     Observations are dealt by fuel and cell once, and days, series and pieces are made where they are; the national series has a row a day.
     """
-    o, keys = observations(spark, sf), ["fuel", "cell_x", "cell_y"]
-    rows = o.count()
-    parts = max(1, -(-rows // _SERIES_ROWS), min(_SERIES_PARTS, -(-rows // _SERIES_LEAST)))
-    t = o.select(*keys, "d", "price", "w").repartition(parts, *keys).groupBy(*keys, "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
+    keys = ["fuel", "cell_x", "cell_y"]
+    t = _dealt(observations(spark, sf).select(*keys, "d", "price", "w"), keys).groupBy(*keys, "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
     t = t.join(F.broadcast(t.groupBy("fuel", "d").agg(agg.anchor("y", "weight").alias("national"))), ["fuel", "d"])
     p = delta.series_pieces(t, keys, "d", ["y", "national", "weight"], [])
     sites = stations(spark, sf).groupBy("cell_x", "cell_y").agg(F.count("*").cast("double").alias("sites"), F.avg("s_acctbal").alias("balance"))
@@ -316,6 +320,6 @@ def ml_14_training_frame(spark, sf):
     """Training and validation rows and a hash sample of the gap between them; a frame beyond the cap by key hash."""
     t = _model_frame(spark, sf)
     gap = F.col("d").between(F.lit("1999-12-25").cast("date"), F.lit("1999-12-31").cast("date"))
-    final = t.where(~gap).unionByName(frames.hash_sample(t.where(gap), ["station_id", "d"], 200))
-    final = final.select("station_id", "d", half_up("delta", 3).alias("delta"))
+    final = t.where(~gap | frames.in_hash_sample(["station_id", "d"], 200))
+    final = cut(final.select("station_id", "d", half_up("delta", 3).alias("delta")))
     return frames.fixed_sample(final, ["station_id", "d"], _MAX_FINAL_ROWS) if final.count() > _MAX_FINAL_ROWS else final

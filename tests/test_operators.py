@@ -103,6 +103,15 @@ def test_mainland_query_covers_all_station_cells(spark, tmp_path):
     assert {(r.cell_x, r.cell_y) for r in rows if r.mainland} == max(parts, key=len)
 
 
+def _stages(spark):
+    """Records that each known stage has written to shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    store, no = sc.statusStore(), spark._jvm.java.util.ArrayList()
+    found = store.stageList(no, False, False, getattr(store, "stageList$default$4")(), no)
+    return {found.apply(i).stageId(): found.apply(i).shuffleWriteRecords() for i in range(found.size())}
+
+
 def test_training_frame_keeps_all_rows_below_the_cap(spark, tmp_path, monkeypatch):
     from fairgrid.plans import models as plans
 
@@ -114,6 +123,33 @@ def test_training_frame_keeps_all_rows_below_the_cap(spark, tmp_path, monkeypatc
     assert plans.ml_14_training_frame(spark, str(tmp_path)).count() == 700
 
 
+def test_a_frame_beyond_the_cap_is_made_once_and_cut_by_hash(spark, tmp_path, monkeypatch):
+    from fairgrid.plans import models as plans
+
+    row = ("date_add(date'1992-01-01', cast(id div 10 as int)) l_shipdate", "id % 10 l_suppkey", "100D + id % 7 l_extendedprice", "2D l_quantity", "'F' l_linestatus", "id l_partkey", "'N' l_returnflag", "id l_orderkey", "1 l_linenumber")
+    spark.range(40_000).selectExpr(*row).write.parquet(f"{tmp_path}/lineitem.parquet")
+    whole = plans.ml_14_training_frame(spark, str(tmp_path)).withColumn("h", F.xxhash64("station_id", "d", F.lit(0))).collect()
+    # all days but the first five of a station, and of the seven in the gap those of the sample
+    gap = dt.date(1999, 12, 25), dt.date(1999, 12, 31)
+    assert sum(not gap[0] <= r.d <= gap[1] for r in whole) == 40_000 - 10 * 5 - 10 * 7
+    monkeypatch.setattr(plans, "_MAX_FINAL_ROWS", 900)
+    before = _stages(spark)
+    got = plans.ml_14_training_frame(spark, str(tmp_path)).collect()
+    assert sum(n for k, n in _stages(spark).items() if k not in before) < 3 * 40_000
+    want = sorted(sorted(whole, key=lambda r: r.h)[:900], key=lambda r: (r.station_id, r.d))
+    assert [tuple(r) for r in got] == [(r.station_id, r.d, r.delta) for r in want]
+
+
+@pytest.mark.parametrize("n", [0, 1, 499, 500, 5_000])
+def test_fixed_sample_takes_whole_hashes(spark, n):
+    df = spark.range(1_000).selectExpr("id div 3 k", "id v").withColumn("h", F.xxhash64("k", F.lit(0)))
+    rows = sorted(df.collect(), key=lambda r: r.h)
+    most = rows[min(n, 1_000) - 1].h if n else None
+    got = frames.fixed_sample(df.drop("h"), ["k"], n).collect()
+    assert sorted(r.v for r in got) == sorted(r.v for r in rows if n and r.h <= most) and [r.k for r in got] == sorted(r.k for r in got)
+    assert frames.fixed_sample(df.where("false"), ["k"], n).count() == 0
+
+
 def test_change_history(spark):
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate(["x", "x", None, None, "y", "x"])], "k string, d int, v string")
     assert [(r.d, r.v, r.valid_to) for r in frames.change_history(df, ["k"], "d", "v").orderBy("d").collect()] == [(0, "x", 2), (2, None, 4), (4, "y", 5), (5, "x", None)]
@@ -496,15 +532,6 @@ def test_sequences_are_stored_once_and_made_by_piece(spark):
     assert {x.m for x in pieces.select(F.explode("months").alias("m")).distinct().collect()} == {v[0] for v in want.values()}
 
 
-def _stages(spark):
-    """Records that each known stage has written to shuffles."""
-    sc = spark.sparkContext._jsc.sc()
-    sc.listenerBus().waitUntilEmpty()
-    store, no = sc.statusStore(), spark._jvm.java.util.ArrayList()
-    found = store.stageList(no, False, False, getattr(store, "stageList$default$4")(), no)
-    return {found.apply(i).stageId(): found.apply(i).shuffleWriteRecords() for i in range(found.size())}
-
-
 def test_series_move_once_and_are_those_of_plain_aggregates(spark, tmp_path):
     from fairgrid.plans import models as plans
     from fairgrid.plans.tables import grid_day
