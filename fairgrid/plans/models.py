@@ -311,15 +311,17 @@ def ml_13_baselines(spark, sf):
     return frames.rounded(v.agg(F.count("*").alias("n"), F.avg(err).alias("yesterday_mae"), agg.mean_masked(err, "weight").alias("yesterday_weighted"), agg.mean_masked(F.abs(F.col("delta") - F.col("mean_delta")), "weight").alias("drift_weighted")))
 
 
-#: The reference's own cap of a final training frame.
-_MAX_FINAL_ROWS = 8_000_000
+#: Rows of a training frame, chosen by key hash, for a caller that wants fewer; without it the frame is whole at any size.
+_MAX_FINAL_ROWS: int | None = None
 
 
 @query()
 def ml_14_training_frame(spark, sf):
-    """Training and validation rows and a hash sample of the gap between them; a frame beyond the cap by key hash."""
+    """All training and validation rows and a hash sample of the gap between them."""
     t = _model_frame(spark, sf)
     gap = F.col("d").between(F.lit("1999-12-25").cast("date"), F.lit("1999-12-31").cast("date"))
-    final = t.where(~gap | frames.in_hash_sample(["station_id", "d"], 200))
-    final = cut(final.select("station_id", "d", half_up("delta", 3).alias("delta")))
+    final = t.where(~gap | frames.in_hash_sample(["station_id", "d"], 200)).select("station_id", "d", half_up("delta", 3).alias("delta"))
+    if _MAX_FINAL_ROWS is None:
+        return final
+    final = cut(final)
     return frames.fixed_sample(final, ["station_id", "d"], _MAX_FINAL_ROWS) if final.count() > _MAX_FINAL_ROWS else final

@@ -140,6 +140,14 @@ def test_a_frame_beyond_the_cap_is_made_once_and_cut_by_hash(spark, tmp_path, mo
     assert [tuple(r) for r in got] == [(r.station_id, r.d, r.delta) for r in want]
 
 
+def test_a_training_frame_is_whole_at_any_size(spark, tmp_path):
+    from fairgrid.plans import models as plans
+
+    row = ("date_add(date'1992-01-01', cast(id div 4000 as int)) l_shipdate", "id % 4000 l_suppkey", "100D + id % 7 l_extendedprice", "2D l_quantity", "'F' l_linestatus", "id l_partkey", "'N' l_returnflag", "id l_orderkey", "1 l_linenumber")
+    spark.range(8_400_000).selectExpr(*row).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert plans.ml_14_training_frame(spark, str(tmp_path)).count() == 8_400_000 - 4_000 * 5
+
+
 @pytest.mark.parametrize("n", [0, 1, 499, 500, 5_000])
 def test_fixed_sample_takes_whole_hashes(spark, n):
     df = spark.range(1_000).selectExpr("id div 3 k", "id v").withColumn("h", F.xxhash64("k", F.lit(0)))
