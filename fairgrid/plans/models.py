@@ -14,7 +14,7 @@ from fairgrid.operators.stored import cut, shared_dir
 from fairgrid.sources import sinks
 
 from .registry import query
-from .tables import DOM_SQL, OBS_SQL, domestic, grid_day, observations, policies, read, stations
+from .tables import DOM_SQL, OBS_SQL, dealt, domestic, grid_day, observations, policies, read, stations
 
 
 def _series(spark, sf):
@@ -168,20 +168,9 @@ def win_20_expanding_forecasts(spark, sf):
     return frames.rounded(models.expanding_forecasts(_fair_frame(spark, sf), ["fuel"], "d", "y", ["x1", "x7"], 240), 1)
 
 
-#: Observations in a partition of series; smaller ones, of so many at least, up to a number of partitions. Trees shuffle a histogram of every
-#: feature and node from each, so they are few, and their number comes from the rows alone, since split candidates are sampled by partition.
-_SERIES_ROWS, _SERIES_LEAST, _SERIES_PARTS = 600_000, 50_000, 24
-
-
-def _dealt(rows, keys):
-    """``rows`` dealt by keys to so many partitions that one holds about as many rows at any size; days are aggregated there, since hardly two rows of a scan share theirs."""
-    n = rows.count()
-    return rows.repartition(max(1, -(-n // _SERIES_ROWS), min(_SERIES_PARTS, -(-n // _SERIES_LEAST))), *keys)
-
-
 def _model_frame(spark, sf):
     """Next-day change of a station's mean price with its last five levels; weight, and which rows validate."""
-    t = _dealt(observations(spark, sf).select("station_id", "d", "price", "w"), ["station_id"]).groupBy("station_id", "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
+    t = dealt(observations(spark, sf).select("station_id", "d", "price", "w"), ["station_id"]).groupBy("station_id", "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
     w = Window.partitionBy("station_id").orderBy("d")
     t = windows.lags(t, "y", range(1, 6), ["station_id"], "d").withColumn("delta", F.col("y") - F.col("y_lag1")).where("y_lag5 is not null")
     return t.withColumn("validation", F.col("d") >= F.lit("2000-01-01").cast("date"))
@@ -193,7 +182,7 @@ def _sequence_pieces(spark, sf):
     Observations are dealt by fuel and cell once, and days, series and pieces are made where they are; the national series has a row a day.
     """
     keys = ["fuel", "cell_x", "cell_y"]
-    t = _dealt(observations(spark, sf).select(*keys, "d", "price", "w"), keys).groupBy(*keys, "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
+    t = dealt(observations(spark, sf).select(*keys, "d", "price", "w"), keys).groupBy(*keys, "d").agg(F.avg("price").alias("y"), F.sum("w").alias("weight"))
     t = t.join(F.broadcast(t.groupBy("fuel", "d").agg(agg.anchor("y", "weight").alias("national"))), ["fuel", "d"])
     p = delta.series_pieces(t, keys, "d", ["y", "national", "weight"], [])
     sites = stations(spark, sf).groupBy("cell_x", "cell_y").agg(F.count("*").cast("double").alias("sites"), F.avg("s_acctbal").alias("balance"))

@@ -41,6 +41,16 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Observations in a partition of series; smaller ones, of so many at least, up to a number of partitions.
+_SERIES_ROWS, _SERIES_LEAST, _SERIES_PARTS = 600_000, 50_000, 24
+
+
+def dealt(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` dealt by keys to so many partitions that one holds about as many rows at any size; days are aggregated there, since hardly two rows of a scan share theirs."""
+    n = rows.count()
+    return rows.repartition(max(1, -(-n // _SERIES_ROWS), min(_SERIES_PARTS, -(-n // _SERIES_LEAST))), *keys)
+
+
 def grid_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-01, AGG-02: price, stations and weight of each cell, day and fuel; partial sums are merged by one aggregate."""
     from fairgrid.functions.text import grid_id

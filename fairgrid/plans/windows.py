@@ -13,14 +13,15 @@ from fairgrid.operators.stored import cut
 from fairgrid.functions.numbers import half_up
 
 from .registry import ORACLE_SQL, query
-from .tables import DOM_SQL, GRID_SQL, INTL_SQL, OBS_SQL, domestic, grid_day, international, observations, read
+from .tables import DOM_SQL, GRID_SQL, INTL_SQL, OBS_SQL, dealt, domestic, grid_day, international, observations, read
 
 _SPINE = "s as (select cast(unnest(generate_series(cast(min(d) as timestamp), cast(max(d) as timestamp), interval 1 day)) as date) d from dom)"
 _STATION_DAY = f"{OBS_SQL}, sd as (select station_id, d, avg(price) x, max(cast(d between date '1996-03-10' and date '1996-12-31' as int)) = 1 policy from obs group by all)"
 
 
 def _station_day(spark, sf):
-    t = observations(spark, sf).groupBy("station_id", "d").agg(F.avg("price").alias("x"))
+    """A station's days with their mean price; observations are dealt by station once, and days and windows are made where they are."""
+    t = dealt(observations(spark, sf).select("station_id", "d", "price"), ["station_id"]).groupBy("station_id", "d").agg(F.avg("price").alias("x"))
     return t.withColumn("policy", F.col("d").between(F.lit("1996-03-10").cast("date"), F.lit("1996-12-31").cast("date")))
 
 

@@ -594,6 +594,22 @@ def test_lag_sequence_looks_up_rows_and_differences_are_rounded_once(spark, tmp_
     assert "collect_list" not in plan and plan.count("round(") <= 2
 
 
+def test_days_and_lags_of_a_station_are_made_where_its_observations_are_dealt(spark, tmp_path):
+    from fairgrid.plans import registry
+
+    row = ("date_add(date'1992-01-01', cast(id div 100 as int)) l_shipdate", "id % 50 l_suppkey", "100D + id % 7 + id % 11 l_extendedprice", "2D l_quantity", "'F' l_linestatus", "id l_partkey", "'N' l_returnflag", "id l_orderkey", "1 l_linenumber")
+    spark.range(6_000).selectExpr(*row).write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = _stages(spark)
+    got = {(x.station_id, x.d): x for x in registry.QUERIES["win_06_lag_differences"](spark, str(tmp_path)).collect()}
+    assert sum(n for k, n in _stages(spark).items() if k not in before) < 1.2 * 6_000  # observations move once, days do not
+    price = {(s, k): sum((100 + i % 7 + i % 11) / 2 for i in (100 * k + s, 100 * k + s + 50)) / 2 for s in range(50) for k in range(60)}
+    start = dt.date(1992, 1, 1)
+    assert got.keys() == {(s, start + dt.timedelta(k)) for s, k in price if k >= 28}
+    for (s, d), x in got.items():
+        k = (d - start).days
+        assert all(x[f"lag{j}"] == pytest.approx(price[s, k - j]) for j in range(1, 29)) and all(x[f"delta{j}"] == pytest.approx(price[s, k - j] - price[s, k - j - 1]) for j in range(1, 28))
+
+
 def test_decay_sums_equal_all_pairs_and_copy_few_points(spark):
     r = random.Random(3)
     pts = [(k, i, float(r.randrange(-20, 20) * 50), float(r.randrange(-20, 20) * 50), float(i % 4)) for k in (1, 2) for i in range(80)]
