@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -196,12 +198,15 @@ def _sequence_pieces(spark, sf):
 _SEQUENCE_KEYS = ["fuel", "grid_id"]
 
 
-def _sequence_rows(pieces, months=None):
+def _sequence_parts(batch, wanted):
     """Next-day change of a cell's mean price of a fuel with 28 days before it in three channels (own price, national price, weight), four latest
     features (distance from the national price, weight, days since, the month's mean) and four static ones.
     Levels count from yesterday's price. Rows from 2000 on stop the fit, those from July 2000 on are held out."""
-    part = F.when(F.col("d") < F.lit("2000-01-01").cast("date"), "train").when(F.col("d") < F.lit("2000-07-01").cast("date"), "stop").otherwise("holdout")
-    return delta.sequence_rows(pieces, _SEQUENCE_KEYS, months).withColumn("part", part)
+    return delta.piece_parts(batch, wanted, date(2000, 1, 1), date(2000, 7, 1))
+
+
+def _sequence_scores(pieces, months, model):
+    return delta.piece_scores(pieces, _SEQUENCE_KEYS, months, model.stages[-1])
 
 
 def _delta_models(spark, sf):
@@ -209,18 +214,15 @@ def _delta_models(spark, sf):
 
     def build():
         frame, rows = sinks.work_folder(spark, "delta-series"), []
-        pieces = _sequence_pieces(spark, sf).persist()
-        try:
-            pieces.write.option("compression", "zstd").partitionBy("fuel").parquet(frame)
-            for fuel in BASE_TAX:
-                path = sinks.work_folder(spark, f"delta-model-{fuel}")
-                rows += [(fuel, *told, path, frame) for told in delta.fit_delta_models(_sequence_rows(pieces.where(F.col("fuel") == fuel)), path)]
-        finally:
-            pieces.unpersist()
+        _sequence_pieces(spark, sf).write.option("compression", "zstd").partitionBy("fuel").parquet(frame)
+        for fuel in BASE_TAX:
+            path = sinks.work_folder(spark, f"delta-model-{fuel}")
+            pieces = spark.read.parquet(frame).where(F.col("fuel") == fuel).select("static", "days")
+            rows += [(fuel, *told, path, frame) for told in delta.fit_delta_models(pieces, path, _sequence_parts)]
         return spark.createDataFrame(rows, "fuel string, model string, rows long, mae double, rmse double, weighted_mae double, chosen boolean, path string, frame string")
 
     tables = [f"{sf}/{t}.parquet" for t in ("lineitem", "supplier", "nation", "region")]
-    return sinks.cached(spark, f"{shared_dir(spark)}/delta-models", {"what": "delta models", "frame": "series"}, tables, build)
+    return sinks.cached(spark, f"{shared_dir(spark)}/delta-models", {"what": "delta models", "frame": "series", "learners": "own"}, tables, build)
 
 
 @query()
@@ -236,13 +238,10 @@ def ml_12_scoring(spark, sf):
     parts = []
     for r in chosen:  # a row a fuel
         to, keep = f"{out}/{r.fuel}", ["fuel", "grid_id", "d"]
-        pieces = delta.spread(spark.read.parquet(r.frame).where(F.col("fuel") == r.fuel)).persist()
-        try:
-            half = pieces.withColumn("months", F.filter("months", lambda m: m < "1998-06"))
-            delta.score_months(half, r.path, to, keep, rows_of=_sequence_rows)
-            delta.score_months(pieces, r.path, to, keep, rows_of=_sequence_rows)
-        finally:
-            pieces.unpersist()
+        pieces = spark.read.parquet(r.frame).where(F.col("fuel") == r.fuel)
+        half = pieces.withColumn("months", F.filter("months", lambda m: m < "1998-06"))
+        delta.score_months(half, r.path, to, keep, scores_of=_sequence_scores)
+        delta.score_months(pieces, r.path, to, keep, scores_of=_sequence_scores)
         parts.append(spark.read.parquet(to).drop("month"))
     return frames.rounded(parts[0].unionByName(parts[1]))
 

@@ -540,6 +540,86 @@ def test_sequences_are_stored_once_and_made_by_piece(spark):
     assert {x.m for x in pieces.select(F.explode("months").alias("m")).distinct().collect()} == {v[0] for v in want.values()}
 
 
+def test_learners_keep_no_rows_and_reach_what_brute_force_finds(spark):
+    from fairgrid.operators import learners
+
+    r = np.random.default_rng(8)
+    x = np.column_stack([r.normal(size=600), r.integers(0, 4, 600), np.full(600, 3.0), r.exponential(size=600)])
+    d, w = 2 * x[:, 0] - x[:, 1] + np.where(x[:, 3] > 1, 3, 0) + r.standard_t(2, size=600), 1.0 + r.integers(0, 3, 600)
+    part = np.repeat([0, 1, 2], [400, 100, 100])
+    rows = [(("train", "stop", "holdout")[p], float(v), float(v) + 5, 5.0, float(k), z.tolist()) for p, v, k, z in zip(part, d, w, x, strict=True)]
+    t = spark.createDataFrame(rows, "part string, delta double, y double, y_lag1 double, weight double, raw array<double>").repartition(3)
+    z, e, k = x[:400], d[:400], w[:400]
+    mean, inverse, label = learners.spread_of(learners.packed(t), delta.row_parts)
+    assert mean == pytest.approx(z.mean(0)) and inverse[2] == 0 and inverse[[0, 1, 3]] == pytest.approx(1 / z[:, [0, 1, 3]].std(0)) and label == pytest.approx([k.sum(), k @ e / k.sum(), np.sqrt(k @ e**2 / k.sum() - (k @ e / k.sum()) ** 2)])
+    line = learners.robust_linear(t, delta.row_parts, mean, inverse, label)
+    slope = np.array(line["coefficients"])
+
+    def loss(slope, intercept, scale):
+        off = np.abs(e - z @ slope - intercept) / scale
+        return k @ (scale * (1 + np.where(off <= 1.35, off**2, 2 * 1.35 * off - 1.35**2))) / k.sum() / 2 + 0.5e-4 * ((slope[[0, 1, 3]] / inverse[[0, 1, 3]]) ** 2).sum()
+
+    scales = np.linspace(0.3, 3, 2_701)
+    least = min(loss(slope, line["intercept"], s) for s in scales)
+    for i in (0, 1, 3, 4):
+        for move in (-0.01, 0.01):
+            other = slope + move * (np.arange(4) == i)
+            assert min(loss(other, line["intercept"] + move * (i == 4), s) for s in scales) > least
+    bin_of = learners.bins_of(t, delta.row_parts, mean, inverse)
+    trees = learners.boosted_trees(t, delta.row_parts, mean, inverse, bin_of, 3, 3, 0.2)
+    cell = learners.cells(x.T, mean, inverse)
+    b = np.stack([bin_of[f][cell[f]] for f in range(4)])
+    made = np.zeros(600)
+    kept, best = 0, np.inf
+    told = []
+    for m in range(3):
+        rest, node, value = (d - made) * (1 if m == 0 else 0.4), np.zeros(600, int), np.zeros(600)
+        learn = part == 0
+        for _ in range(3):
+            for j in set(node[learn]):
+                own = learn & (node == j)
+                gains = {}
+                for f in range(4):
+                    for c in range(31):
+                        go = own & (b[f] > c)
+                        if go.any() and (own & ~go).any():
+                            gains[f, c] = sum((w[g] @ rest[g]) ** 2 / w[g].sum() for g in (go, own & ~go)) - (w[own] @ rest[own]) ** 2 / w[own].sum()
+                top = max(gains, key=gains.get, default=None)
+                right = (b[top[0]] > top[1]) if top and gains[top] > 1e-9 else np.zeros(600, bool)
+                node = np.where(node == j, 10 * (j + 1) + right, node)
+        for j in set(node[learn]):
+            own = learn & (node == j)
+            value[node == j] = w[own] @ rest[own] / w[own].sum()
+        made = made + value
+        told.append(made)
+        off = w[part == 1] @ (d - made)[part == 1] ** 2
+        if off > best:
+            break
+        if off < best:
+            best, kept = off, m + 1
+    assert len(trees["trees"]) == kept and learners.predicted(trees, x.T) == pytest.approx(told[kept - 1])
+    errors = learners.errors(t, delta.row_parts, [line, trees])
+    for got, made in zip(errors, (x @ slope + line["intercept"], told[kept - 1]), strict=True):
+        off = np.abs(d - made)[part == 2]
+        assert got == pytest.approx((100, off.mean(), np.sqrt((off**2).mean()), w[part == 2] @ off / w[part == 2].sum()))
+
+
+def test_pieces_are_scored_where_their_rows_are_made(spark):
+    import json
+
+    from fairgrid.operators import learners
+
+    r = np.random.default_rng(5)
+    rows = [(g, day(k), *map(float, r.normal(size=3))) for g in "ab" for k in range(400)]
+    df = spark.createDataFrame(rows, "grid_id string, d date, y double, national double, weight double").withColumn("static", F.array(F.lit(2.0)))
+    pieces = delta.series_pieces(df, ["grid_id"], "d", ["y", "national", "weight"], ["static"])
+    model = learners.DeltaModel(json.dumps({"intercept": 0.5, "coefficients": r.normal(size=89).tolist()}))
+    want = {(x.grid_id, x.d): (x.month, x.y_lag1 + x.prediction) for x in model.transform(delta.sequence_rows(pieces, ["grid_id"])).collect()}
+    some = sorted({m for m, _ in want.values()})[2:5]
+    got = {(x.grid_id, x.d): (x.month, x.prediction) for x in delta.piece_scores(pieces, ["grid_id"], some, model).collect()}
+    assert got == {k: v for k, v in want.items() if v[0] in some} and len(want) == 2 * 372
+
+
 def test_series_move_once_and_are_those_of_plain_aggregates(spark, tmp_path):
     from fairgrid.plans import models as plans
     from fairgrid.plans.tables import grid_day
